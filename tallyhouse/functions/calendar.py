@@ -10,20 +10,22 @@ from pyspark.sql import functions as F
 from tallyhouse import rules
 from tallyhouse.functions.text import strip
 
-ISO_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
+ISO = None  # no format list: the ISO spellings that a cast reads, which is several times faster than a pattern
 
 
 def _lookup(pairs) -> Column:
     return F.create_map(*[F.lit(part) for pair in pairs for part in pair])
 
 
-def parse_timestamp(text: Column, formats=ISO_FORMATS) -> Column:
+def parse_timestamp(text: Column, formats: tuple[str, ...] | None = ISO) -> Column:
     """The first format that fits wins; a text that fits none becomes null."""
     text = strip(text.cast("string"))
+    if formats is ISO:
+        return text.try_cast("timestamp_ntz")
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
-def parse_timestamp_strict(text: Column, formats=ISO_FORMATS) -> Column:
+def parse_timestamp_strict(text: Column, formats: tuple[str, ...] | None = ISO) -> Column:
     """The same, but a filled text that fits no format fails the job."""
     parsed = parse_timestamp(text, formats)
     message = F.concat(F.lit("not a date: "), text.cast("string"))
@@ -45,8 +47,7 @@ def whole_days_between(later: Column, earlier: Column) -> Column:
 
 def week_start(day: Column) -> Column:
     """The Monday of the week."""
-    day = day.cast("date")
-    return F.date_sub(day, F.weekday(day))
+    return F.trunc(day.cast("date"), "week")
 
 
 def month_name(day: Column, names=rules.MONTH_NAMES) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import rules
@@ -62,6 +62,25 @@ def product_of(description: Column, product_rules: rules.ProductRules = rules.Pr
     return normalize_product(name, product_rules.replacements)
 
 
+def with_pack_and_product(
+    df: DataFrame, description: str, pack: str, product: str, product_rules: rules.ProductRules = rules.ProductRules()
+) -> DataFrame:
+    """Add the normalised pack and product of a description.
+
+    The steps are separate projections: a step uses the one before more than once, and nested they would multiply.
+    """
+    column = F.col(f"`{description}`")
+    name = product_name(column, product_rules.ignore_case_in_name)
+    steps = df.withColumns({pack: strip(F.upper(pack_size(column))), product: strip(F.upper(name))})
+    steps = steps.withColumns(
+        {
+            pack: collapse_blanks(replace_words(F.col(pack), product_rules.packs)),
+            product: collapse_blanks(replace_words(F.col(product), product_rules.replacements)),
+        }
+    )
+    return steps.withColumn(pack, default_pack(F.col(pack), column))
+
+
 def sold_units(units: Column, customer: Column, brand: Column, pack: Column, rule=rules.PackRule()) -> Column:
     """Units in pieces: the one customer and brand of the rule are invoiced in packs."""
     table = F.create_map(*[F.lit(part) for pair in rule.units for part in pair])

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from tallyhouse import rules
 from tallyhouse.functions import calendar, products
 from tallyhouse.functions.text import canonical_key, strip
-from tallyhouse.operators.columns import column, insert_column, union_present
+from tallyhouse.operators.columns import column, insert_column, select_names, union_present
 from tallyhouse.operators.resume import ResumeRule, rows_after_marker
 from tallyhouse.schemas import ROW_ORD, require_columns
+from tallyhouse.session import write_through
 
 KEPT_COLUMNS = 12
+PACK, PRODUCT, SOLD = "Cantidades", "Producto", "Cantidad inv.sell_Int"
+DICTIONARY_ROWS = 1_000_000
 DESCRIPTION = "Desc.item"
 
 
-def as_moment(df: DataFrame, name: str, formats=calendar.ISO_FORMATS) -> Column:
+def as_moment(df: DataFrame, name: str, formats=calendar.ISO) -> Column:
     """A date column as a timestamp without zone, parsed if it is still text."""
     value = column(df, name)
     if dict(df.dtypes)[name] == "string":
@@ -43,10 +46,29 @@ def without_units(sales: DataFrame) -> DataFrame:
     return sales.filter(whole_units(sales).isNull())
 
 
+def describe(sales: DataFrame, product_rules: rules.ProductRules, dictionary_rows: int) -> DataFrame:
+    """Add pack and product.
+
+    A catalogue has far fewer descriptions than there are sales, and the word rules are some thirty searches per text.
+    So the rules run once per distinct description, into a small written table, which is broadcast if it has no more
+    than ``dictionary_rows`` rows; with more, the rules run on every row. 0 skips the table.
+    """
+    if dictionary_rows > 0:
+        texts = sales.select(column(sales, DESCRIPTION).alias("_text")).filter("_text is not null").distinct()
+        known = write_through(products.with_pack_and_product(texts, "_text", PACK, PRODUCT, product_rules), "products")
+        if known.limit(dictionary_rows + 1).count() <= dictionary_rows:
+            joined = sales.join(F.broadcast(known), column(sales, DESCRIPTION) == known["_text"], "left").drop("_text")
+            return joined.withColumn(PACK, F.coalesce(PACK, F.lit(rules.MISSING_PACK)))
+    return products.with_pack_and_product(sales, DESCRIPTION, PACK, PRODUCT, product_rules)
+
+
 def enrich_sales(
-    sales: DataFrame, cutoff: str = rules.SALES_CUTOFF, product_rules: rules.ProductRules = rules.ProductRules()
+    sales: DataFrame,
+    cutoff: str = rules.SALES_CUTOFF,
+    product_rules: rules.ProductRules = rules.ProductRules(),
+    dictionary_rows: int = DICTIONARY_ROWS,
 ) -> DataFrame:
-    """Brand, pack size, normalised product and units in pieces, as one projection over the rows after the cutoff.
+    """Brand, pack size, normalised product and units in pieces for the rows after the cutoff.
 
     The first columns of the file are kept as they are, with an empty identification type in the fourth place.
     Rows without whole units are left out; see ``without_units``.
@@ -54,24 +76,22 @@ def enrich_sales(
     require_columns(sales, ["Fecha", _description(sales), "Cantidad inv.", "Razon social", "Marca"])
     recent = after_cutoff(sales.withColumn("Fecha", as_moment(sales, "Fecha")), cutoff)
     recent = recent.filter(whole_units(recent).isNotNull()).withColumnsRenamed({"Desc. item": DESCRIPTION})
-    order = recent.columns.index(ROW_ORD) if ROW_ORD in recent.columns else None
-    body = recent.drop(ROW_ORD) if order is not None else recent
+    body = recent.drop(ROW_ORD)
     kept = insert_column(body, 3, "Tipo de identificacion", F.lit(None).cast("string"), keep=KEPT_COLUMNS).columns
-
-    description = column(recent, DESCRIPTION)
-    brand = products.brand_from_prefix(description, column(recent, "Marca"), product_rules.brands)
-    pack = products.pack_of(description, product_rules)
-    values = {
-        "Tipo de identificacion": F.lit(None).cast("string"),
-        "Marca": brand,
-        "Cantidades": pack,
-        "Producto": products.product_of(description, product_rules),
-        "Cantidad inv.sell_Int": products.sold_units(
-            whole_units(recent), column(recent, "Razon social"), brand, pack, product_rules.pack_rule
-        ),
-    }
-    names = kept + ["Cantidades", "Producto", "Cantidad inv.sell_Int"] + ([ROW_ORD] if order is not None else [])
-    return recent.select(*[values[n].alias(n) if n in values else column(recent, n) for n in names])
+    order = [ROW_ORD] if ROW_ORD in recent.columns else []
+
+    branded = recent.withColumns(
+        {
+            "Marca": products.brand_from_prefix(column(recent, DESCRIPTION), column(recent, "Marca"), product_rules.brands),
+            "Tipo de identificacion": F.lit(None).cast("string"),
+        }
+    )
+    described = describe(branded, product_rules, dictionary_rows)
+    units = products.sold_units(
+        whole_units(described), F.col("Razon social"), F.col("Marca"), F.col(PACK), product_rules.pack_rule
+    )
+    result = described.withColumn(SOLD, units)
+    return select_names(result, kept + [PACK, PRODUCT, SOLD] + order)
 
 
 def marker_rule(keys=rules.MARKER_KEYS, prefixes=rules.BRAND_PREFIXES) -> ResumeRule:

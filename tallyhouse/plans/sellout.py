@@ -44,18 +44,17 @@ class Period:
 
 @dataclass(frozen=True)
 class SellOut:
-    """``rows`` before grouping, ``total_of_detail`` says whether the total leaves out rows with a null key."""
+    """A report in the common columns: ``rows`` counts for the total, ``keyed`` (no null key) for the detail."""
 
     rows: DataFrame
+    keyed: DataFrame
     client: str
     period: Period
-    total_of_detail: bool = False
 
     @property
     def detail(self) -> DataFrame:
-        """Units by product, store and city; rows with a null key do not count."""
-        complete = self.rows.dropna(how="any", subset=CITY_KEYS)
-        grouped = complete.groupBy(*[F.col(f"`{key}`") for key in CITY_KEYS]).agg(
+        """Units by product, store and city."""
+        grouped = self.keyed.groupBy(*[F.col(f"`{key}`") for key in CITY_KEYS]).agg(
             F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")
         )
         return grouped.withColumn("NumMes", self.period.month.cast("int"))
@@ -63,8 +62,7 @@ class SellOut:
     @property
     def summary(self) -> DataFrame:
         """One row: the units of the period."""
-        rows = self.rows.dropna(how="any", subset=CITY_KEYS) if self.total_of_detail else self.rows
-        return rows.agg(F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")).select(
+        return self.rows.agg(F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")).select(
             self.period.code.alias("Mes"),
             self.period.year.cast("int").alias("año"),
             F.lit(self.client).alias("cliente"),
@@ -84,12 +82,13 @@ def chain_rows(report: DataFrame) -> DataFrame:
 
 
 def chain(report: DataFrame | None, period: Period, client: str = rules.CHAIN) -> SellOut | None:
-    """The store chain: a row per sale day; the month is the one of the sale."""
+    """The store chain: a row per sale day; the month is the one of the sale. Null keys are not in the total either."""
     if report is None:
         return None
-    named = chain_rows(report)
-    place = stores.store_city_chain(column(named, "Nomb. Dependencia"))
-    day = as_moment(named, "Fecha")
+    named = chain_rows(report.withColumn("Fecha", as_moment(report, "Fecha")))
+    named = named.dropna(how="any", subset=["EAN", "Fecha", "Descripción"])
+    named = named.withColumn("_place", stores.store_city_chain(column(named, "Nomb. Dependencia")))
+    day, place = F.col("Fecha"), F.col("_place")
     rows = _rows(
         named,
         EAN=F.col("EAN").cast("string"),
@@ -101,7 +100,7 @@ def chain(report: DataFrame | None, period: Period, client: str = rules.CHAIN) -
         Descripcion=F.col("Descripción"),
         Unidades=F.col("Unidades"),
     )
-    return SellOut(rows, client, period, total_of_detail=True)
+    return SellOut(rows, rows, client, period)
 
 
 def wholesale(matrix: DataFrame | None, period: Period, client: str = rules.WHOLESALER) -> SellOut | None:
@@ -110,8 +109,12 @@ def wholesale(matrix: DataFrame | None, period: Period, client: str = rules.WHOL
         return None
     require_columns(matrix, rules.MATRIX_IDS)
     store, _, text, barcode = rules.MATRIX_IDS
+    # no column of the result can be null after these two filters
     filled = filled_ids(matrix, rules.MATRIX_IDS)
-    place = stores.store_city_wholesale(column(filled, store))
+    filled = nonzero(filled.withColumn("_units", value_of_month(filled, period.month).cast("bigint")), "_units")
+    filled = filled.withColumn("_place", stores.without_code(column(filled, store)))
+    filled = filled.withColumn("_place", stores.store_city_by_last_dash(F.col("_place")))
+    place = F.col("_place")
     rows = _rows(
         filled,
         EAN=column(filled, barcode).cast("string"),
@@ -121,9 +124,9 @@ def wholesale(matrix: DataFrame | None, period: Period, client: str = rules.WHOL
         Tienda=place["store"],
         Ciudad=place["city"],
         Descripcion=column(filled, text),
-        Unidades=value_of_month(filled, period.month).cast("bigint"),
+        Unidades=F.col("_units"),
     )
-    return SellOut(nonzero(rows, "Unidades"), client, period)
+    return SellOut(rows, rows, client, period)
 
 
 def pharmacy(report: DataFrame | None, period: Period, client: str = rules.PHARMACY) -> SellOut | None:
@@ -142,7 +145,7 @@ def pharmacy(report: DataFrame | None, period: Period, client: str = rules.PHARM
         Descripcion=F.col("DESCRIPCION_ITEM"),
         Unidades=F.col("UNIDADES_VENDIDAS"),
     )
-    return SellOut(rows, client, period)
+    return SellOut(rows, rows.dropna(how="any", subset=["EAN", "Tienda", "Ciudad", "Descripcion"]), client, period)
 
 
 def other_months(detail: DataFrame) -> DataFrame:

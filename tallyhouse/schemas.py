@@ -103,7 +103,7 @@ SELLOUT_PHARMACY = {
 LANDED_FILES = {"file_name": "string", "client_key": "string"}
 
 
-def typed_value(column: Column, type_name: str, date_formats=calendar.ISO_FORMATS) -> Column:
+def typed_value(column: Column, type_name: str, date_formats=calendar.ISO) -> Column:
     """A text cell as ``type_name``; null if it does not fit."""
     if type_name == "string":
         return column.cast("string")
@@ -114,7 +114,7 @@ def typed_value(column: Column, type_name: str, date_formats=calendar.ISO_FORMAT
     return text.strip(column).try_cast(type_name)
 
 
-def apply_types(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO_FORMATS) -> DataFrame:
+def apply_types(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO) -> DataFrame:
     """Type the columns of ``schema`` in one projection; other columns pass."""
     require_columns(df, schema)
     return df.select(
@@ -125,7 +125,7 @@ def apply_types(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO
     )
 
 
-def untyped_rows(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO_FORMATS) -> DataFrame:
+def untyped_rows(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO) -> DataFrame:
     """The rows with a filled cell that does not fit its type: the rejects of the typing step."""
     bad = F.lit(False)
     for name, type_name in schema.items():

@@ -45,7 +45,7 @@ def money_text(column: str) -> Column:
 
 
 def day_text(column: str) -> Column:
-    return F.date_format(F.col(column), "yyyy-MM-dd")
+    return F.col(column).cast("date").cast("string")
 
 
 # ------------------------------------------------------------------ segmentation
