@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import rules
 from tallyhouse.functions import calendar, products
-from tallyhouse.functions.text import canonical_key, strip
+from tallyhouse.functions.text import canonical_key, decimal_comma, strip
 from tallyhouse.operators.columns import column, insert_column, select_names, union_present
 from tallyhouse.operators.resume import ResumeRule, rows_after_marker
 from tallyhouse.schemas import ROW_ORD, require_columns
@@ -95,7 +95,7 @@ def enrich_sales(
 
 
 def marker_rule(keys=rules.MARKER_KEYS, prefixes=rules.BRAND_PREFIXES) -> ResumeRule:
-    """Compare text cells by their cleaned form, numbers and dates by value, null equal to null.
+    """Compare text cells by their cleaned form, units, amounts and dates by value, null equal to null.
 
     The history holds filled brands, so the brand of the new rows is filled before it is compared.
     """
@@ -109,6 +109,10 @@ def marker_rule(keys=rules.MARKER_KEYS, prefixes=rules.BRAND_PREFIXES) -> Resume
                 value = products.brand_from_prefix(column(df, _description(df)), value, prefixes)
             if name == "Fecha":
                 value = as_moment(df, name)
+            elif name == "Cantidad inv.":
+                value = whole_units(df, name)
+            elif name == "Valor bruto local":
+                value = decimal_comma(value)
             elif types[name] == "string":
                 value = canonical_key(value)
             parts.append(value.alias(name))
