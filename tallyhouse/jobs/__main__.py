@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("new", "customers", "costs-history", "costs-new", "family"):
         refresh.add_argument(f"--{name}")
     refresh.add_argument("--cutoff", default=rules.SALES_CUTOFF)
+    refresh.add_argument("--append", action="store_true", help="add the new sales to the history's folder")
     refresh.add_argument("--cost-year", type=int, default=rules.COST_YEAR)
 
     sellout = jobs.add_parser("sellout", help="the reports of the three retailers")
@@ -46,7 +47,8 @@ def main(arguments: list[str] | None = None) -> dict:
     if args.job == "refresh":
         inputs = (args.history, args.new, args.customers, args.costs_history, args.costs_new, args.family)
         tables = catalog.load_sales_tables(spark, *inputs)
-        result = runs.refresh_all(tables, args.out, args.cutoff, args.cost_year, inputs)
+        append_to = args.history if args.append else None
+        result = runs.refresh_all(tables, args.out, args.cutoff, args.cost_year, inputs, append_to)
     elif args.job == "sellout":
         files = dict(zip((key for key, _ in rules.RETAILERS), (args.chain, args.wholesale, args.pharmacy)))
         tables = catalog.load_sellout_tables(spark, args.history, args.cities, args.folder, files)

@@ -42,8 +42,14 @@ def next_batch(new: DataFrame, history: DataFrame) -> DataFrame:
     return new.withColumn(ROW_ORD, F.col(ROW_ORD).withField("batch", F.coalesce(last, F.lit(0)) + 1))
 
 
-def refresh_sales(tables: SalesTables, out: str, cutoff: str = rules.SALES_CUTOFF, inputs=()) -> dict:
-    """Append the new, enriched sales. Nothing is written when there is nothing new or the marker is missing."""
+def refresh_sales(
+    tables: SalesTables, out: str, cutoff: str = rules.SALES_CUTOFF, inputs=(), append_to: str | None = None
+) -> dict:
+    """Append the new, enriched sales. Nothing is written when there is nothing new or the marker is missing.
+
+    By default a new version of the whole table is written. With ``append_to``, the folder of the history, only the new
+    rows are: the work of a refresh then grows with the export and not with the history.
+    """
     if tables.new is None:
         return {"status": "no_file", "sales": tables.history}
     landed = write_through(next_batch(tables.new, tables.history), "landed")
@@ -53,10 +59,13 @@ def refresh_sales(tables: SalesTables, out: str, cutoff: str = rules.SALES_CUTOF
         return {**status, "sales": tables.history}
     fresh = sales.new_sales(landed, tables.history, rule)
     added, count = _counted(cast_like(sales.enrich_sales(fresh, cutoff), tables.history), "added")
-    refreshed = union_present([tables.history, added])
-    sinks.write_parquet(refreshed, f"{out}/sales", inputs)
     sinks.write_parquet(sales.without_units(fresh), f"{out}/sales_without_units", inputs)
-    written = refreshed.sparkSession.read.schema(refreshed.schema).parquet(f"{out}/sales")
+    refreshed = union_present([tables.history, added])
+    if append_to is None:
+        path = sinks.write_parquet(refreshed, f"{out}/sales", inputs)
+    else:
+        path = sinks.append_parquet(added, append_to)
+    written = refreshed.sparkSession.read.schema(refreshed.schema).parquet(path)
     return {**status, "added": _rows(count), "sales": written}
 
 
@@ -84,9 +93,11 @@ def consolidate_costs(tables: SalesTables, out: str, year: int = rules.COST_YEAR
     return {"status": "ok", "rows": _rows(count)}
 
 
-def refresh_all(tables: SalesTables, out: str, cutoff: str, year: int, inputs=()) -> dict:
+def refresh_all(
+    tables: SalesTables, out: str, cutoff: str, year: int, inputs=(), append_to: str | None = None
+) -> dict:
     """Sales, customers, weekly counts and costs, in this order."""
-    sales_result = refresh_sales(tables, out, cutoff, inputs)
+    sales_result = refresh_sales(tables, out, cutoff, inputs, append_to)
     refreshed = sales_result.pop("sales")
     return {
         "sales": sales_result,

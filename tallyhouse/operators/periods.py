@@ -76,7 +76,7 @@ def period_gate(files: DataFrame, history: DataFrame, retailers=rules.RETAILERS)
     """
     spark = files.sparkSession
     names = spark.createDataFrame(list(retailers), "client_key string, client_name string")
-    checked = file_name_gate(F.broadcast(names).join(files, "client_key", "left"))
+    checked = file_name_gate(names.join(files, "client_key", "left"))
     periods = last_period(history).select(F.col("cliente").alias("client_name"), "siguiente_mes", "siguiente_año")
     gated = checked.join(periods, "client_name", "left")
     reason = (

@@ -17,6 +17,7 @@ from tallyhouse.session import write_through
 
 BITS = 16
 FEW_ROWS = 1 << 20
+FEW_GROUPS = 1000
 _SLICE_BITS = 33  # monotonically_increasing_id: the task number sits above 33 bits of position
 
 
@@ -29,11 +30,16 @@ def sort_once(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     return write_through(df.orderBy(group, *order).withColumn("_seq", F.monotonically_increasing_id()), "sorted")
 
 
+def groups_are_few(df: DataFrame, group: str, limit: int = FEW_GROUPS) -> bool:
+    """Measure whether what is kept per group may be broadcast."""
+    return df.select(group).distinct().limit(limit + 1).count() <= limit
+
+
 def rank_sorted(ordered: DataFrame, group: str, bounded_groups: bool = False) -> DataFrame:
     """Add ``rank`` 1..n per group to the rows of ``sort_once``.
 
-    ``bounded_groups`` says that the groups are a short list; the counts, one row per group and sorting task, may then
-    be broadcast.
+    ``bounded_groups`` says that the groups are few, by a given list or by ``groups_are_few``; the counts are then
+    broadcast. The sort is by group first, so they are at most one row per sorting task and one per group.
     """
     placed = ordered.withColumn("_task", F.shiftright("_seq", _SLICE_BITS))
     slices = placed.groupBy(group, "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first"))

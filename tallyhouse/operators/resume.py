@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.schemas import ROW_ORD
 
@@ -28,7 +29,14 @@ class ResumeRule:
 
 
 def last_row(history: DataFrame, value: Column, order: str = ROW_ORD) -> DataFrame:
-    """``value`` of the last row. Reads the order column first, then only the row groups that hold its maximum."""
+    """``value`` of the last row. Reads the order column first, then only the row groups that can hold its maximum.
+
+    A struct order is not compared in the scan, but its first field, the batch, is.
+    """
+    kind = history.schema[order].dataType
+    if isinstance(kind, T.StructType):
+        batch = f"{order}.{kind.names[0]}"
+        history = history.filter(F.col(batch) == history.agg(F.max(batch)).scalar())
     last = history.agg(F.max(order)).scalar()
     return history.filter(F.col(order) == last).agg(F.first(value).alias("value"))
 

@@ -16,7 +16,14 @@ from tallyhouse.functions.text import decimal_comma, tax_id_root
 from tallyhouse.operators.columns import normalize_headers, rename_by_position
 from tallyhouse.operators.dedup import distinct_rows, first_by_key
 from tallyhouse.operators.lookup import exclude_values, left_lookup
-from tallyhouse.operators.ranking import order_statistics, rank_in_group, rank_sorted, sort_once
+from tallyhouse.operators.ranking import (
+    FEW_GROUPS,
+    groups_are_few,
+    order_statistics,
+    rank_in_group,
+    rank_sorted,
+    sort_once,
+)
 from tallyhouse.plans.sales import as_moment
 from tallyhouse.schemas import ROW_ORD, require_columns
 
@@ -166,14 +173,16 @@ def _cut_table(metrics: DataFrame, bounded: bool) -> DataFrame:
     )
 
 
-def rfm_scores(metrics: DataFrame, on_ties: str = "compare", bounded: bool = True) -> DataFrame:
+def rfm_scores(metrics: DataFrame, on_ties: str = "compare", bounded: bool | None = None) -> DataFrame:
     """Scores 1..5 per channel and customer.
 
     A score counts the cuts below the value. A cut lies between two neighbouring values, so a value is above the cut
     exactly when it is above the lower neighbour; no fraction is needed. Frequency is scored by rank, recency in reverse.
-    ``on_ties="error"`` fails where two edges of a channel are equal.
+    ``on_ties="error"`` fails where two edges of a channel are equal. ``bounded`` says that the channels are few; None
+    measures it.
     """
     ordered = sort_once(metrics, "canal", FREQUENCY_ORDER)
+    bounded = groups_are_few(ordered, "canal") if bounded is None else bounded
     ranked, cuts = rank_sorted(ordered, "canal", bounded), _cut_table(ordered, bounded)
     if on_ties == "error":
         tied = F.lit(False)
@@ -213,7 +222,8 @@ def rfm_segments(
     daily: DataFrame, as_of: str | date | datetime | None = None, channels=rules.CHANNELS, on_ties: str = "compare"
 ) -> DataFrame:
     """The result table: one row per channel and customer, amounts in thousands."""
-    scores = rfm_scores(rfm_metrics(daily, as_of, channels), on_ties, bounded=channels is not None)
+    listed = True if channels is not None and len(channels) <= FEW_GROUPS else None
+    scores = rfm_scores(rfm_metrics(daily, as_of, channels), on_ties, bounded=listed)
     amount = F.col("cents") / F.lit(float(CENTS_PER_THOUSAND))
     return scores.select(
         F.col("customer_id").alias("id_cliente"),

@@ -16,6 +16,7 @@ from tallyhouse.session import write_through
 KEPT_COLUMNS = 12
 PACK, PRODUCT, SOLD = "Cantidades", "Producto", "Cantidad inv.sell_Int"
 DICTIONARY_ROWS = 1_000_000
+DICTIONARY_BYTES = 128 << 20
 DESCRIPTION = "Desc.item"
 
 
@@ -50,13 +51,14 @@ def describe(sales: DataFrame, product_rules: rules.ProductRules, dictionary_row
     """Add pack and product.
 
     A catalogue has far fewer descriptions than there are sales, and the word rules are some thirty searches per text.
-    So the rules run once per distinct description, into a small written table, which is broadcast if it has no more
-    than ``dictionary_rows`` rows; with more, the rules run on every row. 0 skips the table.
+    So the rules run once per distinct description, into a written table, which is broadcast if it has no more than
+    ``dictionary_rows`` rows and ``DICTIONARY_BYTES`` of text; beyond, the rules run on every row. 0 skips the table.
     """
     if dictionary_rows > 0:
         texts = sales.select(column(sales, DESCRIPTION).alias("_text")).filter("_text is not null").distinct()
         known = write_through(products.with_pack_and_product(texts, "_text", PACK, PRODUCT, product_rules), "products")
-        if known.limit(dictionary_rows + 1).count() <= dictionary_rows:
+        size = known.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("_text")).alias("bytes")).first()
+        if size["rows"] <= dictionary_rows and (size["bytes"] or 0) <= DICTIONARY_BYTES:
             joined = sales.join(F.broadcast(known), column(sales, DESCRIPTION) == known["_text"], "left").drop("_text")
             return joined.withColumn(PACK, F.coalesce(PACK, F.lit(rules.MISSING_PACK)))
     return products.with_pack_and_product(sales, DESCRIPTION, PACK, PRODUCT, product_rules)

@@ -11,25 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+# set only where neither the cluster nor the caller did
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def build_session(app: str = "tallyhouse", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on; a cluster's own settings win over these.
+    """A session with the settings the operators rely on: AQE splits skewed joins and chooses the join strategy.
 
-    ``master`` is set for tests and the bench only. AQE does the skew splitting and the join choice.
+    ``master`` and ``conf`` (with ``__`` for a point) are for tests and the bench; a cluster brings its own.
     """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
-    settings = {
-        "spark.ui.enabled": "false",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    }
-    settings.update({key.replace("__", "."): value for key, value in conf.items()})
-    for key, value in settings.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+    for key, value in conf.items():
+        builder = builder.config(key.replace("__", "."), value)
+    spark = builder.getOrCreate()
+    for key, value in DEFAULTS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -19,6 +19,12 @@ def write_parquet(df: DataFrame, path: str, inputs: Iterable[str | None] = ()) -
     return path
 
 
+def append_parquet(df: DataFrame, path: str) -> str:
+    """Add rows to a table. Its present files stay as they are, and the new ones appear together at the commit."""
+    df.write.mode("append").parquet(path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str, inputs: Iterable[str | None] = ()) -> str:
     """The same as delimited text with a header line per file."""
     df.write.mode("errorifexists").option("header", True).csv(_checked(path, inputs))

@@ -80,10 +80,10 @@ def test_refresh_job(spark, tmp_path):
     )
     family = write(tmp_path / "family.csv", [["Referencia", "Marca"], ["7", "F"]])
 
-    def run(out, history, new):
+    def run(out, history, new, *more):
         return cli.main(
             ["refresh", "--history", history, "--new", new, "--customers", people, "--costs-history", old_costs,
-             "--costs-new", new_costs, "--family", family, "--out", str(tmp_path / out)]
+             "--costs-new", new_costs, "--family", family, "--out", str(tmp_path / out), *more]
         )
 
     result = run("out1", history, second)
@@ -104,6 +104,10 @@ def test_refresh_job(spark, tmp_path):
     assert again["weekly"]["rows"] == result["weekly"]["rows"]
     missing = run("out3", str(tmp_path / "out1/sales"), first)
     assert missing["sales"]["status"] == "marker_missing"
+    appended = run("out4", history, second, "--append")
+    assert appended["sales"]["added"] == 50
+    assert spark.read.parquet(history).count() == 90
+    assert run("out5", history, third, "--append")["sales"]["status"] == "nothing_new"
 
 
 def test_sellout_job(spark, tmp_path):

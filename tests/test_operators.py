@@ -341,3 +341,31 @@ def test_costs_without_the_year(cost_tables):
 def test_clean_cell_keeps_null(spark):
     df = spark.createDataFrame([(None,), ("  a  b ",)], "c string")
     assert rows(df.select(text.clean_cell(F.col("c")).alias("c")), "c") == [(None,), ("a b",)]
+
+
+# ------------------------------------------------------------------ plans
+def test_hot_key_of_a_join_is_split(spark):
+    """A key with a third of the rows: the sort-merge join of the lookup splits it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("nit"),
+            F.sha2(F.col("id").cast("string"), 256).alias("body"),
+        )
+        table = spark.range(300_000).select(F.col("id").cast("string").alias("nit"), F.lit("n").alias("razon_social"))
+        joined = lookup.left_lookup(facts, table.unionByName(table.limit(1).withColumn("nit", F.lit("hot"))), "nit")
+        assert joined.filter("razon_social is not null").count() == 300_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
