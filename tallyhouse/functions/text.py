@@ -66,9 +66,7 @@ def clean_cell(text: Column) -> Column:
 
 def canonical_digits(text: Column) -> Column:
     """Drop blanks, commas and points; a tail of five or more zeros goes too, unless nothing else is left."""
-    bare = F.translate(text, " ,.", "")
-    long_tail = (F.length(bare) > 4) & F.endswith(bare, F.lit("00000")) & (F.rtrim(bare, F.lit("0")) != "")
-    return F.when(long_tail, F.rtrim(bare, F.lit("0"))).otherwise(bare)
+    return F.regexp_replace(F.translate(text, " ,.", ""), "(?s)^(.*[^0])0{5,}$", "$1")
 
 
 def canonical_key(text: Column) -> Column:

@@ -39,11 +39,7 @@ def unpivot_months(df: DataFrame, ids, measure: str = rules.MATRIX_MEASURE) -> D
     return nonzero(wide.unpivot([column(wide, name) for name in ids], list(months), "Mes", "Unidades"), "Unidades")
 
 
-def value_of_month(df: DataFrame, month_number: Column, measure: str = rules.MATRIX_MEASURE) -> Column:
-    """The matrix cell of one month. A literal month folds to a single column, so the scan reads only that one."""
-    value = F.lit(None)
-    for month, name in matrix_columns(df, measure).items():
-        if month in rules.MONTH_NAMES:
-            number = rules.MONTH_NAMES.index(month) + 1
-            value = F.when(month_number == number, column(df, name)).otherwise(value)
-    return value
+def value_of_month(df: DataFrame, month_number: int, measure: str = rules.MATRIX_MEASURE) -> Column:
+    """The matrix cell of one month, null if the matrix has no such column. The scan reads no other month."""
+    name = matrix_columns(df, measure).get(rules.MONTH_NAMES[month_number - 1])
+    return F.lit(None) if name is None else column(df, name)

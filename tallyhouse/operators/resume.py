@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,12 +17,12 @@ from pyspark.sql import types as T
 
 from tallyhouse.schemas import ROW_ORD
 
-Keys = Callable[[DataFrame], Column]
+Keys = Callable[[DataFrame], dict[str, Column]]
 
 
 @dataclass(frozen=True)
 class ResumeRule:
-    """``keys`` builds the struct that is compared, ``date`` names the column that bounds the search."""
+    """``keys`` builds the values that are compared, cheap ones first; ``date`` names the column that bounds the search."""
 
     keys: Keys
     date: str
@@ -49,9 +50,12 @@ def at_or_after_history(new: DataFrame, history: DataFrame, date: str) -> DataFr
 
 def marker_place(new: DataFrame, history: DataFrame, rule: ResumeRule) -> DataFrame:
     """One row: ``place``, the ordinal of the first row that equals the marker, or null."""
-    marker = last_row(history, rule.keys(history), rule.order).scalar()
+    known = F.struct(*[value.alias(name) for name, value in rule.keys(history).items()])
+    marker = last_row(history, known, rule.order).scalar()
     candidates = at_or_after_history(new, history, rule.date)
-    return candidates.filter(rule.keys(candidates).eqNullSafe(marker)).agg(F.min(rule.order).alias("place"))
+    equal = [value.eqNullSafe(marker[name]) for name, value in rule.keys(candidates).items()]
+    # an empty history has no marker, and a row of nulls must not stand for it
+    return candidates.filter(reduce(Column.__and__, equal, marker.isNotNull())).agg(F.min(rule.order).alias("place"))
 
 
 def rows_after_marker(new: DataFrame, history: DataFrame, rule: ResumeRule) -> DataFrame:

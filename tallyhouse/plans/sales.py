@@ -15,6 +15,7 @@ from tallyhouse.session import write_through
 
 KEPT_COLUMNS = 12
 PACK, PRODUCT, SOLD = "Cantidades", "Producto", "Cantidad inv.sell_Int"
+TYPED_KEYS = ("Fecha", "Cantidad inv.", "Valor bruto local")
 DICTIONARY_ROWS = 1_000_000
 DICTIONARY_BYTES = 128 << 20
 DESCRIPTION = "Desc.item"
@@ -102,10 +103,10 @@ def marker_rule(keys=rules.MARKER_KEYS, prefixes=rules.BRAND_PREFIXES) -> Resume
     The history holds filled brands, so the brand of the new rows is filled before it is compared.
     """
 
-    def build(df: DataFrame) -> Column:
+    def build(df: DataFrame) -> dict[str, Column]:
         types = dict(df.dtypes)
-        parts = []
-        for name in keys:
+        parts = {}
+        for name in sorted(keys, key=lambda name: name not in TYPED_KEYS):
             value = column(df, name)
             if name == "Marca":
                 value = products.brand_from_prefix(column(df, _description(df)), value, prefixes)
@@ -117,8 +118,8 @@ def marker_rule(keys=rules.MARKER_KEYS, prefixes=rules.BRAND_PREFIXES) -> Resume
                 value = decimal_comma(value)
             elif types[name] == "string":
                 value = canonical_key(value)
-            parts.append(value.alias(name))
-        return F.struct(*parts)
+            parts[name] = value
+        return parts
 
     return ResumeRule(build, "Fecha")
 

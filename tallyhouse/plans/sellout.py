@@ -19,27 +19,34 @@ from tallyhouse.schemas import require_columns
 CITY_KEYS = ["EAN", "cliente", "Mes", "año", "Tienda", "Ciudad", "Descripcion"]
 
 
+class NoHistory(ValueError):
+    """A retailer without a month in the history: no month can be due."""
+
+
 @dataclass(frozen=True)
 class Period:
-    """The month that is due: literals when the gate has been read, else scalar subqueries."""
+    """The month that is due."""
 
-    year: Column
-    month: Column
+    year: int
+    month: int
 
-    @classmethod
-    def of(cls, year: int, month: int) -> Period:
-        return cls(F.lit(year), F.lit(month))
+    @property
+    def code(self) -> str:
+        return rules.MONTH_CODES[self.month - 1]
 
-    @classmethod
-    def after_history(cls, history: DataFrame, client: str) -> Period:
-        due = last_period(history.filter(F.col("cliente") == client))
-        month = calendar.month_number_of_code(F.col("siguiente_mes"))
-        row = due.select(F.struct(F.col("siguiente_año").alias("year"), month.alias("month"))).scalar()
-        return cls(row["year"], row["month"])
 
-    @property
-    def code(self) -> Column:
-        return calendar.month_code(self.month)
+def due_periods(history: DataFrame, clients=tuple(name for _, name in rules.RETAILERS)) -> dict[str, Period]:
+    """The month that is due per client.
+
+    Read here, one row per client of the list, because a known month lets the scan of a month matrix read one column.
+    """
+    due = last_period(history.filter(F.col("cliente").isin(*clients)))
+    rows = due.select("cliente", "`siguiente_año`", "siguiente_mes").collect()
+    found = {client: Period(year, rules.MONTH_CODES.index(code) + 1) for client, year, code in rows}
+    missing = [client for client in clients if client not in found]
+    if missing:
+        raise NoHistory(f"no history for {missing}")
+    return found
 
 
 @dataclass(frozen=True)
@@ -57,17 +64,17 @@ class SellOut:
         grouped = self.keyed.groupBy(*[F.col(f"`{key}`") for key in CITY_KEYS]).agg(
             F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")
         )
-        return grouped.withColumn("NumMes", self.period.month.cast("int"))
+        return grouped.withColumn("NumMes", F.lit(self.period.month))
 
     @property
     def summary(self) -> DataFrame:
         """One row: the units of the period."""
         return self.rows.agg(F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")).select(
-            self.period.code.alias("Mes"),
-            self.period.year.cast("int").alias("año"),
+            F.lit(self.period.code).alias("Mes"),
+            F.lit(self.period.year).alias("año"),
             F.lit(self.client).alias("cliente"),
             "Unidades",
-            self.period.month.cast("int").alias("NumMes"),
+            F.lit(self.period.month).alias("NumMes"),
         )
 
 
@@ -119,8 +126,8 @@ def wholesale(matrix: DataFrame | None, period: Period, client: str = rules.WHOL
         filled,
         EAN=column(filled, barcode).cast("string"),
         cliente=F.lit(client),
-        Mes=F.lower(calendar.month_full_name(period.code)),
-        año=period.year.cast("int"),
+        Mes=F.lit(rules.MONTH_NAMES[period.month - 1]),
+        año=F.lit(period.year),
         Tienda=place["store"],
         Ciudad=place["city"],
         Descripcion=column(filled, text),
@@ -138,8 +145,8 @@ def pharmacy(report: DataFrame | None, period: Period, client: str = rules.PHARM
         report,
         EAN=F.col("UPC").cast("string"),
         cliente=F.lit(client),
-        Mes=period.code,
-        año=period.year.cast("int"),
+        Mes=F.lit(period.code),
+        año=F.lit(period.year),
         Tienda=F.col("NOMBRE_TIENDA"),
         Ciudad=F.col("CIUDAD"),
         Descripcion=F.col("DESCRIPCION_ITEM"),

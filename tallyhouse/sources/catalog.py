@@ -81,7 +81,7 @@ def load_sellout_tables(
         if verdict is None or not verdict.processable:
             return None, None
         month = rules.MONTH_CODES.index(verdict.expected_month) + 1
-        return f"{folder.rstrip('/')}/{files[key]}", sellout.Period.of(verdict.expected_year, month)
+        return f"{folder.rstrip('/')}/{files[key]}", sellout.Period(verdict.expected_year, month)
 
     chain, chain_period = admitted(CHAIN_KEY)
     matrix, matrix_period = admitted(WHOLESALE_KEY)

@@ -309,15 +309,28 @@ def cost_consolidated(t):
 
 
 # ------------------------------------------------------------------ sell-out
-def _reports(t: Tables) -> dict[str, sellout.SellOut]:
-    history = roles.sellout_history(t)
-    return {
-        "chain": sellout.chain(roles.chain_report(t), sellout.Period.after_history(history, rules.CHAIN)),
-        "wholesale": sellout.wholesale(
-            roles.wholesale_matrix(t), sellout.Period.after_history(history, rules.WHOLESALER)
-        ),
-        "pharmacy": sellout.pharmacy(roles.pharmacy_report(t), sellout.Period.after_history(history, rules.PHARMACY)),
-    }
+def _chain(t: Tables) -> sellout.SellOut:
+    due = sellout.due_periods(roles.sellout_history(t), (rules.CHAIN,))
+    return sellout.chain(roles.chain_report(t), due[rules.CHAIN])
+
+
+def _wholesale(t: Tables) -> sellout.SellOut:
+    due = sellout.due_periods(roles.sellout_history(t), (rules.WHOLESALER,))
+    return sellout.wholesale(roles.wholesale_matrix(t), due[rules.WHOLESALER])
+
+
+def _pharmacy(t: Tables) -> sellout.SellOut:
+    due = sellout.due_periods(roles.sellout_history(t), (rules.PHARMACY,))
+    return sellout.pharmacy(roles.pharmacy_report(t), due[rules.PHARMACY])
+
+
+def _reports(t: Tables) -> list[sellout.SellOut]:
+    due = sellout.due_periods(roles.sellout_history(t))
+    return [
+        sellout.chain(roles.chain_report(t), due[rules.CHAIN]),
+        sellout.wholesale(roles.wholesale_matrix(t), due[rules.WHOLESALER]),
+        sellout.pharmacy(roles.pharmacy_report(t), due[rules.PHARMACY]),
+    ]
 
 
 @query
@@ -339,32 +352,32 @@ def store_city_wholesale(t):
 
 @query
 def sellout_city_chain(t):
-    return _reports(t)["chain"].detail
+    return _chain(t).detail
 
 
 @query
 def sellout_city_wholesale(t):
-    return _reports(t)["wholesale"].detail
+    return _wholesale(t).detail
 
 
 @query
 def sellout_city_pharmacy(t):
-    return _reports(t)["pharmacy"].detail
+    return _pharmacy(t).detail
 
 
 @query
 def sellout_summary(t):
-    return columns.union_present([report.summary for report in _reports(t).values()])
+    return columns.union_present([report.summary for report in _reports(t)])
 
 
 @query
 def sellout_summary_append(t):
-    return sellout.append_summaries(roles.sellout_history(t), list(_reports(t).values()))
+    return sellout.append_summaries(roles.sellout_history(t), _reports(t))
 
 
 @query
 def sellout_city_append(t):
-    return sellout.append_details(roles.city_history(t), list(_reports(t).values()))
+    return sellout.append_details(roles.city_history(t), _reports(t))
 
 
 @query

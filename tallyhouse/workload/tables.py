@@ -196,11 +196,11 @@ def order_history(t: Tables) -> DataFrame:
 
 
 # ------------------------------------------------------------------ costs
-def monthly_costs(t: Tables) -> DataFrame:
+def monthly_costs(lines: DataFrame) -> DataFrame:
     """The average price per part and month of shipping, in ten-thousandths cut off, as a number."""
     cents = (F.col("l_extendedprice").cast("decimal(18,2)") * 100).cast("bigint")
     grouped = (
-        t.lineitem.groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("month"))
+        lines.groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("month"))
         .agg(F.sum(cents).alias("cents"), F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
     )
     month = F.element_at(F.array(*map(F.lit, rules.MONTH_NAMES)), F.month("month"))
@@ -212,19 +212,17 @@ def monthly_costs(t: Tables) -> DataFrame:
         (F.expr("(cents * 100) div units") / F.lit(10000.0)).alias("Costo prom."),
         F.initcap(month).alias("Mes"),
         F.year("month").alias("Año"),
-        F.col("month").alias("_month"),
     )
 
 
 def cost_history(t: Tables) -> DataFrame:
-    return monthly_costs(t).filter(F.col("_month") < F.lit(COST_HISTORY_END).cast("date")).drop("_month")
+    return monthly_costs(t.lineitem.filter(F.col("l_shipdate") < F.lit(COST_HISTORY_END).cast("timestamp_ntz")))
 
 
 def cost_input(t: Tables) -> DataFrame:
     """The whole cost report, with its own header names and a brand."""
     return (
-        monthly_costs(t)
-        .drop("_month")
+        monthly_costs(t.lineitem)
         .withColumnsRenamed({"Costo prom.": "Costo prom. uni.", "Desc.item": "Desc. item"})
         .withColumn("Marca", F.lit(rules.BRAND_PREFIXES[1][1]))
     )

@@ -205,7 +205,7 @@ def test_required_columns_and_types(spark):
     with pytest.raises(MissingColumns):
         require_columns(df, ["Unidades"])
     with pytest.raises(MissingColumns):
-        sellout.chain(df, sellout.Period.of(2025, 1))
+        sellout.chain(df, sellout.Period(2025, 1))
 
 
 def test_weeks_without_optional_columns(spark):
@@ -237,7 +237,7 @@ def test_unpivot_keeps_the_sum(matrix):
 
 
 def test_wholesale_reads_one_month(matrix):
-    report = sellout.wholesale(matrix, sellout.Period.of(2025, 1))
+    report = sellout.wholesale(matrix, sellout.Period(2025, 1))
     assert rows(report.detail.select("EAN", "Mes", "Tienda", "Ciudad", "Unidades", "NumMes"), "EAN") == [
         ("770", "enero", "A", "B", 8, 1),
         ("771", "enero", rules.ONLY_STORE, "C", -2, 1),
@@ -245,6 +245,7 @@ def test_wholesale_reads_one_month(matrix):
     assert rows(report.summary) == [("ENE", 2025, rules.WHOLESALER, 6, 1)]
     plan = report.detail._jdf.queryExecution().optimizedPlan().toString()
     assert "Febrero" not in plan.split("LogicalRDD")[0]
+    assert sellout.wholesale(matrix, sellout.Period(2025, 3)).summary.first().Unidades == 0
 
 
 def test_totals_and_null_keys(spark):
@@ -253,7 +254,7 @@ def test_totals_and_null_keys(spark):
          ("1", "2025-03-01", " ", "GEL", 32), ("1", "2025-04-01", "A - B", "GEL", None)],
         "EAN string, Fecha string, `Nomb. Dependencia` string, `Descripción` string, Unidades bigint",
     )
-    report = sellout.chain(sold, sellout.Period.of(2025, 3))
+    report = sellout.chain(sold, sellout.Period(2025, 3))
     assert rows(report.summary) == [("MAR", 2025, rules.CHAIN, 4, 3)]
     assert rows(report.detail.select("Mes", "Unidades"), "Mes") == [("april", 0), ("march", 4)]
     assert sellout.other_months(report.detail).count() == 1
@@ -261,7 +262,7 @@ def test_totals_and_null_keys(spark):
         [("1", "T", "C", "GEL", 4, "S"), ("1", "T", None, "GEL", 8, "S")],
         "UPC string, NOMBRE_TIENDA string, CIUDAD string, DESCRIPCION_ITEM string, UNIDADES_VENDIDAS bigint, SUP_NAME string",
     )
-    report = sellout.pharmacy(lines, sellout.Period.of(2025, 3))
+    report = sellout.pharmacy(lines, sellout.Period(2025, 3))
     assert report.summary.first().Unidades == 12
     assert report.detail.first().Unidades == 4
     assert sellout.append_details(None, [None, None]) is None
@@ -276,6 +277,9 @@ def test_last_period(spark, parts):
     last = periods.last_period(history.repartition(parts)).first()
     assert tuple(last) == ("X", "DIC", 2024, "DIC 2024", 3, 3, "ENE", 2025)
     assert periods.unknown_months(history).count() == 1
+    assert sellout.due_periods(history.repartition(parts), ("X",)) == {"X": sellout.Period(2025, 1)}
+    with pytest.raises(sellout.NoHistory):
+        sellout.due_periods(history, ("X", "Y"))
 
 
 def test_gate(spark):
