@@ -58,6 +58,8 @@ def refresh_sales(
     if status["status"] != "new_rows":
         return {**status, "sales": tables.history}
     fresh = sales.new_sales(landed, tables.history, rule)
+    if tables.untyped is not None:
+        sinks.write_parquet(tables.untyped, f"{out}/sales_untyped", inputs)
     added, count = _counted(cast_like(sales.enrich_sales(fresh, cutoff), tables.history), "added")
     sinks.write_parquet(sales.without_units(fresh), f"{out}/sales_without_units", inputs)
     refreshed = union_present([tables.history, added])
@@ -120,12 +122,19 @@ def consolidate_sellout(tables: SellOutTables, out: str, inputs=()) -> dict:
 def segment_customers(
     raw_sales: DataFrame, raw_customers: DataFrame, out: str, as_of: str | None = None, channels=rules.CHANNELS, inputs=()
 ) -> dict:
-    """The segments as Parquet and as text, and the sales without a customer name."""
+    """The segments as Parquet and as text, and the sales without a customer name with their number and revenue."""
     clean, register = rfm.clean_sales(raw_sales), rfm.clean_customers(raw_customers)
-    rejects, unmatched = _counted(rfm.unmatched_customers(clean, register), "unmatched")
+    unmatched = Observation("unmatched")
+    rejects = rfm.unmatched_customers(clean, register).observe(
+        unmatched, F.count(F.lit(1)).alias("rows"), F.sum(rfm.cents(F.col("valor_bruto_local"))).alias("cents")
+    )
     sinks.write_parquet(rejects, f"{out}/sales_without_customer", inputs)
     segments, count = _counted(rfm.rfm_segments(rfm.daily_revenue_of(clean, register), as_of, channels), "segments")
     sinks.write_parquet(segments, f"{out}/segments", inputs)
     written = segments.sparkSession.read.schema(segments.schema).parquet(f"{out}/segments")
     sinks.write_csv(written, f"{out}/segments_csv", inputs)
-    return {"segments": _rows(count), "sales_without_customer": _rows(unmatched)}
+    return {
+        "segments": _rows(count),
+        "sales_without_customer": _rows(unmatched),
+        "revenue_without_customer": (unmatched.get.get("cents") or 0) / 100,
+    }

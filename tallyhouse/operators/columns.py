@@ -54,6 +54,11 @@ def drop_all_null_rows(df: DataFrame, names: list[str] | None = None) -> DataFra
     return df.filter(reduce(Column.__or__, filled))
 
 
+def complete(df: DataFrame, names) -> DataFrame:
+    """The rows with a value in each of ``names``. One condition per column, so that each can reach the scan."""
+    return df.filter(reduce(Column.__and__, [column(df, name).isNotNull() for name in names]))
+
+
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
     """Drop the columns without any value.
 

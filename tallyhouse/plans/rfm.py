@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyhouse import rules
 from tallyhouse.functions import calendar
 from tallyhouse.functions.text import decimal_comma, tax_id_root
-from tallyhouse.operators.columns import normalize_headers, rename_by_position
+from tallyhouse.operators.columns import complete, normalize_headers, rename_by_position
 from tallyhouse.operators.dedup import distinct_rows, first_by_key
 from tallyhouse.operators.lookup import exclude_values, left_lookup
 from tallyhouse.operators.ranking import (
@@ -90,7 +90,7 @@ def daily_revenue(sales: DataFrame) -> DataFrame:
 def _daily(amounts: DataFrame) -> DataFrame:
     keys = ["canal", "customer_id", "order_date"]
     return (
-        amounts.dropna(how="any", subset=keys).groupBy(*keys).agg(F.coalesce(F.sum("cents"), F.lit(0)).alias("cents"))
+        complete(amounts, keys).groupBy(*keys).agg(F.coalesce(F.sum("cents"), F.lit(0)).alias("cents"))
     )
 
 
@@ -103,7 +103,7 @@ def daily_revenue_of(sales: DataFrame, customers: DataFrame, excluded=rules.EXCL
     keys = ["linea_de_mercado", "nit", "fecha"]
     kept = exclude_values(sales, "referencia", excluded).select(*keys, cents(F.col("valor_bruto_local")).alias("cents"))
     # rows without a tax id find no customer, and rows without a name do not count
-    summed = kept.dropna(how="any", subset=keys).groupBy(*keys).agg(F.sum("cents").alias("cents"))
+    summed = complete(kept, keys).groupBy(*keys).agg(F.sum("cents").alias("cents"))
     named = summed.join(customers.filter(F.col("razon_social").isNotNull()), "nit")
     return _daily(
         named.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import rules
 from tallyhouse.functions import calendar, stores
 from tallyhouse.functions.text import is_filled
-from tallyhouse.operators.columns import column, union_present
+from tallyhouse.operators.columns import column, complete, union_present
 from tallyhouse.operators.periods import last_period
 from tallyhouse.operators.reshape import filled_ids, nonzero, value_of_month
 from tallyhouse.plans.sales import as_moment
@@ -93,7 +93,7 @@ def chain(report: DataFrame | None, period: Period, client: str = rules.CHAIN) -
         return None
     require_columns(report, ["EAN", "Fecha", "Nomb. Dependencia", "Descripción", "Unidades"])
     named = chain_rows(report.withColumn("Fecha", as_moment(report, "Fecha")))
-    named = named.dropna(how="any", subset=["EAN", "Fecha", "Descripción"])
+    named = complete(named, ["EAN", "Fecha", "Descripción"])
     named = named.withColumn("_place", stores.store_city_chain(column(named, "Nomb. Dependencia")))
     day, place = F.col("Fecha"), F.col("_place")
     rows = _rows(
@@ -152,7 +152,7 @@ def pharmacy(report: DataFrame | None, period: Period, client: str = rules.PHARM
         Descripcion=F.col("DESCRIPCION_ITEM"),
         Unidades=F.col("UNIDADES_VENDIDAS"),
     )
-    return SellOut(rows, rows.dropna(how="any", subset=["EAN", "Tienda", "Ciudad", "Descripcion"]), client, period)
+    return SellOut(rows, complete(rows, ["EAN", "Tienda", "Ciudad", "Descripcion"]), client, period)
 
 
 def other_months(detail: DataFrame) -> DataFrame:

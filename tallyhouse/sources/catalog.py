@@ -17,7 +17,7 @@ CHAIN_KEY, WHOLESALE_KEY, PHARMACY_KEY = (key for key, _ in rules.RETAILERS)
 
 @dataclass(frozen=True)
 class SalesTables:
-    """Inputs of the sales, customer and cost jobs."""
+    """Inputs of the sales, customer and cost jobs; ``untyped`` are new sales with a date or amount that is none."""
 
     history: DataFrame
     new: DataFrame | None
@@ -25,6 +25,7 @@ class SalesTables:
     costs_history: DataFrame | None
     costs_new: DataFrame | None
     family: DataFrame | None
+    untyped: DataFrame | None = None
 
 
 def load_sales_tables(
@@ -43,6 +44,7 @@ def load_sales_tables(
         readers.read_optional(spark, costs_history, schemas.COSTS_HISTORY),
         readers.read_optional(spark, costs_new, schemas.COSTS_NEW),
         readers.read_optional(spark, family, {"Referencia": "string"}),
+        readers.read_untyped(spark, new, _sales_types(rejected_later=("Cantidad inv.",))),
     )
 
 

@@ -16,6 +16,8 @@ from tallyhouse import rules, schemas
 from tallyhouse.operators.reshape import LEVEL
 from tallyhouse.schemas import ROW_ORD
 
+TEXT_ENDINGS = (".csv", ".txt")
+
 
 def _row_ord(batch: int, block: Column, place: Column) -> Column:
     return F.struct(
@@ -55,7 +57,7 @@ def read_parquet(spark: SparkSession, path: str, batch: int = 0) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: dict[str, str] | None = None, batch: int = 0) -> DataFrame:
     """By the ending of ``path``: a delimited file, else Parquet."""
-    if path.lower().endswith((".csv", ".txt")):
+    if path.lower().endswith(TEXT_ENDINGS):
         return read_typed(spark, path, schema, batch) if schema else read_text_table(spark, path, batch)
     return read_parquet(spark, path, batch)
 
@@ -65,6 +67,13 @@ def read_optional(spark: SparkSession, path: str | None, schema: dict[str, str]
     return None if path is None else read_table(spark, path, schema)
 
 
+def read_untyped(spark: SparkSession, path: str | None, schema: dict[str, str]) -> DataFrame | None:
+    """The rows of a text source with a cell that does not fit its type; None for a typed source."""
+    if path is None or not path.lower().endswith(TEXT_ENDINGS):
+        return None
+    return schemas.untyped_rows(read_text_table(spark, path), schema)
+
+
 def flat_headers(upper: list[str], lower: list[str]) -> list[str]:
     """Two header lines as one: ``month|measure``. An empty upper cell belongs to the one before it."""
     names, last = [], ""

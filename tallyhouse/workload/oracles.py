@@ -415,6 +415,13 @@ ORACLES = {
         WHEN length(bare) > 4 AND bare LIKE '%00000' AND rtrim(bare, '0') <> '' THEN rtrim(bare, '0') ELSE bare END AS key
         FROM (SELECT o_orderkey, CASE WHEN trim(cell) NOT IN ({_list(rules.MISSING_TEXT)})
               THEN replace(replace(replace(cell, ' ', ''), ',', ''), '.', '') END AS bare FROM cells)""",
+    "clean_table": f"""WITH {CELLS}, bare AS (
+        SELECT o_orderkey, CASE WHEN trim(cell) NOT IN ({_list(rules.MISSING_TEXT)})
+                 THEN regexp_replace(cell, '[ ,.]', '', 'g') END AS celda_libre,
+               CASE WHEN fecha <> 'pendiente' THEN replace(fecha, ' ', '') END AS dia,
+               CASE WHEN valor <> 'n/d' THEN regexp_replace(valor, '[,.]', '', 'g') END AS valor_bruto FROM cells)
+        SELECT o_orderkey, regexp_replace(celda_libre, '^(.*[^0])0{{5,}}$', '\\1') AS celda_libre, dia,
+               CAST(regexp_replace(valor_bruto, '^(.*[^0])0{{5,}}$', '\\1') AS BIGINT) AS valor_bruto FROM bare""",
     "normalize_headers": """SELECT s_suppkey AS codigo_prov, s_name AS razon_social, s_nationkey AS pais,
         s_acctbal AS saldo_bruto FROM supplier""",
     "drop_all_null_columns": "SELECT * FROM customer",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import rules, schemas
 from tallyhouse.functions import calendar, products, stores, text
-from tallyhouse.operators import columns, periods, reshape, resume
+from tallyhouse.operators import cells, columns, periods, reshape, resume
 from tallyhouse.operators.dedup import distinct_rows
 from tallyhouse.operators.lookup import exclude_values
 from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
@@ -264,6 +264,18 @@ def canonical_key(t):
     return roles.order_cells(t).select("o_orderkey", text.canonical_key(F.col("cell")).alias("key"))
 
 
+@query
+def clean_table(t):
+    sheet = roles.order_cells(t).select(
+        "o_orderkey",
+        F.col("cell").alias(" Celda   libre "),
+        F.when(F.col("fecha") != "pendiente", F.col("fecha")).alias("Día*"),
+        F.when(F.col("valor") != "n/d", F.col("valor")).alias("Valor  (bruto)"),
+        F.lit(None).cast("string").alias("Vacía"),
+    )
+    return cells.clean_table(sheet, keep=("o_orderkey",))
+
+
 @query
 def normalize_headers(t):
     return columns.normalize_headers(roles.spanish_suppliers(t))

@@ -62,7 +62,7 @@ def test_sinks_refuse_their_input(spark, tmp_path):
 
 def test_refresh_job(spark, tmp_path):
     first = write(tmp_path / "first.csv", [SALES_HEADER] + [sale(i) for i in range(40)])
-    second = write(tmp_path / "second.csv", [SALES_HEADER] + [sale(i) for i in range(20, 90)] + [sale(90, "1.5")])
+    second = write(tmp_path / "second.csv", [SALES_HEADER] + [sale(i) for i in range(20, 90)] + [sale(90, "1.5"), ["?", *sale(91)[1:]]])
     start = sales.enrich_sales(catalog.load_sales_tables(spark, first, first).new)
     start = start.withColumns({"Cantidad inv.": F.col("`Cantidad inv.`").cast("bigint")}).withColumnsRenamed(
         {"EAN 13": "EAN"}
@@ -97,6 +97,8 @@ def test_refresh_job(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out1/weekly_purchases")).agg(F.sum("numCompras")).first()[0] == 90
     rejects = spark.read.parquet(str(tmp_path / "out1/sales_without_units"))
     assert [row["Cantidad inv."] for row in rejects.collect()] == ["1.5"]
+    untyped = spark.read.parquet(str(tmp_path / "out1/sales_untyped"))
+    assert [(row["Fecha"], row["Razon social"]) for row in untyped.collect()] == [("?", "C91")]
 
     third = write(tmp_path / "third.csv", [SALES_HEADER] + [sale(i) for i in range(20, 90)])
     again = run("out2", str(tmp_path / "out1/sales"), third)
@@ -163,7 +165,7 @@ def test_segments_job(spark, tmp_path):
     result = cli.main(
         ["segments", "--sales", sold, "--customers", people, "--as-of", "2025-03-01", "--out", str(out)]
     )
-    assert result == {"segments": 12, "sales_without_customer": 4}
+    assert result == {"segments": 12, "sales_without_customer": 4, "revenue_without_customer": 6 + 13 + 20 + 27 + 1.0}
     assert spark.read.option("header", True).csv(str(out / "segments_csv")).count() == 12
 
 

@@ -373,3 +373,15 @@ def test_hot_key_of_a_join_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_clean_table(spark):
+    from tallyhouse.operators import cells
+
+    sheet = spark.createDataFrame(
+        [(1, " 1 234,50 ", "x", "7", None, "1e3"), (2, "nan", "NaN", None, None, "2"), (3, None, None, None, None, None)],
+        "row_ord int, ` Valor   (bruto)` string, t string, n string, nothing string, e string",
+    )
+    clean = cells.clean_table(sheet, keep=("row_ord",))
+    assert clean.dtypes == [("row_ord", "int"), ("Valor bruto", "bigint"), ("t", "string"), ("n", "bigint"), ("e", "double")]
+    assert rows(clean, "row_ord") == [(1, 123450, "x", 7, 1000.0), (2, None, None, None, 2.0)]
