@@ -5,9 +5,11 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import SparkSession
+
 from tallyhouse import rules
 from tallyhouse.jobs import runs
-from tallyhouse.session import build_session
+from tallyhouse.session import build_session, scratch_run
 from tallyhouse.sources import catalog, readers
 
 
@@ -41,22 +43,26 @@ def parser() -> argparse.ArgumentParser:
     return root
 
 
-def main(arguments: list[str] | None = None) -> dict:
-    args = parser().parse_args(arguments)
-    spark = build_session(f"tallyhouse {args.job}")
+def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.job == "refresh":
         inputs = (args.history, args.new, args.customers, args.costs_history, args.costs_new, args.family)
         tables = catalog.load_sales_tables(spark, *inputs)
         append_to = args.history if args.append else None
-        result = runs.refresh_all(tables, args.out, args.cutoff, args.cost_year, inputs, append_to)
-    elif args.job == "sellout":
+        return runs.refresh_all(tables, args.out, args.cutoff, args.cost_year, inputs, append_to)
+    if args.job == "sellout":
         files = dict(zip((key for key, _ in rules.RETAILERS), (args.chain, args.wholesale, args.pharmacy)))
         tables = catalog.load_sellout_tables(spark, args.history, args.cities, args.folder, files)
-        result = runs.consolidate_sellout(tables, args.out, (args.history, args.cities))
-    else:
-        sales, customers = (readers.read_table(spark, path) for path in (args.sales, args.customers))
-        channels = tuple(args.channel) if args.channel else rules.CHANNELS
-        result = runs.segment_customers(sales, customers, args.out, args.as_of, channels, (args.sales, args.customers))
+        return runs.consolidate_sellout(tables, args.out, (args.history, args.cities))
+    sales, customers = (readers.read_table(spark, path) for path in (args.sales, args.customers))
+    channels = tuple(args.channel) if args.channel else rules.CHANNELS
+    return runs.segment_customers(sales, customers, args.out, args.as_of, channels, (args.sales, args.customers))
+
+
+def main(arguments: list[str] | None = None) -> dict:
+    args = parser().parse_args(arguments)
+    spark = build_session(f"tallyhouse {args.job}")
+    with scratch_run(spark):
+        result = run(spark, args)
     print(json.dumps(result, default=str, ensure_ascii=False))
     return result
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_run: ContextVar[str] = ContextVar("run", default="session")
+
 
 # set only where neither the cluster nor the caller did
 DEFAULTS = {
@@ -49,13 +52,28 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return "/".join([scratch_root(spark), f"tallyhouse-{spark.sparkContext.applicationId}", _run.get()])
+
+
 def write_through(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: a short lineage that outlives lost executors.
 
     Parquet instead of ``checkpoint()``, because later passes read only a few of the columns.
     """
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = os.path.join(scratch_root(spark), f"tallyhouse-{application}", f"{name}-{uuid.uuid4().hex}")
+    path = f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Remove what ``write_through`` wrote in this block when it ends; its results must be written by then."""
+    token = _run.set(f"run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _run.reset(token)

@@ -5,7 +5,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse import rules
+from tallyhouse import rules, session
 from tallyhouse.jobs import __main__ as cli
 from tallyhouse.plans import sales
 from tallyhouse.sources import catalog, readers, sinks
@@ -183,3 +183,14 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     enriched = run()
     assert enriched.count() == 15
     assert {(r["Marca"], r["Producto"], r["Cantidades"]) for r in enriched.collect()} == {(BRAND, "NAT JABON", "6UND")}
+
+
+def test_scratch_tables_go_with_their_run(spark):
+    import os
+
+    with session.scratch_run(spark):
+        written = session.write_through(spark.range(5), "five")
+        path = written.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and path.startswith(session.scratch_root(spark))
+        assert written.count() == 5
+    assert not os.path.exists(path)
