@@ -10,7 +10,9 @@ customers, so both are done here without that:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.session import write_through
@@ -67,6 +69,8 @@ def order_statistics(
 ) -> DataFrame:
     """The order statistics that ``parts`` quantiles need, exactly, for integer columns.
 
+    ``df`` is read once per pass and once for its extremes, so it should be a written table.
+
     One row per group, column and cut ``k`` = 0 .. parts, with linear interpolation at position (n-1)k/parts:
     ``low`` and ``high`` are the values around it, ``n`` the count, ``remainder`` of ``parts`` the way between them.
     A pass counts at most 2**16 buckets per group, column and wanted bucket, whatever the number of rows; a table of
@@ -105,10 +109,14 @@ def order_statistics(
                 .agg(F.count(F.lit(1)).alias("rows"))
             )
             inside = Window.partitionBy(group, "measure", "prefix")
-        upto = inside.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        counts = counts.withColumn("before", F.sum("rows").over(upto) - F.col("rows"))
+        inside = inside.orderBy("bucket")
+        upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        counts = counts.withColumns(
+            {"before": F.sum("rows").over(upto) - F.col("rows"), "n": F.sum("rows").over(whole)}
+        )
         if wanted is None:
-            counts = counts.withColumn("n", F.sum("rows").over(inside)).withColumn("targets", _targets(parts))
+            counts = counts.filter(_holds_a_target(parts)).withColumn("targets", _targets(parts))
         # positions inside the bucket, counted from its start
         hits = F.transform(
             F.filter(
@@ -129,19 +137,31 @@ def order_statistics(
     )
 
 
-def _targets(parts: int):
-    """For each cut the positions below and above it, counted from zero; cuts 0 and ``parts`` are the extremes."""
-    both = []
+def _positions(parts: int):
+    """Per cut ``k`` the remainder and the two positions, below and above, counted from zero."""
     for k in range(parts + 1):
         lower = F.expr(f"((n - 1) * {k}) div {parts}")
         remainder = F.expr(f"((n - 1) * {k}) % {parts}").cast("bigint")
-        for position in (lower, lower + (remainder > 0).cast("bigint")):
-            both.append(
-                F.struct(
-                    F.lit(k).alias("k"),
-                    F.col("n").alias("n"),
-                    remainder.alias("remainder"),
-                    position.alias("position"),
-                )
-            )
+        yield k, remainder, (lower, lower + (remainder > 0).cast("bigint"))
+
+
+def _holds_a_target(parts: int):
+    """Whether a bucket holds a wanted position: plain comparisons, because nearly all buckets hold none."""
+    inside = [
+        (position >= F.col("before")) & (position < F.col("before") + F.col("rows"))
+        for _, _, positions in _positions(parts)
+        for position in positions
+    ]
+    return reduce(Column.__or__, inside)
+
+
+def _targets(parts: int):
+    """All wanted positions; cuts 0 and ``parts`` are the extremes."""
+    both = [
+        F.struct(
+            F.lit(k).alias("k"), F.col("n").alias("n"), remainder.alias("remainder"), position.alias("position")
+        )
+        for k, remainder, positions in _positions(parts)
+        for position in positions
+    ]
     return F.array(*both)

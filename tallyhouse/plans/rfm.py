@@ -26,6 +26,7 @@ from tallyhouse.operators.ranking import (
 )
 from tallyhouse.plans.sales import as_moment
 from tallyhouse.schemas import ROW_ORD, require_columns
+from tallyhouse.session import write_through
 
 PARTS = 5
 FREQUENCY_ORDER = ["purchase_dates", "customer_id"]
@@ -130,24 +131,22 @@ def rfm_metrics(daily: DataFrame, as_of: str | date | datetime | None = None, ch
 
 def quintile_cuts(metrics: DataFrame, bounded: bool = True) -> DataFrame:
     """The cuts ``k`` = 1 .. 4 per channel and measure, with linear interpolation between neighbours."""
-    found = order_statistics(metrics, "canal", ["recency_days", "cents"], PARTS, bounded).filter(
+    written = write_through(metrics.select("canal", "recency_days", "cents"), "metrics")
+    found = order_statistics(written, "canal", ["recency_days", "cents"], PARTS, bounded).filter(
         F.col("k").between(1, PARTS - 1)
     )
     fifths = F.col("low") * (PARTS - F.col("remainder")) + F.col("high") * F.col("remainder")
     scale = F.when(F.col("measure") == "cents", PARTS * CENTS_PER_THOUSAND).otherwise(PARTS)
-    valued = found.select(
-        "canal",
-        F.when(F.col("measure") == "cents", "monetary").otherwise("recency").alias("measure"),
-        "k",
-        (fifths / scale).cast("double").alias("cut"),
-    )
-    ranks = found.filter(F.col("measure") == "cents").select(
-        "canal",
-        F.lit("frequency").alias("measure"),
-        "k",
-        (1 + (F.col("n") - 1) * F.col("k") / PARTS).cast("double").alias("cut"),
-    )
-    return valued.unionByName(ranks)
+    value = (fifths / scale).cast("double")
+    rank = (1 + (F.col("n") - 1) * F.col("k") / PARTS).cast("double")
+
+    def cut(measure: str, column: Column) -> Column:
+        return F.struct(F.lit(measure).alias("measure"), F.col("k"), column.alias("cut"))
+
+    cuts = F.when(
+        F.col("measure") == "cents", F.array(cut("monetary", value), cut("frequency", rank))
+    ).otherwise(F.array(cut("recency", value)))
+    return found.select("canal", F.inline(cuts))
 
 
 def frequency_rank(metrics: DataFrame, bounded: bool = True) -> DataFrame:
