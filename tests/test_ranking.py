@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.ranking import order_statistics, rank_in_group
+from tallyhouse.operators.ranking import order_statistics, rank_in_group, rank_sorted, sort_once
 from tallyhouse.plans import rfm
 
 
@@ -49,6 +49,26 @@ def test_rank_does_not_depend_on_partitions(metrics, parts):
     assert (ordered["rank"] == ordered.groupby("canal").cumcount() + 1).all()
 
 
+@pytest.mark.parametrize("bounded", [True, False])
+def test_ranks_over_many_sorting_tasks(spark, metrics, bounded):
+    """The hot channel is sorted by several tasks, and one task sorts the end of a channel and the start of the next."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ordered = sort_once(metrics, "canal", ["purchase_dates", "customer_id"])
+        tasks = ordered.select("canal", F.shiftright("_seq", 33).alias("task")).distinct().toPandas()
+        assert (tasks[tasks.canal == "hot"].task.nunique() > 5) and (len(tasks) > tasks.task.nunique())
+        ranked = rank_sorted(ordered, "canal", bounded).toPandas()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    ordered = ranked.sort_values(["canal", "purchase_dates", "customer_id"])
+    assert len(ordered) == 6000
+    assert (ordered["rank"] == ordered.groupby("canal").cumcount() + 1).all()
+
+
 @pytest.mark.parametrize("bounded", [True, False])
 def test_passes_agree(metrics, bounded):
     """Counting in several passes gives what one pass over the distinct values gives."""
