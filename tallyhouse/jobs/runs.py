@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyhouse import rules
 from tallyhouse.operators.columns import union_present
 from tallyhouse.operators.resume import resume_status
-from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
+from tallyhouse.plans import costs, customers, rfm, sales, weekly
 from tallyhouse.schemas import ROW_ORD
 from tallyhouse.session import write_through
 from tallyhouse.sources import sinks
@@ -111,12 +111,15 @@ def refresh_all(
 
 def consolidate_sellout(tables: SellOutTables, out: str, inputs=()) -> dict:
     """The summary and the city table, each with the admitted reports appended."""
-    details = [report.detail for report in tables.reports if report is not None]
-    sinks.write_parquet(sellout.append_summaries(tables.history, tables.reports), f"{out}/sellout", inputs)
+    reports = [report for report in tables.reports if report is not None]
+    # each report is read once: its detail is small, and mostly holds the total too
+    details = [write_through(report.detail, "detail") for report in reports]
+    summaries = [report.summary_of(detail) for report, detail in zip(reports, details)]
+    sinks.write_parquet(union_present([tables.history, *summaries]), f"{out}/sellout", inputs)
     cities = union_present([tables.cities, *details])
     if cities is not None:
         sinks.write_parquet(cities, f"{out}/sellout_cities", inputs)
-    return {"reports": len(details), "gate": [row.asDict() for row in tables.gate.collect()]}
+    return {"reports": len(reports), "gate": [row.asDict() for row in tables.gate.collect()]}
 
 
 def segment_customers(

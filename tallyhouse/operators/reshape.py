@@ -42,4 +42,4 @@ def unpivot_months(df: DataFrame, ids, measure: str = rules.MATRIX_MEASURE) -> D
 def value_of_month(df: DataFrame, month_number: int, measure: str = rules.MATRIX_MEASURE) -> Column:
     """The matrix cell of one month, null if the matrix has no such column. The scan reads no other month."""
     name = matrix_columns(df, measure).get(rules.MONTH_NAMES[month_number - 1])
-    return F.lit(None) if name is None else column(df, name)
+    return F.lit(None).cast("bigint") if name is None else column(df, name)

@@ -69,7 +69,14 @@ class SellOut:
     @property
     def summary(self) -> DataFrame:
         """One row: the units of the period."""
-        return self.rows.agg(F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")).select(
+        return self._total(self.rows)
+
+    def summary_of(self, detail: DataFrame) -> DataFrame:
+        """The summary out of a written detail, where it holds all rows that count; else out of the report."""
+        return self._total(detail) if self.rows is self.keyed else self.summary
+
+    def _total(self, rows: DataFrame) -> DataFrame:
+        return rows.agg(F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")).select(
             F.lit(self.period.code).alias("Mes"),
             F.lit(self.period.year).alias("año"),
             F.lit(self.client).alias("cliente"),
@@ -118,7 +125,7 @@ def wholesale(matrix: DataFrame | None, period: Period, client: str = rules.WHOL
     store, _, text, barcode = rules.MATRIX_IDS
     # no column of the result can be null after these two filters
     filled = filled_ids(matrix, rules.MATRIX_IDS)
-    filled = nonzero(filled.withColumn("_units", value_of_month(filled, period.month).cast("bigint")), "_units")
+    filled = nonzero(filled.withColumn("_units", value_of_month(filled, period.month)), "_units")
     filled = filled.withColumn("_place", stores.without_code(column(filled, store)))
     filled = filled.withColumn("_place", stores.store_city_by_last_dash(F.col("_place")))
     place = F.col("_place")

@@ -111,6 +111,11 @@ def typed_value(column: Column, type_name: str, date_formats=calendar.ISO) -> Co
         return calendar.parse_timestamp(column, date_formats)
     if type_name.startswith("decimal"):
         return F.replace(text.strip(column), F.lit(","), F.lit(".")).try_cast(type_name)
+    if type_name == "bigint":
+        # sheets write whole numbers as 4.0 too
+        number = text.strip(column).try_cast("decimal(28,6)")
+        whole = F.when(number == F.floor(number), number.cast("bigint"))
+        return F.coalesce(text.strip(column).try_cast("bigint"), whole)
     return text.strip(column).try_cast(type_name)
 
 

@@ -197,7 +197,7 @@ def test_column_lists(spark):
 
 
 def test_required_columns_and_types(spark):
-    df = spark.createDataFrame([("1", "1,5", "x"), ("y", "2", None)], "n string, d string, t string")
+    df = spark.createDataFrame([(" 1.0", "1,5", "x"), ("1.5", "2", None)], "n string, d string, t string")
     schema = {"n": "bigint", "d": "decimal(18,2)", "t": "timestamp_ntz"}
     typed = apply_types(df, schema)
     assert [tuple(map(str, r)) for r in typed.collect()] == [("1", "1.50", "None"), ("None", "2.00", "None")]
@@ -262,7 +262,9 @@ def test_totals_and_null_keys(spark):
         [("1", "T", "C", "GEL", 4, "S"), ("1", "T", None, "GEL", 8, "S")],
         "UPC string, NOMBRE_TIENDA string, CIUDAD string, DESCRIPCION_ITEM string, UNIDADES_VENDIDAS bigint, SUP_NAME string",
     )
+    assert rows(report.summary_of(report.detail)) == rows(report.summary)
     report = sellout.pharmacy(lines, sellout.Period(2025, 3))
+    assert rows(report.summary_of(report.detail)) == rows(report.summary)
     assert report.summary.first().Unidades == 12
     assert report.detail.first().Unidades == 4
     assert sellout.append_details(None, [None, None]) is None
