@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )

@@ -9,6 +9,7 @@ from tallyhouse.operators import columns, lookup, periods, reshape, resume
 from tallyhouse.operators.dedup import first_by_key
 from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
 from tallyhouse.schemas import MissingColumns, apply_types, require_columns, untyped_rows
+from tallyhouse.session import write_through
 
 PARTITIONS = [1, 17]
 BRAND = rules.BRAND_PREFIXES[0][1]
@@ -36,7 +37,7 @@ def export(spark):
         F.col("id").alias("row_ord"),
     )
     copy = df.filter("row_ord = 100").withColumn("row_ord", F.lit(101).cast("bigint"))
-    return df.filter("row_ord <> 101").unionByName(copy)
+    return write_through(df.filter("row_ord <> 101").unionByName(copy), "export")
 
 
 def history_upto(export, last):
@@ -75,7 +76,7 @@ def test_resume_status(export, parts):
 @pytest.mark.parametrize("dictionary_rows", [0, 1, 1000])
 def test_refresh_twice_adds_nothing(export, dictionary_rows):
     history = history_upto(export, 250)
-    once = sales.refresh_sales(export, history, dictionary_rows=dictionary_rows)
+    once = write_through(sales.refresh_sales(export, history, dictionary_rows=dictionary_rows), "once")
     added = once.filter(F.col("Cantidades").isNotNull()).collect()
     assert {(r["Cantidades"], r["Producto"], r["Marca"], r["Cantidad inv.sell_Int"]) for r in added} == {
         ("6UND", "NAT JABON", BRAND, 3)
