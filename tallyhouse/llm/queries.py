@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, simhash
+from . import sharding, simhash, suffix_dedup
 from .common import read_table
 
 
@@ -15,12 +15,17 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeat_report(read_table(spark, folder, "documents"), length=400)
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, folder, "documents"), shards=24)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op10_sharding": op10_sharding,
 }
 
