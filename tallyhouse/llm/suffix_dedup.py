@@ -304,7 +304,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, batches: int = BATCHES, p
         found = family.add(entries.filter(F.col("batch") == batch).select("a", "c"))
         matches = found if matches is None else matches.union(found)
     family.close()
-    matches = matches.groupBy("a").agg((F.min("lo") != F.max("hi")).alias("mixed"))
+    # written, so that the join reads two plain exchanges and an anchor with very many runs is split
+    matches = write_through(matches.groupBy("a").agg((F.min("lo") != F.max("hi")).alias("mixed")), "shared")
     runs = write_through(entries.drop("batch").join(matches, "a"), "runs")
     owners = runs.select("doc_id", "h").distinct()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_hash().alias("h"), text_bytes().alias("data"))
