@@ -5,11 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sharding, simhash, suffix_dedup
+from . import pieces, sharding, simhash, suffix_dedup, toxicity
 from .common import read_table
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    model = toxicity.fit(toxicity.training_rows(docs, labels))
+    scored = toxicity.score(docs, model, threshold=0.7, kept=["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        F.col("tox_score").alias("score"),
+        F.col("tox_predicted").alias("predicted"),
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, folder, "documents"), words=3, distance=3)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -19,13 +32,19 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeat_report(read_table(spark, folder, "documents"), length=400)
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_documents(read_table(spark, folder, "documents"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, folder, "documents"), shards=24)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_sharding": op10_sharding,
 }
 
