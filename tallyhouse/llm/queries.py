@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces, sharding, simhash, suffix_dedup, toxicity
+from . import decontamination, pieces, sharding, simhash, suffix_dedup, token_counts, toxicity
 from .common import read_table
 
 
@@ -23,6 +23,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    return decontamination.find_leaks(docs, benchmark).drop("h")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, folder, "documents"), words=3, distance=3)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -32,6 +37,10 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeat_report(read_table(spark, folder, "documents"), length=400)
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_by_section(read_table(spark, folder, "documents"), rule="first")
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_documents(read_table(spark, folder, "documents"))
 
@@ -42,8 +51,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_sharding": op10_sharding,
 }
