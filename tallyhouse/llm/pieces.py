@@ -3,15 +3,18 @@
 The best segmentation of a text under the pieces' scores, found left to right. The window that is kept is bounded by
 the longest piece as long as paths converge: as soon as all surviving paths pass one boundary, the ids up to it are
 final and leave the window. A boundary that no piece spans (before a word, in the usual vocabularies) is always
-such a point; a text between two of them is a segment whose ids depend on nothing else, so a task keeps the ids of
-segments that it has seen.
+such a point; a text between two of them is a segment whose ids depend on nothing else. Segments no longer than the
+longest piece are one window; a worker solves many of them in lockstep and keeps the ids of those it has seen.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +24,9 @@ TOKENIZERS = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
 #: The sign that stands for a space.
 SPACE = "▁"
-#: Segments that a task remembers (about 100 bytes each), and the longest that it does.
-KNOWN_SEGMENTS, KNOWN_LENGTH = 250_000, 48
+#: Segments that a worker remembers (some 200 bytes each), and how many are solved at once.
+KNOWN_SEGMENTS = 400_000
+_TOGETHER = 8192
 #: Added to a byte's score for each byte of a character that no piece has, so that pieces are preferred.
 UNKNOWN_PENALTY = 10.0
 
@@ -56,6 +60,56 @@ def _fields(data: bytes):
             at += size
 
 
+#: A run of spaces with what follows it; and the same, cut where letters meet other signs.
+_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
+_LETTERS = re.compile(f"{SPACE}*[^\\W\\d_]+|{SPACE}*(?:[\\W\\d_](?<!{SPACE}))+|{SPACE}+", re.DOTALL)
+
+
+class Trie:
+    """Beginnings of pieces as numbered states (0: nothing read), with an open hash table from (state, code) to state."""
+
+    def __init__(self, ids: dict[str, int], scores: list[float]):
+        states: dict[str, int] = {"": 0}
+        for text in ids:
+            for n in range(1, len(text) + 1):
+                states.setdefault(text[:n], len(states))
+        self.piece = np.full(len(states), -1, dtype=np.int64)
+        self.score = np.full(len(states), -np.inf)
+        for text, i in ids.items():
+            self.piece[states[text]], self.score[states[text]] = i, scores[i]
+        keys = np.array([(states[t[:-1]] << 21) | ord(t[-1]) for t in states if t], dtype=np.int64)
+        values = np.array([i for t, i in states.items() if t], dtype=np.int64)
+        self.mask = (1 << max(4, (4 * len(states)).bit_length())) - 1
+        self.keys = np.full(self.mask + 1, -1, dtype=np.int64)
+        self.next = np.full(self.mask + 1, -1, dtype=np.int64)
+        place = self._place(keys)
+        while len(keys):  # those that find a free slot stay, the rest goes on
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[free]
+            kept = self.keys[place] == keys
+            self.next[place[kept]] = values[kept]
+            keys, values, place = keys[~kept], values[~kept], (place[~kept] + 1) & self.mask
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(32)) & np.uint64(self.mask)).astype(np.int64)
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The next state of each, -1 where no piece goes on like that."""
+        key = (state << 21) | code
+        place = self._place(key)
+        found = self.keys[place]
+        out = np.where(found == key, self.next[place], -1)
+        left = np.flatnonzero((found != key) & (found >= 0))
+        while len(left):
+            place[left] = (place[left] + 1) & self.mask
+            found = self.keys[place[left]]
+            hit = found == key[left]
+            out[left[hit]] = self.next[place[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out
+
+
 @dataclass
 class Vocabulary:
     """Pieces with scores and ids. ``bytes_at`` are the ids of the 256 byte pieces."""
@@ -73,6 +127,16 @@ class Vocabulary:
         #: no piece has a space behind another character, so that no piece spans the boundary before a space
         self.splits_at_space = not any(SPACE in t.lstrip(SPACE) for t in self.ids)
         self.scored = {t: (self.scores[i], i) for t, i in self.ids.items()}
+        self.trie = Trie(self.ids, self.scores)
+        # a letter meets another sign inside a piece? else words end at their last letter, too
+        mixed = any(a.isalpha() != b.isalpha() for t in self.ids for a, b in zip(t.lstrip(SPACE), t.lstrip(SPACE)[1:]))
+        self.cuts = _WORDS if mixed else _LETTERS
+        self.spelled = [self._spelled(i) for i in range(len(self.texts))]
+
+    def _spelled(self, i: int) -> bytes:
+        if self.kinds[i] == _BYTE:
+            return bytes((int(self.texts[i][3:5], 16),))
+        return b"" if self.kinds[i] == _CONTROL else self.texts[i].replace(SPACE, " ").encode("utf-8")
 
     def byte_value(self, i: int) -> int | None:
         return int(self.texts[i][3:5], 16) if self.kinds[i] == _BYTE else None
@@ -170,45 +234,100 @@ class Encoder:
             out.extend([found] if found is not None else self._fallback(piece))
         return out
 
-    def segment(self, text: str) -> tuple[int, ...]:
-        found = self._known.get(text)
-        if found is None:
-            found = tuple(i for part in self.stream(text) for i in part)
-            if len(text) <= KNOWN_LENGTH:
-                if len(self._known) >= KNOWN_SEGMENTS:
-                    self._known.clear()
-                self._known[text] = found
-        return found
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def segments(self, text: str) -> list[str]:
+        """A text cut at boundaries that no piece spans: all paths pass there, so each segment stands alone."""
         if not text:
-            return out
+            return []
         if not self.vocabulary.splits_at_space:
-            return list(self.segment(normalise(text)))
-        # no piece has a space behind another character: every run of spaces begins a segment
-        segment, known = self.segment, self._known
-        words = text.split(" ")
-        spaces = 1
-        for word in words:
-            if not word:
-                spaces += 1
-                continue
-            part = SPACE * spaces + word
-            out.extend(known.get(part) or segment(part))
-            spaces = 1
-        if spaces > 1:
-            out.extend(segment(SPACE * (spaces - 1)))
+            return [normalise(text)]
+        return self.vocabulary.cuts.findall(normalise(text))
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text. Segments that were not seen yet are solved together, long ones by ``stream``."""
+        known = self._known
+        cut = [self.segments(t) for t in texts]
+        if len(known) > KNOWN_SEGMENTS:
+            known.clear()
+        new = {s for segments in cut for s in segments}.difference(known)
+        longest = self.vocabulary.longest
+        short = [s for s in new if len(s) <= longest]
+        for at in range(0, len(short), _TOGETHER):
+            part = short[at : at + _TOGETHER]
+            known.update(zip(part, self._lockstep(part)))
+        # long segments are many characters and rare: not remembered beyond these texts
+        long = {s: [i for part in self.stream(s) for i in part] for s in new if len(s) > longest}
+        if not long:
+            return [list(chain.from_iterable(map(known.__getitem__, segments))) for segments in cut]
+        return [list(chain.from_iterable(known[s] if s in known else long[s] for s in segments)) for segments in cut]
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
+
+    def _lockstep(self, segments: list[str]) -> list[tuple[int, ...]]:
+        """Segments no longer than the longest piece, each one window: their paths are followed together.
+
+        From every start the pieces are walked character by character in the trie of pieces, for all segments at once.
+        """
+        trie, floor = self.vocabulary.trie, self.vocabulary.lowest - UNKNOWN_PENALTY
+        lengths = np.array([len(s) for s in segments])
+        rows, width = len(segments), int(lengths.max())
+        codes = np.full((rows, width), -1, dtype=np.int64)
+        codes[np.arange(width) < lengths[:, None]] = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32)
+        best = np.full((rows, width + 1), -np.inf)
+        best[:, 0] = 0
+        back = np.zeros((rows, width + 1), dtype=np.int64)
+        ids = np.full((rows, width + 1), -1, dtype=np.int64)
+        for start in range(width):
+            row = np.flatnonzero(lengths > start)
+            state = trie.step(np.zeros(len(row), np.int64), codes[row, start])
+            so_far = best[row, start]
+            alone = (state < 0) | (trie.piece[state] < 0)
+            lone, value = row[alone], so_far[alone] + floor
+            better = value > best[lone, start + 1]
+            lone = lone[better]
+            best[lone, start + 1], back[lone, start + 1], ids[lone, start + 1] = value[better], start, -1
+            end = start + 1
+            while True:
+                alive = state >= 0
+                row, state, so_far = row[alive], state[alive], so_far[alive]
+                value = so_far + trie.score[state]
+                better = value > best[row, end]
+                to = row[better]
+                best[to, end], back[to, end], ids[to, end] = value[better], start, trie.piece[state[better]]
+                going = lengths[row] > end
+                row, state, so_far = row[going], state[going], so_far[going]
+                if not len(row):
+                    break
+                state = trie.step(state, codes[row, end])
+                end += 1
+        at, every = lengths.copy(), np.arange(rows)
+        out = np.full((rows, width), -2, dtype=np.int64)
+        for place in range(width - 1, -1, -1):
+            open_rows = at > 0
+            out[open_rows, place] = ids[every[open_rows], at[open_rows]]
+            at = np.where(open_rows, back[every, at], 0)
+        pieces = (out != -2).sum(axis=1)
+        made = [tuple(row[width - n :]) for row, n in zip(out.tolist(), pieces.tolist())]
+        for i in np.flatnonzero((out == -1).any(axis=1)).tolist():
+            made[i] = tuple(self._with_bytes(segments[i], made[i]))
+        return made
+
+    def _with_bytes(self, text: str, ids: tuple[int, ...]) -> list[int]:
+        out, at = [], 0
+        for i in ids:
+            if i >= 0:
+                out.append(i)
+                at += len(self.vocabulary.texts[i])
+            else:
+                out.extend(self._fallback(text[at]))
+                at += 1
         return out
 
     def decode(self, ids) -> str:
         """The text of the ids: pieces joined, bytes as UTF-8 (U+FFFD for what is none), the space in front removed."""
-        texts, kinds = self.vocabulary.texts, self.vocabulary.kinds
-        data = b"".join(
-            bytes((int(texts[i][3:5], 16),)) if kinds[i] == _BYTE else b"" if kinds[i] == _CONTROL else texts[i].encode("utf-8")
-            for i in ids
-        )
-        return data.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
+        data = b"".join(map(self.vocabulary.spelled.__getitem__, ids)).decode("utf-8", "replace")
+        # the sign itself can come back from its three bytes
+        return data.replace(SPACE, " ").removeprefix(" ")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -236,33 +355,25 @@ def encode_documents(docs: DataFrame, folder: str = TOKENIZERS, model: str = MOD
         for batch in batches:
             at = 0
             while at < batch.num_rows:  # steps of a bounded number of characters
-                ids, chars, same, size, first = [], [], [], 0, at
+                first, size, texts = at, 0, []
                 while at < batch.num_rows and size < 1 << 20:
-                    text = batch.column(1)[at].as_py() or ""
-                    found = own.encode(text)
-                    ids.append(pa.array(found, pa.int32()))
-                    chars.append(len(text))
-                    same.append(own.decode(found) == text)
-                    size += len(text)
+                    texts.append(batch.column(1)[at].as_py() or "")
+                    size += len(texts[-1])
                     at += 1
-                offsets = pa.array([0, *_sums(map(len, ids))], pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.concat_arrays(ids))
-                counts = pa.array([len(x) for x in ids], pa.int64())
+                ids = own.encode_all(texts)
+                same = [own.decode(i) == t for i, t in zip(ids, texts)]
+                counts = np.array([len(i) for i in ids], dtype=np.int64)
+                values = np.fromiter(chain.from_iterable(ids), np.int32, count=int(counts.sum()))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values))
+                chars = pa.array([len(t) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, at - first), lists, counts, pa.array(chars, pa.int64()), pa.array(same)], names
+                    [batch.column(0).slice(first, at - first), lists, pa.array(counts), chars, pa.array(same)], names
                 )
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(compute, "doc_id long, ids array<int>, n_tokens long, n_chars long, round_trip boolean")
 
 
-def _sums(values):
-    total = 0
-    for value in values:
-        total += value
-        yield total
-
-
 def decode_documents(encoded: DataFrame, folder: str = TOKENIZERS, model: str = MODEL) -> DataFrame:
     """doc_id, text: from (doc_id, ids); null ids give a null text."""
     path = os.path.join(folder, model)
