@@ -37,7 +37,11 @@ SECOND_PERSON = frozenset(
     "you your yours yourself du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos tú ti tus usted su".split()
 )
 WORD = re.compile(r"\w+", re.UNICODE)
-OBFUSCATED = re.compile(r"\w[*@$#%&!0-9]+\w|(?:\b\w[ .\-_]){3,}\w\b")
+#: Signs and digits inside a word, as in "st*pid".
+OBFUSCATED = re.compile(r"(?<=[^\W\d_])[*@$#%&!0-9]+(?=[^\W\d_])")
+SHOUTED = re.compile(r"[A-ZÀ-ÖØ-Þ]{2,}")
+_DISGUISES = np.array([ord(c) for c in "*@$#%&!0123456789"])
+_MARKS = np.array([c for c in range(33, 127) if not chr(c).isalnum()])
 FEATURES = [
     "lexicon_words", "lexicon_weight", "lexicon_most", "lexicon_kinds", "lexicon_second_person", "second_person",
     "capitals", "shouted_words", "punctuation", "exclamations", "obfuscated", "digits", "log_words", "word_length",
@@ -51,6 +55,21 @@ def entries_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
 
 
+class _Known(dict):
+    """Weights of the words that a worker has met."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > 200_000:
+            self.clear()
+        get = self.weights.get
+        found = self[word] = max(get(e, 0.0) for e in entries_of(word))
+        return found
+
+
 @dataclass
 class Lexicon:
     """Weights (log of how much oftener an entry stands in toxic documents), strongest entries only: bounded."""
@@ -58,42 +77,46 @@ class Lexicon:
     weights: dict[str, float]
 
     def __post_init__(self):
-        self._known: dict[str, float] = {}
-
-    def weight(self, word: str) -> float:
-        found = self._known.get(word)
-        if found is None:
-            if len(self._known) > 200_000:
-                self._known.clear()
-            found = self._known[word] = max((self.weights.get(e, 0.0) for e in entries_of(word)), default=0.0)
-        return found
+        self.known = _Known(self.weights)
 
     def __getstate__(self):
-        return {"weights": self.weights, "_known": {}}
+        return self.weights
+
+    def __setstate__(self, weights):
+        self.weights, self.known = weights, _Known(weights)
+
+
+def _runs(short: np.ndarray) -> int:
+    """Stretches of four and more single letters."""
+    if short.sum() < 4:
+        return 0
+    edges = np.diff(np.r_[0, short.astype(np.int8), 0])
+    return int((np.flatnonzero(edges == -1) - np.flatnonzero(edges == 1) >= 4).sum())
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The dense features of one whole text; an empty one has zeros."""
     words = WORD.findall(text.lower())
-    n, chars = max(1, len(words)), max(1, len(text))
-    weight = lexicon.weight
-    weights = [weight(w) for w in words]
-    hits = [i for i, w in enumerate(weights) if w]
+    data = text.encode("utf-8", "surrogatepass")
+    n, size = max(1, len(words)), max(1, len(data))
+    weights = np.fromiter(map(lexicon.known.__getitem__, words), float, count=len(words))
+    lengths = np.fromiter(map(len, words), np.int64, count=len(words))
+    hits = np.flatnonzero(weights)
     persons = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near = 0
-    if hits and persons:
+    if len(hits) and persons:
         at = np.array(persons)
         place = np.searchsorted(at, hits)
-        before = np.abs(np.array(hits) - at[np.maximum(place - 1, 0)])
-        after = np.abs(at[np.minimum(place, len(at) - 1)] - np.array(hits))
+        before = np.abs(hits - at[np.maximum(place - 1, 0)])
+        after = np.abs(at[np.minimum(place, len(at) - 1)] - hits)
         near = int((np.minimum(before, after) <= NEAR).sum())
-    letters = sum(map(str.isupper, text)) if not text.islower() else 0
-    marks = len(text) - sum(map(len, words)) - text.count(" ") - text.count("\n")
+    seen = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
+    obfuscated = _runs(lengths == 1) + (len(OBFUSCATED.findall(text)) if seen[_DISGUISES].any() else 0)
     return [
-        len(hits) / n, sum(weights) / n, max(weights, default=0.0), float(len({words[i] for i in hits})), near / n,
-        len(persons) / n, letters / chars, sum(1 for w in text.split() if len(w) > 1 and w.isupper()) / n,
-        marks / chars, text.count("!") / chars, len(OBFUSCATED.findall(text)) / n, sum(map(str.isdigit, text)) / chars,
-        math.log1p(len(words)), sum(map(len, words)) / n,
+        len(hits) / n, float(weights.sum()) / n, float(weights.max(initial=0.0)), float(len({words[i] for i in hits})),
+        near / n, len(persons) / n, float(seen[65:91].sum()) / size, len(SHOUTED.findall(text)) / n,
+        float(seen[_MARKS].sum()) / size, float(seen[33]) / size, obfuscated / n, float(seen[48:58].sum()) / size,
+        math.log1p(len(words)), float(lengths.sum()) / n,
     ]
 
 
