@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, pieces, sharding, simhash, suffix_dedup, token_counts, toxicity
+from . import decontamination, neighbours, pieces, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity, warc
 from .common import read_table
 
 
@@ -37,6 +38,16 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeat_report(read_table(spark, folder, "documents"), length=400)
 
 
+def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = tool_calls.calls_of(read_table(spark, folder, "conversations"))
+    tools = spark.createDataFrame([(name, json.dumps(schema)) for name, schema in tool_calls.TOOLS], "name string, schema string")
+    return tool_calls.link_calls(calls, results, tools)
+
+
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_report(spark, read_table(spark, folder, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_by_section(read_table(spark, folder, "documents"), rule="first")
 
@@ -45,6 +56,11 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_documents(read_table(spark, folder, "documents"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, folder, "documents"), shards=24)
 
@@ -54,8 +70,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_chat_formatting": op5_chat_formatting,
+    "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sharding": op10_sharding,
 }
 

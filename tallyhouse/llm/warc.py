@@ -115,7 +115,7 @@ class BundleWriter:
 
     def flush(self) -> None:
         if self.held:
-            packed = self.pack(b"".join(self.held))
+            packed = self.pack(b"".join(self.held))  # the frame says its size
             self.stream.write(packed)
             self.frames.append((len(packed), self.size))
             self.written += len(packed)
@@ -151,7 +151,7 @@ class BundleReader:
     def frame(self, number: int) -> bytes:
         self.stream.seek(self.places[number])
         packed, size = self.sizes[number]
-        data = self.unpack(self.stream.read(packed), max_output_size=size)
+        data = self.unpack(self.stream.read(packed))
         if len(data) != size:
             raise ValueError("a frame differs from the seek table")
         return data
@@ -181,7 +181,7 @@ def _write(folder: str):
                 record_id, record = write_record(page_id, row, url, payload, holder)
                 if writer is None:
                     name = f"{task.partitionId():05d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.warc.zst"
-                    writer = BundleWriter(store.open_output_stream(f"{path}/{name}"))
+                    writer = BundleWriter(store.open_output_stream(f"{path}/{name}", compression=None))
                 rows.append((page_id, record_id, name, *writer.add(record), len(record)))
                 if writer.written >= BUNDLE_BYTES:
                     yield done()
