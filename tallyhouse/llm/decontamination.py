@@ -27,10 +27,13 @@ MAX_EDITS = 0.2
 TARGET_RECALL = 0.95
 MOST_REPETITIONS = 12
 #: Steps of a walk, and those of them that make a key; items too short for a walk use a shorter one.
-STEPS, SAMPLED, EARLY = 40, 8, 4
+STEPS, SAMPLED = 40, 14
+#: After so many samples, windows whose samples no item has are given up.
+EARLY = (3, 5, 8)
 SEED = 11
-_TABLE_BITS = 22
+_TABLE_BITS = 20
 _CHUNK = 1 << 20
+_GRAMS = 1 << 12
 
 
 def normalise(text: str) -> bytes:
@@ -81,6 +84,14 @@ def edit_match(item: bytes, text: bytes, most: int) -> tuple[int, int, int] | No
     return distance, end - edit_distance_in(item[::-1], back)[1], end
 
 
+def gram_counts(data: np.ndarray) -> np.ndarray:
+    """How often each hash of three successive bytes stands in a text."""
+    if len(data) < 3:
+        return np.zeros(_GRAMS, np.int64)
+    code = data[:-2].astype(np.int64) * 961 + data[1:-1].astype(np.int64) * 31 + data[2:]
+    return np.bincount(code & (_GRAMS - 1), minlength=_GRAMS)
+
+
 # ---- keys -----------------------------------------------------------------------------------------------------------
 
 
@@ -97,42 +108,46 @@ class Walk:
 
     def __init__(self, steps: int, seed: int):
         draw = np.random.default_rng([SEED, steps, seed])
-        self.moves = draw.integers(0, 2, (steps, 256), dtype=np.int32)
-        self.sampled = np.sort(draw.choice(steps, min(SAMPLED, steps), replace=False))
+        self.moves = draw.integers(0, 2, (steps, 256), dtype=np.int64)
+        # one step of each equal stretch: neighbours often repeat a symbol
+        strata = np.array_split(np.arange(steps), min(SAMPLED, steps))
+        self.sampled = np.array([draw.choice(part) for part in strata])
         self.last = int(self.sampled[-1])
         # a window is never left: its walk moves at most ``last`` places
         self.reach = self.last + 1
 
-    def keys(self, data: np.ndarray, starts: np.ndarray, early: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(place in starts, key); with the table ``early``, only of windows whose first samples are in it.
+    def keys(self, data: np.ndarray, starts: np.ndarray, early: dict[int, np.ndarray] | None = None, samples: int | None = None):
+        """(place in starts, key) of the windows; with the tables ``early``, only of those that pass them.
 
-        ``data`` must go on for ``reach`` bytes behind every start.
+        ``data`` must go on for ``reach`` bytes behind every start. ``samples`` ends the walk there.
         """
-        at = starts.astype(np.int32)
+        at = starts.astype(np.int64)
         who = np.arange(len(starts))
         key = np.zeros(len(starts), dtype=np.uint64)
-        sampled, taken = set(self.sampled.tolist()), 0
-        for step in range(self.last + 1):
-            symbol = data.take(at)
-            if step in sampled:
-                key = (key ^ symbol) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(31)
-                taken += 1
-                if early is not None and taken == EARLY:
-                    alive = early.take((key >> np.uint64(8)) & np.uint64(len(early) - 1)) != 0
-                    at, who, key, symbol = at[alive], who[alive], key[alive], symbol[alive]
-            at = at + self.moves[step].take(symbol)
+        step = 0
+        for taken, sampled in enumerate(self.sampled[:samples].tolist(), 1):
+            while step < sampled:
+                at += self.moves[step].take(data.take(at, mode="clip"), mode="clip")
+                step += 1
+            key ^= data.take(at, mode="clip")
+            key *= np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(31)
+            if early and taken in early:
+                alive = np.flatnonzero(early[taken].take(_slot(key), mode="clip"))
+                at, who, key = at[alive], who[alive], key[alive]
         return who, key
 
-    def early_table(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        table = np.zeros(1 << _TABLE_BITS, dtype=np.uint8)
-        full, self.last = self.last, int(self.sampled[min(EARLY, len(self.sampled)) - 1])
-        try:
-            key = self.keys(data, starts)[1]
-        finally:
-            self.last = full
-        table[((key >> np.uint64(8)) & np.uint64(len(table) - 1)).astype(np.int64)] = 1
-        return table
+    def early_tables(self, data: np.ndarray, starts: np.ndarray) -> dict[int, np.ndarray]:
+        tables = {}
+        for samples in EARLY:
+            if samples < len(self.sampled):
+                tables[samples] = np.zeros(1 << _TABLE_BITS, dtype=np.uint8)
+                tables[samples][_slot(self.keys(data, starts, samples=samples)[1])] = 1
+        return tables
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
 
 
 def steps_for(length: int) -> int:
@@ -150,7 +165,7 @@ class Side:
     steps: int
     items: list[int]
     walks: list[Walk] = field(default_factory=list)
-    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, np.ndarray]]] = field(default_factory=list)
 
 
 def _item_windows(texts: list[bytes], items: list[int], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -190,6 +205,7 @@ class Searcher:
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
         self.most = [int(len(t) * max_edits) for t in self.texts]
+        self._grams: dict[int, np.ndarray] = {}
         by: dict[int, list[int]] = {}
         for i, text in enumerate(self.texts):
             by.setdefault(steps_for(len(text)), []).append(i)
@@ -202,13 +218,12 @@ class Searcher:
         sample = draw.sample(own, min(len(own), 100))
         trials = [(i, edited(self.texts[i], max_edits, draw)) for i in sample for _ in range(3)]
         missed = trials
-        for seed in range(MOST_REPETITIONS):
-            walk = Walk(steps, seed)
+        for walk in self._walks(steps, own):
             data, starts, owner, offset = _item_windows(self.texts, own, walk.reach)
             key = walk.keys(data, starts)[1]
             order = np.argsort(key, kind="stable")
             side.walks.append(walk)
-            side.tables.append((key[order], owner[order], offset[order], walk.early_table(data, starts)))
+            side.tables.append((key[order], owner[order], offset[order], walk.early_tables(data, starts)))
             still = []
             for i, text in missed:
                 found = np.frombuffer(text + b"\0" * walk.reach, np.uint8)
@@ -221,9 +236,18 @@ class Searcher:
                 break
         return side
 
-    def candidates(self, data: np.ndarray) -> np.ndarray:
-        """Distinct (item, place where it would begin, in steps of 16 bytes) of a buffer; texts end with zeros."""
-        found = []
+    def _walks(self, steps: int, own: list[int]) -> list[Walk]:
+        """The repetitions to try, from a larger draw: those that give different windows the fewest equal keys."""
+
+        def equal_keys(walk):
+            data, starts, *_ = _item_windows(self.texts, own, walk.reach)
+            return (np.unique(walk.keys(data, starts)[1], return_counts=True)[1] ** 2).sum()
+
+        return sorted((Walk(steps, seed) for seed in range(4 * MOST_REPETITIONS)), key=equal_keys)[:MOST_REPETITIONS]
+
+    def candidates(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Distinct (item, text, place where it would begin, in steps of 16 bytes) of texts that end (in a 0) at ``ends``."""
+        found = [np.zeros((3, 0), np.int64)]
         for side in self.sides:
             reach = max(w.reach for w in side.walks)
             padded = np.r_[data, np.zeros(reach, np.uint8)]
@@ -233,30 +257,36 @@ class Searcher:
                 lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
                 n = hi - lo
                 entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                begin = np.repeat(starts[who], n) - offset[entry]
-                found.append(np.stack([owner[entry], begin >> 4]))
-        return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+                at = np.repeat(starts[who], n)
+                found.append(np.stack([owner[entry], np.searchsorted(ends, at, "right"), (at - offset[entry]) >> 4]))
+        return np.unique(np.concatenate(found, axis=1), axis=1)
+
+    def grams(self, item: int) -> np.ndarray:
+        if item not in self._grams:
+            self._grams[item] = gram_counts(np.frombuffer(self.texts[item], np.uint8))
+        return self._grams[item]
 
     def matches(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, distance, start, end): for every text and item the best verified occurrence, first of equals."""
         data = b"\0".join(texts) + b"\0"
+        every = np.frombuffer(data, np.uint8)
         ends = np.cumsum([len(t) + 1 for t in texts])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for item, step in self.candidates(np.frombuffer(data, np.uint8)).T.tolist():
+        for item, text, step in self.candidates(every, ends).T.tolist():
             size, most = len(self.texts[item]), self.most[item]
-            middle = step * 16 + 8 + size // 2
-            text = int(np.searchsorted(ends, min(max(middle, 0), len(data) - 1), "right"))
-            for own in {text, max(text - 1, 0), min(text + 1, len(texts) - 1)}:  # a candidate's text is near its middle
-                first, last = int(ends[own]) - len(texts[own]) - 1, int(ends[own]) - 1
-                lo = max(first, step * 16 - most - 16)
-                hi = min(last, step * 16 + size + most + 32)
-                if hi - lo < size - most or best.get((own, item), (1,))[0] == 0:
-                    continue
-                found = edit_match(self.texts[item], data[lo:hi], most)
-                if found:
-                    distance, start, end = found
-                    now = (distance, lo + start - first, lo + end - first)
-                    best[own, item] = min(best.get((own, item), now), now)
+            last = int(ends[text]) - 1
+            first = last - len(texts[text])
+            lo, hi = max(first, step * 16 - most), min(last, step * 16 + 16 + size + most)
+            if hi - lo < size - most or best.get((text, item), (1,))[0] == 0:
+                continue
+            # an edit changes at most three of the item's grams, so that many must be there
+            if np.minimum(self.grams(item), gram_counts(every[lo:hi])).sum() < size - 2 - 3 * most:
+                continue
+            found = edit_match(self.texts[item], data[lo:hi], most)
+            if found:
+                distance, start, end = found
+                now = (distance, lo + start - first, lo + end - first)
+                best[text, item] = min(best.get((text, item), now), now)
         return [(t, i, *found) for (t, i), found in sorted(best.items())]
 
 
