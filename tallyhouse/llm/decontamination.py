@@ -340,7 +340,7 @@ def find_leaks(
     spark = docs.sparkSession
     schema = "doc_id long, h long, item_id long, distance int, similarity double, start long, end long"
     chosen = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.col("text").cast("string")
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"), F.col("text").cast("string")
     )
     names = ["doc_id", "h", "item_id", "distance", "similarity", "start", "end"]
 
@@ -378,3 +378,10 @@ def find_leaks(
         part = chosen.mapInArrow(search(Searcher(block, max_edits, recall)), schema)
         found = part if found is None else found.union(part)
     return spark.createDataFrame([], schema) if found is None else found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item; see ``find_leaks``."""
+    leaks = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("l_doc_id"), F.col("h").alias("l_h")).distinct()
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(leaks["l_doc_id"]) & (own == leaks["l_h"]), "left_anti")

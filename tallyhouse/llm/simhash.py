@@ -370,10 +370,10 @@ def near_links(prints: DataFrame, distance: int = 3, parts: int | None = None) -
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, parts: int | None = None) -> DataFrame:
-    """doc_id, h, fp, fingerprint, component_id: a row for every row of ``docs``.
+    """doc_id, h, fp, fingerprint, component_id, root: a row for every row of ``docs``.
 
     Fingerprints within ``distance`` bits are linked; component_id is the smallest doc_id among all rows that links
-    reach. Equal fingerprints are one node, so copies add nothing to the comparison. Null and empty texts have
+    reach, and root the fingerprint that names the component. Equal fingerprints are one node, so copies add nothing to the comparison. Null and empty texts have
     fingerprint zero, which links like any other. Null doc_ids are kept and never are a component's id (it is null only
     if all of a component's are); repeated rows stay repeated. An empty table has no rows. Other columns are ignored.
     """
@@ -384,7 +384,20 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, parts: i
         "fp", "first", F.coalesce("label", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
+    classes = rooted.join(smallest, "root").select("fp", "component_id", "root")
     return prints.join(classes, "fp").select(
-        "doc_id", "h", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", "h", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component: the smallest doc_id, of equals by its text.
+
+    A row without a doc_id stays only if no row of its component has one; of rows that repeat doc_id and text one stays.
+    """
+    found = near_duplicates(docs, words, distance)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"))
+    kept = first.select(F.col("one.doc_id").alias("k_doc_id"), F.col("one.h").alias("k_h"))
+    keyed = docs.withColumn("k_own", doc_hash())
+    same = keyed["doc_id"].cast("long").eqNullSafe(kept["k_doc_id"]) & (keyed["k_own"] == kept["k_h"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "k_own"]).drop("k_own")

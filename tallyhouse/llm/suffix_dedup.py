@@ -392,3 +392,24 @@ def repeat_report(docs: DataFrame, length: int = 400, batches: int = BATCHES) ->
         F.coalesce("spans", F.lit(0)).alias("n_spans"),
         F.coalesce("sha", "whole").alias("kept_sha256"),
     )
+
+
+def cut_texts(docs: DataFrame, length: int = 400, batches: int = BATCHES) -> DataFrame:
+    """The rows of ``docs``, all columns, with the text that stays, and n_chars, if there, counted anew.
+
+    A character that a cut divides goes whole. Rows without repeats keep their text as it is, a null too; a row that
+    loses everything stays with an empty text.
+    """
+    def whole_characters(record_batches):
+        for rows in record_batches:
+            texts = pa.array([x.as_py().decode("utf-8", "ignore") for x in rows.column(2)], pa.string())
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), texts], ["k_doc_id", "k_h", "k_text"])
+
+    cut = without_repeats(docs, length, batches).select("k_doc_id", "k_h", "kept")
+    cut = write_through(cut.mapInArrow(whole_characters, "k_doc_id long, k_h long, k_text string"), "cut")
+    same = docs["doc_id"].cast("long").eqNullSafe(cut["k_doc_id"]) & (doc_hash() == cut["k_h"])
+    joined = docs.join(cut, same, "left").withColumn("text", F.coalesce("k_text", "text"))
+    if "n_chars" in docs.columns:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        joined = joined.withColumn("n_chars", F.when(F.col("k_h").isNull(), F.col("n_chars")).otherwise(counted))
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -319,3 +319,9 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.filter(~held_out()).select("doc_id", "text")
     return texts.join(own, "doc_id").select("text", "toxic")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that a model learned from them and ``labels`` does not call toxic."""
+    model = fit(training_rows(docs, labels))
+    return score(docs, model, threshold).filter("tox_predicted = 0").drop("tox_score", "tox_predicted")
