@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_root
-from .common import text_bytes, write_through
+from .common import packed, text_bytes, write_through
 
 #: Bytes of records in a frame, and of compressed frames in a bundle, before the next is begun.
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 64 << 20
@@ -166,6 +166,9 @@ def _write(folder: str):
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
 
     def run(batches):
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         store, path = file_system(folder)
         task = TaskContext.get()
         writer, name, rows = None, None, []
@@ -178,7 +181,7 @@ def _write(folder: str):
             for at in range(batch.num_rows):
                 page_id, row, url, payload, holder_id, holder_row = (batch.column(i)[at].as_py() for i in range(6))
                 holder = None if holder_row == row else (holder_id, holder_row)
-                record_id, record = write_record(page_id, row, url, payload, holder)
+                record_id, record = write_record(page_id, row, url, unpack(payload), holder)
                 if writer is None:
                     name = f"{task.partitionId():05d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.warc.zst"
                     writer = BundleWriter(store.open_output_stream(f"{path}/{name}", compression=None))
@@ -193,7 +196,7 @@ def _write(folder: str):
 
 
 def with_holders(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, row, url, payload, holder_id, holder_row: of equal payloads the smallest page_id holds the payload.
+    """page_id, row, url, payload (packed), holder_id, holder_row: of equal payloads the smallest page_id holds it.
 
     Payloads shorter than ``least`` bytes hold themselves. Null page_ids come last; of rows that repeat a page_id and
     payload one holds it. Rows are numbered and written first, so that a number means one row for good.
@@ -204,12 +207,13 @@ def with_holders(pages: DataFrame, least: int = 0) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         F.col("url").cast("string").alias("url"),
         payload.alias("payload"),
+        F.length(payload).alias("size"),
         F.sha2(payload, 256).alias("key"),
     )
-    rows = write_through(rows, "pages")
+    rows = write_through(packed(rows, "payload"), "pages")
     smallest = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row"))
     holders = write_through(rows.groupBy("key").agg(smallest.alias("holder")), "holders")
-    own = F.length("payload") < least
+    own = F.col("size") < least
     return rows.join(holders, "key").select(
         "page_id",
         "row",
@@ -267,7 +271,8 @@ def read_archive(index: DataFrame, folder: str) -> DataFrame:
                             rows.append(_row(fields, payload))
                         yield _batch(rows)
 
-    bundles = index.select("bundle").distinct()
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bundles = index.select("bundle").distinct().repartition(tasks, F.xxhash64("bundle"))  # few rows, but each a file to read
     return bundles.mapInArrow(run, RECORDS)
 
 
