@@ -4,7 +4,7 @@ The best segmentation of a text under the pieces' scores, found left to right. T
 the longest piece as long as paths converge: as soon as all surviving paths pass one boundary, the ids up to it are
 final and leave the window. A boundary that no piece spans (before a word, in the usual vocabularies) is always
 such a point; a text between two of them is a segment whose ids depend on nothing else. Segments no longer than the
-longest piece are one window; a worker solves many of them in lockstep and keeps the ids of those it has seen.
+longest piece are one window; a task solves many of them in lockstep and keeps the ids of those it has seen.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ TOKENIZERS = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
 #: The sign that stands for a space.
 SPACE = "▁"
-#: Segments that a worker remembers (some 200 bytes each), and how many are solved at once.
-KNOWN_SEGMENTS = 400_000
+#: Segments that a task remembers (some 200 bytes each), and how many are solved at once.
+KNOWN_SEGMENTS = 200_000
 _TOGETHER = 8192
 #: Added to a byte's score for each byte of a character that no piece has, so that pieces are preferred.
 UNKNOWN_PENALTY = 10.0
@@ -330,14 +330,14 @@ class Encoder:
         return data.replace(SPACE, " ").removeprefix(" ")
 
 
-_encoders: dict[str, Encoder] = {}
+_vocabularies: dict[str, Vocabulary] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process, with the segments it has seen."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(load_vocabulary(path))
-    return _encoders[path]
+    """An encoder for one task. The vocabulary stays in the worker process, the segments go with the task."""
+    if path not in _vocabularies:
+        _vocabularies[path] = load_vocabulary(path)
+    return Encoder(_vocabularies[path])
 
 
 def encode_documents(docs: DataFrame, folder: str = TOKENIZERS, model: str = MODEL) -> DataFrame:

@@ -173,7 +173,7 @@ def _contexts(length: int):
                     out[2].append(run["pieces"])
                     out[3].append(data[run["start"] : end])
                     size += end - run["start"]
-                if size > 1 << 22:
+                if size > 1 << 21:
                     yield pa.RecordBatch.from_arrays([*map(pa.array, out[:2]), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())], names)
                     out, size = [[], [], [], []], 0
             yield pa.RecordBatch.from_arrays(
@@ -222,7 +222,7 @@ def _compare(length: int):
         held, size = [], 0
         for batch in record_batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if size > 1 << 20 and row[:2] != (held[-1][0], held[-1][2]):
+                if size > 1 << 18 and row[:2] != (held[-1][0], held[-1][2]):
                     yield from settle(held)
                     held, size = [], 0
                 held.append((row[0], row[3], row[1], row[2], row[4]))

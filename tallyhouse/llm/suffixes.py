@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 _PLACE_BITS = np.uint64(21)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1

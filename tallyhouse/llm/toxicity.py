@@ -14,10 +14,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +59,7 @@ class _Known(dict):
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         get = self.weights.get
         found = self[word] = max(get(e, 0.0) for e in entries_of(word))
@@ -142,7 +138,7 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
             for text, toxic in zip(batch.column(0), batch.column(1)):
                 words = set(WORD.findall((text.as_py() or "").lower()))
                 seen[toxic.as_py()].update({e for w in words for e in entries_of(w)})
-                if len(seen[0]) + len(seen[1]) > 400_000:
+                if len(seen[0]) + len(seen[1]) > 200_000:
                     yield flush()
                     seen[0].clear()
                     seen[1].clear()
@@ -234,6 +230,12 @@ def fit(labelled: DataFrame, trees: int = 20, depth: int = 4, seed: int = 7) ->
     that trees see is learned from the other half than the trees, the calibration from a part that neither saw.
     Without rows of both labels the model is constant.
     """
+    # here, because the workers import this module and need none of it
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.regression import IsotonicRegression
+
     labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"))
     labelled = labelled.filter(F.col("toxic").isin(0, 1)).withColumn("text", F.coalesce("text", F.lit("")))
     place = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30))
@@ -289,18 +291,21 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, k
     """
     kept = docs.columns if kept is None else kept
     fields = [docs.schema[c] for c in kept]
+    # the text goes to the tasks once
+    at_text = kept.index("text") if "text" in kept else len(kept)
+    whole = [] if "text" in kept else [F.col("text").cast("string").alias("whole")]
     names = [*(f"c{i}" for i in range(len(kept))), "score"]
 
     def compute(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                values = np.array([features(t.as_py() or "", model.lexicon) for t in part.column(0)], dtype=float)
+                values = np.array([features(t.as_py() or "", model.lexicon) for t in part.column(at_text)], dtype=float)
                 found = model.scores(values.reshape(-1, len(FEATURES)))
-                yield pa.RecordBatch.from_arrays([*(part.column(i + 1) for i in range(len(kept))), pa.array(found)], names)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), pa.array(found)], names)
 
     schema = ", ".join([*(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)), "score double"])
-    chosen = docs.select(F.col("text").cast("string").alias("whole"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)))
+    chosen = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), *whole)
     scored = chosen.mapInArrow(compute, schema)
     return scored.select(
         *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)),
