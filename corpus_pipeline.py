@@ -5,32 +5,53 @@ Each stage is one operator of the corpus subpackage over all that the stage befo
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import decontamination, pieces, simhash, suffix_dedup, toxicity
 from tallyhouse.llm.common import read_table, write_through
 
 
+#: Rows that go to a Python worker at once. Whole texts are long: the default of 10,000 rows holds tens of megabytes
+#: on both sides, in memory that neither side gives back between the stages.
+ROWS_AT_ONCE = 512
+
+
+def in_small_batches(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity model, learned from the labels, does not reject."""
     return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
+@in_small_batches
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
     return simhash.one_of_each(docs, words=3, distance=3)
 
 
+@in_small_batches
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the bytes of 400-byte strings that stand anywhere else."""
     return suffix_dedup.cut_texts(docs, length=400)
 
 
+@in_small_batches
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
     return decontamination.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, n_chars, round_trip of each document."""
     return pieces.encode_documents(docs)
