@@ -35,7 +35,16 @@ def is_filled(text: Column) -> Column:
 
 def whole_words(words: str) -> str:
     """A pattern for ``words`` between word boundaries."""
-    return rf"(?U)\b\Q{words}\E\b"
+    return rf"(?U)\b{_literal(words)}\b"
+
+
+def _literal(words: str) -> str:
+    """A pattern that fits just these characters; an end mark among them is quoted on its own."""
+    return r"\Q" + words.replace(r"\E", r"\E\\E\Q") + r"\E"
+
+
+def _literal_replacement(words: str) -> str:
+    return words.replace("\\", "\\\\").replace("$", "\\$")
 
 
 def replace_words(text: Column, replacements) -> Column:
@@ -43,8 +52,12 @@ def replace_words(text: Column, replacements) -> Column:
 
     Most texts hold none of the words, and then every rule leaves them as they are; one search finds that out.
     """
-    anywhere = r"(?U)\b(?:" + "|".join(rf"\Q{words}\E" for words, _ in replacements) + r")\b"
-    replaced = reduce(lambda out, rule: F.regexp_replace(out, whole_words(rule[0]), rule[1]), replacements, text)
+    anywhere = r"(?U)\b(?:" + "|".join(_literal(words) for words, _ in replacements) + r")\b"
+    replaced = reduce(
+        lambda out, rule: F.regexp_replace(out, F.lit(whole_words(rule[0])), F.lit(_literal_replacement(rule[1]))),
+        replacements,
+        text,
+    )
     return F.when(text.rlike(anywhere), replaced).otherwise(text)
 
 

@@ -22,7 +22,10 @@ def parser() -> argparse.ArgumentParser:
     for name in ("new", "customers", "costs-history", "costs-new", "family"):
         refresh.add_argument(f"--{name}")
     refresh.add_argument("--cutoff", default=rules.SALES_CUTOFF)
-    refresh.add_argument("--append", action="store_true", help="add the new sales to the history's folder")
+    refresh.add_argument(
+        "--append", action=argparse.BooleanOptionalAction, default=True,
+        help="add the new sales to the history's folder (default), or write a new version of the whole table",
+    )
     refresh.add_argument("--cost-year", type=int, default=rules.COST_YEAR)
 
     sellout = jobs.add_parser("sellout", help="the reports of the three retailers")
@@ -37,25 +40,40 @@ def parser() -> argparse.ArgumentParser:
     segments.add_argument("--customers", required=True)
     segments.add_argument("--as-of", help="date, today if not given")
     segments.add_argument("--channel", action="append", help="repeat for each; the default list if not given")
+    segments.add_argument("--all-customer-rows", action="store_true", help="keep every row of a tax id in the register")
+    segments.add_argument("--on-ties", choices=("compare", "error"), default="compare")
 
     for job in (refresh, sellout, segments):
+        job.add_argument("--sep", default=",", help="separator of delimited files")
+        job.add_argument("--encoding", default="UTF-8")
+        job.add_argument("--date-format", action="append", help="repeat for each; ISO if not given")
+        job.add_argument("--line-breaks", action="store_true", help="quoted cells may hold line breaks")
         job.add_argument("--out", required=True, help="a new folder for the results")
     return root
 
 
+def dialect_of(args: argparse.Namespace) -> readers.Dialect:
+    formats = tuple(args.date_format) if args.date_format else readers.PLAIN.date_formats
+    return readers.Dialect(args.sep, args.encoding, formats, args.line_breaks)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
+    dialect = dialect_of(args)
     if args.job == "refresh":
         inputs = (args.history, args.new, args.customers, args.costs_history, args.costs_new, args.family)
-        tables = catalog.load_sales_tables(spark, *inputs)
+        tables = catalog.load_sales_tables(spark, *inputs, dialect=dialect)
         append_to = args.history if args.append else None
         return runs.refresh_all(tables, args.out, args.cutoff, args.cost_year, inputs, append_to)
     if args.job == "sellout":
         files = dict(zip((key for key, _ in rules.RETAILERS), (args.chain, args.wholesale, args.pharmacy)))
-        tables = catalog.load_sellout_tables(spark, args.history, args.cities, args.folder, files)
+        tables = catalog.load_sellout_tables(spark, args.history, args.cities, args.folder, files, dialect)
         return runs.consolidate_sellout(tables, args.out, (args.history, args.cities))
-    sales, customers = (readers.read_table(spark, path) for path in (args.sales, args.customers))
+    sales, customers = (readers.read_table(spark, path, dialect=dialect) for path in (args.sales, args.customers))
     channels = tuple(args.channel) if args.channel else rules.CHANNELS
-    return runs.segment_customers(sales, customers, args.out, args.as_of, channels, (args.sales, args.customers))
+    return runs.segment_customers(
+        sales, customers, args.out, args.as_of, channels, (args.sales, args.customers), dialect.date_formats,
+        not args.all_customer_rows, args.on_ties,
+    )
 
 
 def main(arguments: list[str] | None = None) -> dict:

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyhouse import rules
 from tallyhouse.operators.columns import union_present
-from tallyhouse.operators.resume import resume_status
-from tallyhouse.plans import costs, customers, rfm, sales, weekly
-from tallyhouse.schemas import ROW_ORD
+from tallyhouse.operators.resume import resume_point
+from tallyhouse.functions import calendar
+from tallyhouse.operators.periods import unknown_months
+from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
+from tallyhouse.schemas import ROW_ORD, whole_number
 from tallyhouse.session import write_through
 from tallyhouse.sources import sinks
 from tallyhouse.sources.catalog import SalesTables, SellOutTables
@@ -26,11 +28,25 @@ def _rows(observation: Observation) -> int:
     return observation.get.get("rows", 0)
 
 
+def _rejected(df: DataFrame | None, name: str, out: str, inputs) -> int:
+    """Write rejects and count them; nothing for a source that has no text."""
+    if df is None:
+        return 0
+    counted, count = _counted(df, name)
+    sinks.write_parquet(counted, f"{out}/{name}", inputs)
+    return _rows(count)
+
+
 def cast_like(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Give the columns that both have the types of ``other``."""
+    """Give the columns that both have the types of ``other``; text becomes a whole number as the typing reads it."""
     kinds, own = {field.name: field.dataType for field in other.schema}, dict(df.dtypes)
     differing = [name for name in df.columns if name in kinds and own[name] != kinds[name].simpleString()]
-    return df.withColumns({name: F.col(f"`{name}`").cast(kinds[name]) for name in differing})
+
+    def cast(name):
+        value, kind = F.col(f"`{name}`"), kinds[name].simpleString()
+        return whole_number(value) if (own[name], kind) == ("string", "bigint") else value.cast(kind)
+
+    return df.withColumns({name: cast(name) for name in differing})
 
 
 def next_batch(new: DataFrame, history: DataFrame) -> DataFrame:
@@ -47,19 +63,21 @@ def refresh_sales(
 ) -> dict:
     """Append the new, enriched sales. Nothing is written when there is nothing new or the marker is missing.
 
-    By default a new version of the whole table is written. With ``append_to``, the folder of the history, only the new
-    rows are: the work of a refresh then grows with the export and not with the history.
+    With ``append_to``, the folder of the history, only the new rows are written: the work of a refresh then grows with
+    the export and not with the history. Without it a new version of the whole table is written.
     """
     if tables.new is None:
         return {"status": "no_file", "sales": tables.history}
     landed = write_through(next_batch(tables.new, tables.history), "landed")
     rule = sales.marker_rule()
-    status = resume_status(landed, tables.history, rule).first().asDict()
+    # found once: the plans below get the place and the date as literals, and do not search the history again
+    found = resume_point(landed, tables.history, rule)
+    status = {name: found[name] for name in ("status", "history_date", "marker_date", "new_rows")}
+    status["untyped"] = _rejected(tables.untyped, "sales_untyped", out, inputs)
+    status["dropped_columns"] = sales.dropped_columns(landed)
     if status["status"] != "new_rows":
         return {**status, "sales": tables.history}
-    fresh = sales.new_sales(landed, tables.history, rule)
-    if tables.untyped is not None:
-        sinks.write_parquet(tables.untyped, f"{out}/sales_untyped", inputs)
+    fresh = sales.after_point(landed, found)
     added, count = _counted(cast_like(sales.enrich_sales(fresh, cutoff), tables.history), "added")
     sinks.write_parquet(sales.without_units(fresh), f"{out}/sales_without_units", inputs)
     refreshed = union_present([tables.history, added])
@@ -92,7 +110,7 @@ def consolidate_costs(tables: SalesTables, out: str, year: int = rules.COST_YEAR
     result = costs.consolidate_costs(tables.costs_history, tables.costs_new, tables.family, year)
     result, count = _counted(result, "costs")
     sinks.write_parquet(result, f"{out}/costs", inputs)
-    return {"status": "ok", "rows": _rows(count)}
+    return {"status": "ok", "rows": _rows(count), "untyped": _rejected(tables.untyped_costs, "costs_untyped", out, inputs)}
 
 
 def refresh_all(
@@ -112,27 +130,46 @@ def refresh_all(
 def consolidate_sellout(tables: SellOutTables, out: str, inputs=()) -> dict:
     """The summary and the city table, each with the admitted reports appended."""
     reports = [report for report in tables.reports if report is not None]
-    # each report is read once: its detail is small, and mostly holds the total too
-    details = [write_through(report.detail, "detail") for report in reports]
-    summaries = [report.summary_of(detail) for report, detail in zip(reports, details)]
+    # each report is read once: its sums are small, and mostly hold the total too
+    sums = [write_through(report.sums, "detail") for report in reports]
+    details = [sellout.whole_units_of(rows) for rows in sums]
+    summaries = [report.summary_of(rows) for report, rows in zip(reports, sums)]
     sinks.write_parquet(union_present([tables.history, *summaries]), f"{out}/sellout", inputs)
     cities = union_present([tables.cities, *details])
     if cities is not None:
         sinks.write_parquet(cities, f"{out}/sellout_cities", inputs)
-    return {"reports": len(reports), "gate": [row.asDict() for row in tables.gate.collect()]}
+    late = union_present([sellout.other_months(rows) for report, rows in zip(reports, details) if report.client == rules.CHAIN])
+    return {
+        "reports": len(reports),
+        "gate": [row.asDict() for row in tables.gate.collect()],
+        "failures": tables.failures,
+        "untyped": {key: _rejected(df, f"untyped_{key.lower()}", out, inputs) for key, df in tables.rejects.items()},
+        "other_months": _rejected(late, "other_months", out, inputs),
+        "unknown_months": _rejected(unknown_months(tables.history), "unknown_months", out, inputs),
+    }
 
 
 def segment_customers(
-    raw_sales: DataFrame, raw_customers: DataFrame, out: str, as_of: str | None = None, channels=rules.CHANNELS, inputs=()
+    raw_sales: DataFrame,
+    raw_customers: DataFrame,
+    out: str,
+    as_of: str | None = None,
+    channels=rules.CHANNELS,
+    inputs=(),
+    formats=calendar.ISO,
+    one_per_tax_id: bool = True,
+    on_ties: str = "compare",
 ) -> dict:
-    """The segments as Parquet and as text, and the sales without a customer name with their number and revenue."""
-    clean, register = rfm.clean_sales(raw_sales), rfm.clean_customers(raw_customers)
+    """The segments as Parquet and as text; the sales without a customer name, with their number and revenue; and the
+    sales whose date or amount cannot be read."""
+    clean = write_through(rfm.clean_sales(raw_sales, formats), "clean_sales")
+    register = write_through(rfm.clean_customers(raw_customers, one_per_tax_id), "register")
     unmatched = Observation("unmatched")
     rejects = rfm.unmatched_customers(clean, register).observe(
         unmatched, F.count(F.lit(1)).alias("rows"), F.sum(rfm.cents(F.col("valor_bruto_local"))).alias("cents")
     )
     sinks.write_parquet(rejects, f"{out}/sales_without_customer", inputs)
-    segments, count = _counted(rfm.rfm_segments(rfm.daily_revenue_of(clean, register), as_of, channels), "segments")
+    segments, count = _counted(rfm.rfm_segments(rfm.daily_revenue_of(clean, register), as_of, channels, on_ties), "segments")
     sinks.write_parquet(segments, f"{out}/segments", inputs)
     written = segments.sparkSession.read.schema(segments.schema).parquet(f"{out}/segments")
     sinks.write_csv(written, f"{out}/segments_csv", inputs)
@@ -140,4 +177,5 @@ def segment_customers(
         "segments": _rows(count),
         "sales_without_customer": _rows(unmatched),
         "revenue_without_customer": (unmatched.get.get("cents") or 0) / 100,
+        "untyped": _rejected(rfm.untyped_sales(raw_sales, formats), "sales_untyped", out, inputs),
     }

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.text import canonical_key
+
+# the cast to double would read the suffixes d and f, and words such as Infinity, as well
+_WHOLE = r"^[+-]?\d{1,18}$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
 from tallyhouse.operators.columns import column, drop_all_null_columns, drop_all_null_rows, normalize_headers, tidy_name
 
 
@@ -19,15 +23,16 @@ def clean_cells(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def number_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """A text column becomes a number if each of its values is one: whole numbers if all are whole.
 
-    The types of a plan must be known before it runs, so this runs one aggregate, of one row.
+    A number has a sign, digits, a point and an exponent. The types of a plan must be known before it runs, so this
+    runs one aggregate, of one row.
     """
     names = [name for name, kind in df.dtypes if kind == "string" and name not in keep]
     if not names:
         return df
     fits = [
-        F.bool_and(column(df, name).isNull() | column(df, name).try_cast(kind).isNotNull()).alias(f"{kind}{i}")
+        F.bool_and(column(df, name).isNull() | column(df, name).rlike(pattern)).alias(f"{kind}{i}")
         for i, name in enumerate(names)
-        for kind in ("bigint", "double")
+        for kind, pattern in (("bigint", _WHOLE), ("double", _NUMBER))
     ]
     filled = [F.bool_or(column(df, name).isNotNull()).alias(f"filled{i}") for i, name in enumerate(names)]
     seen = df.agg(*fits, *filled).first()

@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from tallyhouse.session import write_through
 
 BITS = 16
-FEW_ROWS = 1 << 20
-FEW_GROUPS = 1000
 _SLICE_BITS = 33  # monotonically_increasing_id: the task number sits above 33 bits of position
 
 
@@ -32,16 +30,11 @@ def sort_once(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     return write_through(df.orderBy(group, *order).withColumn("_seq", F.monotonically_increasing_id()), "sorted")
 
 
-def groups_are_few(df: DataFrame, group: str, limit: int = FEW_GROUPS) -> bool:
-    """Measure whether what is kept per group may be broadcast."""
-    return df.select(group).distinct().limit(limit + 1).count() <= limit
-
-
-def rank_sorted(ordered: DataFrame, group: str, bounded_groups: bool = False) -> DataFrame:
+def rank_sorted(ordered: DataFrame, group: str) -> DataFrame:
     """Add ``rank`` 1..n per group to the rows of ``sort_once``.
 
-    ``bounded_groups`` says that the groups are few, by a given list or by ``groups_are_few``; the counts are then
-    broadcast. The sort is by group first, so they are at most one row per sorting task and one per group.
+    The sort is by group first, so there is at most one count per sorting task and one per group; AQE, which knows their
+    size, chooses the join.
     """
     placed = ordered.withColumn("_task", F.shiftright("_seq", _SLICE_BITS))
     slices = placed.groupBy(group, "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first"))
@@ -49,42 +42,33 @@ def rank_sorted(ordered: DataFrame, group: str, bounded_groups: bool = False) ->
     offsets = slices.select(
         group, "_task", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
-    offsets = F.broadcast(offsets) if bounded_groups else offsets
     ranked = placed.join(offsets, [group, "_task"])
     return ranked.withColumn("rank", F.col("_seq") + F.col("_shift")).drop("_seq", "_task", "_shift")
 
 
-def rank_in_group(df: DataFrame, group: str, order: list[str], bounded_groups: bool = False) -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Add ``rank`` 1..n per group by ``order``, which must be unique per group."""
-    return rank_sorted(sort_once(df, group, order), group, bounded_groups)
+    return rank_sorted(sort_once(df, group, order), group)
 
 
-def order_statistics(
-    df: DataFrame,
-    group: str,
-    values: list[str],
-    parts: int = 5,
-    bounded_groups: bool = False,
-    few_rows: int = FEW_ROWS,
-) -> DataFrame:
+def order_statistics(df: DataFrame, group: str, values: list[str], parts: int = 5) -> DataFrame:
     """The order statistics that ``parts`` quantiles need, exactly, for integer columns.
 
     ``df`` is read once per pass and once for its extremes, so it should be a written table.
 
     One row per group, column and cut ``k`` = 0 .. parts, with linear interpolation at position (n-1)k/parts:
     ``low`` and ``high`` are the values around it, ``n`` the count, ``remainder`` of ``parts`` the way between them.
-    A pass counts at most 2**16 buckets per group, column and wanted bucket, whatever the number of rows; a table of
-    few rows takes one pass over its distinct values.
+    A pass counts at most 2**16 buckets per group, column and wanted bucket, whatever the number of rows; the width of
+    the values alone decides how many passes there are.
     """
     floors = df.agg(
-        F.count(F.lit(1)).alias("rows"),
         *[F.min(v).alias(f"min_{i}") for i, v in enumerate(values)],
         *[F.max(v).alias(f"max_{i}") for i, v in enumerate(values)],
     ).first()
     count = len(values)
     lows = [floors[f"min_{i}"] or 0 for i in range(count)]
     widest = max((floors[f"max_{i}"] or 0) - lows[i] for i in range(count))
-    passes = 1 if floors["rows"] <= few_rows else max(1, -(-int(widest).bit_length() // BITS))
+    passes = max(1, -(-int(widest).bit_length() // BITS))
 
     long = df.select(
         F.col(group),
@@ -101,10 +85,9 @@ def order_statistics(
             inside = Window.partitionBy(group, "measure")
         else:
             prefix = F.shiftright("value", below + BITS)
-            chosen = F.broadcast(wanted) if bounded_groups else wanted
             counts = (
                 long.withColumn("prefix", prefix)
-                .join(chosen, [group, "measure", "prefix"])
+                .join(wanted, [group, "measure", "prefix"])
                 .groupBy(group, "measure", "prefix", "targets", bucket.alias("bucket"))
                 .agg(F.count(F.lit(1)).alias("rows"))
             )

@@ -64,6 +64,16 @@ def rows_after_marker(new: DataFrame, history: DataFrame, rule: ResumeRule) -> D
     return at_or_after_history(new, history, rule.date).filter(F.col(rule.order) > place)
 
 
+def resume_point(new: DataFrame, history: DataFrame, rule: ResumeRule) -> dict:
+    """``resume_status`` as a dictionary, with ``place`` and ``newest`` (the history's date): one row, read here.
+
+    Place and date are small and fixed from now on, so that later plans take them as literals.
+    """
+    place = marker_place(new, history, rule).scalar()
+    status = resume_status(new, history, rule)
+    return status.select("*", place.alias("place"), F.col("history_date").alias("newest")).first().asDict(recursive=True)
+
+
 def resume_status(new: DataFrame, history: DataFrame, rule: ResumeRule) -> DataFrame:
     """One row: ``status`` (marker_missing, nothing_new, new_rows), both dates and the number of new rows."""
     date = F.col(f"`{rule.date}`")

@@ -12,20 +12,13 @@ from pyspark.sql import functions as F
 
 from tallyhouse import rules
 from tallyhouse.functions import calendar
-from tallyhouse.functions.text import decimal_comma, tax_id_root
+from tallyhouse.functions.text import decimal_comma, is_filled, tax_id_root
 from tallyhouse.operators.columns import complete, normalize_headers, rename_by_position
 from tallyhouse.operators.dedup import distinct_rows, first_by_key
 from tallyhouse.operators.lookup import exclude_values, left_lookup
-from tallyhouse.operators.ranking import (
-    FEW_GROUPS,
-    groups_are_few,
-    order_statistics,
-    rank_in_group,
-    rank_sorted,
-    sort_once,
-)
+from tallyhouse.operators.ranking import order_statistics, rank_in_group, rank_sorted, sort_once
 from tallyhouse.plans.sales import as_moment
-from tallyhouse.schemas import ROW_ORD, require_columns
+from tallyhouse.schemas import ROW_ORD, require_columns, untyped_rows
 from tallyhouse.session import write_through
 
 PARTS = 5
@@ -38,20 +31,29 @@ def cents(value: Column) -> Column:
     return (value.cast("decimal(18,2)") * 100).cast("bigint")
 
 
-def clean_sales(sales: DataFrame) -> DataFrame:
-    """Plain headers, tax id root, amounts with a decimal comma, dates."""
+def clean_sales(sales: DataFrame, formats=calendar.ISO) -> DataFrame:
+    """Plain headers, tax id root, amounts with a decimal comma, dates of the given formats."""
     plain = require_columns(normalize_headers(sales), ["nit", "referencia", "linea_de_mercado", "fecha"])
     amount = "valor_bruto_local"
-    values = {"nit": tax_id_root(F.col("nit")), "fecha": as_moment(plain, "fecha")}
+    values = {"nit": tax_id_root(F.col("nit")), "fecha": as_moment(plain, "fecha", formats)}
     if amount in plain.columns and dict(plain.dtypes)[amount] == "string":
         values[amount] = decimal_comma(F.col(amount))
     return plain.withColumns(values)
 
 
+def untyped_sales(sales: DataFrame, formats=calendar.ISO) -> DataFrame:
+    """The raw sales with a filled date or amount that ``clean_sales`` cannot read."""
+    plain = normalize_headers(sales)
+    read = {"fecha": "timestamp_ntz", "valor_bruto_local": "decimal(18,2)"}
+    kinds = dict(plain.dtypes)
+    return untyped_rows(plain, {name: kind for name, kind in read.items() if kinds.get(name) == "string"}, formats)
+
+
 def clean_customers(customers: DataFrame, one_per_tax_id: bool = True) -> DataFrame:
     """Tax id root and name, three columns by position (and the row order, if there).
 
-    By default one row per tax id, the first one, so that the join cannot multiply sales; else only whole-row copies go.
+    By default one row per tax id, the first one with a name (or the first, if none has one), so that the join cannot
+    multiply sales; else only whole-row copies go.
     """
     ordered = ROW_ORD in customers.columns
     body = [name for name in customers.columns if name != ROW_ORD]
@@ -62,7 +64,8 @@ def clean_customers(customers: DataFrame, one_per_tax_id: bool = True) -> DataFr
     ).withColumn("nit", tax_id_root(F.col("nit")))
     if one_per_tax_id:
         by = F.col(ROW_ORD) if ordered else F.struct("tipo_identificacion", "razon_social")
-        return first_by_key(plain, ["nit"], by).select("nit", "razon_social")
+        named_first = F.struct((~is_filled(F.col("razon_social"))).alias("unnamed"), by.alias("place"))
+        return first_by_key(plain, ["nit"], named_first).select("nit", "razon_social")
     return distinct_rows(plain.select(*CUSTOMER_COLUMNS)).drop("tipo_identificacion")
 
 
@@ -129,10 +132,10 @@ def rfm_metrics(daily: DataFrame, as_of: str | date | datetime | None = None, ch
     return grouped.select("canal", "customer_id", days.alias("recency_days"), "purchase_dates", "cents")
 
 
-def quintile_cuts(metrics: DataFrame, bounded: bool = True) -> DataFrame:
+def quintile_cuts(metrics: DataFrame) -> DataFrame:
     """The cuts ``k`` = 1 .. 4 per channel and measure, with linear interpolation between neighbours."""
     written = write_through(metrics.select("canal", "recency_days", "cents"), "metrics")
-    found = order_statistics(written, "canal", ["recency_days", "cents"], PARTS, bounded).filter(
+    found = order_statistics(written, "canal", ["recency_days", "cents"], PARTS).filter(
         F.col("k").between(1, PARTS - 1)
     )
     fifths = F.col("low") * (PARTS - F.col("remainder")) + F.col("high") * F.col("remainder")
@@ -149,14 +152,14 @@ def quintile_cuts(metrics: DataFrame, bounded: bool = True) -> DataFrame:
     return found.select("canal", F.inline(cuts))
 
 
-def frequency_rank(metrics: DataFrame, bounded: bool = True) -> DataFrame:
+def frequency_rank(metrics: DataFrame) -> DataFrame:
     """Rank of each customer in its channel by purchase dates, equal counts in the order of the customer id."""
-    return rank_in_group(metrics, "canal", FREQUENCY_ORDER, bounded)
+    return rank_in_group(metrics, "canal", FREQUENCY_ORDER)
 
 
-def _cut_table(metrics: DataFrame, bounded: bool) -> DataFrame:
+def _cut_table(metrics: DataFrame) -> DataFrame:
     """One row per channel: the customers, and for each measure the edges 0 .. 5 as arrays (low values, exact edges)."""
-    found = order_statistics(metrics, "canal", ["recency_days", "cents"], PARTS, bounded)
+    found = order_statistics(metrics, "canal", ["recency_days", "cents"], PARTS)
     fifths = F.col("low") * (PARTS - F.col("remainder")) + F.col("high") * F.col("remainder")
 
     def edges(measure: str, value: Column):
@@ -172,17 +175,16 @@ def _cut_table(metrics: DataFrame, bounded: bool) -> DataFrame:
     )
 
 
-def rfm_scores(metrics: DataFrame, on_ties: str = "compare", bounded: bool | None = None) -> DataFrame:
+def rfm_scores(metrics: DataFrame, on_ties: str = "compare") -> DataFrame:
     """Scores 1..5 per channel and customer.
 
     A score counts the cuts below the value. A cut lies between two neighbouring values, so a value is above the cut
     exactly when it is above the lower neighbour; no fraction is needed. Frequency is scored by rank, recency in reverse.
-    ``on_ties="error"`` fails where two edges of a channel are equal. ``bounded`` says that the channels are few; None
-    measures it.
+    ``on_ties="error"`` fails where two edges of a channel are equal.
     """
     ordered = sort_once(metrics, "canal", FREQUENCY_ORDER)
-    bounded = groups_are_few(ordered, "canal") if bounded is None else bounded
-    ranked, cuts = rank_sorted(ordered, "canal", bounded), _cut_table(ordered, bounded)
+    # written, so that the join with a hot channel reads a plain exchange, which AQE splits or replaces by a broadcast
+    ranked, cuts = rank_sorted(ordered, "canal"), write_through(_cut_table(ordered), "cuts")
     if on_ties == "error":
         tied = F.lit(False)
         for k in range(PARTS):
@@ -191,7 +193,7 @@ def rfm_scores(metrics: DataFrame, on_ties: str = "compare", bounded: bool | Non
             tied = tied | (F.col("n") == 1)
         checked = F.when(tied, F.raise_error(F.concat(F.lit("equal quintile edges in channel "), "canal")))
         cuts = cuts.withColumn("n", F.coalesce(checked.cast("bigint"), F.col("n")))
-    scored = ranked.join(F.broadcast(cuts) if bounded else cuts, "canal")
+    scored = ranked.join(cuts, "canal")
 
     def above(conditions: list[Column]) -> Column:
         return sum((condition.cast("int") for condition in conditions[1:]), conditions[0].cast("int"))
@@ -221,8 +223,7 @@ def rfm_segments(
     daily: DataFrame, as_of: str | date | datetime | None = None, channels=rules.CHANNELS, on_ties: str = "compare"
 ) -> DataFrame:
     """The result table: one row per channel and customer, amounts in thousands."""
-    listed = True if channels is not None and len(channels) <= FEW_GROUPS else None
-    scores = rfm_scores(rfm_metrics(daily, as_of, channels), on_ties, bounded=listed)
+    scores = rfm_scores(rfm_metrics(daily, as_of, channels), on_ties)
     amount = F.col("cents") / F.lit(float(CENTS_PER_THOUSAND))
     return scores.select(
         F.col("customer_id").alias("id_cliente"),

@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 
 from tallyhouse import rules
 from tallyhouse.functions import calendar, products
-from tallyhouse.functions.text import canonical_key, decimal_comma, strip
+from tallyhouse.functions.text import canonical_key, decimal_comma
 from tallyhouse.operators.columns import column, insert_column, select_names, union_present
 from tallyhouse.operators.resume import ResumeRule, rows_after_marker
-from tallyhouse.schemas import ROW_ORD, require_columns
-from tallyhouse.session import write_through
+from tallyhouse.schemas import ROW_ORD, require_columns, whole_number
 
+# the columns of an export that are kept; later ones go (``dropped_columns`` names them)
 KEPT_COLUMNS = 12
 PACK, PRODUCT, SOLD = "Cantidades", "Producto", "Cantidad inv.sell_Int"
 TYPED_KEYS = ("Fecha", "Cantidad inv.", "Valor bruto local")
-DICTIONARY_ROWS = 1_000_000
-DICTIONARY_BYTES = 128 << 20
 DESCRIPTION = "Desc.item"
 
 
@@ -40,7 +38,8 @@ def _description(df: DataFrame) -> str:
 
 
 def whole_units(sales: DataFrame, name: str = "Cantidad inv.") -> Column:
-    return strip(column(sales, name).cast("string")).try_cast("bigint")
+    """Units as the history reads them, so that marker, rejects and typing agree."""
+    return whole_number(column(sales, name))
 
 
 def without_units(sales: DataFrame) -> DataFrame:
@@ -48,39 +47,38 @@ def without_units(sales: DataFrame) -> DataFrame:
     return sales.filter(whole_units(sales).isNull())
 
 
-def describe(sales: DataFrame, product_rules: rules.ProductRules, dictionary_rows: int) -> DataFrame:
-    """Add pack and product.
+def describe(sales: DataFrame, product_rules: rules.ProductRules) -> DataFrame:
+    """Add pack and product: one projection, a row at a time, for tables and streams alike.
 
-    A catalogue has far fewer descriptions than there are sales, and the word rules are some thirty searches per text.
-    So the rules run once per distinct description, into a written table, which is broadcast if it has no more than
-    ``dictionary_rows`` rows and ``DICTIONARY_BYTES`` of text; beyond, the rules run on every row. 0 skips the table.
+    A join with the distinct descriptions would run the rules less often, but reads the sales twice and shuffles them
+    by a key that a few products dominate. The rules look for any of their words first, which most texts do not hold.
     """
-    if dictionary_rows > 0:
-        texts = sales.select(column(sales, DESCRIPTION).alias("_text")).filter("_text is not null").distinct()
-        known = write_through(products.with_pack_and_product(texts, "_text", PACK, PRODUCT, product_rules), "products")
-        size = known.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("_text")).alias("bytes")).first()
-        if size["rows"] <= dictionary_rows and (size["bytes"] or 0) <= DICTIONARY_BYTES:
-            joined = sales.join(F.broadcast(known), column(sales, DESCRIPTION) == known["_text"], "left").drop("_text")
-            return joined.withColumn(PACK, F.coalesce(PACK, F.lit(rules.MISSING_PACK)))
     return products.with_pack_and_product(sales, DESCRIPTION, PACK, PRODUCT, product_rules)
 
 
+def dropped_columns(sales: DataFrame, keep: int = KEPT_COLUMNS) -> list[str]:
+    """The columns of an export that the enrichment leaves out."""
+    body = [name for name in sales.columns if name != ROW_ORD]
+    return body[keep - 1 :]
+
+
 def enrich_sales(
     sales: DataFrame,
     cutoff: str = rules.SALES_CUTOFF,
     product_rules: rules.ProductRules = rules.ProductRules(),
-    dictionary_rows: int = DICTIONARY_ROWS,
+    keep: int = KEPT_COLUMNS,
+    formats=calendar.ISO,
 ) -> DataFrame:
     """Brand, pack size, normalised product and units in pieces for the rows after the cutoff.
 
-    The first columns of the file are kept as they are, with an empty identification type in the fourth place.
-    Rows without whole units are left out; see ``without_units``.
+    The first ``keep`` columns are kept as they are, counting an empty identification type in the fourth place.
+    Rows without whole units are left out; see ``without_units``. ``formats`` reads dates that are still text.
     """
     require_columns(sales, ["Fecha", _description(sales), "Cantidad inv.", "Razon social", "Marca"])
-    recent = after_cutoff(sales.withColumn("Fecha", as_moment(sales, "Fecha")), cutoff)
+    recent = after_cutoff(sales.withColumn("Fecha", as_moment(sales, "Fecha", formats)), cutoff)
     recent = recent.filter(whole_units(recent).isNotNull()).withColumnsRenamed({"Desc. item": DESCRIPTION})
     body = recent.drop(ROW_ORD)
-    kept = insert_column(body, 3, "Tipo de identificacion", F.lit(None).cast("string"), keep=KEPT_COLUMNS).columns
+    kept = insert_column(body, 3, "Tipo de identificacion", F.lit(None).cast("string"), keep=keep).columns
     order = [ROW_ORD] if ROW_ORD in recent.columns else []
 
     branded = recent.withColumns(
@@ -89,7 +87,7 @@ def enrich_sales(
             "Tipo de identificacion": F.lit(None).cast("string"),
         }
     )
-    described = describe(branded, product_rules, dictionary_rows)
+    described = describe(branded, product_rules)
     units = products.sold_units(
         whole_units(described), F.col("Razon social"), F.col("Marca"), F.col(PACK), product_rules.pack_rule
     )
@@ -131,6 +129,14 @@ def new_sales(new: DataFrame, history: DataFrame, rule: ResumeRule | None = None
     return rows_after_marker(new, history, rule or marker_rule()).withColumnsRenamed({"EAN 13": "EAN"})
 
 
+def after_point(new: DataFrame, point: dict) -> DataFrame:
+    """``new_sales`` from a place that ``resume_point`` has found."""
+    place, order = point["place"], new.schema[ROW_ORD].dataType
+    known = F.struct(*[F.lit(place[f.name]).cast(f.dataType).alias(f.name) for f in order]) if isinstance(place, dict) else F.lit(place)
+    later = new.filter((F.col("Fecha") >= F.lit(point["newest"])) & (F.col(ROW_ORD) > known))
+    return later.withColumnsRenamed({"EAN 13": "EAN"})
+
+
 def refresh_sales(new: DataFrame, history: DataFrame, cutoff: str = rules.SALES_CUTOFF, **options) -> DataFrame:
     """The history with the enriched new rows appended, by column name."""
     return union_present([history, enrich_sales(new_sales(new, history), cutoff, **options)])

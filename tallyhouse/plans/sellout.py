@@ -16,6 +16,7 @@ from tallyhouse.operators.reshape import filled_ids, nonzero, value_of_month
 from tallyhouse.plans.sales import as_moment
 from tallyhouse.schemas import require_columns
 
+UNITS = "decimal(28,6)"
 CITY_KEYS = ["EAN", "cliente", "Mes", "año", "Tienda", "Ciudad", "Descripcion"]
 
 
@@ -59,24 +60,31 @@ class SellOut:
     period: Period
 
     @property
-    def detail(self) -> DataFrame:
-        """Units by product, store and city."""
+    def sums(self) -> DataFrame:
+        """Units by product, store and city, with their fractions."""
+        units = F.col("Unidades").cast(UNITS)
         grouped = self.keyed.groupBy(*[F.col(f"`{key}`") for key in CITY_KEYS]).agg(
-            F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")
+            F.coalesce(F.sum(units), F.lit(0)).cast(UNITS).alias("Unidades")
         )
         return grouped.withColumn("NumMes", F.lit(self.period.month))
 
+    @property
+    def detail(self) -> DataFrame:
+        """Whole units by product, store and city."""
+        return whole_units_of(self.sums)
+
     @property
     def summary(self) -> DataFrame:
         """One row: the units of the period."""
         return self._total(self.rows)
 
-    def summary_of(self, detail: DataFrame) -> DataFrame:
-        """The summary out of a written detail, where it holds all rows that count; else out of the report."""
-        return self._total(detail) if self.rows is self.keyed else self.summary
+    def summary_of(self, sums: DataFrame) -> DataFrame:
+        """The summary out of the written sums, where they hold all rows that count; else out of the report."""
+        return self._total(sums) if self.rows is self.keyed else self.summary
 
     def _total(self, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.coalesce(F.sum("Unidades"), F.lit(0)).cast("bigint").alias("Unidades")).select(
+        units = F.sum(F.col("Unidades").cast(UNITS))
+        return rows.agg(F.coalesce(units, F.lit(0)).cast("bigint").alias("Unidades")).select(
             F.lit(self.period.code).alias("Mes"),
             F.lit(self.period.year).alias("año"),
             F.lit(self.client).alias("cliente"),
@@ -85,6 +93,10 @@ class SellOut:
         )
 
 
+def whole_units_of(sums: DataFrame) -> DataFrame:
+    return sums.withColumn("Unidades", F.col("Unidades").cast("bigint"))
+
+
 def _rows(df: DataFrame, **values: Column) -> DataFrame:
     return df.select(*[values[name].alias(name) for name in CITY_KEYS + ["Unidades"]])
 

@@ -112,13 +112,17 @@ def typed_value(column: Column, type_name: str, date_formats=calendar.ISO) -> Co
     if type_name.startswith("decimal"):
         return F.replace(text.strip(column), F.lit(","), F.lit(".")).try_cast(type_name)
     if type_name == "bigint":
-        # sheets write whole numbers as 4.0 too
-        number = text.strip(column).try_cast("decimal(28,6)")
-        whole = F.when(number == F.floor(number), number.cast("bigint"))
-        return F.coalesce(text.strip(column).try_cast("bigint"), whole)
+        return whole_number(column)
     return text.strip(column).try_cast(type_name)
 
 
+def whole_number(cell: Column) -> Column:
+    """A whole number, also as sheets write it (``4.0``); null for a fraction and for what is no number."""
+    stripped = text.strip(cell.cast("string"))
+    number = stripped.try_cast("decimal(28,6)")
+    return F.coalesce(stripped.try_cast("bigint"), F.when(number == F.floor(number), number.cast("bigint")))
+
+
 def apply_types(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO) -> DataFrame:
     """Type the columns of ``schema`` in one projection; other columns pass."""
     require_columns(df, schema)
@@ -132,9 +136,13 @@ def apply_types(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO
 
 def untyped_rows(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO) -> DataFrame:
     """The rows with a filled cell that does not fit its type: the rejects of the typing step."""
+    return df.filter(untyped_cell(df, schema, date_formats))
+
+
+def untyped_cell(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO) -> Column:
     bad = F.lit(False)
     for name, type_name in schema.items():
         if type_name != "string":
             cell = df[f"`{name}`"]
             bad = bad | (text.is_filled(cell) & typed_value(cell, type_name, date_formats).isNull())
-    return df.filter(bad)
+    return bad

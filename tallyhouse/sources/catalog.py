@@ -26,6 +26,7 @@ class SalesTables:
     costs_new: DataFrame | None
     family: DataFrame | None
     untyped: DataFrame | None = None
+    untyped_costs: DataFrame | None = None
 
 
 def load_sales_tables(
@@ -36,15 +37,17 @@ def load_sales_tables(
     costs_history: str | None = None,
     costs_new: str | None = None,
     family: str | None = None,
+    dialect: readers.Dialect = readers.PLAIN,
 ) -> SalesTables:
     return SalesTables(
-        readers.read_table(spark, history, _sales_types()),
-        readers.read_optional(spark, new, _sales_types(rejected_later=("Cantidad inv.",))),
-        readers.read_optional(spark, customers),
-        readers.read_optional(spark, costs_history, schemas.COSTS_HISTORY),
-        readers.read_optional(spark, costs_new, schemas.COSTS_NEW),
-        readers.read_optional(spark, family, {"Referencia": "string"}),
-        readers.read_untyped(spark, new, _sales_types(rejected_later=("Cantidad inv.",))),
+        readers.read_table(spark, history, _sales_types(), dialect=dialect),
+        readers.read_optional(spark, new, _sales_types(rejected_later=("Cantidad inv.",)), dialect),
+        readers.read_optional(spark, customers, dialect=dialect),
+        readers.read_optional(spark, costs_history, schemas.COSTS_HISTORY, dialect),
+        readers.read_optional(spark, costs_new, schemas.COSTS_NEW, dialect),
+        readers.read_optional(spark, family, {"Referencia": "string"}, dialect),
+        readers.read_untyped(spark, new, _sales_types(rejected_later=("Cantidad inv.",)), dialect),
+        readers.read_untyped(spark, costs_new, schemas.COSTS_NEW, dialect),
     )
 
 
@@ -62,17 +65,25 @@ class SellOutTables:
     cities: DataFrame | None
     gate: DataFrame
     reports: list[sellout.SellOut | None]
+    rejects: dict[str, DataFrame]
+    failures: dict[str, str]
 
 
 def load_sellout_tables(
-    spark: SparkSession, history: str, cities: str | None, folder: str, files: dict[str, str | None]
+    spark: SparkSession,
+    history: str,
+    cities: str | None,
+    folder: str,
+    files: dict[str, str | None],
+    dialect: readers.Dialect = readers.PLAIN,
 ) -> SellOutTables:
     """``files`` maps the retailer keys to file names in ``folder``.
 
     The gate decides what is read, so its result, one row per retailer, is read here. A report is known by the name
-    without the workbook ending, as text or Parquet.
+    without the workbook ending, as text or Parquet. A report that is not there, lacks columns or has a header that
+    cannot be read is left out, with the reason in ``failures``; the others go on.
     """
-    past = readers.read_table(spark, history, schemas.SELLOUT_HISTORY)
+    past = readers.read_table(spark, history, schemas.SELLOUT_HISTORY, dialect=dialect)
     named = [(key, files.get(key)) for key, _ in rules.RETAILERS]
     landed = spark.createDataFrame(named, "client_key string, file_name string")
     gate = period_gate(landed.withColumn("file_name", _workbook_name()), past)
@@ -85,15 +96,43 @@ def load_sellout_tables(
         month = rules.MONTH_CODES.index(verdict.expected_month) + 1
         return f"{folder.rstrip('/')}/{files[key]}", sellout.Period(verdict.expected_year, month)
 
-    chain, chain_period = admitted(CHAIN_KEY)
-    matrix, matrix_period = admitted(WHOLESALE_KEY)
-    pharmacy, pharmacy_period = admitted(PHARMACY_KEY)
-    reports = [
-        sellout.chain(readers.read_optional(spark, chain, schemas.SELLOUT_CHAIN), chain_period),
-        sellout.wholesale(readers.read_month_matrix(spark, matrix) if matrix else None, matrix_period),
-        sellout.pharmacy(readers.read_optional(spark, pharmacy, schemas.SELLOUT_PHARMACY), pharmacy_period),
-    ]
-    return SellOutTables(past, readers.read_optional(spark, cities, schemas.SELLOUT_CITY), gate, reports)
+    rejects: dict[str, DataFrame | None] = {}
+    failures: dict[str, str] = {}
+
+    def typed(schema, plan):
+        def load(key, path, period):
+            rejects[key] = readers.read_untyped(spark, path, schema, dialect)
+            return plan(readers.read_table(spark, path, schema, dialect=dialect), period)
+
+        return load
+
+    def matrix(key, path, period):
+        rows, rejects[key] = readers.read_month_matrix(spark, path, dialect=dialect)
+        return sellout.wholesale(rows, period)
+
+    # units with fractions are summed with them, as the reports count
+    units = {"Unidades": "decimal(28,6)"}
+    loaders = {
+        CHAIN_KEY: typed(schemas.SELLOUT_CHAIN | units, sellout.chain),
+        WHOLESALE_KEY: matrix,
+        PHARMACY_KEY: typed(schemas.SELLOUT_PHARMACY | {"UNIDADES_VENDIDAS": "decimal(28,6)"}, sellout.pharmacy),
+    }
+    reports = []
+    for key, load in loaders.items():
+        path, period = admitted(key)
+        if path is None:
+            continue
+        if not readers.exists(spark, path):
+            failures[key] = "no such file"
+            continue
+        try:
+            reports.append(load(key, path, period))
+        except (schemas.MissingColumns, readers.UnreadableMatrix) as error:
+            rejects.pop(key, None)
+            failures[key] = str(error)
+    kept = {key: df for key, df in rejects.items() if df is not None}
+    past_cities = readers.read_optional(spark, cities, schemas.SELLOUT_CITY, dialect)
+    return SellOutTables(past, past_cities, gate, reports, kept, failures)
 
 
 def _workbook_name() -> Column:

@@ -8,17 +8,40 @@ known only while the file is read, so the landing step writes the rows once.
 from __future__ import annotations
 
 import csv
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import rules, schemas
+from tallyhouse.functions import calendar, text
 from tallyhouse.operators.reshape import LEVEL
 from tallyhouse.schemas import ROW_ORD
 
 TEXT_ENDINGS = (".csv", ".txt")
 
 
+class UnreadableMatrix(ValueError):
+    """A month matrix whose files differ in their header lines."""
+
+
+@dataclass(frozen=True)
+class Dialect:
+    """How delimited files are written. ``line_breaks`` reads line breaks in quoted cells, a file in one task."""
+
+    sep: str = ","
+    encoding: str = "UTF-8"
+    date_formats: tuple[str, ...] = calendar.ISO
+    line_breaks: bool = False
+
+    def reader(self, spark: SparkSession):
+        options = spark.read.option("header", True).option("sep", self.sep).option("encoding", self.encoding)
+        return options.option("multiLine", self.line_breaks).option("escape", '"')
+
+
+PLAIN = Dialect()
+
+
 def _row_ord(batch: int, block: Column, place: Column) -> Column:
     return F.struct(
         F.lit(batch).cast("bigint").alias("batch"),
@@ -32,18 +55,18 @@ def _as_list(df: DataFrame) -> list[Column]:
     return [df[f"`{name}`"] for name in df.columns]
 
 
-def read_text_table(spark: SparkSession, path: str, batch: int = 0, sep: str = ",") -> DataFrame:
+def read_text_table(spark: SparkSession, path: str, batch: int = 0, dialect: Dialect = PLAIN) -> DataFrame:
     """A delimited file with a header line: every cell as text, and ``row_ord``."""
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
+    raw = dialect.reader(spark).csv(path)
     place = _row_ord(batch, F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     return raw.select(*_as_list(raw), place.alias(ROW_ORD))
 
 
 def read_typed(
-    spark: SparkSession, path: str, schema: dict[str, str], batch: int = 0, sep: str = ",", **options
+    spark: SparkSession, path: str, schema: dict[str, str], batch: int = 0, dialect: Dialect = PLAIN
 ) -> DataFrame:
     """A delimited file, its cells typed by ``schema``; other columns stay text."""
-    return schemas.apply_types(read_text_table(spark, path, batch, sep), schema, **options)
+    return schemas.apply_types(read_text_table(spark, path, batch, dialect), schema, dialect.date_formats)
 
 
 def read_parquet(spark: SparkSession, path: str, batch: int = 0) -> DataFrame:
@@ -55,23 +78,35 @@ def read_parquet(spark: SparkSession, path: str, batch: int = 0) -> DataFrame:
     return raw.select(*_as_list(raw), place.alias(ROW_ORD))
 
 
-def read_table(spark: SparkSession, path: str, schema: dict[str, str] | None = None, batch: int = 0) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: dict[str, str] | None = None, batch: int = 0, dialect: Dialect = PLAIN
+) -> DataFrame:
     """By the ending of ``path``: a delimited file, else Parquet."""
     if path.lower().endswith(TEXT_ENDINGS):
-        return read_typed(spark, path, schema, batch) if schema else read_text_table(spark, path, batch)
+        return read_typed(spark, path, schema, batch, dialect) if schema else read_text_table(spark, path, batch, dialect)
     return read_parquet(spark, path, batch)
 
 
-def read_optional(spark: SparkSession, path: str | None, schema: dict[str, str] | None = None) -> DataFrame | None:
+def read_optional(
+    spark: SparkSession, path: str | None, schema: dict[str, str] | None = None, dialect: Dialect = PLAIN
+) -> DataFrame | None:
     """None for a source that is not there."""
-    return None if path is None else read_table(spark, path, schema)
+    return None if path is None else read_table(spark, path, schema, dialect=dialect)
 
 
-def read_untyped(spark: SparkSession, path: str | None, schema: dict[str, str]) -> DataFrame | None:
+def read_untyped(
+    spark: SparkSession, path: str | None, schema: dict[str, str], dialect: Dialect = PLAIN
+) -> DataFrame | None:
     """The rows of a text source with a cell that does not fit its type; None for a typed source."""
     if path is None or not path.lower().endswith(TEXT_ENDINGS):
         return None
-    return schemas.untyped_rows(read_text_table(spark, path), schema)
+    return schemas.untyped_rows(read_text_table(spark, path, dialect=dialect), schema, dialect.date_formats)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def flat_headers(upper: list[str], lower: list[str]) -> list[str]:
@@ -89,13 +124,16 @@ def read_month_matrix(
     preamble: int = rules.MATRIX_PREAMBLE_LINES,
     headers: int = rules.MATRIX_HEADER_LINES,
     ids=rules.MATRIX_IDS,
-    sep: str = ",",
-) -> DataFrame:
-    """A delimited file with lines before the header and two header lines; cells outside ``ids`` are numbers.
-
-    Only the lines of the file's first block are numbered, which is as much as one task reads.
+    dialect: Dialect = PLAIN,
+) -> tuple[DataFrame, DataFrame]:
+    """Delimited files with lines before the header and two header lines: (rows, rejects).
+
+    Cells below two header lines are numbers, with a decimal comma or point. The rejects are the rows with a filled cell that
+    is none, and those with a cell too many, as text. Files of one folder must have the same header; a line whose
+    quotes do not close (a line break in a cell) is an error. Only the lines of a file's first block are numbered,
+    which is as much as one task reads.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.option("encoding", dialect.encoding).text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -104,11 +142,25 @@ def read_month_matrix(
     numbered = lines.filter(F.col("block") == 0).withColumn(
         "line", F.row_number().over(Window.partitionBy("file").orderBy("place"))
     )
-    top = numbered.filter(F.col("line").between(preamble + 1, preamble + headers)).orderBy("line").select("value")
-    cells = list(csv.reader([row.value for row in top.take(headers)], delimiter=sep))
-    names = flat_headers(*cells)
-    ddl = ", ".join(f"c{i} {'string' if name in ids else 'double'}" for i, name in enumerate(names))
+    top = numbered.filter(F.col("line").between(preamble + 1, preamble + headers))
+    found = top.groupBy("line", "value").agg(F.count(F.lit(1)).alias("files")).orderBy("line").limit(headers + 1).collect()
+    if len(found) != headers:
+        raise UnreadableMatrix(f"{path}: {len(found)} different header lines instead of {headers}")
+    names = flat_headers(*csv.reader([row.value for row in found], delimiter=dialect.sep))
     body = numbered.filter(F.col("line") > preamble + headers).select("value")
     body = body.unionByName(lines.filter(F.col("block") > 0).select("value"))
-    parsed = body.select(F.from_csv("value", ddl, {"sep": sep}).alias("row"))
-    return parsed.select(*[F.col(f"row.c{i}").alias(name) for i, name in enumerate(names)])
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    torn = F.raise_error(F.concat(F.lit("a cell with a line break in a month matrix: "), F.col("value")))
+    whole = body.filter(text.is_filled(F.col("value"))).select(F.when(quotes % 2 == 1, torn).otherwise(F.col("value")).alias("value"))
+    cells = [f"c{i}" for i in range(len(names))]
+    ddl = ", ".join(f"{cell} string" for cell in [*cells, "more"])
+    parsed = whole.select(F.from_csv("value", ddl, {"sep": dialect.sep, "escape": '"'}).alias("row")).select("row.*")
+    bad, typed = F.col("more").isNotNull(), []
+    for cell, name in zip(cells, names):
+        value = F.col(cell)
+        if name not in ids and LEVEL in name:
+            value = text.decimal_comma(text.strip(value), 28, 6)
+            bad = bad | (text.is_filled(F.col(cell)) & value.isNull())
+        typed.append(value.alias(name))
+    rejects = parsed.filter(bad).select(*[F.col(c).alias(n) for c, n in zip(cells, names)], F.col("more").alias("_more"))
+    return parsed.filter(F.col("more").isNull()).select(*typed), rejects

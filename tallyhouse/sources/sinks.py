@@ -5,6 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallyhouse.schemas import ROW_ORD
+
+
+class UnorderedTable(ValueError):
+    """A table with rows that have no order, to which ordered rows cannot be appended."""
 
 
 def _checked(path: str, inputs: Iterable[str | None]) -> str:
@@ -20,7 +27,15 @@ def write_parquet(df: DataFrame, path: str, inputs: Iterable[str | None] = ()) -
 
 
 def append_parquet(df: DataFrame, path: str) -> str:
-    """Add rows to a table. Its present files stay as they are, and the new ones appear together at the commit."""
+    """Add rows to a table. Its present files stay as they are, and the new ones appear together at the commit.
+
+    If the new rows have an order, all rows must: read without one, old rows would sort after new ones.
+    """
+    if ROW_ORD in df.columns:
+        order = df.select(ROW_ORD).schema
+        unordered = df.sparkSession.read.schema(order).parquet(path).filter(F.col(ROW_ORD).isNull())
+        if not unordered.isEmpty():
+            raise UnorderedTable(f"{path} has rows without {ROW_ORD}; write it anew with its order first")
     df.write.mode("append").parquet(path)
     return path
 

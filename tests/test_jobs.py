@@ -69,6 +69,8 @@ def test_refresh_job(spark, tmp_path):
     )
     history = str(tmp_path / "history")
     start.write.parquet(history)
+    unordered = str(tmp_path / "unordered")
+    start.drop("row_ord").coalesce(1).write.parquet(unordered)
 
     people = write(tmp_path / "people.csv", [["tipo", "nit", "razon_social"], ["N", " 9", "A"], ["N", "9", "B"]])
     months = [["7", "a", "i", "u", "1.0", "Enero", "2025"]]
@@ -86,7 +88,7 @@ def test_refresh_job(spark, tmp_path):
              "--costs-new", new_costs, "--family", family, "--out", str(tmp_path / out), *more]
         )
 
-    result = run("out1", history, second)
+    result = run("out1", history, second, "--no-append")
     assert result["sales"]["status"] == "new_rows"
     assert result["sales"]["added"] == 50
     assert result["customers"] == {"status": "ok", "customers": 1}
@@ -106,10 +108,13 @@ def test_refresh_job(spark, tmp_path):
     assert again["weekly"]["rows"] == result["weekly"]["rows"]
     missing = run("out3", str(tmp_path / "out1/sales"), first)
     assert missing["sales"]["status"] == "marker_missing"
-    appended = run("out4", history, second, "--append")
+    with pytest.raises(sinks.UnorderedTable):
+        run("out6", unordered, second)
+    assert result["sales"]["untyped"] == 1 and result["sales"]["dropped_columns"] == []
+    appended = run("out4", history, second)
     assert appended["sales"]["added"] == 50
     assert spark.read.parquet(history).count() == 90
-    assert run("out5", history, third, "--append")["sales"]["status"] == "nothing_new"
+    assert run("out5", history, third)["sales"]["status"] == "nothing_new"
 
 
 def test_sellout_job(spark, tmp_path):
@@ -165,7 +170,9 @@ def test_segments_job(spark, tmp_path):
     result = cli.main(
         ["segments", "--sales", sold, "--customers", people, "--as-of", "2025-03-01", "--out", str(out)]
     )
-    assert result == {"segments": 12, "sales_without_customer": 4, "revenue_without_customer": 6 + 13 + 20 + 27 + 1.0}
+    assert result == {
+        "segments": 12, "sales_without_customer": 4, "revenue_without_customer": 6 + 13 + 20 + 27 + 1.0, "untyped": 0,
+    }
     assert spark.read.option("header", True).csv(str(out / "segments_csv")).count() == 12
 
 
@@ -180,11 +187,105 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     write(landed / "a.csv", [SALES_HEADER] + [sale(i) for i in range(10)])
     assert run().count() == 10
     write(landed / "b.csv", [SALES_HEADER] + [sale(i) for i in range(10, 15)])
+    # what was done is known beside the output, and not in a folder of the session
+    assert (tmp_path / "enriched.checkpoint").is_dir()
     enriched = run()
     assert enriched.count() == 15
     assert {(r["Marca"], r["Producto"], r["Cantidades"]) for r in enriched.collect()} == {(BRAND, "NAT JABON", "6UND")}
 
 
+def test_stream_rejects(spark, tmp_path):
+    landed = tmp_path / "landed"
+    rows = [sale(0, "4"), sale(1, "4.0"), sale(2, "1.5"), sale(3, "x"), ["?", *sale(4)[1:]]]
+    write(landed / "a.csv", [SALES_HEADER] + rows)
+    name = f"r-{tmp_path.name}"
+    landing.enrich_landed(spark, str(landed), SALES_HEADER, str(tmp_path / "out"), name).awaitTermination()
+    landing.reject_landed(spark, str(landed), SALES_HEADER, str(tmp_path / "bad"), name).awaitTermination()
+    assert {r["Cantidad inv."] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {4}
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted((r["Fecha"], r["Cantidad inv."]) for r in bad) == [("2025-02-01", "1.5"), ("2025-02-01", "x"), ("?", "2")]
+
+
+def test_marker_with_units_as_sheets_write_them(spark, tmp_path):
+    first = write(tmp_path / "first.csv", [SALES_HEADER] + [sale(i, "4") for i in range(5)])
+    second = write(tmp_path / "second.csv", [SALES_HEADER] + [sale(i, "4.0") for i in range(8)])
+    start = sales.enrich_sales(catalog.load_sales_tables(spark, first, first).new)
+    start = start.withColumns({"Cantidad inv.": F.col("`Cantidad inv.`").cast("bigint")}).withColumnsRenamed({"EAN 13": "EAN"})
+    history = str(tmp_path / "history")
+    start.write.parquet(history)
+    result = cli.main(["refresh", "--history", history, "--new", second, "--out", str(tmp_path / "out")])
+    assert (result["sales"]["status"], result["sales"]["added"]) == ("new_rows", 3)
+
+
+def matrix(path, rows, lower=("", "", "", "", "", "Cde.", "Cde.")):
+    upper = ["", "Descripción del artículo", "Número de artículo Makro", "Codigo de barras", "Tienda", "Enero", "Febrero"]
+    return write(path, [["line"]] * 18 + [upper, list(lower)] + rows)
+
+
+def test_month_matrix(spark, tmp_path):
+    row = ["x", "GEL", "9", "770", "01-A - B"]
+    folder = tmp_path / "two"
+    matrix(folder / "a.csv", [[*row, "1.5", "2,5"], [*row, "1.234,5", "1"]])
+    matrix(folder / "b.csv", [[*row, "", "7"]])
+    rows, rejects = readers.read_month_matrix(spark, str(folder))
+    assert sorted((r["Tienda"], r["Enero|Cde."] or 0, r["Febrero|Cde."]) for r in rows.filter("`Febrero|Cde.` > 1").collect()) == [
+        ("01-A - B", 0, 7), ("01-A - B", 1.5, 2.5),
+    ]
+    assert [r["Enero|Cde."] for r in rejects.collect()] == ["1.234,5"]
+    matrix(folder / "c.csv", [], ("", "", "", "", "", "Cde.", "Inv."))
+    with pytest.raises(readers.UnreadableMatrix):
+        readers.read_month_matrix(spark, str(folder))
+    torn = matrix(tmp_path / "torn.csv", [["x", "GEL\nB", "9", "770", "01-A", "1", "2"]])
+    with pytest.raises(Exception, match="line break"):
+        readers.read_month_matrix(spark, torn)[0].collect()
+
+
+def test_one_bad_report_does_not_stop_the_others(spark, tmp_path):
+    chain, wholesale, pharmacy = (key for key, _ in rules.RETAILERS)
+    history = write(
+        tmp_path / "history.csv",
+        [["Mes", "año", "cliente", "Unidades", "NumMes"], ["FEB", 2025, rules.CHAIN, 5, 2],
+         ["DIC", 2024, rules.WHOLESALER, 6, 12], ["MAY", 2025, rules.PHARMACY, 7, 5], ["XXX", 2025, rules.PHARMACY, 7, 5]],
+    )
+    folder = tmp_path / "landed"
+    write(
+        folder / f"MAR_{chain}.csv",
+        [["EAN", "Fecha", "Nomb. Dependencia", "Descripción", "Unidades"], ["1", "2025-03-01", "A - B", "GEL", "1.5"],
+         ["1", "2025-03-01", "C - B", "GEL", "1.5"], ["1", "2025-04-01", "C - B", "GEL", "2"]],
+    )
+    write(
+        folder / f"JUN_{pharmacy}.csv",
+        [["UPC", "NOMBRE_TIENDA", "CIUDAD", "DESCRIPCION_ITEM", "UNIDADES_VENDIDAS", "SUP_NAME"],
+         ["1", "T", "C", "G", "4 u", "S"], ["1", "T", "C", "G", "3", "S"]],
+    )
+    result = cli.main(
+        ["sellout", "--history", history, "--folder", str(folder), "--chain", f"MAR_{chain}.csv",
+         "--wholesale", f"ENE_{wholesale}.csv", "--pharmacy", f"JUN_{pharmacy}.csv", "--out", str(tmp_path / "out")]
+    )
+    assert result["failures"] == {wholesale: "no such file"} and result["reports"] == 2
+    assert result["untyped"] == {chain: 0, pharmacy: 1}
+    assert (result["other_months"], result["unknown_months"]) == (1, 1)
+    summary = {r["cliente"]: r["Unidades"] for r in spark.read.parquet(str(tmp_path / "out/sellout")).collect() if r["Mes"] in ("MAR", "JUN")}
+    assert summary == {rules.CHAIN: 5, rules.PHARMACY: 3}  # 1.5 + 1.5 + 2, cut once
+
+
+def test_dialect(spark, tmp_path):
+    sold = tmp_path / "sales.csv"
+    with open(sold, "w", encoding="latin-1") as out:
+        out.write("Nit;Referencia;Línea de mercado;Fecha;Valor bruto local\n")
+        out.writelines(f"{i % 3}-1;7;{rules.CHANNELS[0]};{1 + i:02d}/01/2025;{i},25\n" for i in range(9))
+        out.write(f"1-1;7;{rules.CHANNELS[0]};2025/31/01;1,25\n")
+    people = tmp_path / "people.csv"
+    with open(people, "w", encoding="latin-1") as out:
+        out.write("Tipo;NIT;Razón social\nN;0;\nN;0;Peña\nN;1;B\nN;2;C\n")
+    result = cli.main(
+        ["segments", "--sales", str(sold), "--customers", str(people), "--as-of", "2025-03-01", "--out", str(tmp_path / "out"),
+         "--sep", ";", "--encoding", "ISO-8859-1", "--date-format", "dd/MM/yyyy"]
+    )
+    assert (result["segments"], result["sales_without_customer"], result["untyped"]) == (3, 0, 1)
+    assert "Peña" in {r["id_cliente"] for r in spark.read.parquet(str(tmp_path / "out/segments")).collect()}
+
+
 def test_scratch_tables_go_with_their_run(spark):
     import os
 

@@ -73,16 +73,15 @@ def test_resume_status(export, parts):
     assert sales.new_sales(whole.filter("row_ord <> 150"), history_upto(export, 150)).count() == 0
 
 
-@pytest.mark.parametrize("dictionary_rows", [0, 1, 1000])
-def test_refresh_twice_adds_nothing(export, dictionary_rows):
+def test_refresh_twice_adds_nothing(export):
     history = history_upto(export, 250)
-    once = write_through(sales.refresh_sales(export, history, dictionary_rows=dictionary_rows), "once")
+    once = write_through(sales.refresh_sales(export, history), "once")
     added = once.filter(F.col("Cantidades").isNotNull()).collect()
     assert {(r["Cantidades"], r["Producto"], r["Marca"], r["Cantidad inv.sell_Int"]) for r in added} == {
         ("6UND", "NAT JABON", BRAND, 3)
     }
     assert [row.row_ord for row in once.orderBy("row_ord").collect()] == list(range(299))
-    again = sales.refresh_sales(export.filter("row_ord < 299"), once, dictionary_rows=dictionary_rows)
+    again = sales.refresh_sales(export.filter("row_ord < 299"), once)
     assert again.count() == once.count()
     assert sales.without_units(export).count() == 1
 
@@ -388,3 +387,27 @@ def test_clean_table(spark):
     clean = cells.clean_table(sheet, keep=("row_ord",))
     assert clean.dtypes == [("row_ord", "int"), ("Valor bruto", "bigint"), ("t", "string"), ("n", "bigint"), ("e", "double")]
     assert rows(clean, "row_ord") == [(1, 123450, "x", 7, 1000.0), (2, None, None, None, 2.0)]
+
+
+def test_codes_are_no_numbers(spark):
+    from tallyhouse.operators.cells import number_columns
+
+    rows = [("12D", "1e3", "7", "NaN", "-1.5"), ("12F", "2.5", "8", "1", None)]
+    found = dict(number_columns(spark.createDataFrame(rows, "code string, d string, n string, w string, x string")).dtypes)
+    assert found == {"code": "string", "d": "double", "n": "bigint", "w": "string", "x": "double"}
+
+
+def test_first_customer_row_with_a_name(spark):
+    from tallyhouse.plans import rfm
+
+    rows = [("N", "9-1", None, 1), ("N", "9-1", " ", 2), ("N", "9-1", "ACME", 3), ("N", "9-1", "OTHER", 4), ("N", "8", None, 5)]
+    register = spark.createDataFrame(rows, "t string, n string, r string, row_ord int")
+    assert {tuple(r) for r in rfm.clean_customers(register).collect()} == {("9", "ACME"), ("8", None)}
+
+
+def test_word_rules_are_literal(spark):
+    from tallyhouse.functions.text import replace_words
+
+    rules_ = (("USD", "US$"), ("A\\EB", "back\\slash"))
+    df = spark.createDataFrame([("10 USD A\\EB",)], "t string")
+    assert df.select(replace_words(F.col("t"), rules_)).first()[0] == "10 US$ back\\slash"

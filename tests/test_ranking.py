@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import ranking
 from tallyhouse.operators.ranking import order_statistics, rank_in_group, rank_sorted, sort_once
 from tallyhouse.plans import rfm
 
@@ -44,13 +45,12 @@ def test_scores_equal_pandas(metrics):
 
 @pytest.mark.parametrize("parts", [1, 17])
 def test_rank_does_not_depend_on_partitions(metrics, parts):
-    ranked = rank_in_group(metrics.repartition(parts), "canal", ["purchase_dates", "customer_id"], True).toPandas()
+    ranked = rank_in_group(metrics.repartition(parts), "canal", ["purchase_dates", "customer_id"]).toPandas()
     ordered = ranked.sort_values(["canal", "purchase_dates", "customer_id"])
     assert (ordered["rank"] == ordered.groupby("canal").cumcount() + 1).all()
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_ranks_over_many_sorting_tasks(spark, metrics, bounded):
+def test_ranks_over_many_sorting_tasks(spark, metrics):
     """The hot channel is sorted by several tasks, and one task sorts the end of a channel and the start of the next."""
     settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
     before = {key: spark.conf.get(key) for key in settings}
@@ -60,7 +60,7 @@ def test_ranks_over_many_sorting_tasks(spark, metrics, bounded):
         ordered = sort_once(metrics, "canal", ["purchase_dates", "customer_id"])
         tasks = ordered.select("canal", F.shiftright("_seq", 33).alias("task")).distinct().toPandas()
         assert (tasks[tasks.canal == "hot"].task.nunique() > 5) and (len(tasks) > tasks.task.nunique())
-        ranked = rank_sorted(ordered, "canal", bounded).toPandas()
+        ranked = rank_sorted(ordered, "canal").toPandas()
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
@@ -69,12 +69,15 @@ def test_ranks_over_many_sorting_tasks(spark, metrics, bounded):
     assert (ordered["rank"] == ordered.groupby("canal").cumcount() + 1).all()
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_passes_agree(metrics, bounded):
-    """Counting in several passes gives what one pass over the distinct values gives."""
-    few = order_statistics(metrics, "canal", ["recency_days", "cents"], bounded_groups=bounded)
-    many = order_statistics(metrics, "canal", ["recency_days", "cents"], bounded_groups=bounded, few_rows=0)
-    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+@pytest.mark.parametrize("bits", [5, 16, 40])
+def test_passes_agree(metrics, monkeypatch, bits):
+    """Counting in many, some or one pass gives the values at the positions."""
+    monkeypatch.setattr(ranking, "BITS", bits)
+    frame = metrics.toPandas()
+    for row in order_statistics(metrics, "canal", ["recency_days", "cents"]).collect():
+        values = sorted(frame[frame.canal == row.canal][row.measure])
+        low, rest = divmod((len(values) - 1) * row.k, 5)
+        assert (row.n, row.remainder, row.low, row.high) == (len(values), rest, values[low], values[low + (rest > 0)])
 
 
 def test_cuts_equal_pandas(metrics):
