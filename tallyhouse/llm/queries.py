@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from . import decontamination, neighbours, pieces, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity, warc
 from .common import read_table
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,5 +80,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sharding": op10_sharding,
 }
-
-ORACLES: dict[str, str] = {}
