@@ -48,20 +48,6 @@ def default_pack(pack: Column, description: Column) -> Column:
     return F.when((pack == rules.MISSING_PACK) & description.isNotNull(), F.lit(rules.DEFAULT_PACK)).otherwise(pack)
 
 
-def pack_of(description: Column, product_rules: rules.ProductRules = rules.ProductRules()) -> Column:
-    return default_pack(normalize_pack(pack_size(description), product_rules.packs), description)
-
-
-def normalize_product(product: Column, replacements=rules.PRODUCT_REPLACEMENTS) -> Column:
-    """Upper case, the ordered word rules, and only then one blank between words."""
-    return collapse_blanks(replace_words(strip(F.upper(product)), replacements))
-
-
-def product_of(description: Column, product_rules: rules.ProductRules = rules.ProductRules()) -> Column:
-    name = product_name(description, product_rules.ignore_case_in_name)
-    return normalize_product(name, product_rules.replacements)
-
-
 def with_pack_and_product(
     df: DataFrame, description: str, pack: str, product: str, product_rules: rules.ProductRules = rules.ProductRules()
 ) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.text import canonical_key
+from tallyhouse.operators.columns import column, drop_all_null_rows, normalize_headers, tidy_name
+from tallyhouse.session import write_through
 
 # the cast to double would read the suffixes d and f, and words such as Infinity, as well
 _WHOLE = r"^[+-]?\d{1,18}$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
-from tallyhouse.operators.columns import column, drop_all_null_columns, drop_all_null_rows, normalize_headers, tidy_name
+_NUMBERS = (("bigint", _WHOLE), ("double", _NUMBER))
 
 
 def clean_cells(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -20,33 +22,61 @@ def clean_cells(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.withColumns({name: canonical_key(column(df, name)) for name in names})
 
 
-def number_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """A text column becomes a number if each of its values is one: whole numbers if all are whole.
-
-    A number has a sign, digits, a point and an exponent. The types of a plan must be known before it runs, so this
-    runs one aggregate, of one row.
-    """
-    names = [name for name, kind in df.dtypes if kind == "string" and name not in keep]
-    if not names:
-        return df
+def _number_tests(df: DataFrame, names: list[str]) -> list[Column]:
+    """Per text column whether it has a value, and whether all its values are whole numbers, or numbers."""
     fits = [
         F.bool_and(column(df, name).isNull() | column(df, name).rlike(pattern)).alias(f"{kind}{i}")
         for i, name in enumerate(names)
-        for kind, pattern in (("bigint", _WHOLE), ("double", _NUMBER))
+        for kind, pattern in _NUMBERS
     ]
-    filled = [F.bool_or(column(df, name).isNotNull()).alias(f"filled{i}") for i, name in enumerate(names)]
-    seen = df.agg(*fits, *filled).first()
+    return fits + [F.bool_or(column(df, name).isNotNull()).alias(f"filled{i}") for i, name in enumerate(names)]
+
+
+def _as_numbers(df: DataFrame, names: list[str], seen) -> DataFrame:
+    """Cast the columns of ``names`` as the row of ``_number_tests`` allows."""
     casts = {}
     for i, name in enumerate(names):
-        kind = next((kind for kind in ("bigint", "double") if seen[f"{kind}{i}"]), None)
+        kind = next((kind for kind, _ in _NUMBERS if seen[f"{kind}{i}"]), None)
         if seen[f"filled{i}"] and kind:
             casts[name] = column(df, name).cast(kind)
     return df.withColumns(casts)
 
 
+def number_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A text column becomes a number if each of its values is one: whole numbers if all are whole.
+
+    A number has a sign, digits, a point and an exponent. The types of a plan must be known before it runs, so this
+    runs one aggregate, of one row.
+    """
+    names = [name for name, kind in df.dtypes if kind == "string" and name not in keep]
+    return _as_numbers(df, names, df.agg(*_number_tests(df, names)).first()) if names else df
+
+
 def clean_table(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """All of it; the columns of ``keep`` (such as the row order) pass untouched and do not make a row filled."""
-    body = [name for name in df.columns if name not in keep]
-    filled = drop_all_null_columns(drop_all_null_rows(df, body))
-    tidy = normalize_headers(filled, lambda name: name if name in keep else tidy_name(name))
-    return number_columns(clean_cells(tidy, keep), keep)
+    """All of it; the columns of ``keep`` (such as the row order) pass untouched and do not make a row filled.
+
+    The sheet is read once: its cells are written in their compared form, and one aggregate over them says which
+    columns were filled and which are numbers.
+    """
+    kinds = dict(df.dtypes)
+    body = [name for name in df.columns if name not in keep and kinds[name] != "void"]
+    texts = [name for name in body if kinds[name] == "string"]
+    rows = drop_all_null_rows(df, body)
+    place = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    cells = [
+        (canonical_key(column(rows, name)) if name in texts else column(rows, name)).alias(place[name])
+        for name in df.columns
+        if name in keep or name in body
+    ]
+    # a column of texts for "missing" is filled, although none of its cells is
+    raw = [column(rows, name).isNotNull().alias(f"raw_{place[name]}") for name in texts]
+    written = write_through(rows.select(*cells, *raw), "cells")
+    there = {name: F.col(f"raw_{place[name]}") if name in texts else F.col(place[name]).isNotNull() for name in body}
+    seen = written.agg(
+        *_number_tests(written, [place[name] for name in texts]),
+        *[F.bool_or(flag).alias(f"there_{place[name]}") for name, flag in there.items()],
+    ).first()
+    typed = _as_numbers(written, [place[name] for name in texts], seen)
+    kept = [name for name in df.columns if name in keep or (name in body and seen[f"there_{place[name]}"])]
+    named = typed.select(*[F.col(place[name]).alias(name) for name in kept])
+    return normalize_headers(named, lambda name: name if name in keep else tidy_name(name))

@@ -56,13 +56,18 @@ def _scratch_folder(spark: SparkSession) -> str:
     return "/".join([scratch_root(spark), f"tallyhouse-{spark.sparkContext.applicationId}", _run.get()])
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def write_through(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: a short lineage that outlives lost executors.
 
     Parquet instead of ``checkpoint()``, because later passes read only a few of the columns.
     """
     spark = df.sparkSession
-    path = f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -12,6 +12,7 @@ from tallyhouse.workload.tables import (
     CUTOFF,
     HISTORY_END,
     ORDINAL_STRIDE,
+    SEGMENT_CHANNELS,
 )
 
 
@@ -280,7 +281,7 @@ wholesale_rows AS (
 pharmacy_rows AS (
   SELECT CAST(l_partkey AS VARCHAR) AS ean, {PHARMACY} AS cliente, due.mes, due.ano, s_name AS tienda,
          CASE WHEN n_nationkey <> 7 THEN n_name END AS ciudad, d AS descripcion,
-         CAST(l_quantity AS BIGINT) AS unidades, due.nummes
+         CAST(l_quantity * 0.5 AS DECIMAL(18,1)) AS unidades, due.nummes
   FROM lineitem JOIN parts ON l_partkey = p_partkey JOIN stores ON l_suppkey = s_suppkey
        JOIN due ON due.cliente = {PHARMACY}),
 chain_city AS (SELECT c.*, due.nummes FROM chain_detail c JOIN due ON due.cliente = {CHAIN}),
@@ -288,14 +289,14 @@ wholesale_city AS (
   SELECT ean, cliente, mes, ano, tienda, ciudad, descripcion, CAST(sum(unidades) AS BIGINT) AS unidades, nummes
   FROM wholesale_rows GROUP BY ALL),
 pharmacy_city AS (
-  SELECT ean, cliente, mes, ano, tienda, ciudad, descripcion, CAST(sum(unidades) AS BIGINT) AS unidades, nummes
+  SELECT ean, cliente, mes, ano, tienda, ciudad, descripcion, CAST(floor(sum(unidades)) AS BIGINT) AS unidades, nummes
   FROM pharmacy_rows WHERE ciudad IS NOT NULL AND descripcion IS NOT NULL GROUP BY ALL),
 totals AS (
   SELECT cliente, sum(unidades) AS unidades FROM (
     SELECT cliente, unidades FROM chain_detail UNION ALL SELECT cliente, unidades FROM wholesale_rows
     UNION ALL SELECT cliente, unidades FROM pharmacy_rows) GROUP BY cliente),
 summary AS (
-  SELECT due.mes, due.ano, due.cliente, CAST(coalesce(unidades, 0) AS BIGINT) AS unidades, due.nummes
+  SELECT due.mes, due.ano, due.cliente, CAST(floor(coalesce(unidades, 0)) AS BIGINT) AS unidades, due.nummes
   FROM due LEFT JOIN totals USING (cliente)),
 city_history AS (
   SELECT CAST(NULL AS VARCHAR) AS ean, {PHARMACY} AS cliente, 'ENE' AS mes, CAST(1995 AS INTEGER) AS ano,
@@ -330,10 +331,20 @@ cells AS (
               WHEN '4-NOT SPECIFIED' THEN 'LINEA   ' || o_orderstatus || '  DOS' ELSE price END AS cell,
          CASE WHEN o_orderstatus = 'P' THEN ' ' || day || ' 12:30:00 '
               WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'pendiente' ELSE day END AS fecha,
-         CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'n/d' ELSE replace(price, '.', ',') END AS valor
+         CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'n/d' ELSE replace(price, '.', ',') END AS valor,
+         o_custkey || CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'D' END AS codigo
   FROM (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
                strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders))"""
 
+TYPED_LINES = """SELECT l_orderkey AS "order", CAST(l_quantity AS BIGINT) AS units,
+        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+        CASE WHEN l_returnflag <> 'A' THEN CAST(l_shipdate AS DATE) END AS day FROM lineitem"""
+UNPIVOTED = f"""WITH {REPORTS} SELECT wholesale_text AS tienda, CAST(p_size AS VARCHAR)
+        AS numero_de_articulo_makro, p_type || ' ' || p_size AS descripcion_del_articulo,
+        l_suppkey || '/' || p_type || p_size AS codigo_de_barras, ([{_list(rules.MONTH_NAMES)}])[month] AS mes,
+        CAST(units AS BIGINT) AS unidades FROM matrix JOIN stores ON l_suppkey = s_suppkey
+        WHERE trim(wholesale_text) <> '' AND units <> 0"""
+
 CODE_NUMBER = [(code, i) for i, code in enumerate(rules.MONTH_CODES, 1)]
 
 ORACLES = {
@@ -341,6 +352,8 @@ ORACLES = {
     "rfm_scores": f"""WITH {METRICS}, {SCORES} SELECT * EXCLUDE (cents),
         recency_score * 100 + frequency_score * 10 + monetary_score AS rfm_score FROM scores""",
     "rfm_metrics": f"WITH {METRICS} SELECT * EXCLUDE (cents), cents / 100000 AS monetary FROM metrics",
+    "rfm_metrics_of_channels": f"""WITH {METRICS} SELECT * EXCLUDE (cents), cents / 100000 AS monetary FROM metrics
+        WHERE canal IN ({_list(SEGMENT_CHANNELS[:2])})""",
     "daily_revenue": f"""WITH {METRICS} SELECT canal, customer_id, CAST(order_date AS DATE) AS order_date,
         cents / 100000 AS revenue_miles FROM daily""",
     "quintile_cuts": f"""WITH {METRICS}, {SCORES} SELECT canal, measure, CAST(k AS INTEGER) AS k, round(l[k], 6) AS cut
@@ -348,7 +361,7 @@ ORACLES = {
               UNION ALL SELECT canal, 'monetary', m FROM cuts), range(1, 5) t(k)""",
     "frequency_rank": f'WITH {METRICS}, {SCORES} SELECT canal, customer_id, purchase_dates, rnk AS "rank" FROM ranked',
     "segment_lookup": f"""WITH {METRICS}, {SCORES}, scored AS (
-        SELECT CAST(left(o_orderpriority, 1) AS INTEGER) * 100 + CAST(quarter(o_orderdate) AS INTEGER) * 10
+        SELECT CAST(left(o_orderpriority, 1) AS INTEGER) * 100 + CAST(1 + day(o_orderdate) % 5 AS INTEGER) * 10
                + CAST(isodow(o_orderdate) AS INTEGER) - 1 AS s, count(*) AS orders FROM orders GROUP BY ALL)
         SELECT CAST(s AS INTEGER) AS score, orders, coalesce(categoria, 'No clasificado') AS categoria
         FROM scored LEFT JOIN segment_rules ON s = score""",
@@ -368,7 +381,7 @@ ORACLES = {
         SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey || '-' || c_custkey END, c_name || ' SAS',
                c_custkey + {ORDINAL_STRIDE} FROM customer)
         SELECT nit, arg_min(razon_social, row_ord) AS razon_social, min(row_ord) AS row_ord FROM f GROUP BY nit""",
-    "dedup_full_row": "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem",
+    "dedup_full_row": "SELECT DISTINCT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem",
     "weekly_purchase_count": f"""WITH {LINE_SALES} SELECT CAST(year(semana) AS VARCHAR) AS ano,
         {_name('semana', rules.MONTH_NAMES)} AS mes, semana, lpad(CAST(month(semana) AS VARCHAR), 2, '0') AS mes_num,
         linea_de_mercado, nit AS razon_social, count(*) AS numcompras
@@ -402,11 +415,14 @@ ORACLES = {
         SELECT fecha, coalesce(marca, {HOUSE_BRAND}), linea_de_mercado, razon_social, desc_item, ean_13, cantidad_inv,
                valor_bruto_local, row_ord, NULL, '6UND', 'NAT JABON ' || substr(desc_item, 10, length(desc_item) - 16),
                cantidad_inv FROM fresh WHERE fecha > DATE '{CUTOFF}'""",
-    "scan_typed": """SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
+    "scan_typed": """SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate), row_number() OVER () - 1 AS place
         FROM orders""",
-    "scan_string_then_type": """SELECT l_orderkey AS "order", CAST(l_quantity AS BIGINT) AS units,
-        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
-        CASE WHEN l_returnflag <> 'A' THEN CAST(l_shipdate AS DATE) END AS day FROM lineitem""",
+    "scan_string_then_type": TYPED_LINES,
+    "scan_text_file": TYPED_LINES,
+    "untyped_rows": """SELECT CAST(l_orderkey AS VARCHAR) AS "order", ' ' || CAST(l_quantity AS BIGINT) AS units,
+        replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS amount, '?' AS day
+        FROM lineitem WHERE l_returnflag = 'A'""",
+    "parse_dates_strict": "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day FROM lineitem",
     "parse_dates": f"""WITH {CELLS} SELECT o_orderkey, CAST(coalesce(try_strptime(trim(fecha), '%Y-%m-%d'),
         try_strptime(trim(fecha), '%Y-%m-%d %H:%M:%S')) AS DATE) AS day FROM cells""",
     "parse_decimal_comma": f"""WITH {CELLS} SELECT o_orderkey,
@@ -419,9 +435,11 @@ ORACLES = {
         SELECT o_orderkey, CASE WHEN trim(cell) NOT IN ({_list(rules.MISSING_TEXT)})
                  THEN regexp_replace(cell, '[ ,.]', '', 'g') END AS celda_libre,
                CASE WHEN fecha <> 'pendiente' THEN replace(fecha, ' ', '') END AS dia,
-               CASE WHEN valor <> 'n/d' THEN regexp_replace(valor, '[,.]', '', 'g') END AS valor_bruto FROM cells)
+               CASE WHEN valor <> 'n/d' THEN regexp_replace(valor, '[,.]', '', 'g') END AS valor_bruto, codigo
+        FROM cells)
         SELECT o_orderkey, regexp_replace(celda_libre, '^(.*[^0])0{{5,}}$', '\\1') AS celda_libre, dia,
-               CAST(regexp_replace(valor_bruto, '^(.*[^0])0{{5,}}$', '\\1') AS BIGINT) AS valor_bruto FROM bare""",
+               CAST(regexp_replace(valor_bruto, '^(.*[^0])0{{5,}}$', '\\1') AS BIGINT) AS valor_bruto, codigo
+        FROM bare""",
     "normalize_headers": """SELECT s_suppkey AS codigo_prov, s_name AS razon_social, s_nationkey AS pais,
         s_acctbal AS saldo_bruto FROM supplier""",
     "drop_all_null_columns": "SELECT * FROM customer",
@@ -433,11 +451,12 @@ ORACLES = {
     "cost_next_period": f"WITH {COSTS} SELECT * FROM added",
     "next_period_by_year": f"WITH {COSTS} SELECT * FROM next_period",
     "cost_consolidated": f"WITH {COSTS} SELECT * FROM known UNION ALL BY NAME SELECT * FROM added",
-    "unpivot_month_matrix": f"""WITH {REPORTS} SELECT wholesale_text AS tienda, CAST(p_size AS VARCHAR)
-        AS numero_de_articulo_makro, p_type || ' ' || p_size AS descripcion_del_articulo,
-        l_suppkey || '/' || p_type || p_size AS codigo_de_barras, ([{_list(rules.MONTH_NAMES)}])[month] AS mes,
-        CAST(units AS BIGINT) AS unidades FROM matrix JOIN stores ON l_suppkey = s_suppkey
-        WHERE trim(wholesale_text) <> '' AND units <> 0""",
+    "unpivot_month_matrix": UNPIVOTED,
+    "month_matrix_files": UNPIVOTED,
+    "other_months": f"""WITH {REPORTS} SELECT * FROM chain_city
+        WHERE mes <> ([{_list(rules.MONTH_NAMES_ENGLISH)}])[nummes]""",
+    "unknown_months": f"""WITH {HISTORY} SELECT CASE WHEN nummes = 6 THEN 'JUNIO' END AS mes, ano, cliente, unidades, nummes
+        FROM history WHERE nummes IN (6, 7)""",
     "store_city_chain": f"WITH {STORES} SELECT * FROM chain_stores",
     "store_city_wholesale": f"WITH {STORES} SELECT * FROM wholesale_stores",
     "sellout_city_chain": f"WITH {REPORTS} SELECT * FROM chain_city",

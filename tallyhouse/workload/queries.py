@@ -14,6 +14,8 @@ from tallyhouse.operators import cells, columns, periods, reshape, resume
 from tallyhouse.operators.dedup import distinct_rows
 from tallyhouse.operators.lookup import exclude_values
 from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
+from tallyhouse.session import scratch_path
+from tallyhouse.sources import readers, sinks
 from tallyhouse.workload import tables as roles
 from tallyhouse.workload.tables import AS_OF, COST_YEAR, CUTOFF, SEGMENT_CHANNELS, Tables
 
@@ -64,6 +66,13 @@ def rfm_metrics(t):
     return _metrics(t).withColumn("monetary", F.col("cents") / F.lit(100000.0)).drop("cents")
 
 
+@query
+def rfm_metrics_of_channels(t):
+    """A channel list that leaves channels out."""
+    metrics = rfm.rfm_metrics(_daily(t), AS_OF, SEGMENT_CHANNELS[:2])
+    return metrics.withColumn("monetary", F.col("cents") / F.lit(100000.0)).drop("cents")
+
+
 @query
 def daily_revenue(t):
     return _daily(t).withColumn("revenue_miles", F.col("cents") / F.lit(100000.0)).drop("cents")
@@ -83,7 +92,7 @@ def frequency_rank(t):
 def segment_lookup(t):
     digits = [
         F.substring("o_orderpriority", 1, 1).cast("int"),
-        F.quarter("o_orderdate"),
+        1 + F.dayofmonth("o_orderdate") % 5,
         F.weekday("o_orderdate"),
     ]
     scored = t.orders.select((digits[0] * 100 + digits[1] * 10 + digits[2]).alias("score"))
@@ -135,8 +144,8 @@ def customers_dedup(t):
 
 @query
 def dedup_full_row(t):
-    cells = t.lineitem.select("l_partkey", "l_suppkey", "l_returnflag")
-    return distinct_rows(cells)
+    """Whole rows, each of them there twice."""
+    return distinct_rows(t.lineitem.unionByName(t.lineitem))
 
 
 # ------------------------------------------------------------------ sales
@@ -160,11 +169,11 @@ def brand_from_prefix(t):
 def pack_parse(t):
     described = t.part.select("p_partkey", roles.product_text().alias("text"))
     column = F.col("text")
-    return described.select(
+    return products.with_pack_and_product(described, "text", "pack", "product").select(
         "p_partkey",
         products.has_pack(column).alias("has_pack"),
         products.pack_size(column).alias("found"),
-        products.pack_of(column).alias("pack"),
+        "pack",
         products.product_name(column).alias("name"),
     )
 
@@ -172,7 +181,7 @@ def pack_parse(t):
 @query
 def product_normalized(t):
     described = t.part.select("p_partkey", roles.product_text().alias("text"))
-    return described.select("p_partkey", products.product_of(F.col("text")).alias("product"))
+    return products.with_pack_and_product(described, "text", "pack", "product").select("p_partkey", "product")
 
 
 @query
@@ -230,24 +239,53 @@ def sales_refresh(t):
 # ------------------------------------------------------------------ scans and cells
 @query
 def scan_typed(t):
-    declared = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
-    return t.spark.read.schema(declared).parquet(f"{t.folder}/orders.parquet")
+    """A typed table with the place of each row in its file."""
+    scanned = readers.read_table(t.spark, f"{t.folder}/orders.parquet")
+    return scanned.withColumn("place", F.col("row_ord.place")).drop("row_ord")
 
 
-@query
-def scan_string_then_type(t):
-    raw = t.lineitem.select(
+def _raw_lines(t: Tables) -> DataFrame:
+    return t.lineitem.select(
         F.col("l_orderkey").cast("string").alias("order"),
         F.concat(F.lit(" "), F.col("l_quantity").cast("bigint").cast("string")).alias("units"),
         F.replace(roles.money_text("l_extendedprice"), F.lit("."), F.lit(",")).alias("amount"),
         F.when(F.col("l_returnflag") != "A", roles.day_text("l_shipdate")).otherwise("?").alias("day"),
     )
-    typed = schemas.apply_types(
-        raw, {"order": "bigint", "units": "bigint", "amount": "decimal(18,2)", "day": "timestamp_ntz"}
-    )
+
+
+_LINES = {"order": "bigint", "units": "bigint", "amount": "decimal(18,2)", "day": "timestamp_ntz"}
+
+
+@query
+def scan_string_then_type(t):
+    typed = schemas.apply_types(_raw_lines(t), _LINES)
+    return typed.withColumn("amount", F.col("amount").cast("double"))
+
+
+@query
+def untyped_rows(t):
+    """The rejects of the typing step."""
+    return schemas.untyped_rows(_raw_lines(t), _LINES)
+
+
+@query
+def scan_text_file(t):
+    """The lines written as delimited text and read back by their types."""
+    path = sinks.write_csv(_raw_lines(t), scratch_path(t.spark, "lines") + ".csv")
+    typed = readers.read_table(t.spark, path, _LINES).drop("row_ord")
     return typed.withColumn("amount", F.col("amount").cast("double"))
 
 
+@query
+def parse_dates_strict(t):
+    """Every text must fit one of the formats."""
+    spelled = F.when(F.col("l_returnflag") == "R", F.date_format("l_shipdate", "dd/MM/yyyy")).otherwise(
+        roles.day_text("l_shipdate")
+    )
+    day = calendar.parse_timestamp_strict(spelled, ("yyyy-MM-dd", "dd/MM/yyyy"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", day.alias("day"))
+
+
 @query
 def parse_dates(t):
     return roles.order_cells(t).select("o_orderkey", calendar.parse_timestamp(F.col("fecha")).alias("day"))
@@ -271,6 +309,7 @@ def clean_table(t):
         F.col("cell").alias(" Celda   libre "),
         F.when(F.col("fecha") != "pendiente", F.col("fecha")).alias("Día*"),
         F.when(F.col("valor") != "n/d", F.col("valor")).alias("Valor  (bruto)"),
+        F.col("codigo").alias(" Código "),
         F.lit(None).cast("string").alias("Vacía"),
     )
     return cells.clean_table(sheet, keep=("o_orderkey",))
@@ -350,6 +389,30 @@ def unpivot_month_matrix(t):
     return reshape.unpivot_months(roles.wholesale_matrix(t), rules.MATRIX_IDS)
 
 
+@query
+def month_matrix_files(t):
+    """The matrix written as files with two header lines, read and unpivoted."""
+    path = scratch_path(t.spark, "matrix")
+    lines = roles.matrix_lines(t).repartition("l_suppkey").sortWithinPartitions("l_suppkey", "place")
+    lines.select("l_suppkey", "value").write.partitionBy("l_suppkey").text(path)
+    rows, _ = readers.read_month_matrix(t.spark, path)
+    return reshape.unpivot_months(rows, rules.MATRIX_IDS).withColumn("Unidades", F.col("Unidades").cast("bigint"))
+
+
+@query
+def other_months(t):
+    """Detail rows of the store chain that are not of the month that is due."""
+    return sellout.other_months(_chain(t).detail)
+
+
+@query
+def unknown_months(t):
+    """Rows of the history whose month is no code."""
+    history = roles.sellout_history(t)
+    month = F.when(F.col("NumMes") == 6, "JUNIO").when(F.col("NumMes") != 7, F.col("Mes"))
+    return periods.unknown_months(history.withColumn("Mes", month))
+
+
 @query
 def store_city_chain(t):
     named = roles.suppliers(t).select("s_suppkey", roles.chain_store_text().alias("name"))

@@ -88,21 +88,28 @@ def line_sales(t: Tables) -> DataFrame:
 
 
 def customer_register(t: Tables) -> DataFrame:
-    """The raw register: customers with debts are not in it, rich ones are in it twice."""
+    """The raw register: customers with debts are not in it, rich ones are in it twice, after a row without a name."""
     known = t.customer.filter(F.col("c_acctbal") >= 0)
+    rich = known.filter(F.col("c_acctbal") > 5000)
+    unnamed = rich.select(
+        F.lit("CC").alias("Tipo"),
+        F.concat(text("c_custkey"), F.lit("-9")).alias("Nit"),
+        F.when(F.col("c_mktsegment") == "BUILDING", " ").alias("Razón social"),
+        (F.col("c_custkey") * 3).alias("row_ord"),
+    )
     first = known.select(
         F.lit("NIT").alias("Tipo"),
         F.concat(text("c_custkey"), F.lit("-0")).alias("Nit"),
         F.col("c_name").alias("Razón social"),
-        (F.col("c_custkey") * 2).alias("row_ord"),
+        (F.col("c_custkey") * 3 + 1).alias("row_ord"),
     )
-    second = known.filter(F.col("c_acctbal") > 5000).select(
+    second = rich.select(
         F.lit("CC").alias("Tipo"),
         F.concat(text("c_custkey"), F.lit("-1")).alias("Nit"),
         F.concat(F.col("c_name"), F.lit(" (2)")).alias("Razón social"),
-        (F.col("c_custkey") * 2 + 1).alias("row_ord"),
+        (F.col("c_custkey") * 3 + 2).alias("row_ord"),
     )
-    return first.unionByName(second)
+    return first.unionByName(second).unionByName(unnamed)
 
 
 def customer_file(t: Tables) -> DataFrame:
@@ -300,7 +307,8 @@ def pharmacy_report(t: Tables) -> DataFrame:
         F.col("s_name").alias("NOMBRE_TIENDA"),
         F.when(F.col("n_nationkey") != 7, F.col("n_name")).alias("CIUDAD"),
         product_text().alias("DESCRIPCION_ITEM"),
-        F.col("l_quantity").cast("bigint").alias("UNIDADES_VENDIDAS"),
+        # sold by halves
+        (F.col("l_quantity") * 0.5).cast("decimal(18,1)").alias("UNIDADES_VENDIDAS"),
         F.col("p_brand").alias("SUP_NAME"),
     )
 
@@ -330,6 +338,32 @@ def wholesale_matrix(t: Tables) -> DataFrame:
     )
 
 
+def matrix_lines(t: Tables) -> DataFrame:
+    """The matrix as the lines of delimited files, one file per supplier: (l_suppkey, place, value).
+
+    Each has the lines before the header, the two header lines, then its rows; a comma is the decimal sign of half of
+    the cells, which are quoted for it.
+    """
+    matrix = wholesale_matrix(t)
+    barcode = F.col(f"`{rules.MATRIX_IDS[3]}`")
+    cells = [F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in rules.MATRIX_IDS]
+    upper, lower = list(rules.MATRIX_IDS), [""] * len(rules.MATRIX_IDS)
+    for i, name in enumerate(name for name in matrix.columns if "|" in name):
+        month, what = name.split("|")
+        upper.append("" if i % 2 else month)
+        lower.append(what)
+        value = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+        cells.append(F.when(value != "", F.concat(F.lit('"'), value, F.lit(',00"'))).otherwise("") if i % 4 else value)
+    body = matrix.select(
+        F.split(barcode, "/")[0].cast("bigint").alias("l_suppkey"),
+        F.lit(rules.MATRIX_PREAMBLE_LINES + rules.MATRIX_HEADER_LINES).alias("place"),
+        F.concat_ws(",", *cells).alias("value"),
+    )
+    head = [f"Reporte, linea {i}" for i in range(rules.MATRIX_PREAMBLE_LINES)] + [",".join(upper), ",".join(lower)]
+    named = t.lineitem.select("l_suppkey").distinct().select("l_suppkey", F.posexplode(F.array(*map(F.lit, head))))
+    return named.withColumnsRenamed({"pos": "place", "col": "value"}).unionByName(body)
+
+
 def retailer_of_status() -> Column:
     return cases(
         [(F.col("o_orderstatus") == "F", F.lit(rules.CHAIN)), (F.col("o_orderstatus") == "O", F.lit(rules.WHOLESALER))],
@@ -422,6 +456,8 @@ def order_cells(t: Tables) -> DataFrame:
         F.when(priority == "3-MEDIUM", "n/d")
         .otherwise(F.replace(price, F.lit("."), F.lit(",")))
         .alias("valor"),
+        # codes that a cast would take for numbers
+        F.concat(text("o_custkey"), F.when(F.col("o_orderstatus") == "F", "F").otherwise("D")).alias("codigo"),
     )
 
 

@@ -38,11 +38,6 @@ PRODUCTS = [
 
 
 def test_pack_and_product(spark):
-    found = values(spark, [(d,) for d, _, _ in PRODUCTS], "string", products.pack_of, products.product_of)
-    assert found == [(pack, product) for _, pack, product in PRODUCTS]
-
-
-def test_pack_and_product_in_steps(spark):
     df = spark.createDataFrame([(d,) for d, _, _ in PRODUCTS], "`Desc.item` string")
     rows = products.with_pack_and_product(df, "Desc.item", "pack", "product").collect()
     assert {tuple(row) for row in rows} == set(PRODUCTS)
@@ -50,7 +45,9 @@ def test_pack_and_product_in_steps(spark):
 
 def test_ignore_case_is_an_option(spark):
     loose = rules.ProductRules(ignore_case_in_name=True)
-    assert values(spark, [("jde crem x 400ml",)], "string", lambda c: products.product_of(c, loose)) == [("JDE CREMA",)]
+    df = spark.createDataFrame([("jde crem x 400ml",)], "d string")
+    rows = products.with_pack_and_product(df, "d", "pack", "product", loose).collect()
+    assert [row.product for row in rows] == ["JDE CREMA"]
 
 
 def test_has_pack(spark):
