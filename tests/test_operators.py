@@ -377,6 +377,16 @@ def test_hot_key_of_a_join_is_split(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_clean_table_of_odd_columns(spark):
+    """A column without a type goes, one of texts for "missing" stays, and an empty sheet keeps what is kept."""
+    from tallyhouse.operators import cells
+
+    sheet = spark.sql("select 1 as row_ord, null as v, 'NaN' as m, 2.5D as d union all select 2, null, 'NaN', null")
+    assert cells.clean_table(sheet, keep=("row_ord",)).dtypes == [("row_ord", "int"), ("m", "string"), ("d", "double")]
+    assert rows(cells.clean_table(sheet, keep=("row_ord",)), "row_ord") == [(1, None, 2.5), (2, None, None)]
+    assert cells.clean_table(sheet.limit(0), keep=("row_ord",)).columns == ["row_ord"]
+
+
 def test_clean_table(spark):
     from tallyhouse.operators import cells
 
