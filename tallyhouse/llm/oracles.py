@@ -1,7 +1,8 @@
 """The corpus queries that SQL can say, for the engine that checks the results.
 
 The others are fingerprints of words, learned scores, edit distances, token ids and approximate searches, which are
-tested against brute force in ``tests/llm``.
+tested against brute force in ``tests/llm``. The SQL takes what time it takes: that of repeated passages cuts every
+window out of every text.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from .tool_calls import LONG_REQUEST
 
 SHARDS = 24
 OVERHEAD = 8
+REPEAT_BYTES = 400
 
 # the reflected polynomial of CRC-32; its table of 256 steps is built here, and a text's bytes are folded over it
 _CRC = """
@@ -73,7 +75,35 @@ SELECT c.conv_id, 'call_' || c.turn AS call_id, level, c.turn, name, CAST(1 AS B
                ELSE '{{"content":' || to_json(content) || ',"turn":' || a.turn || '}}' END || '}}' AS json
 FROM levelled c LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.turn + 1"""
 
+# every window by its digest; windows that start at most a window apart make one removed run
+REPEATS = f"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS nth, encode(coalesce(text, '')) AS data, strlen(coalesce(text, '')) AS n
+  FROM documents),
+windows AS (
+  SELECT nth, place, md5(data[place + 1 : place + {REPEAT_BYTES}]) AS key
+  FROM (SELECT nth, data, unnest(range(n - {REPEAT_BYTES} + 1)) AS place FROM texts WHERE n >= {REPEAT_BYTES})),
+twice AS (SELECT key FROM windows GROUP BY key HAVING count(*) > 1),
+starts AS (
+  SELECT nth, place,
+         coalesce(place > lag(place) OVER (PARTITION BY nth ORDER BY place) + {REPEAT_BYTES}, TRUE) AS opens
+  FROM windows JOIN twice USING (key)),
+runs AS (
+  SELECT nth, min(place) AS lo, max(place) + {REPEAT_BYTES} AS hi
+  FROM (SELECT nth, place, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY nth ORDER BY place) AS run FROM starts)
+  GROUP BY nth, run),
+gaps AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY nth ORDER BY lo), 0) AS after FROM runs),
+cut AS (
+  SELECT nth, sum(hi - lo) AS removed, count(*) AS spans, max(hi) AS last,
+         string_agg(hex(data[after + 1 : lo]), '' ORDER BY lo) AS kept
+  FROM gaps JOIN texts USING (nth) GROUP BY nth)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       coalesce(spans, 0) AS n_spans,
+       sha256(CASE WHEN spans IS NULL THEN data ELSE unhex(kept || hex(data[last + 1 : n])) END) AS kept_sha256
+FROM texts LEFT JOIN cut USING (nth)"""
+
 ORACLES = {
+    "op4_suffix_array_dedup": REPEATS,
     "op5_chat_formatting": TOOL_CALLS,
     "op6_warc": WARC,
     "op10_sharding": SHARDING,
