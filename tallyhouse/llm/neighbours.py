@@ -44,6 +44,12 @@ def hash_strings(vectors: np.ndarray, trees: int, bits: int) -> np.ndarray:
     return (signs * weights).sum(axis=2, dtype=np.uint64).T
 
 
+def scaled(matrix: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, so that squares of very large or small components are numbers: cosines stay the
+    same to the last bit."""
+    return np.ldexp(matrix, -np.frexp(np.abs(matrix).max(axis=1, keepdims=True))[1])
+
+
 def _usable(vectors: DataFrame, id_name: str, vector_name: str) -> DataFrame:
     rows = vectors.select(F.col(id_name).cast("long").alias("id"), F.col(vector_name).cast("array<double>").alias("v"))
     return rows.filter(F.col("id").isNotNull() & taking_part(F.col("v")))
@@ -65,7 +71,7 @@ def build_index(
     def build(key, block):
         import pandas as pd
 
-        matrix = np.array(block["v"].tolist(), dtype=np.float64)
+        matrix = scaled(np.array(block["v"].tolist(), dtype=np.float64))
         hashes = hash_strings(matrix, trees, bits)
         order = np.argsort(hashes, axis=1, kind="stable")
         return pd.DataFrame(
@@ -173,13 +179,16 @@ def _search(queries: np.ndarray, matrix: np.ndarray, k: int, share: float, trees
 
 
 def _query_blocks(queries: DataFrame, rows: int):
-    """Queries in blocks of bounded size, each of one number of dimensions."""
+    """Queries in blocks of bounded size, each of one number of dimensions; no more than ``rows`` are held."""
     held: dict[int, list] = {}
+    size = 0
     for row in queries.toLocalIterator():
-        own = held.setdefault(len(row["v"]), [])
-        own.append((row["id"], row["v"]))
-        if len(own) >= rows:
-            yield held.pop(len(row["v"]))
+        held.setdefault(len(row["v"]), []).append((row["id"], row["v"]))
+        size += 1
+        if size >= rows:
+            block = held.pop(max(held, key=lambda dims: len(held[dims])))
+            size -= len(block)
+            yield block
     yield from held.values()
 
 
@@ -200,7 +209,7 @@ def nearest_neighbours(
     asked = _usable(queries, id_name, vector_name).dropDuplicates(["id"])
     for block in _query_blocks(asked, query_rows):
         ids = np.array([i for i, _ in block], dtype=np.int64)
-        matrix = np.array([v for _, v in block], dtype=np.float64)
+        matrix = scaled(np.array([v for _, v in block], dtype=np.float64))
         part = index.mapInArrow(_search(ids, matrix, k, share, trees, bits), "query_id long, id long, score double")
         found = found.union(write_through(part, "neighbours"))
     best = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))

@@ -49,6 +49,25 @@ def test_awkward(spark):
     assert found[0][:2] == [(1, 1.0), (10, 1.0)] and 9 not in found
 
 
+def test_very_large_and_very_small_vectors(spark):
+    """Squares of 1e200 and 1e-200 are no numbers; the cosines are."""
+    plain = np.random.default_rng(4).normal(size=(40, 6))
+    sizes = np.array([1.0, 2.0**660, 2.0**-660])[np.arange(40) % 3]
+    expected = brute(list(enumerate(plain.tolist())), set(range(40)))
+    rows = table(spark, [(i, v, 1, "x") for i, v in enumerate((plain * sizes[:, None]).tolist())])
+    found = found_by(neighbours.nearest_neighbours(rows, rows, share=1.0))
+    assert {q: [i for i, _ in v] for q, v in found.items()} == {q: [i for i, _ in v] for q, v in expected.items()}
+    assert np.allclose([s for v in found.values() for _, s in v], [s for q in found for _, s in expected[q]], rtol=1e-15, atol=1e-15)
+
+
+def test_query_blocks_are_bounded(spark):
+    rows = table(spark, [(i, [1.0] * (1 + i % 7), 1, "x") for i in range(50)])
+    asked = neighbours._usable(rows, "vec_id", "embedding")
+    blocks = list(neighbours._query_blocks(asked, 10))
+    assert sorted(i for b in blocks for i, _ in b) == list(range(50))
+    assert all(len({len(v) for _, v in b}) == 1 and len(b) <= 10 for b in blocks)
+
+
 def test_empty(spark):
     none, some = table(spark, []), table(spark, [(1, [1.0], 1, "x"), (2, [1.0], 1, "x")])
     assert neighbours.nearest_neighbours(none, none).collect() == []
