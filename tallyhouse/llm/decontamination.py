@@ -13,6 +13,7 @@ the documents where they lie: nothing is shuffled, and no document's windows lea
 from __future__ import annotations
 
 import random
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,7 +26,7 @@ BLOCK_BYTES = 8 << 20
 #: An item is found in a text within this share of its bytes in edits.
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.95
-MOST_REPETITIONS = 12
+MOST_REPETITIONS = 24
 #: Steps of a walk, and those of them that make a key; items too short for a walk use a shorter one.
 STEPS, SAMPLED = 40, 14
 #: After so many samples, windows whose samples no item has are given up.
@@ -234,6 +235,8 @@ class Searcher:
             missed = still
             if len(missed) <= (1 - recall) * len(trials):
                 break
+        else:
+            warnings.warn(f"{len(missed)} of {len(trials)} edited items not found with {len(side.walks)} repetitions", stacklevel=2)
         return side
 
     def _walks(self, steps: int, own: list[int]) -> list[Walk]:
@@ -243,7 +246,7 @@ class Searcher:
             data, starts, *_ = _item_windows(self.texts, own, walk.reach)
             return (np.unique(walk.keys(data, starts)[1], return_counts=True)[1] ** 2).sum()
 
-        return sorted((Walk(steps, seed) for seed in range(4 * MOST_REPETITIONS)), key=equal_keys)[:MOST_REPETITIONS]
+        return sorted((Walk(steps, seed) for seed in range(2 * MOST_REPETITIONS)), key=equal_keys)[:MOST_REPETITIONS]
 
     def candidates(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Distinct (item, text, place where it would begin, in steps of 16 bytes) of texts that end (in a 0) at ``ends``."""
