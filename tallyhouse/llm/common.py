@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_through
 
-__all__ = ["connected_labels", "doc_hash", "packed", "read_table", "text_bytes", "write_through"]
+__all__ = ["connected_labels", "doc_hash", "free_name", "packed", "read_table", "text_bytes", "write_through"]
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,14 @@ def doc_hash(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def packed(df: DataFrame, name: str) -> DataFrame:
     """The binary column ``name`` as Zstandard frames, for texts that are written and shuffled; other columns pass."""
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_labels, doc_hash, write_through
+from .common import connected_labels, doc_hash, free_name, write_through
 
 BLOCK_BITS = 16
 #: Fingerprints of one bucket that a task holds at once (8 bytes each); larger buckets are dealt to several tasks.
@@ -398,6 +398,7 @@ def one_of_each(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame
     found = near_duplicates(docs, words, distance)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"))
     kept = first.select(F.col("one.doc_id").alias("k_doc_id"), F.col("one.h").alias("k_h"))
-    keyed = docs.withColumn("k_own", doc_hash())
-    same = keyed["doc_id"].cast("long").eqNullSafe(kept["k_doc_id"]) & (keyed["k_own"] == kept["k_h"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "k_own"]).drop("k_own")
+    own = free_name(docs, "own")
+    keyed = docs.withColumn(own, doc_hash())
+    same = keyed["doc_id"].cast("long").eqNullSafe(kept["k_doc_id"]) & (keyed[own] == kept["k_h"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

@@ -408,8 +408,9 @@ def cut_texts(docs: DataFrame, length: int = 400, batches: int = BATCHES) -> Dat
     cut = without_repeats(docs, length, batches).select("k_doc_id", "k_h", "kept")
     cut = write_through(cut.mapInArrow(whole_characters, "k_doc_id long, k_h long, k_text string"), "cut")
     same = docs["doc_id"].cast("long").eqNullSafe(cut["k_doc_id"]) & (doc_hash() == cut["k_h"])
-    joined = docs.join(cut, same, "left").withColumn("text", F.coalesce("k_text", "text"))
+    new = {"text": F.coalesce(cut["k_text"], docs["text"])}
     if "n_chars" in docs.columns:
-        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
-        joined = joined.withColumn("n_chars", F.when(F.col("k_h").isNull(), F.col("n_chars")).otherwise(counted))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
+        counted = F.length(cut["k_text"]).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(cut["k_h"].isNull(), docs["n_chars"]).otherwise(counted)
+    # by frame, since a column of the documents may have any name
+    return docs.join(cut, same, "left").select(*(new.get(c, docs[f"`{c}`"]).alias(c) for c in docs.columns))

@@ -16,10 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import write_through
+from .common import free_name, write_through
 
-#: Labelled rows that are trained on: a hash of the text chooses them beyond this bound.
+#: Labelled rows that are trained on, but for chance: a hash of text and row chooses them beyond this bound.
 TRAIN_ROWS = 30_000
 #: Entries of the learned lexicon at most, strongest first.
 LEXICON_SIZE = 2_000
@@ -173,9 +174,9 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text: str, kept: list[str])
                     [*(part.column(i + 1) for i in range(len(kept))), pa.array(values, pa.list_(pa.float64()))], names
                 )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    schema = T.StructType([*fields, T.StructField("tox_features", T.ArrayType(T.DoubleType()))])
     chosen = docs.select(F.col(text).cast("string").alias("tox_text"), *(F.col(f"`{c}`") for c in kept))
-    return chosen.mapInArrow(compute, f"{schema + ', ' if schema else ''}tox_features array<double>")
+    return chosen.mapInArrow(compute, schema)
 
 
 # ---- model ----------------------------------------------------------------------------------------------------------
@@ -226,6 +227,9 @@ def _flat(node, rows: list) -> int:
 def fit(labelled: DataFrame, trees: int = 20, depth: int = 4, seed: int = 7) -> ToxicityModel:
     """From (text, toxic 0 or 1); rows with a null label are left out.
 
+    A column ``row``, if there, tells copies of a text apart when rows are sampled, so that a text with very many
+    copies is sampled like others; it is not learned from.
+
     Parts by a hash of the text, so that nothing is fitted on what it is judged by: copies stay together. The lexicon
     that trees see is learned from the other half than the trees, the calibration from a part that neither saw.
     Without rows of both labels the model is constant.
@@ -236,13 +240,14 @@ def fit(labelled: DataFrame, trees: int = 20, depth: int = 4, seed: int = 7) ->
     from pyspark.ml.functions import vector_to_array
     from pyspark.ml.regression import IsotonicRegression
 
-    labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    row = F.col("row").cast("string") if "row" in labelled.columns else F.lit("")
+    labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"), row.alias("row"))
     labelled = labelled.filter(F.col("toxic").isin(0, 1)).withColumn("text", F.coalesce("text", F.lit("")))
-    place = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30))
+    place = F.pmod(F.xxhash64("text", "row", F.lit(seed)), F.lit(1 << 30))
     n = labelled.count()
     if n > TRAIN_ROWS:
         labelled = labelled.filter(place < int(TRAIN_ROWS / n * (1 << 30)))
-    labelled = write_through(labelled.withColumn("part", F.expr(f"int(pmod(xxhash64(text, {seed + 1}), 10))")), "labelled")
+    labelled = write_through(labelled.drop("row").withColumn("part", F.expr(f"int(pmod(xxhash64(text, {seed + 1}), 10))")), "labelled")
     by_part = {(r["part"] // 2, r["toxic"]) for r in labelled.select("part", "toxic").distinct().collect()}
     lexicon = learn_lexicon(labelled)
     if len(by_part) < 10:  # some fifth has only one label
@@ -283,18 +288,24 @@ def fit(labelled: DataFrame, trees: int = 20, depth: int = 4, seed: int = 7) ->
     return model
 
 
-def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, kept: list[str] | None = None) -> DataFrame:
+def score(
+    docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, kept: list[str] | None = None,
+    names: tuple[str, str] = ("tox_score", "tox_predicted"),
+) -> DataFrame:
     """The columns ``kept`` (all by default) with tox_score (0 to 1) and tox_predicted (1 from ``threshold`` on).
 
+    ``names`` gives the two new columns other names; a kept column that has one of them gives way to the new one.
+
     Whole texts are scored, one row for each row; null and empty texts have a score too, that of no words. Only
     ``text`` is read. An empty table has no rows.
     """
-    kept = docs.columns if kept is None else kept
+    new = {n.lower() for n in names}
+    kept = [c for c in (docs.columns if kept is None else kept) if c.lower() not in new]
     fields = [docs.schema[c] for c in kept]
     # the text goes to the tasks once
     at_text = kept.index("text") if "text" in kept else len(kept)
     whole = [] if "text" in kept else [F.col("text").cast("string").alias("whole")]
-    names = [*(f"c{i}" for i in range(len(kept))), "score"]
+    held = [*(f"c{i}" for i in range(len(kept))), "score"]
 
     def compute(batches):
         for batch in batches:
@@ -302,15 +313,15 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, k
                 part = batch.slice(at, 512)
                 values = np.array([features(t.as_py() or "", model.lexicon) for t in part.column(at_text)], dtype=float)
                 found = model.scores(values.reshape(-1, len(FEATURES)))
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), pa.array(found)], names)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), pa.array(found)], held)
 
-    schema = ", ".join([*(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)), "score double"])
+    schema = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)), T.StructField("score", T.DoubleType())])
     chosen = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), *whole)
     scored = chosen.mapInArrow(compute, schema)
     return scored.select(
         *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)),
-        F.col("score").alias("tox_score"),
-        (F.col("score") >= threshold).cast("int").alias("tox_predicted"),
+        F.col("score").alias(names[0]),
+        (F.col("score") >= threshold).cast("int").alias(names[1]),
     )
 
 
@@ -320,13 +331,15 @@ def held_out() -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled documents that are not held out. Of several labels of a doc_id, the toxic one holds."""
+    """(text, toxic, row) of the labelled documents that are not held out. Of several labels of a doc_id, the toxic one
+    holds; ``row`` is for sampling alone, see ``fit``."""
     own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.filter(~held_out()).select("doc_id", "text")
-    return texts.join(own, "doc_id").select("text", "toxic")
+    return texts.join(own, "doc_id").select("text", "toxic", F.col("doc_id").alias("row"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that a model learned from them and ``labels`` does not call toxic."""
     model = fit(training_rows(docs, labels))
-    return score(docs, model, threshold).filter("tox_predicted = 0").drop("tox_score", "tox_predicted")
+    names = free_name(docs, "tox_score"), free_name(docs, "tox_predicted")
+    return score(docs, model, threshold, names=names).filter(F.col(names[1]) == 0).drop(*names)

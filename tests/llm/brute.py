@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, fp string, label double"
+#: Names that operators and stages use inside.
+INSIDE = (
+    "h k_h k_text k_doc_id k_own own root fp node label u v part key piece probe size spread range slot data spans kept "
+    "removed a c start shape batch lo hi w l_h l_doc_id tox_score tox_predicted tox_text tox_features whole score row ids n"
+).split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, " + ", ".join(f"{c} string" for c in INSIDE)
+SCHEMA += ", `a.b` array<int>, nest struct<`x y`:int>"
 
 
 def awkward(spark, texts=()):
@@ -12,7 +18,7 @@ def awkward(spark, texts=()):
         (1, None), (2, ""), (3, "   \n\t "), (4, "one"), (4, "one"), (4, "two words"), (None, "one"), (None, None), (5, long),
         (6, long), (7, "é ß 漢字 \U0001f600 é ß 漢字"), (-8, "ONE"), *texts,
     ]
-    rows = [(i, t, None, "s", None, 3, "x", 1.0) for i, t in rows]
+    rows = [(i, t, None, "s", None, 3, *INSIDE, [1, None], (2,)) for i, t in rows]
     return spark.createDataFrame(rows, SCHEMA)
 
 

@@ -66,4 +66,16 @@ def test_empty_and_one_label(spark):
 def test_labels_that_repeat(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(4, 0), (4, 1), (None, 1), (2, None)], "doc_id long, toxic int")
-    assert {tuple(r) for r in toxicity.training_rows(docs, labels).collect()} <= {("one", 1), ("two words", 1)}
+    assert {tuple(r) for r in toxicity.training_rows(docs, labels).collect()} <= {("one", 1, 4), ("two words", 1, 4)}
+
+
+def test_sample_of_many_copies(spark, monkeypatch):
+    """Half of the labelled rows are one text; what is trained on keeps to the bound, but for chance."""
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 400)
+    trained = []
+    monkeypatch.setattr(toxicity, "write_through", lambda df, name: trained.append(df) or df)
+    text = F.when(F.col("id") % 2 == 0, "one text").otherwise(F.concat(F.lit("text "), F.col("id").cast("string")))
+    rows = spark.range(8000).select(text.alias("text"), F.lit(0).alias("toxic"), F.col("id").alias("row"))
+    toxicity.fit(rows)
+    copies = trained[0].groupBy("text").count().filter("text = 'one text'").first()["count"]
+    assert 300 < trained[0].count() < 500 and 130 < copies < 270
