@@ -60,9 +60,15 @@ def _fields(data: bytes):
             at += size
 
 
-#: A run of spaces with what follows it; and the same, cut where letters meet other signs.
+#: A run of spaces with what follows it.
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
-_LETTERS = re.compile(f"{SPACE}*[^\\W\\d_]+|{SPACE}*(?:[\\W\\d_](?<!{SPACE}))+|{SPACE}+", re.DOTALL)
+_LETTER = re.compile(r"[^\W\d_]")
+
+
+def letter_cuts(others: str = "") -> re.Pattern:
+    """The same, cut where letters meet other signs; ``others`` are signs that are no letters though ``\\w`` has them."""
+    others = re.escape(others)
+    return re.compile(f"{SPACE}*[^\\W\\d_{others}]+|{SPACE}*(?:[\\W\\d_{others}](?<!{SPACE}))+|{SPACE}+", re.DOTALL)
 
 
 class Trie:
@@ -128,9 +134,10 @@ class Vocabulary:
         self.splits_at_space = not any(SPACE in t.lstrip(SPACE) for t in self.ids)
         self.scored = {t: (self.scores[i], i) for t, i in self.ids.items()}
         self.trie = Trie(self.ids, self.scores)
-        # a letter meets another sign inside a piece? else words end at their last letter, too
-        mixed = any(a.isalpha() != b.isalpha() for t in self.ids for a, b in zip(t.lstrip(SPACE), t.lstrip(SPACE)[1:]))
-        self.cuts = _WORDS if mixed else _LETTERS
+        # words end at their last letter, too, unless that cuts a piece (² and ½ are of \w, but no letters: '².' is a piece)
+        others = {c for t in self.ids for c in t if _LETTER.match(c) and not c.isalpha()}
+        letters = letter_cuts("".join(sorted(others)))
+        self.cuts = _WORDS if any(len(letters.findall(t)) > 1 for t in self.ids) else letters
         self.spelled = [self._spelled(i) for i in range(len(self.texts))]
 
     def _spelled(self, i: int) -> bytes:

@@ -73,6 +73,24 @@ def test_streams_equal_segments(own):
         assert own.decode(streamed) == text
 
 
+def test_no_piece_is_cut(own):
+    """Every piece as a text, alone and in other text, has the ids of the path that is not cut."""
+    made = [t for p in own.vocabulary.ids for t in (p, f"m{p} a", f"12{p}.")] + ["12 m². "]
+    for text, ids in zip(made, own.encode_all(made)):
+        assert ids == [i for part in own.stream(pieces.normalise(text)) for i in part], text
+    assert own.vocabulary.cuts is not pieces._WORDS
+
+
+def test_pieces_over_letters_and_signs_keep_words_whole():
+    texts = ["a", ".", "a.", "²", "².", "½b"]
+    for kept, whole_words in ((texts[:2], False), (texts[:3], True), (texts[:2] + texts[3:5], False), (texts, True)):
+        vocabulary = pieces.Vocabulary({t: i for i, t in enumerate(kept)}, [-1.0] * len(kept), kept, [1] * len(kept))
+        assert (vocabulary.cuts is pieces._WORDS) == whole_words
+        own = pieces.Encoder(vocabulary)
+        for text in ("a.", "².a", "a². ½b."):
+            assert own.encode(text) == [i for part in own.stream(pieces.normalise(text)) for i in part]
+
+
 def test_the_window_is_bounded(own):
     draw = random.Random(2)
     text = pieces.normalise(" ".join("".join(draw.choice("etaoinshr") for _ in range(draw.randint(2, 9))) for _ in range(20000)))
