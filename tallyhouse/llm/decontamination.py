@@ -3,8 +3,9 @@
 The CGK random walk (Chakraborty, Goldenberg, Koucky 2016) reads a window and, by a random bit for each step and
 symbol, stays or moves on; after an edit two walks soon meet again, so that strings at a small edit distance become
 strings at a small Hamming distance. Sampled steps of the walk are a key; windows of documents and of benchmark items
-with one key are candidates, and their edit distance is computed. Windows start at words, on both sides, so an item
-has many chances; repetitions with other random bits are added until edited copies are found with the target recall.
+with one key are candidates, and their edit distance is computed. Windows of documents start at words and, inside long
+words, at even distances; those of items wherever such a window can meet them, also amid a word. So an item has many
+chances; repetitions with other random bits are added until edited copies are found with the target recall.
 
 The benchmark is the stated query set. It is read in blocks of bounded bytes, and a block goes to all tasks, which read
 the documents where they lie: nothing is shuffled, and no document's windows leave its task.
@@ -96,12 +97,23 @@ def gram_counts(data: np.ndarray) -> np.ndarray:
 # ---- keys -----------------------------------------------------------------------------------------------------------
 
 
-def word_starts(data: np.ndarray) -> np.ndarray:
-    """Places of words: the first byte, and every byte behind a space or a text's end (0)."""
-    if not len(data):
-        return np.zeros(0, np.int64)
-    before = np.r_[np.uint8(32), data[:-1]]
-    return np.flatnonzero(((before == 32) | (before == 0)) & (data != 32) & (data != 0))
+def word_places(data: np.ndarray) -> np.ndarray:
+    """How far each byte lies behind the start of its word; -1 for spaces and texts' ends (0)."""
+    at = np.arange(len(data))
+    return at - np.maximum.accumulate(np.where((data == 32) | (data == 0), at, -1)) - 1
+
+
+def text_starts(places: np.ndarray, steps: int) -> np.ndarray:
+    """Where windows of documents start: at words, and in them at distances that leave a start in any item's windows."""
+    return np.flatnonzero((places >= 0) & (places % max(1, steps // 5) == 0))
+
+
+def item_starts(data: np.ndarray, steps: int) -> np.ndarray:
+    """Where windows of an item start: wherever one of a document may. The word that holds the item's first byte may
+    have begun before it, and edits move places in long words, so that all bytes there are starts."""
+    places = word_places(data)
+    amid = (places >= max(1, steps // 5)) | (places == np.arange(len(data)))
+    return np.flatnonzero((places == 0) | ((places >= 0) & amid))
 
 
 class Walk:
@@ -109,6 +121,7 @@ class Walk:
 
     def __init__(self, steps: int, seed: int):
         draw = np.random.default_rng([SEED, steps, seed])
+        self.steps = steps
         self.moves = draw.integers(0, 2, (steps, 256), dtype=np.int64)
         # one step of each equal stretch: neighbours often repeat a symbol
         strata = np.array_split(np.arange(steps), min(SAMPLED, steps))
@@ -169,12 +182,12 @@ class Side:
     tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, np.ndarray]]] = field(default_factory=list)
 
 
-def _item_windows(texts: list[bytes], items: list[int], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _item_windows(texts: list[bytes], items: list[int], walk: Walk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All items as one buffer, with the starts of their windows: (data, starts, item, offset)."""
-    starts, owner, offset, parts, size = [], [], [], [], 0
+    starts, owner, offset, parts, size, reach = [], [], [], [], 0, walk.reach
     for i in items:
         data = np.frombuffer(texts[i], np.uint8)
-        own = word_starts(data)
+        own = item_starts(data, walk.steps)
         own = own[(own + reach <= len(data)) | (own == 0)]
         starts.append(own + size)
         owner.append(np.full(len(own), i))
@@ -217,10 +230,12 @@ class Searcher:
         # copies with the most edits allowed: repetitions are added until enough of them are found
         draw = random.Random(SEED)
         sample = draw.sample(own, min(len(own), 100))
-        trials = [(i, edited(self.texts[i], max_edits, draw)) for i in sample for _ in range(3)]
+        letters = lambda: bytes(draw.randrange(97, 123) for _ in range(draw.randrange(40)))
+        around = (b"", b" ", b"")  # amid other bytes, inside a word, too
+        trials = [(i, letters() + a + edited(self.texts[i], max_edits, draw) + a + letters()) for i in sample for a in around]
         missed = trials
         for walk in self._walks(steps, own):
-            data, starts, owner, offset = _item_windows(self.texts, own, walk.reach)
+            data, starts, owner, offset = _item_windows(self.texts, own, walk)
             key = walk.keys(data, starts)[1]
             order = np.argsort(key, kind="stable")
             side.walks.append(walk)
@@ -228,7 +243,7 @@ class Searcher:
             still = []
             for i, text in missed:
                 found = np.frombuffer(text + b"\0" * walk.reach, np.uint8)
-                probe = walk.keys(found, word_starts(found))[1]
+                probe = walk.keys(found, text_starts(word_places(found), steps))[1]
                 lo, hi = np.searchsorted(side.tables[-1][0], probe), np.searchsorted(side.tables[-1][0], probe, "right")
                 if not any((side.tables[-1][1][a:b] == i).any() for a, b in zip(lo, hi)):
                     still.append((i, text))
@@ -243,18 +258,18 @@ class Searcher:
         """The repetitions to try, from a larger draw: those that give different windows the fewest equal keys."""
 
         def equal_keys(walk):
-            data, starts, *_ = _item_windows(self.texts, own, walk.reach)
+            data, starts, *_ = _item_windows(self.texts, own, walk)
             return (np.unique(walk.keys(data, starts)[1], return_counts=True)[1] ** 2).sum()
 
         return sorted((Walk(steps, seed) for seed in range(2 * MOST_REPETITIONS)), key=equal_keys)[:MOST_REPETITIONS]
 
     def candidates(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Distinct (item, text, place where it would begin, in steps of 16 bytes) of texts that end (in a 0) at ``ends``."""
-        found = [np.zeros((3, 0), np.int64)]
+        found, places = [np.zeros((3, 0), np.int64)], word_places(data)
         for side in self.sides:
             reach = max(w.reach for w in side.walks)
             padded = np.r_[data, np.zeros(reach, np.uint8)]
-            starts = word_starts(data)
+            starts = text_starts(places, side.steps)
             for walk, (keys, owner, offset, early) in zip(side.walks, side.tables):
                 who, key = walk.keys(padded, starts, early)
                 lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")

@@ -55,6 +55,19 @@ def test_recall_of_edited_copies():
     assert searcher.matches(clean) == []
 
 
+def test_items_inside_a_run_without_spaces():
+    """Exact copies behind any number of other bytes, of texts without spaces and of single long words."""
+    draw = random.Random(3)
+    signs = "".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(400))
+    url = "https://example.org/" + "".join(draw.choice("abcdef0123456789/-") for _ in range(150))
+    for item in (signs[:40], signs[40:60], signs[60:64], url, url[30:60], url[100:112], signs[300:340] + " " + url[:50], "alpha beta gamma delta", "a"):
+        searcher = d.Searcher([(0, d.normalise(item))])
+        for n in range(12):
+            for before in (signs[100 : 100 + n], "x" * n, "some words " + "y" * n):
+                found = searcher.matches([d.normalise(before + item + signs[200:210])])
+                assert [m[2] for m in found] == [0], (item, before)
+
+
 def test_places():
     text = "  Ab\n\ncD  éf "
     norm = d.normalise(text).decode()
