@@ -5,7 +5,7 @@ symbol, stays or moves on; after an edit two walks soon meet again, so that stri
 strings at a small Hamming distance. Sampled steps of the walk are a key; windows of documents and of benchmark items
 with one key are candidates, and their edit distance is computed. Windows of documents start at words and, inside long
 words, at even distances; those of items wherever such a window can meet them, also amid a word. So an item has many
-chances; repetitions with other random bits are added until edited copies are found with the target recall.
+chances; repetitions with other random bits are added until edited copies of all lengths are found with the target recall.
 
 The benchmark is the stated query set. It is read in blocks of bounded bytes, and a block goes to all tasks, which read
 the documents where they lie: nothing is shuffled, and no document's windows leave its task.
@@ -13,6 +13,7 @@ the documents where they lie: nothing is shuffled, and no document's windows lea
 
 from __future__ import annotations
 
+import math
 import random
 import warnings
 from dataclasses import dataclass, field
@@ -174,14 +175,18 @@ def steps_for(length: int) -> int:
 
 @dataclass
 class Side:
-    """The items of one walk length, and their keys for every repetition."""
+    """Walks of one length, and for each of these repetitions the keys of the items that need it."""
 
     steps: int
-    items: list[int]
     walks: list[Walk] = field(default_factory=list)
     tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, np.ndarray]]] = field(default_factory=list)
 
 
+def _length_class(length: int) -> int:
+    """Lengths that differ by less than a fifth, of which the recall is measured together."""
+    return int(4 * math.log2(length))
+
+
 def _item_windows(texts: list[bytes], items: list[int], walk: Walk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All items as one buffer, with the starts of their windows: (data, starts, item, offset)."""
     starts, owner, offset, parts, size, reach = [], [], [], [], 0, walk.reach
@@ -220,39 +225,80 @@ class Searcher:
         self.texts = [t for _, t in items]
         self.most = [int(len(t) * max_edits) for t in self.texts]
         self._grams: dict[int, np.ndarray] = {}
-        by: dict[int, list[int]] = {}
+        by: dict[int, dict[int, list[int]]] = {}
         for i, text in enumerate(self.texts):
-            by.setdefault(steps_for(len(text)), []).append(i)
-        self.sides = [self._side(steps, own, max_edits, recall) for steps, own in sorted(by.items())]
+            by.setdefault(steps_for(len(text)), {}).setdefault(_length_class(len(text)), []).append(i)
+        self.sides = [side for steps, classes in sorted(by.items()) for side in self._sides(steps, classes, max_edits, recall)]
 
-    def _side(self, steps: int, own: list[int], max_edits: float, recall: float) -> Side:
-        side = Side(steps, own)
-        # copies with the most edits allowed: repetitions are added until enough of them are found
+    def _sides(self, steps: int, classes: dict[int, list[int]], max_edits: float, recall: float) -> list[Side]:
+        """Repetitions are added until enough copies with the most edits allowed are found, of each class of lengths.
+
+        A class that has its recall is asked again with fresh copies, and then needs no more repetitions. Those that
+        MOST_REPETITIONS leave open go on with walks of half the steps, whose keys are shorter.
+        """
         draw = random.Random(SEED)
-        sample = draw.sample(own, min(len(own), 100))
+        sides: list[Side] = []
+        trials = {c: self._trials(own, max_edits, draw) for c, own in classes.items()}
+        missed = dict(trials)
+        while missed and (not sides or steps > 1):
+            steps = steps // 2 if sides else steps
+            sides.append(side := Side(steps))
+            for walk in self._walks(steps, [i for c in missed for i in classes[c]]):
+                data, starts, owner, offset = _item_windows(self.texts, [i for c in missed for i in classes[c]], walk)
+                key = walk.keys(data, starts)[1]
+                order = np.argsort(key, kind="stable")
+                side.walks.append(walk)
+                side.tables.append((key[order], owner[order], offset[order], walk.early_tables(data, starts)))
+                for c in list(missed):
+                    missed[c] = self._unfound(missed[c], [(walk, side.tables[-1])])
+                    if len(missed[c]) <= (1 - recall) * len(trials[c]):
+                        trials[c] = self._trials(classes[c], max_edits, draw)
+                        missed[c] = self._unfound(trials[c], [pair for s in sides for pair in zip(s.walks, s.tables)])
+                        if len(missed[c]) <= (1 - recall) * len(trials[c]):
+                            del missed[c]
+                if not missed:
+                    break
+        for c, left in missed.items():
+            size = min(len(self.texts[i]) for i in classes[c])
+            warnings.warn(f"{len(left)} of {len(trials[c])} edited items of {size} bytes and more not found", stacklevel=2)
+        return sides
+
+    def _trials(self, own: list[int], max_edits: float, draw: random.Random) -> list[tuple[int, int, bytes]]:
+        """(item, place, text): edited copies at that place amid other bytes, every other one inside a word."""
         letters = lambda: bytes(draw.randrange(97, 123) for _ in range(draw.randrange(40)))
-        around = (b"", b" ", b"")  # amid other bytes, inside a word, too
-        trials = [(i, letters() + a + edited(self.texts[i], max_edits, draw) + a + letters()) for i in sample for a in around]
-        missed = trials
-        for walk in self._walks(steps, own):
-            data, starts, owner, offset = _item_windows(self.texts, own, walk)
-            key = walk.keys(data, starts)[1]
-            order = np.argsort(key, kind="stable")
-            side.walks.append(walk)
-            side.tables.append((key[order], owner[order], offset[order], walk.early_tables(data, starts)))
-            still = []
-            for i, text in missed:
-                found = np.frombuffer(text + b"\0" * walk.reach, np.uint8)
-                probe = walk.keys(found, text_starts(word_places(found), steps))[1]
-                lo, hi = np.searchsorted(side.tables[-1][0], probe), np.searchsorted(side.tables[-1][0], probe, "right")
-                if not any((side.tables[-1][1][a:b] == i).any() for a, b in zip(lo, hi)):
-                    still.append((i, text))
-            missed = still
-            if len(missed) <= (1 - recall) * len(trials):
-                break
-        else:
-            warnings.warn(f"{len(missed)} of {len(trials)} edited items not found with {len(side.walks)} repetitions", stacklevel=2)
-        return side
+        sample, out = draw.sample(own, min(len(own), 100)), []
+        for i in sample:
+            for n in range(max(3, 100 // len(sample))):
+                before, behind = (letters(), letters()) if n % 2 else (letters() + b" ", b" " + letters())
+                out.append((i, len(before), before + edited(self.texts[i], max_edits, draw) + behind))
+        return out
+
+    def _unfound(self, trials: list[tuple[int, int, bytes]], repetitions: list[tuple[Walk, tuple]]) -> list[tuple[int, int, bytes]]:
+        """The trials of which no repetition has a candidate where the copy lies."""
+        if not trials:
+            return trials
+        every = np.frombuffer(b"\0".join(t for _, _, t in trials) + b"\0", np.uint8)
+        ends = np.cumsum([len(t) + 1 for _, _, t in trials])
+        item = np.array([i for i, _, _ in trials])
+        true = ends - [len(t) + 1 - at for _, at, t in trials]
+        most = np.array(self.most)[item]
+        places, found = word_places(every), np.zeros(len(trials), bool)
+        for walk, table in repetitions:
+            owner, at, begin = self._hits(walk, table, np.r_[every, np.zeros(walk.reach, np.uint8)], text_starts(places, walk.steps))
+            trial = np.searchsorted(ends, at, "right")
+            found[trial[(owner == item[trial]) & (abs(begin - true[trial]) <= most[trial])]] = True
+        return [t for t, hit in zip(trials, found) if not hit]
+
+    @staticmethod
+    def _hits(walk: Walk, table: tuple, padded: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, place of the window, place where the item would begin) of windows with a key of the table."""
+        keys, owner, offset, early = table
+        who, key = walk.keys(padded, starts, early)
+        lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
+        n = hi - lo
+        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        at = np.repeat(starts[who], n)
+        return owner[entry], at, at - offset[entry]
 
     def _walks(self, steps: int, own: list[int]) -> list[Walk]:
         """The repetitions to try, from a larger draw: those that give different windows the fewest equal keys."""
@@ -265,18 +311,14 @@ class Searcher:
 
     def candidates(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Distinct (item, text, place where it would begin, in steps of 16 bytes) of texts that end (in a 0) at ``ends``."""
-        found, places = [np.zeros((3, 0), np.int64)], word_places(data)
+        found = [np.zeros((3, 0), np.int64)]
+        places = word_places(data)
         for side in self.sides:
-            reach = max(w.reach for w in side.walks)
-            padded = np.r_[data, np.zeros(reach, np.uint8)]
+            padded = np.r_[data, np.zeros(max(w.reach for w in side.walks), np.uint8)]
             starts = text_starts(places, side.steps)
-            for walk, (keys, owner, offset, early) in zip(side.walks, side.tables):
-                who, key = walk.keys(padded, starts, early)
-                lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
-                n = hi - lo
-                entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                at = np.repeat(starts[who], n)
-                found.append(np.stack([owner[entry], np.searchsorted(ends, at, "right"), (at - offset[entry]) >> 4]))
+            for walk, table in zip(side.walks, side.tables):
+                owner, at, begin = self._hits(walk, table, padded, starts)
+                found.append(np.stack([owner, np.searchsorted(ends, at, "right"), begin >> 4]))
         return np.unique(np.concatenate(found, axis=1), axis=1)
 
     def grams(self, item: int) -> np.ndarray:

@@ -68,6 +68,21 @@ def test_items_inside_a_run_without_spaces():
                 assert [m[2] for m in found] == [0], (item, before)
 
 
+def test_recall_of_short_items_among_long_ones():
+    """Fresh copies with the most edits, by length: many long items do not end the search for a few short ones."""
+    _, word = items()
+    draw = random.Random(6)
+    long = [d.normalise(" ".join(word() for _ in range(60))) for _ in range(100)]
+    short = [d.normalise(" ".join(word() for _ in range(40)))[:84].strip() for _ in range(20)]
+    searcher = d.Searcher(list(enumerate(long + short)))
+    for own in (range(100), range(100, 120)):
+        copies = [(i, d.edited(searcher.texts[i], d.MAX_EDITS, draw)) for i in own for _ in range(400 // len(own))]
+        found = {(t, i) for t, i, *_ in searcher.matches([b"before " + text + b" behind" for _, text in copies])}
+        recall = sum((t, i) in found for t, (i, _) in enumerate(copies)) / len(copies)
+        print(own, recall, [(s.steps, len(s.walks)) for s in searcher.sides])
+        assert recall >= 0.92
+
+
 def test_places():
     text = "  Ab\n\ncD  éf "
     norm = d.normalise(text).decode()
