@@ -148,7 +148,7 @@ class Walk:
             key *= np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(31)
             if early and taken in early:
-                alive = np.flatnonzero(early[taken].take(_slot(key), mode="clip"))
+                alive = np.flatnonzero(early[taken].take(_slot(key, len(early[taken]).bit_length() - 1), mode="clip"))
                 at, who, key = at[alive], who[alive], key[alive]
         return who, key
 
@@ -156,13 +156,15 @@ class Walk:
         tables = {}
         for samples in EARLY:
             if samples < len(self.sampled):
-                tables[samples] = np.zeros(1 << _TABLE_BITS, dtype=np.uint8)
-                tables[samples][_slot(self.keys(data, starts, samples=samples)[1])] = 1
+                # some 16 slots and more a window: they prune alike, and a task holds those of all repetitions
+                bits = min(_TABLE_BITS, len(starts).bit_length() + 4)
+                tables[samples] = np.zeros(1 << bits, dtype=np.uint8)
+                tables[samples][_slot(self.keys(data, starts, samples=samples)[1], bits)] = 1
         return tables
 
 
-def _slot(key: np.ndarray) -> np.ndarray:
-    return (key >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
+def _slot(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key >> np.uint64(64 - bits)).view(np.int64)
 
 
 def steps_for(length: int) -> int:
