@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, neighbours, pieces, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity, warc
-from .common import read_table
+from . import decontamination, neighbours, pieces, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity, warc, whitening
+from .common import read_table, write_through
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -68,6 +68,14 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, folder, "documents"), shards=24)
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    model = whitening.fit(vectors, components=8)
+    # read twice, for the covariance and for the rows
+    done = write_through(whitening.transform(vectors, model, kept=["vec_id"]), "whitened")
+    return whitening.report(done, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -79,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sharding": op10_sharding,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
