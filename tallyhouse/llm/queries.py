@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, neighbours, pieces, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity, warc, whitening
+from . import (
+    decontamination, neighbours, pieces, quality, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity,
+    warc, whitening,
+)
 from .common import read_table, write_through
 from .oracles import ORACLES
 
@@ -76,6 +79,18 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.report(done, model)
 
 
+def op13_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    model = quality.fit(quality.training_rows(docs, labels))
+    scored = quality.score(docs, model, threshold=0.7, kept=["doc_id"])
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        F.col("quality_score").alias("score"),
+        F.col("quality_predicted").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -88,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sharding": op10_sharding,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_quality_classifier": op13_quality_classifier,
 }
