@@ -244,10 +244,15 @@ class QualityModel:
         return np.full(len(texts), self.share) if self.weights is None else np.round(self.weights.scores(texts), 9)
 
 
-def _sampled(labelled: DataFrame, seed: int) -> tuple[DataFrame, dict[int, int], int]:
-    """Rows of both labels by a hash of text and row, ``weight`` making up for what a label lost; counts by label of all
-    rows; bytes of the sample, about."""
-    known = labelled.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("bytes")).collect()
+def _place(row: str, seed: int) -> Column:
+    """A number from 0 to 1 for a text (bytes) and its row."""
+    return F.pmod(F.xxhash64("text", row, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def _sampled(labelled: DataFrame, place: Column) -> tuple[DataFrame, dict[int, int], int]:
+    """Rows (quality, size, and others) whose ``place`` is below the share of their label, with a column ``weight`` that
+    makes up for what a label lost; counts by label of all rows; bytes of the sample, about."""
+    known = labelled.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect()
     known = {r["quality"]: (r["n"], r["bytes"]) for r in known}
     left, chosen, size = TRAIN_ROWS, F.lit(0.0), 0
     for turn, label in enumerate(sorted(known, key=known.get)):  # the rarer label first
@@ -255,26 +260,27 @@ def _sampled(labelled: DataFrame, seed: int) -> tuple[DataFrame, dict[int, int],
         share = min(1.0, (left // 2 if turn == 0 and len(known) > 1 else left) / n)
         left, size = left - int(share * n), size + int(share * weight)
         chosen = F.when(F.col("quality") == label, F.lit(share)).otherwise(chosen)
-    place = F.pmod(F.xxhash64("text", "row", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.withColumn("weight", 1 / chosen).filter(place < chosen), {label: n for label, (n, _) in known.items()}, size
+    return labelled.withColumn("weight", F.try_divide(F.lit(1.0), chosen)).filter(place < chosen), {label: n for label, (n, _) in known.items()}, size
 
 
 def fit(labelled: DataFrame, rounds: int = 5, epochs: int = 4, rate: float = 0.005, shrink: float = 1e-4, seed: int = 11) -> QualityModel:
     """From (text, quality 0 or 1); rows with another label are left out, a null text is an empty one.
 
-    A column ``row``, if there, tells copies of a text apart when rows are sampled; it is not learned from. A document of
-    more than CHUNK_PASSAGES passages is trained on as several bags with its label, which share its weight. With rows of
+    A column ``row``, if there, tells copies of a text apart when rows are sampled, and a column ``weight`` says how many
+    rows a row stands for; neither is learned from. A document of more than CHUNK_PASSAGES passages is trained on as several bags with its label, which share its weight. With rows of
     one label only there is nothing to tell apart: the model is then constant, and a warning says so.
     """
     row = F.col("row").cast("string") if "row" in labelled.columns else F.lit("")
-    labelled = labelled.select(text_bytes().alias("text"), F.col("quality").cast("int").alias("quality"), row.alias("row"))
-    sample, n, size = _sampled(labelled.filter(F.col("quality").isin(0, 1)), seed)
+    own = F.col("weight").cast("double") if "weight" in labelled.columns else F.lit(1.0)
+    labelled = labelled.select(text_bytes().alias("text"), F.col("quality").cast("int").alias("quality"), row.alias("row"), own.alias("own"))
+    labelled = labelled.withColumn("size", F.length("text")).filter(F.col("quality").isin(0, 1))
+    sample, n, size = _sampled(labelled, _place("row", seed))
     known = n.get(0, 0) + n.get(1, 0)
     if not n.get(0) or not n.get(1):
         warnings.warn(f"{known} labelled rows of one label: every quality score will be the same", stacklevel=2)
         return QualityModel(None, (n.get(1, 0) + 1) / (known + 2))
     groups = 1 + max(min(known, TRAIN_ROWS) // GROUP_ROWS, size // GROUP_BYTES)
-    sample = sample.withColumn("place", F.xxhash64("text", "row", F.lit(seed + 1))).select("place", "quality", "weight", "text")
+    sample = sample.select(F.xxhash64("text", "row", F.lit(seed + 1)).alias("place"), "quality", F.col("weight") * F.col("own"), "text")
 
     def encode(batches):
         """A row for each bag: a document, or CHUNK_PASSAGES passages of a longer one."""
@@ -347,11 +353,21 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, quality, row) of the labelled documents that are not held out; of several labels of a doc_id the lower holds."""
-    own = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    texts = docs.filter(~held_out()).select("doc_id", "text")
-    return texts.join(own, "doc_id").select("text", "quality", F.col("doc_id").alias("row"))
+def training_rows(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
+    """(text, quality, row, weight): a sample, bounded by TRAIN_ROWS, of the labelled documents that are not held out.
+
+    Of several labels of a doc_id the lower holds. Rows are chosen without their texts, which then meet the chosen rows:
+    that table is bounded, so it goes to the texts and no text is shuffled.
+    """
+    own = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    texts = docs.filter(~held_out()).select("doc_id", text_bytes().alias("text"))
+    texts = texts.withColumn("place", _place("doc_id", seed))
+    keys = texts.select("doc_id", "place", F.length("text").alias("size")).join(own.filter("quality in (0, 1)"), "doc_id")
+    keys = write_through(keys, "labelled")
+    chosen, _, _ = _sampled(keys, F.col("place"))
+    chosen = chosen.select("doc_id", "place", "quality", "weight").distinct()
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "place"])
+    return write_through(rows.select(F.col("text").cast("string").alias("text"), "quality", F.col("doc_id").alias("row"), "weight"), "sample")
 
 
 def without_poor(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

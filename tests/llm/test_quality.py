@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from brute import INSIDE, awkward, empty
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import quality
 from tallyhouse.llm.common import read_table
@@ -103,7 +104,9 @@ def test_bounded_sample(spark, monkeypatch):
     """Beyond the bound both labels stay, the rarer one with up to half of the rows, and weights restore the shares."""
     monkeypatch.setattr(quality, "TRAIN_ROWS", 1000)
     rows = [(f"text {i}", int(i % 50 != 0), str(i)) for i in range(20_000)] + [("copy", 1, str(i)) for i in range(10_000)]
-    sample, n, _ = quality._sampled(spark.createDataFrame(rows, "text string, quality int, row string"), 1)
+    table = spark.createDataFrame(rows, "text string, quality int, row string").withColumn("size", F.length("text"))
+    sample, n, size = quality._sampled(table, quality._place("row", 1))
+    assert 4000 < size < 10_000
     found = {r["quality"]: r for r in sample.groupBy("quality").agg({"*": "count", "weight": "sum"}).collect()}
     assert n == {0: 400, 1: 29_600} and found[0]["count(1)"] == 400 and 500 < found[1]["count(1)"] < 700
     assert 0.85 < found[1]["sum(weight)"] / 29_600 < 1.15
@@ -131,7 +134,13 @@ def test_awkward_tables(spark, table):
     docs = table(spark)
     labels = spark.createDataFrame([(1, 0), (2, None), (3, 1), (None, 1), (4, 1), (4, 0), (5, 1), (6, 0), (7, 1)], "doc_id long, quality int")
     training = quality.training_rows(docs, labels)
-    assert training.columns == ["text", "quality", "row"]
+    assert training.columns == ["text", "quality", "row", "weight"]
+    kept = {(r.text, r.quality) for r in training.collect()}
+    if table is awkward:
+        assert ("one", 0) in kept and ("two words", 0) in kept and (None, 1) not in kept
+        held = {r.doc_id for r in docs.filter(quality.held_out()).collect()}
+        expected = [r for r in docs.collect() if r.doc_id in (1, 3, 4, 5, 6, 7) and r.doc_id not in held]
+        assert training.count() == len(expected)  # a repeated row is there as often as in the table
     model = quality.QualityModel(quality.Weights.drawn(1), 0.5)
     scored = quality.score(docs, model)
     rows = scored.collect()
