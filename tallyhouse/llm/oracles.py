@@ -102,9 +102,48 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT
        sha256(CASE WHEN spans IS NULL THEN data ELSE unhex(kept || hex(data[last + 1 : n])) END) AS kept_sha256
 FROM texts LEFT JOIN cut USING (nth)"""
 
+PHRASES = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM places, (VALUES (1), (2), (3), (4)) AS lengths(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k >= 2 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, k)) AS c FROM candidates),
+scored AS (
+    SELECT x.lang, x.phrase, x.a, x.c, l.f AS l, r.f AS r, ((2000000::HUGEINT * x.a) // (l.f + r.f))::BIGINT AS score
+    FROM cuts x
+    JOIN grams l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1:x.c], ' ')
+    JOIN grams r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[x.c + 1:], ' ')
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+starts AS (SELECT lang, k, a, w, unnest(range(1, k + 1)) AS i FROM candidates WHERE k >= 3),
+inner_ones AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS above
+    FROM starts, (VALUES (2), (3)) AS lengths(m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+),
+kept AS (
+    SELECT b.* FROM best b LEFT JOIN inner_ones o ON o.lang = b.lang AND o.phrase = b.phrase
+    WHERE o.above IS NULL OR 100::HUGEINT * o.above < 80::HUGEINT * b.a
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT x.lang, x.rank, x.phrase, x.a, x.l, x.r, t.n, x.score FROM ranked x JOIN totals t ON t.lang = x.lang WHERE x.rank <= 2000
+"""
+
 ORACLES = {
     "op4_suffix_array_dedup": REPEATS,
     "op5_chat_formatting": TOOL_CALLS,
     "op6_warc": WARC,
     "op10_sharding": SHARDING,
+    "op11_phrase_collocations": PHRASES,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, neighbours, pieces, quality, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity,
+    decontamination, neighbours, phrases, pieces, quality, sharding, simhash, suffix_dedup, token_counts, tool_calls, toxicity,
     warc, whitening,
 )
 from .common import read_table, write_through
@@ -71,6 +71,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, folder, "documents"), shards=24)
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, folder, "documents"), least=30, share=80, first=2000)
+
+
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_table(spark, folder, "embeddings")
     model = whitening.fit(vectors, components=8)
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sharding": op10_sharding,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_quality_classifier": op13_quality_classifier,
 }
