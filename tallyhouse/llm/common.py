@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_through
 
-__all__ = ["connected_labels", "doc_hash", "free_name", "packed", "read_table", "text_bytes", "write_through"]
+__all__ = ["connected_labels", "doc_hash", "free_name", "giving_back", "packed", "read_table", "text_bytes", "write_through"]
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,30 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def giving_back(run):
+    """``run`` for ``mapInArrow``, after which the worker returns the memory of its task to the system.
+
+    Workers are used again, and what a task of one stage took would stand beside all that later stages need.
+    """
+
+    def task(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim:
+                trim(0)
+
+    return task
+
+
 def packed(df: DataFrame, name: str) -> DataFrame:
     """The binary column ``name`` as Zstandard frames, for texts that are written and shuffled; other columns pass."""
 
@@ -47,7 +71,7 @@ def packed(df: DataFrame, name: str) -> DataFrame:
                 data = pa.array([None if x is None else pack(x) for x in part.column(place).to_pylist()], pa.binary())
                 yield part.set_column(place, name, data)
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(giving_back(run), df.schema)
 
 
 def _signature(edges: DataFrame):

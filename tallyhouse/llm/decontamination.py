@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import giving_back
+
 #: Bytes of benchmark texts that are sent to the tasks at once.
 BLOCK_BYTES = 8 << 20
 #: An item is found in a text within this share of its bytes in edits.
@@ -441,7 +443,7 @@ def find_leaks(
 
     found = None
     for block in item_blocks(benchmark, block_bytes):
-        part = chosen.mapInArrow(search(Searcher(block, max_edits, recall)), schema)
+        part = chosen.mapInArrow(giving_back(search(Searcher(block, max_edits, recall))), schema)
         found = part if found is None else found.union(part)
     return spark.createDataFrame([], schema) if found is None else found
 

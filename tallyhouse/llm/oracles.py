@@ -99,7 +99,8 @@ cut AS (
   FROM gaps JOIN texts USING (nth) GROUP BY nth)
 SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
        coalesce(spans, 0) AS n_spans,
-       sha256(CASE WHEN spans IS NULL THEN data ELSE unhex(kept || hex(data[last + 1 : n])) END) AS kept_sha256
+       sha256(CASE WHEN spans IS NULL THEN data ELSE unhex(kept || hex(data[last + 1 : n])) END) AS kept_sha256,
+       CASE WHEN removed > 0 THEN 1 ELSE 0 END AS loses_bytes
 FROM texts LEFT JOIN cut USING (nth)"""
 
 PHRASES = r"""

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import quotient
-from .common import write_through
+from .common import giving_back, write_through
 
 LONGEST = 4
 #: What ends a piece, and what ends a word, besides.
@@ -27,7 +27,7 @@ _TABLE = bytes.maketrans(PIECE_ENDS + WORD_ENDS, b"\n" * len(PIECE_ENDS) + b" "
 #: Bytes of text of a block, and of the blocks that a task fills at once.
 BLOCK_BYTES, HELD_BYTES = 2 << 20, 16 << 20
 #: Entries that a task holds before they go to their buckets; occurrences a bucket, about; the fewest and most buckets (as bits).
-HELD_ENTRIES, BUCKET_WORDS, BUCKET_BITS = 2_000_000, 1 << 21, (9, 22)
+HELD_ENTRIES, BUCKET_WORDS, BUCKET_BITS = 1_000_000, 1 << 21, (9, 22)
 #: Bits of the set of frequent n-grams at most (as a power of two), beside 64 a bucket.
 MEMBER_BITS = 26
 #: Words of the vocabulary that are numbered in one group, about.
@@ -216,10 +216,10 @@ _FIELDS = ", ".join(f"w{k + 1}: bigint" for k in range(LONGEST))
 def count_grams(codes: DataFrame, n: int, bits: int, bucket_bits: int, least: int, members: quotient.Members | None, mark_bits: int):
     """(w1..w4, f) of the n-grams that stand in ``codes`` ``least`` times, 0 for words that an n-gram has not; and members."""
     layout = quotient.Layout(n, bits, bucket_bits)
-    filters = codes.mapInArrow(_filled(layout, members), "bucket int, filter binary")
+    filters = codes.mapInArrow(giving_back(_filled(layout, members)), "bucket int, filter binary")
     tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     merged = filters.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    merged = merged.mapInArrow(_merging(layout, least, mark_bits), f"bucket int, grams array<struct<{_FIELDS}, f: bigint>>, marks binary")
+    merged = merged.mapInArrow(giving_back(_merging(layout, least, mark_bits)), f"bucket int, grams array<struct<{_FIELDS}, f: bigint>>, marks binary")
     merged = write_through(merged, f"grams{n}")
     found = None
     if n < LONGEST:
@@ -288,7 +288,7 @@ def collocations(
     texts = docs.select(
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(nameless)).alias("lang")
     )
-    blocks = write_through(texts.mapInArrow(_blocks, "block long, lang string, words array<binary>, counts array<long>, codes binary"), "blocks")
+    blocks = write_through(texts.mapInArrow(giving_back(_blocks), "block long, lang string, words array<binary>, counts array<long>, codes binary"), "blocks")
     words = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
     words = words.select("block", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
     total = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)).alias("n"))
@@ -299,7 +299,7 @@ def collocations(
     bits = max(1, known.bit_length())
     found = words.join(vocabulary, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("found"))
     # a block's distinct words are bounded by the block
-    coded = blocks.select("block", "codes").join(found, "block").select("codes", "found").mapInArrow(_recoded, "codes binary")
+    coded = blocks.select("block", "codes").join(found, "block").select("codes", "found").mapInArrow(giving_back(_recoded), "codes binary")
     coded = write_through(coded, "codes")
     occurrences = vocabulary.agg(F.sum("f")).first()[0] or 0
     fewest, most = BUCKET_BITS

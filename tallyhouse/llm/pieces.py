@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import giving_back
+
 #: Folder of the vocabulary files; a parameter of every function that opens one.
 TOKENIZERS = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
@@ -331,8 +333,17 @@ class Encoder:
         return out
 
     def decode(self, ids) -> str:
-        """The text of the ids: pieces joined, bytes as UTF-8 (U+FFFD for what is none), the space in front removed."""
-        data = b"".join(map(self.vocabulary.spelled.__getitem__, ids)).decode("utf-8", "replace")
+        """The text of the ids: pieces joined, bytes as UTF-8 (U+FFFD for what is none), the space in front removed.
+
+        An id that the vocabulary has not, also a negative or a null one, is U+FFFD.
+        """
+        spelled = self.vocabulary.spelled
+        if not all(i is not None and 0 <= i < len(spelled) for i in ids):
+            lost = "\ufffd".encode()
+            data = b"".join(spelled[i] if i is not None and 0 <= i < len(spelled) else lost for i in ids)
+        else:
+            data = b"".join(map(spelled.__getitem__, ids))
+        data = data.decode("utf-8", "replace")
         # the sign itself can come back from its three bytes
         return data.replace(SPACE, " ").removeprefix(" ")
 
@@ -378,11 +389,11 @@ def encode_documents(docs: DataFrame, folder: str = TOKENIZERS, model: str = MOD
                 )
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(compute, "doc_id long, ids array<int>, n_tokens long, n_chars long, round_trip boolean")
+    return chosen.mapInArrow(giving_back(compute), "doc_id long, ids array<int>, n_tokens long, n_chars long, round_trip boolean")
 
 
 def decode_documents(encoded: DataFrame, folder: str = TOKENIZERS, model: str = MODEL) -> DataFrame:
-    """doc_id, text: from (doc_id, ids); null ids give a null text."""
+    """doc_id, text: from (doc_id, ids); a null list gives a null text, an id outside the vocabulary U+FFFD."""
     path = os.path.join(folder, model)
 
     def compute(batches):
@@ -391,4 +402,4 @@ def decode_documents(encoded: DataFrame, folder: str = TOKENIZERS, model: str =
             texts = [None if ids.as_py() is None else own.decode(ids.as_py()) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(compute, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(giving_back(compute), "doc_id long, text string")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, text_bytes, write_through
+from .common import free_name, giving_back, text_bytes, write_through
 
 #: Labelled rows that are trained on, but for chance: at most half of it from the rarer label, the rest from the other.
 TRAIN_ROWS = 12_000
@@ -299,7 +299,7 @@ def fit(labelled: DataFrame, rounds: int = 5, epochs: int = 4, rate: float = 0.0
 
     kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.binary()]
     names = ["part", "place", "bag", "quality", "weight", "features"]
-    encoded = sample.mapInArrow(encode, "part int, place long, bag int, quality int, weight double, features binary")
+    encoded = sample.mapInArrow(giving_back(encode), "part int, place long, bag int, quality int, weight double, features binary")
     encoded = write_through(encoded, "passages")
     start = Weights.drawn(seed)
 
@@ -341,7 +341,7 @@ def score(
 
     schema = T.StructType([*(T.StructField(h, docs.schema[c].dataType) for h, c in zip(held, kept)), T.StructField("score", T.DoubleType())])
     chosen = docs.select(*(F.col(f"`{c}`").alias(h) for h, c in zip(held, kept)), text_bytes().alias("whole"))
-    return chosen.mapInArrow(compute, schema).select(
+    return chosen.mapInArrow(giving_back(compute), schema).select(
         *(F.col(h).alias(c) for h, c in zip(held, kept)),
         F.col("score").alias(names[0]),
         (F.col("score") >= threshold).cast("int").alias(names[1]),

@@ -41,7 +41,8 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.repeat_report(read_table(spark, folder, "documents"), length=400)
+    found = suffix_dedup.repeat_report(read_table(spark, folder, "documents"), length=400)
+    return found.withColumn("loses_bytes", (F.col("n_removed") > 0).cast("int"))
 
 
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_labels, doc_hash, free_name, write_through
+from .common import connected_labels, doc_hash, free_name, giving_back, write_through
 
 BLOCK_BITS = 16
 #: Fingerprints of one bucket that a task holds at once (8 bytes each); larger buckets are dealt to several tasks.
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
                 )
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_hash().alias("h"), F.col("text").cast("string"))
-    return chosen.mapInArrow(compute, "doc_id long, h long, fp long")
+    return chosen.mapInArrow(giving_back(compute), "doc_id long, h long, fp long")
 
 
 # ---- partitions, counts, thresholds ------------------------------------------------------------------------------
@@ -81,7 +81,7 @@ def bit_counts(prints: DataFrame) -> tuple[int, np.ndarray]:
                 [pa.array([*range(4097)], pa.int32()), pa.array([*both.ravel().astype(np.int64), n], pa.int64())], ["at", "n"]
             )
 
-    rows = prints.select("fp").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
+    rows = prints.select("fp").mapInArrow(giving_back(count), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
     table = np.zeros(4097, dtype=np.int64)
     for row in rows:
         table[row["at"]] = row["n"]
@@ -152,7 +152,7 @@ def block_counts(prints: DataFrame, groups: list[list[int]]) -> list[list[np.nda
                     ["block", "value", "n"],
                 )
 
-    found = prints.select("fp").mapInArrow(count, "block int, value int, n long")
+    found = prints.select("fp").mapInArrow(giving_back(count), "block int, value int, n long")
     found = found.groupBy("block", "value").agg(F.sum("n").alias("n")).toArrow()
     tables = [np.zeros(1 << len(bits), dtype=np.int64) for *_, bits in blocks]
     block, value, n = (found.column(i).to_numpy() for i in range(3))
@@ -363,10 +363,10 @@ def near_links(prints: DataFrame, distance: int = 3, parts: int | None = None) -
     n, both = bit_counts(prints)
     groups = group_bits(n, both, parts or number_of_parts(n, distance))
     probing = Probing(groups, block_counts(prints, groups), n, distance)
-    rows = prints.select("fp").mapInArrow(_probe_rows(probing), "part int, key long, piece int, probe boolean, fp long")
+    rows = prints.select("fp").mapInArrow(giving_back(_probe_rows(probing)), "part int, key long, piece int, probe boolean, fp long")
     bucket = ["part", "key", "piece"]
     dealt = rows.repartition(*bucket).sortWithinPartitions(*bucket, "probe")
-    return dealt.mapInArrow(_verify(distance), "u long, v long")
+    return dealt.mapInArrow(giving_back(_verify(distance)), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, parts: int | None = None) -> DataFrame:

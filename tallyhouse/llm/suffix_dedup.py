@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_root
-from .common import doc_hash, text_bytes, write_through
+from .common import doc_hash, giving_back, text_bytes, write_through
 from .suffixes import PIECE_BYTES, Anchors
 
 PREFIX = 100
@@ -84,7 +84,7 @@ def suffix_entries(docs: DataFrame, length: int, prefix: int, batches: int) -> D
         F.expr(f"int(pmod(xxhash64(doc_id), {batches}))").alias("batch"),
         text_bytes().alias("data"),
     ).filter(F.length("data") >= length)
-    return chosen.mapInArrow(compute, "doc_id long, h long, batch int, a long, c long, start long, shape int")
+    return chosen.mapInArrow(giving_back(compute), "doc_id long, h long, batch int, a long, c long, start long, shape int")
 
 
 # ---- the family of arrays ------------------------------------------------------------------------------------------
@@ -239,9 +239,11 @@ def _repeated_windows(spark: SparkSession, mixed: DataFrame, texts: DataFrame, l
         mixed.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "h", "start", "shape")).alias("one")),
         "contexts",
     )
-    pieces = contexts.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CONTEXTS_AT_ONCE).cast("int").alias("pieces"))
+    # written, so that contexts meet the few anchors with very many of them by a plain exchange, which AQE can split
+    pieces = contexts.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CONTEXTS_AT_ONCE).cast("int").alias("pieces")).filter("pieces > 1")
     wanted = (
-        contexts.join(pieces, "a")
+        contexts.join(write_through(pieces, "pieces"), "a", "left")
+        .withColumn("pieces", F.coalesce("pieces", F.lit(1)))
         .select("one.doc_id", "one.h", F.struct("a", "c", "one.start", "one.shape", "pieces").alias("run"))
         .groupBy("doc_id", "h")
         .agg(F.collect_list("run").alias("runs"))  # of one document
@@ -250,11 +252,11 @@ def _repeated_windows(spark: SparkSession, mixed: DataFrame, texts: DataFrame, l
     found = (
         one_text.join(wanted, one_text["doc_id"].eqNullSafe(wanted["doc_id"]) & (one_text["h"] == wanted["h"]))
         .select("data", "runs")
-        .mapInArrow(_contexts(length), "a long, c long, pieces int, data binary")
+        .mapInArrow(giving_back(_contexts(length)), "a long, c long, pieces int, data binary")
     )
     dealt = found.select("a", F.expr("int(pmod(c, pieces))").alias("piece"), "pieces", "c", "data")
     dealt = dealt.repartition("a", "piece").sortWithinPartitions("a", "piece")
-    compared = write_through(dealt.mapInArrow(_compare(length), "a long, c long, lo int, hi int, w long"), "compared")
+    compared = write_through(dealt.mapInArrow(giving_back(_compare(length)), "a long, c long, lo int, hi int, w long"), "compared")
     open_windows = compared.filter("w is not null")
     twice = open_windows.groupBy("a", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "w")
     whole = contexts.filter("n > 1").select("a", "c", F.lit(0).alias("lo"), F.col("one.shape").alias("hi"))
@@ -300,19 +302,21 @@ def repeated_spans(docs: DataFrame, length: int = 400, batches: int = BATCHES, p
     entries = write_through(suffix_entries(docs, length, prefix, batches), "entries")
     family = SuffixFamily(spark)
     matches = None
-    for batch in range(batches):
-        found = family.add(entries.filter(F.col("batch") == batch).select("a", "c"))
-        matches = found if matches is None else matches.union(found)
-    family.close()
+    try:
+        for batch in range(batches):
+            found = family.add(entries.filter(F.col("batch") == batch).select("a", "c"))
+            matches = found if matches is None else matches.union(found)
+    finally:
+        family.close()
     # written, so that the join reads two plain exchanges and an anchor with very many runs is split
     matches = write_through(matches.groupBy("a").agg((F.min("lo") != F.max("hi")).alias("mixed")), "shared")
     runs = write_through(entries.drop("batch").join(matches, "a"), "runs")
     owners = runs.select("doc_id", "h").distinct()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_hash().alias("h"), text_bytes().alias("data"))
-    keyed = keyed.filter(F.length("data") >= length).mapInArrow(_packed, "doc_id long, h long, data binary")
+    keyed = keyed.filter(F.length("data") >= length).mapInArrow(giving_back(_packed), "doc_id long, h long, data binary")
     same = keyed["doc_id"].eqNullSafe(owners["doc_id"]) & (keyed["h"] == owners["h"])
     packed = write_through(keyed.join(owners, same, "left_semi"), "texts")
-    texts = packed.mapInArrow(_unpacked, "doc_id long, h long, data binary")
+    texts = packed.mapInArrow(giving_back(_unpacked), "doc_id long, h long, data binary")
     windows = _repeated_windows(spark, runs.filter("mixed"), texts, length)
     n = F.shiftright("shape", _N_BITS)
     even = runs.filter("not mixed").select("doc_id", "h", "start", (F.col("start") + n - 1 + length).alias("end"))
@@ -369,7 +373,7 @@ def without_repeats(docs: DataFrame, length: int = 400, batches: int = BATCHES)
     return (
         texts.join(spans, same)
         .select(texts["doc_id"], texts["h"], "data", "spans")
-        .mapInArrow(_cut, "k_doc_id long, k_h long, removed long, spans long, kept binary")
+        .mapInArrow(giving_back(_cut), "k_doc_id long, k_h long, removed long, spans long, kept binary")
     )
 
 
@@ -406,7 +410,7 @@ def cut_texts(docs: DataFrame, length: int = 400, batches: int = BATCHES) -> Dat
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), texts], ["k_doc_id", "k_h", "k_text"])
 
     cut = without_repeats(docs, length, batches).select("k_doc_id", "k_h", "kept")
-    cut = write_through(cut.mapInArrow(whole_characters, "k_doc_id long, k_h long, k_text string"), "cut")
+    cut = write_through(cut.mapInArrow(giving_back(whole_characters), "k_doc_id long, k_h long, k_text string"), "cut")
     same = docs["doc_id"].cast("long").eqNullSafe(cut["k_doc_id"]) & (doc_hash() == cut["k_h"])
     new = {"text": F.coalesce(cut["k_text"], docs["text"])}
     if "n_chars" in docs.columns:

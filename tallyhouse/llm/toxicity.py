@@ -9,23 +9,27 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, write_through
+from .common import free_name, giving_back, write_through
 
-#: Labelled rows that are trained on, but for chance: a hash of text and row chooses them beyond this bound.
+#: Labelled rows that are trained on, but for chance: beyond this bound a hash of text and row chooses them, the rarer
+#: label's up to half of the bound.
 TRAIN_ROWS = 30_000
+#: Parts that the trained rows are dealt to, label by label.
+PARTS = 5
 #: Entries of the learned lexicon at most, strongest first.
 LEXICON_SIZE = 2_000
 STEMS = (4, 5, 6, 7)
-#: An entry stands in at least so many toxic documents, and this much oftener in them than in clean ones.
+#: An entry stands in at least so many toxic documents (two, where there are few), and this much oftener in them than in clean ones.
 LEAST_DOCS, LEAST_RATIO = 4, 6.0
 THRESHOLD = 0.7
 
@@ -148,11 +152,12 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return Lexicon({})
-    counts = labelled.select("text", "toxic").mapInArrow(count, "entry string, clean long, toxic long")
+    least = max(2, min(LEAST_DOCS, n[1] // 2))
+    counts = labelled.select("text", "toxic").mapInArrow(giving_back(count), "entry string, clean long, toxic long")
     counts = counts.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ratio = (F.col("toxic") / n[1]) / ((F.col("clean") + 1) / n[0])
     strong = (
-        counts.filter((F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO))
+        counts.filter((F.col("toxic") >= least) & (ratio >= LEAST_RATIO))
         .select("entry", F.log(ratio).alias("weight"), (F.log(ratio) * F.sqrt("toxic")).alias("strength"))
         .orderBy(F.desc("strength"), "entry")
         .limit(LEXICON_SIZE)  # the lexicon's size, a parameter
@@ -176,7 +181,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text: str, kept: list[str])
 
     schema = T.StructType([*fields, T.StructField("tox_features", T.ArrayType(T.DoubleType()))])
     chosen = docs.select(F.col(text).cast("string").alias("tox_text"), *(F.col(f"`{c}`") for c in kept))
-    return chosen.mapInArrow(compute, schema)
+    return chosen.mapInArrow(giving_back(compute), schema)
 
 
 # ---- model ----------------------------------------------------------------------------------------------------------
@@ -224,15 +229,26 @@ def _flat(node, rows: list) -> int:
     return at
 
 
+def flat_trees(rounds) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The trees of Spark's boosted model, each with its weight."""
+    flat = []
+    for weight, tree in zip(rounds.treeWeights, rounds._call_java("trees")):
+        rows: list = []
+        _flat(tree.rootNode(), rows)
+        flat.append((weight, *(np.array(x) for x in zip(*rows))))
+    return flat
+
+
 def fit(labelled: DataFrame, trees: int = 20, depth: int = 4, seed: int = 7) -> ToxicityModel:
     """From (text, toxic 0 or 1); rows with a null label are left out.
 
     A column ``row``, if there, tells copies of a text apart when rows are sampled, so that a text with very many
     copies is sampled like others; it is not learned from.
 
-    Parts by a hash of the text, so that nothing is fitted on what it is judged by: copies stay together. The lexicon
-    that trees see is learned from the other half than the trees, the calibration from a part that neither saw.
-    Without rows of both labels the model is constant.
+    Parts by the order of a hash of the text, label by label, so that every part has rows of both labels, and nothing is
+    fitted on what it is judged by: copies stay together. The lexicon that trees see is learned from the other half than
+    the trees, the calibration from a part that neither saw. With less than three different texts of a label there is
+    nothing to hold back: the model is then constant, and a warning says so.
     """
     # here, because the workers import this module and need none of it
     from pyspark.ml.classification import GBTClassifier
@@ -243,47 +259,55 @@ def fit(labelled: DataFrame, trees: int = 20, depth: int = 4, seed: int = 7) ->
     row = F.col("row").cast("string") if "row" in labelled.columns else F.lit("")
     labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"), row.alias("row"))
     labelled = labelled.filter(F.col("toxic").isin(0, 1)).withColumn("text", F.coalesce("text", F.lit("")))
-    place = F.pmod(F.xxhash64("text", "row", F.lit(seed)), F.lit(1 << 30))
-    n = labelled.count()
-    if n > TRAIN_ROWS:
-        labelled = labelled.filter(place < int(TRAIN_ROWS / n * (1 << 30)))
-    labelled = write_through(labelled.drop("row").withColumn("part", F.expr(f"int(pmod(xxhash64(text, {seed + 1}), 10))")), "labelled")
-    by_part = {(r["part"] // 2, r["toxic"]) for r in labelled.select("part", "toxic").distinct().collect()}
+    n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = min(n.get(0, 0), n.get(1, 0), TRAIN_ROWS // 2)
+    rare = 1 if n.get(1, 0) <= n.get(0, 0) else 0
+    share = {label: min(1.0, (few if label == rare else TRAIN_ROWS - few) / max(1, n.get(label, 0))) for label in (0, 1)}
+    place = F.pmod(F.xxhash64("text", "row", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    weight = F.when(F.col("toxic") == 1, F.lit(1 / (share[1] or 1.0))).otherwise(F.lit(1 / (share[0] or 1.0)))
+    # on the texts' side, so that only what is chosen meets the labels
+    labelled = labelled.filter(place < max(share.values())).filter(place < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    labelled = labelled.select("text", "toxic", weight.alias("weight"), F.xxhash64("text", F.lit(seed + 1)).alias("key"))
+    labelled = write_through(labelled, "labelled")
+    # the sample is bounded, so its keys may be ordered in one task and sent to all
+    order = F.row_number().over(Window.partitionBy("toxic").orderBy("key"))
+    order = write_through(labelled.select("toxic", "key").distinct().withColumn("order", order), "order")
+    texts = {r["toxic"]: r["order"] for r in order.groupBy("toxic").agg(F.max("order").alias("order")).collect()}
+    parts = min(PARTS, texts.get(0, 0), texts.get(1, 0))
     lexicon = learn_lexicon(labelled)
-    if len(by_part) < 10:  # some fifth has only one label
+    if parts < 3:
+        warnings.warn(f"labels of {texts.get(1, 0)} toxic and {texts.get(0, 0)} other texts: every score will be the same", stacklevel=2)
         return ToxicityModel(lexicon, [], (np.zeros(0), np.zeros(0)))
-    half, rest = labelled.filter("part < 4"), labelled.filter("part >= 4")
-    seen = with_features(rest.filter("part < 8"), learn_lexicon(half), "text", ["toxic"])
-    seen = seen.union(with_features(half, learn_lexicon(rest.filter("part < 8")), "text", ["toxic"]))
-    held = with_features(rest.filter("part >= 8"), learn_lexicon(labelled.filter("part < 8")), "text", ["toxic"])
+    labelled = labelled.join(F.broadcast(order), ["toxic", "key"]).withColumn("part", F.col("order") % parts)
+    half, rest = labelled.filter(F.col("part") < parts // 2), labelled.filter(F.col("part") >= parts // 2)
+    other, last = rest.filter(F.col("part") < parts - 1), rest.filter(F.col("part") == parts - 1)
+    kept = ["toxic", "weight"]
+    seen = with_features(other, learn_lexicon(half), "text", kept)
+    seen = seen.union(with_features(half, learn_lexicon(other), "text", kept))
+    held = with_features(last, learn_lexicon(labelled.filter(F.col("part") < parts - 1)), "text", kept)
 
     def table(df):
-        named = df.select(F.col("toxic").cast("double").alias("toxic"), *(F.col("tox_features")[i].alias(f) for i, f in enumerate(FEATURES)))
+        named = df.select(F.col("toxic").cast("double").alias("toxic"), "weight", *(F.col("tox_features")[i].alias(f) for i, f in enumerate(FEATURES)))
         return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(named)
 
-    train = write_through(table(seen).select("toxic", vector_to_array("features").alias("v")), "features")
+    train = write_through(table(seen).select("toxic", "weight", vector_to_array("features").alias("v")), "features")
     train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
-        train.select("toxic", *(F.col("v")[i].alias(f) for i, f in enumerate(FEATURES)))
+        train.select("toxic", "weight", *(F.col("v")[i].alias(f) for i, f in enumerate(FEATURES)))
     )
     rounds = GBTClassifier(
-        labelCol="toxic", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed,
-        subsamplingRate=0.8, minInstancesPerNode=5, checkpointInterval=-1,
+        labelCol="toxic", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed,
+        subsamplingRate=0.8, minInstancesPerNode=max(1, min(5, texts[rare] // 4)), checkpointInterval=-1,
     ).fit(train)
-    flat = []
-    for weight, tree in zip(rounds.treeWeights, rounds._call_java("trees")):
-        rows: list = []
-        _flat(tree.rootNode(), rows)
-        flat.append((weight, *(np.array(x) for x in zip(*rows))))
-    model = ToxicityModel(lexicon, flat, (np.zeros(0), np.zeros(0)))
-    margins = held.select(F.col("toxic").cast("double").alias("toxic"), "tox_features")
+    model = ToxicityModel(lexicon, flat_trees(rounds), (np.zeros(0), np.zeros(0)))
+    margins = held.select(F.col("toxic").cast("double").alias("toxic"), "tox_features", "weight")
 
     def margin(batches):
         for batch in batches:
             values = np.array(batch.column(1).to_pylist(), dtype=float).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.margin(values))], ["toxic", "margin"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.margin(values)), batch.column(2)], ["toxic", "margin", "weight"])
 
-    points = write_through(margins.mapInArrow(margin, "toxic double, margin double"), "margins")
-    steps = IsotonicRegression(labelCol="toxic", featuresCol="margin").fit(points)
+    points = write_through(margins.mapInArrow(giving_back(margin), "toxic double, margin double, weight double"), "margins")
+    steps = IsotonicRegression(labelCol="toxic", featuresCol="margin", weightCol="weight").fit(points)
     model.steps = (np.array(steps.boundaries.toArray()), np.array(steps.predictions.toArray()))
     return model
 
@@ -317,7 +341,7 @@ def score(
 
     schema = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)), T.StructField("score", T.DoubleType())])
     chosen = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), *whole)
-    scored = chosen.mapInArrow(compute, schema)
+    scored = chosen.mapInArrow(giving_back(compute), schema)
     return scored.select(
         *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)),
         F.col("score").alias(names[0]),

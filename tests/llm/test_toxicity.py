@@ -40,10 +40,58 @@ def test_scores_rise_with_the_margin(model):
     assert (np.diff(score[order]) >= -1e-12).all() and score.min() >= 0 and score.max() <= 1
 
 
-def test_trees_as_spark_reads_them(spark, model):
-    """The flat trees against features far from the training rows: every path ends in a leaf."""
-    values = np.random.default_rng(5).normal(0, 100, (50, len(toxicity.FEATURES)))
-    assert np.isfinite(model.margin(values)).all()
+def test_trees_as_spark_reads_them(spark):
+    """The margin by flat trees is Spark's own raw prediction, also on values that stand on a threshold."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+
+    draw = np.random.default_rng(5)
+    values = draw.integers(0, 6, (400, 3)) / 2
+    rows = [(float((v[0] > 1) ^ (v[1] * v[2] > 1.5)), Vectors.dense(v)) for v in values]
+    rounds = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=6, maxDepth=4, seed=1).fit(spark.createDataFrame(rows, ["toxic", "features"]))
+    flat = toxicity.ToxicityModel(toxicity.Lexicon({}), toxicity.flat_trees(rounds), (np.zeros(0), np.zeros(0)))
+    asked = np.concatenate([values, draw.normal(0, 100, (100, 3))])
+    spark_rows = rounds.transform(spark.createDataFrame([(Vectors.dense(v),) for v in asked], ["features"])).collect()
+    assert np.allclose(flat.margin(asked), [r.rawPrediction[1] for r in spark_rows])
+
+
+def test_few_toxic_labels(spark):
+    """Six toxic documents to learn from, in several languages: no constant, and toxic ones tend to score higher."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    few = toxicity.fit(toxicity.training_rows(docs, labels))
+    assert few.trees and len(few.steps[0])
+    rows = toxicity.score(docs, few, kept=["doc_id"]).join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    toxic, clean = ([r.tox_score for r in rows if r.toxic == t] for t in (1, 0))
+    area = np.mean([(t > c) + (t == c) / 2 for t in toxic for c in clean])
+    print("area", area, len(toxic), len(clean))
+    assert area > 0.7 and len({r.tox_score for r in rows}) > 20
+
+
+def test_rare_label_stays(spark, monkeypatch):
+    """Of 60,000 rows 40 are toxic: all of them are trained on, and weights make up for the clean ones left out."""
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 2000)
+    written = []
+    keep = toxicity.write_through
+    monkeypatch.setattr(toxicity, "write_through", lambda df, name: written.append((name, keep(df, name))) or written[-1][1])
+    word = F.concat(F.lit("word"), (F.col("id") % 997).cast("string"))
+    text = F.when(F.col("id") % 1500 == 0, F.concat(F.lit("you vile nasty fool "), word)).otherwise(F.concat(F.lit("a calm and plain text "), word))
+    rows = spark.range(60_000).select(text.alias("text"), (F.col("id") % 1500 == 0).cast("int").alias("toxic"), F.col("id").alias("row"))
+    model = toxicity.fit(rows)
+    labelled = dict(written)["labelled"]
+    counts = {r.toxic: (r.n, r.w) for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()}
+    assert counts[1] == (40, 40.0) and 1700 < counts[0][0] < 2200 and 54_000 < counts[0][1] < 66_000
+    asked = spark.createDataFrame([("you nasty vile fool",), ("some calm text",)], "text string")
+    bad, good = (r.tox_score for r in toxicity.score(asked, model).collect())
+    assert bad > 0.7 > good
+
+
+@pytest.mark.parametrize("toxic", [0, 1, 2])
+def test_too_few_labels(spark, toxic):
+    rows = [("bad text", 1)] * 9 + [("worse text", 1)] if toxic == 2 else [("bad text", 1)] * toxic
+    with pytest.warns(UserWarning, match="every score"):
+        model = toxicity.fit(spark.createDataFrame(rows + [(f"good text {i}", 0) for i in range(30)], "text string, toxic int"))
+    assert not model.trees
 
 
 def test_awkward(spark, model):
