@@ -27,13 +27,14 @@ def parser() -> argparse.ArgumentParser:
         help="add the new sales to the history's folder (default), or write a new version of the whole table",
     )
     refresh.add_argument("--cost-year", type=int, default=rules.COST_YEAR)
+    refresh.add_argument("--drop-later-years", action="store_true", help="leave out costs of years after --cost-year")
 
     sellout = jobs.add_parser("sellout", help="the reports of the three retailers")
     sellout.add_argument("--history", required=True)
     sellout.add_argument("--cities")
     sellout.add_argument("--folder", required=True)
     for name in ("chain", "wholesale", "pharmacy"):
-        sellout.add_argument(f"--{name}", help="file name in the folder")
+        sellout.add_argument(f"--{name}", help="file name in the folder; if none is given, the newest file of each retailer")
 
     segments = jobs.add_parser("segments", help="customer segments per channel")
     segments.add_argument("--sales", required=True)
@@ -62,10 +63,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.job == "refresh":
         inputs = (args.history, args.new, args.customers, args.costs_history, args.costs_new, args.family)
         tables = catalog.load_sales_tables(spark, *inputs, dialect=dialect)
-        append_to = args.history if args.append else None
-        return runs.refresh_all(tables, args.out, args.cutoff, args.cost_year, inputs, append_to)
+        # a delimited file cannot grow by versions: it becomes a new table
+        append_to = args.history if args.append and not args.history.lower().endswith(readers.TEXT_ENDINGS) else None
+        return runs.refresh_all(tables, args.out, args.cutoff, args.cost_year, inputs, append_to, args.drop_later_years)
     if args.job == "sellout":
         files = dict(zip((key for key, _ in rules.RETAILERS), (args.chain, args.wholesale, args.pharmacy)))
+        if not any(files.values()):
+            files = catalog.newest_reports(spark, args.folder)
         tables = catalog.load_sellout_tables(spark, args.history, args.cities, args.folder, files, dialect)
         return runs.consolidate_sellout(tables, args.out, (args.history, args.cities))
     sales, customers = (readers.read_table(spark, path, dialect=dialect) for path in (args.sales, args.customers))

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tallyhouse import rules
 from tallyhouse.operators.columns import union_present
-from tallyhouse.operators.resume import resume_point
+from tallyhouse.operators.resume import resume_point, resume_point_at
 from tallyhouse.functions import calendar
 from tallyhouse.operators.periods import unknown_months
 from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
 from tallyhouse.schemas import ROW_ORD, whole_number
 from tallyhouse.session import write_through
-from tallyhouse.sources import sinks
+from tallyhouse.sources import sinks, versions
 from tallyhouse.sources.catalog import SalesTables, SellOutTables
 
 
@@ -49,12 +49,16 @@ def cast_like(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.withColumns({name: cast(name) for name in differing})
 
 
-def next_batch(new: DataFrame, history: DataFrame) -> DataFrame:
-    """Put the new rows after the history in the row order."""
+def next_batch(new: DataFrame, history: DataFrame, known: list[versions.Version] | None = None) -> DataFrame:
+    """Put the new rows after the history in the row order; ``known`` versions say where it ends without a scan."""
     kind = new.schema[ROW_ORD].dataType.simpleString()
     if not kind.startswith("struct") or "batch" not in kind:
         return new
-    last = history.agg(F.max(f"{ROW_ORD}.batch")).scalar()
+    if known:
+        marks = versions.marks_of(known)
+        last = F.lit(marks.batch if marks else None).cast("bigint")
+    else:
+        last = history.agg(F.max(f"{ROW_ORD}.batch")).scalar()
     return new.withColumn(ROW_ORD, F.col(ROW_ORD).withField("batch", F.coalesce(last, F.lit(0)) + 1))
 
 
@@ -64,14 +68,19 @@ def refresh_sales(
     """Append the new, enriched sales. Nothing is written when there is nothing new or the marker is missing.
 
     With ``append_to``, the folder of the history, only the new rows are written: the work of a refresh then grows with
-    the export and not with the history. Without it a new version of the whole table is written.
+    the export and not with the history, whose end its manifest knows (the first append makes one). Without it a
+    new table is written.
     """
     if tables.new is None:
         return {"status": "no_file", "sales": tables.history}
-    landed = write_through(next_batch(tables.new, tables.history), "landed")
-    rule = sales.marker_rule()
+    rule, spark = sales.marker_rule(), tables.new.sparkSession
+    known = None
+    if append_to is not None:
+        known = versions.versions_of(spark, append_to) or versions.adopt(spark, append_to, rule.date, rule.keys)
+    landed = write_through(next_batch(tables.new, tables.history, known), "landed")
     # found once: the plans below get the place and the date as literals, and do not search the history again
-    found = resume_point(landed, tables.history, rule)
+    ordered = known and not any(v.unordered for v in known)
+    found = resume_point_at(landed, rule, versions.marks_of(known)) if ordered else resume_point(landed, tables.history, rule)
     status = {name: found[name] for name in ("status", "history_date", "marker_date", "new_rows")}
     status["untyped"] = _rejected(tables.untyped, "sales_untyped", out, inputs)
     status["dropped_columns"] = sales.dropped_columns(landed)
@@ -84,8 +93,9 @@ def refresh_sales(
     if append_to is None:
         path = sinks.write_parquet(refreshed, f"{out}/sales", inputs)
     else:
-        path = sinks.append_parquet(added, append_to)
-    written = refreshed.sparkSession.read.schema(refreshed.schema).parquet(path)
+        sinks.append_parquet(added, append_to, rule.date, rule.keys)
+        return {**status, "added": _rows(count), "sales": versions.read_versions(spark, append_to, schema=refreshed.schema)}
+    written = spark.read.schema(refreshed.schema).parquet(path)
     return {**status, "added": _rows(count), "sales": written}
 
 
@@ -104,17 +114,17 @@ def count_purchases(refreshed: DataFrame, out: str, inputs=()) -> dict:
     return {"status": "ok", "rows": _rows(count)}
 
 
-def consolidate_costs(tables: SalesTables, out: str, year: int = rules.COST_YEAR, inputs=()) -> dict:
+def consolidate_costs(tables: SalesTables, out: str, year: int = rules.COST_YEAR, inputs=(), drop_later_years: bool = False) -> dict:
     if tables.costs_history is None or tables.family is None:
         return {"status": "no_file"}
-    result = costs.consolidate_costs(tables.costs_history, tables.costs_new, tables.family, year)
+    result = costs.consolidate_costs(tables.costs_history, tables.costs_new, tables.family, year, drop_later_years=drop_later_years)
     result, count = _counted(result, "costs")
     sinks.write_parquet(result, f"{out}/costs", inputs)
     return {"status": "ok", "rows": _rows(count), "untyped": _rejected(tables.untyped_costs, "costs_untyped", out, inputs)}
 
 
 def refresh_all(
-    tables: SalesTables, out: str, cutoff: str, year: int, inputs=(), append_to: str | None = None
+    tables: SalesTables, out: str, cutoff: str, year: int, inputs=(), append_to: str | None = None, drop_later_years: bool = False
 ) -> dict:
     """Sales, customers, weekly counts and costs, in this order."""
     sales_result = refresh_sales(tables, out, cutoff, inputs, append_to)
@@ -123,7 +133,7 @@ def refresh_all(
         "sales": sales_result,
         "customers": dedup_customers(tables, out, inputs),
         "weekly": count_purchases(refreshed, out, inputs),
-        "costs": consolidate_costs(tables, out, year, inputs),
+        "costs": consolidate_costs(tables, out, year, inputs, drop_later_years),
     }
 
 
@@ -162,10 +172,13 @@ def segment_customers(
 ) -> dict:
     """The segments as Parquet and as text; the sales without a customer name, with their number and revenue; and the
     sales whose date or amount cannot be read."""
-    clean = write_through(rfm.clean_sales(raw_sales, formats), "clean_sales")
+    # the raw sales are read once: what is written has both the clean rows and the texts of those that cannot be read
+    tagged = write_through(rfm.tagged_sales(raw_sales, formats), "clean_sales")
+    clean = tagged.drop(rfm.UNREAD)
     register = write_through(rfm.clean_customers(raw_customers, one_per_tax_id), "register")
     unmatched = Observation("unmatched")
-    rejects = rfm.unmatched_customers(clean, register).observe(
+    without_name = rfm.sales_without_name if one_per_tax_id else rfm.unmatched_customers
+    rejects = without_name(clean, register).observe(
         unmatched, F.count(F.lit(1)).alias("rows"), F.sum(rfm.cents(F.col("valor_bruto_local"))).alias("cents")
     )
     sinks.write_parquet(rejects, f"{out}/sales_without_customer", inputs)
@@ -177,5 +190,5 @@ def segment_customers(
         "segments": _rows(count),
         "sales_without_customer": _rows(unmatched),
         "revenue_without_customer": (unmatched.get.get("cents") or 0) / 100,
-        "untyped": _rejected(rfm.untyped_sales(raw_sales, formats), "sales_untyped", out, inputs),
+        "untyped": _rejected(rfm.unread_sales(tagged), "sales_untyped", out, inputs),
     }

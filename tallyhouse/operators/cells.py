@@ -10,9 +10,16 @@ from tallyhouse.operators.columns import column, drop_all_null_rows, normalize_h
 from tallyhouse.session import write_through
 
 # the cast to double would read the suffixes d and f, and words such as Infinity, as well
-_WHOLE = r"^[+-]?\d{1,18}$"
+_WHOLE = r"^[+-]?\d+$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
-_NUMBERS = (("bigint", _WHOLE), ("double", _NUMBER))
+# the first kind that fits all values of a column; a double holds 15 digits for sure, so longer numbers are decimals
+_NUMBERS = (
+    ("bigint", lambda cell: (F.length(cell) <= 19) & cell.rlike(_WHOLE) & ((F.length(cell) < 19) | cell.rlike(r"^[+-]"))),
+    ("decimal(38,0)", lambda cell: (F.length(cell) <= 38) & cell.rlike(_WHOLE)),
+    ("double", lambda cell: (F.length(cell) <= 15) & cell.rlike(_NUMBER)),
+    ("decimal(38,18)", lambda cell: cell.rlike(r"^[+-]?(\d{1,20}(\.\d{0,18})?|\.\d{1,18})$")),
+    ("double", lambda cell: cell.rlike(_NUMBER)),
+)
 
 
 def clean_cells(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -23,20 +30,20 @@ def clean_cells(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _number_tests(df: DataFrame, names: list[str]) -> list[Column]:
-    """Per text column whether it has a value, and whether all its values are whole numbers, or numbers."""
-    fits = [
-        F.bool_and(column(df, name).isNull() | column(df, name).rlike(pattern)).alias(f"{kind}{i}")
+    """Per text column whether it has a value, and for each kind of number whether all its values are of it."""
+    tests = [
+        F.bool_and(column(df, name).isNull() | fits(column(df, name))).alias(f"kind{n}_{i}")
         for i, name in enumerate(names)
-        for kind, pattern in _NUMBERS
+        for n, (_, fits) in enumerate(_NUMBERS)
     ]
-    return fits + [F.bool_or(column(df, name).isNotNull()).alias(f"filled{i}") for i, name in enumerate(names)]
+    return tests + [F.bool_or(column(df, name).isNotNull()).alias(f"filled{i}") for i, name in enumerate(names)]
 
 
 def _as_numbers(df: DataFrame, names: list[str], seen) -> DataFrame:
     """Cast the columns of ``names`` as the row of ``_number_tests`` allows."""
     casts = {}
     for i, name in enumerate(names):
-        kind = next((kind for kind, _ in _NUMBERS if seen[f"{kind}{i}"]), None)
+        kind = next((kind for n, (kind, _) in enumerate(_NUMBERS) if seen[f"kind{n}_{i}"]), None)
         if seen[f"filled{i}"] and kind:
             casts[name] = column(df, name).cast(kind)
     return df.withColumns(casts)
@@ -45,7 +52,8 @@ def _as_numbers(df: DataFrame, names: list[str], seen) -> DataFrame:
 def number_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """A text column becomes a number if each of its values is one: whole numbers if all are whole.
 
-    A number has a sign, digits, a point and an exponent. The types of a plan must be known before it runs, so this
+    Whole numbers of more than 18 digits are decimals without places; other numbers are doubles, or, where one has more
+    signs than a double holds digits, decimals of 20 digits and 18 places. Beyond these a column is a double and loses digits. A number has a sign, digits, a point and an exponent. The types of a plan must be known before it runs, so this
     runs one aggregate, of one row.
     """
     names = [name for name, kind in df.dtypes if kind == "string" and name not in keep]

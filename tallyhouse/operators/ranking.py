@@ -10,6 +10,7 @@ customers, so both are done here without that:
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,21 +71,22 @@ def order_statistics(df: DataFrame, group: str, values: list[str], parts: int =
     widest = max((floors[f"max_{i}"] or 0) - lows[i] for i in range(count))
     passes = max(1, -(-int(widest).bit_length() // BITS))
 
+    # values up to 2^64 apart: the way from the least one is taken in bits, and shifted without a sign
     long = df.select(
         F.col(group),
-        *[(F.col(v).cast("bigint") - F.lit(low).cast("bigint")).alias(v) for v, low in zip(values, lows)],
+        *[_offset(F.col(v), low, widest).alias(v) for v, low in zip(values, lows)],
     ).unpivot([group], values, "measure", "value")
     long = long.filter(F.col("value").isNotNull())
 
     wanted = None
     for level in range(1, passes + 1):
         below = BITS * (passes - level)
-        bucket = F.shiftright("value", below)
+        bucket = F.shiftrightunsigned("value", below)
         if wanted is None:
             counts = long.groupBy(group, "measure", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
             inside = Window.partitionBy(group, "measure")
         else:
-            prefix = F.shiftright("value", below + BITS)
+            prefix = F.shiftrightunsigned("value", below + BITS) if below + BITS < 64 else F.lit(0).cast("bigint")
             counts = (
                 long.withColumn("prefix", prefix)
                 .join(wanted, [group, "measure", "prefix"])
@@ -114,12 +116,23 @@ def order_statistics(df: DataFrame, group: str, values: list[str], parts: int =
 
     found = wanted.select(group, "measure", F.col("prefix").alias("value"), F.inline("targets"))
     low = F.create_map(*[F.lit(part) for pair in zip(values, lows) for part in pair])[F.col("measure")]
-    found = found.withColumn("value", F.col("value") + low.cast("bigint"))
+    way = F.col("value").cast("decimal(20,0)")
+    way = F.when(F.col("value") < 0, way + F.lit(Decimal(1 << 64))).otherwise(way)
+    found = found.withColumn("value", (way + low.cast("decimal(20,0)")).cast("bigint"))
     return found.groupBy(group, "measure", "n", "k", "remainder").agg(
         F.min("value").alias("low"), F.max("value").alias("high")
     )
 
 
+def _offset(value: Column, low: int, widest: int) -> Column:
+    """``value - low`` as 64 bits without a sign. A long where the widest way fits one, which is nearly always."""
+    if widest < 1 << 63:
+        return value.cast("bigint") - F.lit(low).cast("bigint")
+    way = value.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
+    high = F.lit(Decimal(1 << 63))
+    return F.when(way >= high, way - high - high).otherwise(way).cast("bigint")
+
+
 def _positions(parts: int):
     """Per cut ``k`` the remainder and the two positions, below and above, counted from zero."""
     for k in range(parts + 1):

@@ -74,6 +74,24 @@ def resume_point(new: DataFrame, history: DataFrame, rule: ResumeRule) -> dict:
     return status.select("*", place.alias("place"), F.col("history_date").alias("newest")).first().asDict(recursive=True)
 
 
+def resume_point_at(new: DataFrame, rule: ResumeRule, marks) -> dict:
+    """``resume_point`` where the history's end is known (``versions.Marks``, or None for an empty history): the new rows
+    are read, the history is not."""
+    date = F.col(f"`{rule.date}`")
+    kind = new.schema[rule.date].dataType.simpleString()
+    if marks is None or not marks.marker:
+        nothing = {"status": "marker_missing", "history_date": None, "marker_date": None, "new_rows": 0, "place": None, "newest": None}
+        return nothing if marks is None else nothing | {"newest": new.limit(0).agg(marks.newest_date(kind)).first()[0]}
+    candidates = new.filter(date >= marks.newest_date(kind))
+    equal = [value.eqNullSafe(marks.literal(name)) for name, value in rule.keys(candidates).items()]
+    place = candidates.filter(reduce(Column.__and__, equal)).agg(F.min(rule.order).alias("place")).scalar()
+    after = candidates.agg(F.count_if(F.col(rule.order) > place).alias("new_rows"))
+    status = F.when(place.isNull(), "marker_missing").when(F.col("new_rows") == 0, "nothing_new").otherwise("new_rows")
+    ends = [marks.newest_date(kind).alias("history_date"), F.lit(marks.last_date).cast(kind).alias("marker_date")]
+    found = after.select(status.alias("status"), *ends, "new_rows", place.alias("place"), marks.newest_date(kind).alias("newest"))
+    return found.first().asDict(recursive=True)
+
+
 def resume_status(new: DataFrame, history: DataFrame, rule: ResumeRule) -> DataFrame:
     """One row: ``status`` (marker_missing, nothing_new, new_rows), both dates and the number of new rows."""
     date = F.col(f"`{rule.date}`")

@@ -18,7 +18,7 @@ from tallyhouse.operators.dedup import distinct_rows, first_by_key
 from tallyhouse.operators.lookup import exclude_values, left_lookup
 from tallyhouse.operators.ranking import order_statistics, rank_in_group, rank_sorted, sort_once
 from tallyhouse.plans.sales import as_moment
-from tallyhouse.schemas import ROW_ORD, require_columns, untyped_rows
+from tallyhouse.schemas import ROW_ORD, require_columns, untyped_cell
 from tallyhouse.session import write_through
 
 PARTS = 5
@@ -31,22 +31,52 @@ def cents(value: Column) -> Column:
     return (value.cast("decimal(18,2)") * 100).cast("bigint")
 
 
-def clean_sales(sales: DataFrame, formats=calendar.ISO) -> DataFrame:
-    """Plain headers, tax id root, amounts with a decimal comma, dates of the given formats."""
+#: In tagged sales: the texts of a row with a cell that cannot be read, else null.
+UNREAD = "_unread"
+
+
+def _plain_sales(sales: DataFrame, formats) -> tuple[DataFrame, dict[str, Column]]:
+    """The sales under plain headers, and the values that the cleaning gives its columns."""
     plain = require_columns(normalize_headers(sales), ["nit", "referencia", "linea_de_mercado", "fecha"])
     amount = "valor_bruto_local"
     values = {"nit": tax_id_root(F.col("nit")), "fecha": as_moment(plain, "fecha", formats)}
     if amount in plain.columns and dict(plain.dtypes)[amount] == "string":
         values[amount] = decimal_comma(F.col(amount))
+    return plain, values
+
+
+def _unreadable(plain: DataFrame, formats) -> Column:
+    read = {"fecha": "timestamp_ntz", "valor_bruto_local": "decimal(18,2)"}
+    kinds = dict(plain.dtypes)
+    return untyped_cell(plain, {name: kind for name, kind in read.items() if kinds.get(name) == "string"}, formats)
+
+
+def clean_sales(sales: DataFrame, formats=calendar.ISO) -> DataFrame:
+    """Plain headers, tax id root, amounts with a decimal comma, dates of the given formats."""
+    plain, values = _plain_sales(sales, formats)
     return plain.withColumns(values)
 
 
+def tagged_sales(sales: DataFrame, formats=calendar.ISO) -> DataFrame:
+    """``clean_sales`` with its rejects in one pass: a column ``UNREAD`` keeps the texts of rows that cannot be read.
+
+    Written once, it serves both: ``drop(UNREAD)`` are the clean sales, ``unread_sales`` the rejects.
+    """
+    plain, values = _plain_sales(sales, formats)
+    texts = F.struct(*[F.col(name) for name in values])
+    return plain.withColumn(UNREAD, F.when(_unreadable(plain, formats), texts)).withColumns(values)
+
+
+def unread_sales(tagged: DataFrame) -> DataFrame:
+    """The rejects of ``tagged_sales``, as ``untyped_sales`` has them."""
+    kept = tagged.schema[UNREAD].dataType.names
+    return tagged.filter(F.col(UNREAD).isNotNull()).withColumns({n: F.col(f"{UNREAD}.{n}") for n in kept}).drop(UNREAD)
+
+
 def untyped_sales(sales: DataFrame, formats=calendar.ISO) -> DataFrame:
     """The raw sales with a filled date or amount that ``clean_sales`` cannot read."""
     plain = normalize_headers(sales)
-    read = {"fecha": "timestamp_ntz", "valor_bruto_local": "decimal(18,2)"}
-    kinds = dict(plain.dtypes)
-    return untyped_rows(plain, {name: kind for name, kind in read.items() if kinds.get(name) == "string"}, formats)
+    return plain.filter(_unreadable(plain, formats))
 
 
 def clean_customers(customers: DataFrame, one_per_tax_id: bool = True) -> DataFrame:
@@ -80,6 +110,16 @@ def unmatched_customers(sales: DataFrame, customers: DataFrame, excluded=rules.E
     return sales_with_customer(sales, customers, excluded).filter(F.col("razon_social").isNull())
 
 
+def sales_without_name(sales: DataFrame, customers: DataFrame, excluded=rules.EXCLUDED_REFERENCES) -> DataFrame:
+    """``unmatched_customers`` for a register of one row per tax id: the distinct unknown tax ids are looked for, and only
+    their sales are moved. Every row of a null tax id is one of them."""
+    kept = exclude_values(sales, "referencia", excluded).drop("razon_social")
+    named = customers.filter(F.col("razon_social").isNotNull()).select("nit")
+    unknown = kept.select("nit").distinct().join(named, "nit", "left_anti").select(F.col("nit").alias("unknown_nit"))
+    found = kept.join(unknown.filter("unknown_nit is not null"), F.col("nit") == F.col("unknown_nit"), "left_semi")
+    return found.unionByName(kept.filter(F.col("nit").isNull())).withColumn("razon_social", F.lit(None).cast("string"))
+
+
 def daily_revenue(sales: DataFrame) -> DataFrame:
     """Revenue by channel, customer and date; rows with a null key do not count, null amounts count as zero."""
     amounts = sales.select(

@@ -117,10 +117,11 @@ def typed_value(column: Column, type_name: str, date_formats=calendar.ISO) -> Co
 
 
 def whole_number(cell: Column) -> Column:
-    """A whole number, also as sheets write it (``4.0``); null for a fraction and for what is no number."""
+    """A whole number, also as sheets write it (``4.0``); null for a fraction, for what is no number and for what 64 bits
+    do not hold."""
     stripped = text.strip(cell.cast("string"))
     number = stripped.try_cast("decimal(28,6)")
-    return F.coalesce(stripped.try_cast("bigint"), F.when(number == F.floor(number), number.cast("bigint")))
+    return F.coalesce(stripped.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
 def apply_types(df: DataFrame, schema: dict[str, str], date_formats=calendar.ISO) -> DataFrame:

@@ -77,7 +77,7 @@ def load_sellout_tables(
     files: dict[str, str | None],
     dialect: readers.Dialect = readers.PLAIN,
 ) -> SellOutTables:
-    """``files`` maps the retailer keys to file names in ``folder``.
+    """``files`` maps the retailer keys to file names in ``folder``; see ``newest_reports``.
 
     The gate decides what is read, so its result, one row per retailer, is read here. A report is known by the name
     without the workbook ending, as text or Parquet. A report that is not there, lacks columns or has a header that
@@ -135,5 +135,19 @@ def load_sellout_tables(
     return SellOutTables(past, past_cities, gate, reports, kept, failures)
 
 
+def newest_reports(spark: SparkSession, folder: str) -> dict[str, str | None]:
+    """Retailer key -> the newest file in the folder whose name ends with it, before the ending; None without one.
+
+    What is read here is one name per retailer; the gate then decides whether it may be read.
+    """
+    bare = F.regexp_replace("file_name", r"(?i)\.(csv|txt|parquet)$", "")
+    keys = F.create_map(*[F.lit(part) for key, _ in rules.RETAILERS for part in (key.upper(), key)])
+    landed = readers.landed_folder(spark, folder).withColumn("bare", F.upper(bare))
+    named = landed.withColumn("client_key", keys[F.substr("bare", F.instr("bare", "_") + F.lit(1))])
+    latest = named.filter("client_key is not null").groupBy("client_key").agg(F.max_by("file_name", F.struct("modified", "file_name")).alias("file_name"))
+    found = {row["client_key"]: row["file_name"] for row in latest.collect()}
+    return {key: found.get(key) for key, _ in rules.RETAILERS}
+
+
 def _workbook_name() -> Column:
     return F.regexp_replace("file_name", r"\.(csv|txt|parquet)$", rules.LANDED_SUFFIX)

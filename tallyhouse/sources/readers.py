@@ -10,13 +10,15 @@ from __future__ import annotations
 import csv
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import rules, schemas
 from tallyhouse.functions import calendar, text
 from tallyhouse.operators.reshape import LEVEL
 from tallyhouse.schemas import ROW_ORD
+from tallyhouse.session import write_through
+from tallyhouse.sources import versions
 
 TEXT_ENDINGS = (".csv", ".txt")
 
@@ -70,8 +72,9 @@ def read_typed(
 
 
 def read_parquet(spark: SparkSession, path: str, batch: int = 0) -> DataFrame:
-    """A Parquet table; rows that carry no order yet get the order of their files."""
-    raw = spark.read.parquet(path)
+    """A Parquet table; rows that carry no order yet get the order of their files. Of a table with a manifest, the rows
+    of its committed versions."""
+    raw = versions.read_versions(spark, path) if versions.has_versions(spark, path) else spark.read.parquet(path)
     if ROW_ORD in raw.columns:
         return raw
     place = _row_ord(batch, F.lit(0), F.col("_metadata.row_index"))
@@ -109,6 +112,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def landed_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a folder as a table: file_name, size, modified. Their content is not read; folders in it are no files."""
+    listed = spark.read.format("binaryFile").load(folder)
+    return listed.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+        F.col("length").alias("size"),
+        F.col("modificationTime").cast("timestamp_ntz").alias("modified"),
+    )
+
+
 def flat_headers(upper: list[str], lower: list[str]) -> list[str]:
     """Two header lines as one: ``month|measure``. An empty upper cell belongs to the one before it."""
     names, last = [], ""
@@ -130,8 +143,8 @@ def read_month_matrix(
 
     Cells below two header lines are numbers, with a decimal comma or point. The rejects are the rows with a filled cell that
     is none, and those with a cell too many, as text. Files of one folder must have the same header; a line whose
-    quotes do not close (a line break in a cell) is an error. Only the lines of a file's first block are numbered,
-    which is as much as one task reads.
+    quotes do not close (a line break in a cell) is an error. The lines of a file's first block are counted from the
+    least place of the file, one number per file, so that no line is sorted or moved.
     """
     lines = spark.read.option("encoding", dialect.encoding).text(path).select(
         "value",
@@ -139,22 +152,24 @@ def read_month_matrix(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
     )
-    numbered = lines.filter(F.col("block") == 0).withColumn(
-        "line", F.row_number().over(Window.partitionBy("file").orderBy("place"))
-    )
+    # a task reads a block from its start to its end, so the places of its lines follow each other
+    starts = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("place").alias("start"))
+    starts = write_through(starts.withColumn("block", F.lit(0).cast("bigint")), "starts")
+    numbered = lines.join(starts, ["file", "block"], "left").withColumn("line", F.col("place") - F.col("start") + 1)
     top = numbered.filter(F.col("line").between(preamble + 1, preamble + headers))
     found = top.groupBy("line", "value").agg(F.count(F.lit(1)).alias("files")).orderBy("line").limit(headers + 1).collect()
     if len(found) != headers:
         raise UnreadableMatrix(f"{path}: {len(found)} different header lines instead of {headers}")
     names = flat_headers(*csv.reader([row.value for row in found], delimiter=dialect.sep))
-    body = numbered.filter(F.col("line") > preamble + headers).select("value")
-    body = body.unionByName(lines.filter(F.col("block") > 0).select("value"))
+    # lines of later blocks have no number
+    body = numbered.filter(F.coalesce(F.col("line") > preamble + headers, F.lit(True))).select("value")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     torn = F.raise_error(F.concat(F.lit("a cell with a line break in a month matrix: "), F.col("value")))
     whole = body.filter(text.is_filled(F.col("value"))).select(F.when(quotes % 2 == 1, torn).otherwise(F.col("value")).alias("value"))
     cells = [f"c{i}" for i in range(len(names))]
     ddl = ", ".join(f"{cell} string" for cell in [*cells, "more"])
-    parsed = whole.select(F.from_csv("value", ddl, {"sep": dialect.sep, "escape": '"'}).alias("row")).select("row.*")
+    # a generator, since a filter on its cells does not parse the line once more below it
+    parsed = whole.select(F.inline(F.array(F.from_csv("value", ddl, {"sep": dialect.sep, "escape": '"'}))))
     bad, typed = F.col("more").isNotNull(), []
     for cell, name in zip(cells, names):
         value = F.col(cell)

@@ -9,10 +9,12 @@ from tallyhouse.workload.tables import (
     AS_OF,
     COST_HISTORY_END,
     COST_YEAR,
+    CUSTOMER_RANGE,
     CUTOFF,
     HISTORY_END,
     ORDINAL_STRIDE,
     SEGMENT_CHANNELS,
+    VERSION_YEARS,
 )
 
 
@@ -188,6 +190,12 @@ place AS (
     AND c.valor_bruto_local = m.valor_bruto_local),
 fresh AS (SELECT * FROM candidates WHERE row_ord > (SELECT place FROM place))"""
 
+VERSION = f"(CASE WHEN year(fecha) < {VERSION_YEARS[0]} THEN 0 WHEN year(fecha) < {VERSION_YEARS[1]} THEN 1 ELSE 2 END)"
+RESUME_STATUS = f"""WITH {ORDER_EXPORT} SELECT
+        CASE WHEN place IS NULL THEN 'marker_missing' WHEN n = 0 THEN 'nothing_new' ELSE 'new_rows' END AS status,
+        (SELECT max(fecha) FROM history) AS history_date, (SELECT fecha FROM marker) AS marker_date, n AS new_rows
+        FROM place, (SELECT count(*) AS n FROM fresh)"""
+
 # ------------------------------------------------------------------ costs
 COSTS = f"""
 monthly AS (
@@ -402,10 +410,7 @@ ORACLES = {
     "sales_after_cutoff": f"WITH {ORDER_EXPORT} SELECT * FROM export WHERE fecha > DATE '{CUTOFF}'",
     "sales_since_history_max": f"WITH {ORDER_EXPORT} SELECT * FROM candidates",
     "resume_after_marker": f"WITH {ORDER_EXPORT} SELECT * RENAME (ean_13 AS ean) FROM fresh",
-    "resume_status": f"""WITH {ORDER_EXPORT} SELECT
-        CASE WHEN place IS NULL THEN 'marker_missing' WHEN n = 0 THEN 'nothing_new' ELSE 'new_rows' END AS status,
-        (SELECT max(fecha) FROM history) AS history_date, (SELECT fecha FROM marker) AS marker_date, n AS new_rows
-        FROM place, (SELECT count(*) AS n FROM fresh)""",
+    "resume_status": RESUME_STATUS,
     "sales_refresh": f"""WITH {ORDER_EXPORT}
         SELECT fecha, marca, linea_de_mercado, razon_social, desc_item AS descitem, ean_13 AS ean, cantidad_inv,
                valor_bruto_local, row_ord, CAST(NULL AS VARCHAR) AS tipo_de_identificacion,
@@ -415,6 +420,43 @@ ORACLES = {
         SELECT fecha, coalesce(marca, {HOUSE_BRAND}), linea_de_mercado, razon_social, desc_item, ean_13, cantidad_inv,
                valor_bruto_local, row_ord, NULL, '6UND', 'NAT JABON ' || substr(desc_item, 10, length(desc_item) - 16),
                cantidad_inv FROM fresh WHERE fecha > DATE '{CUTOFF}'""",
+    "table_versions": f"""WITH {ORDER_EXPORT} SELECT CAST({VERSION} AS BIGINT) AS version, count(*) AS "rows",
+        CAST(0 AS BIGINT) AS unordered, min(row_ord) AS least_order, max(row_ord) AS greatest_order,
+        min(fecha) AS oldest, max(fecha) AS newest FROM export GROUP BY 1""",
+    "version_rows": f"WITH {ORDER_EXPORT} SELECT * FROM export WHERE {VERSION} <= 1",
+    "resume_status_by_marks": RESUME_STATUS,
+    "sorted_output": """SELECT o_custkey, o_orderkey, o_totalprice,
+        row_number() OVER (ORDER BY o_custkey, o_orderkey) AS place FROM orders""",
+    "sorted_range": f"""SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+        WHERE o_custkey BETWEEN {CUSTOMER_RANGE[0]} AND {CUSTOMER_RANGE[1]}""",
+    "load_sales_tables": f"""WITH {ORDER_EXPORT}, {COSTS.replace('history', 'cost_history')}
+        SELECT 'history' AS source, count(*) AS loaded, CAST(sum(valor_bruto_local) AS DOUBLE) AS total FROM export
+          WHERE {VERSION} = 0
+        UNION ALL SELECT 'new', count(*), CAST(sum(valor_bruto_local) AS DOUBLE) FROM export
+        UNION ALL SELECT 'customers', 2 * count(*), NULL FROM customer
+        UNION ALL SELECT 'costs_history', count(*), sum(ano) FROM cost_history
+        UNION ALL SELECT 'costs_new', count(*), sum(ano) FROM report
+        UNION ALL SELECT 'family', count(*), NULL FROM family
+        UNION ALL SELECT 'untyped', 0, NULL""",
+    "load_sellout_tables": f"""WITH {REPORTS}
+        SELECT 'history' AS source, count(*) AS loaded, CAST(sum(unidades) AS DOUBLE) AS total FROM history
+        UNION ALL SELECT 'cities', count(*), sum(unidades) FROM city_history
+        UNION ALL SELECT 'report_' || {CHAIN}, count(*), sum(unidades) FROM chain_city
+        UNION ALL SELECT 'report_' || {PHARMACY}, count(*), sum(unidades) FROM pharmacy_city""",
+    "load_segment_tables": f"""WITH {LINE_SALES}
+        SELECT 'sales' AS source, count(*) AS loaded, CAST(sum(valor_bruto_local * 100) AS DOUBLE) AS total FROM clean_sales
+        UNION ALL SELECT 'unread', count(*), NULL FROM raw_sales WHERE valor_bruto_local = 'n/d' OR fecha = 'sin fecha'
+        UNION ALL SELECT 'register', count(*), NULL FROM register""",
+    "required_columns": f"""WITH {ORDER_EXPORT}, {LINE_SALES}, {COSTS.replace('history', 'cost_history')}
+        SELECT 'orders' AS source, 'Fecha' AS "column", count(fecha) AS filled FROM export
+        UNION ALL SELECT 'orders', 'Referencia', NULL
+        UNION ALL SELECT 'orders', 'Valor bruto local', count(valor_bruto_local) FROM export
+        UNION ALL SELECT 'lines', 'Fecha', count(fecha) FROM raw_sales
+        UNION ALL SELECT 'lines', 'Referencia', count(referencia) FROM raw_sales
+        UNION ALL SELECT 'lines', 'Valor bruto local', count(valor_bruto_local) FROM raw_sales
+        UNION ALL SELECT 'costs', 'Fecha', NULL
+        UNION ALL SELECT 'costs', 'Referencia', count(referencia) FROM cost_history
+        UNION ALL SELECT 'costs', 'Valor bruto local', NULL""",
     "scan_typed": """SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate), row_number() OVER () - 1 AS place
         FROM orders""",
     "scan_string_then_type": TYPED_LINES,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import rules, schemas
@@ -15,7 +16,7 @@ from tallyhouse.operators.dedup import distinct_rows
 from tallyhouse.operators.lookup import exclude_values
 from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
 from tallyhouse.session import scratch_path
-from tallyhouse.sources import readers, sinks
+from tallyhouse.sources import catalog, readers, sinks, versions
 from tallyhouse.workload import tables as roles
 from tallyhouse.workload.tables import AS_OF, COST_YEAR, CUTOFF, SEGMENT_CHANNELS, Tables
 
@@ -236,6 +237,143 @@ def sales_refresh(t):
     return sales.refresh_sales(roles.order_export(t), roles.order_history(t), CUTOFF)
 
 
+def _versioned(t: Tables) -> str:
+    """The order export as a table of three versions: an adopted folder and two appends."""
+    path, rule, export = scratch_path(t.spark, "versions"), sales.marker_rule(), roles.order_export(t)
+    year = F.year("Fecha")
+    sinks.write_parquet(export.filter(year < roles.VERSION_YEARS[0]), path)
+    for first, end in zip(roles.VERSION_YEARS, (*roles.VERSION_YEARS[1:], 9999)):
+        sinks.append_parquet(export.filter((year >= first) & (year < end)), path, rule.date, rule.keys)
+    return path
+
+
+@query
+def table_versions(t):
+    """What the manifest of a table that grew by appends knows."""
+    found = versions.manifest_table(t.spark, _versioned(t))
+    dates = {name: F.col(name).cast("timestamp_ntz") for name in ("oldest", "newest")}
+    orders = {name: F.col(name).cast("bigint") for name in ("least_order", "greatest_order")}
+    return found.withColumns(dates | orders).drop("batch", "n_files")
+
+
+@query
+def version_rows(t):
+    """The rows of a table as of its second version."""
+    return versions.read_versions(t.spark, _versioned(t), until=1)
+
+
+@query
+def resume_status_by_marks(t):
+    """``resume_status`` from the history's manifest, without a scan of the history."""
+    rule, path = sales.marker_rule(), scratch_path(t.spark, "history")
+    sinks.write_parquet(roles.order_history(t), path)
+    marks = versions.marks_of(versions.adopt(t.spark, path, rule.date, rule.keys))
+    found = resume.resume_point_at(roles.order_export(t), rule, marks)
+    schema = "status string, history_date timestamp_ntz, marker_date timestamp_ntz, new_rows long"
+    return t.spark.createDataFrame([tuple(found[n] for n in ("status", "history_date", "marker_date", "new_rows"))], schema)
+
+
+@query
+def sorted_output(t):
+    """Orders written in the order of customer and order number, with the place where each lies in the files."""
+    keys = ["o_custkey", "o_orderkey"]
+    path = sinks.write_sorted(t.orders.select(*keys, "o_totalprice"), scratch_path(t.spark, "sorted"), keys, files=16)
+    rows = t.spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
+    return rows.join(sizes.select("file", F.coalesce(before, F.lit(0)).alias("before")), "file").select(
+        *keys, "o_totalprice", (F.col("before") + F.col("at") + 1).alias("place")
+    )
+
+
+@query
+def sorted_range(t):
+    """The orders of a range of customers, from the files that hold some of them."""
+    path = sinks.write_sorted(t.orders, scratch_path(t.spark, "sorted"), ["o_custkey"], files=16)
+    return sinks.read_range(t.spark, path, "o_custkey", *roles.CUSTOMER_RANGE).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+# ------------------------------------------------------------------ job inputs
+def _sheet(t: Tables, df: DataFrame, name: str) -> str:
+    """A table as delimited text, every cell as a sheet has it."""
+    return sinks.write_csv(df.drop("row_ord"), scratch_path(t.spark, name) + ".csv")
+
+
+@query
+def load_sales_tables(t):
+    """The inputs of the sales job, written as files and loaded by the catalog: rows and a sum per table."""
+    columns = {"Referencia": F.lit("7"), "U.M.": F.lit("UND"), "Nit": F.lit("9")}
+    export = roles.order_export(t).withColumns(columns)
+    history = export.filter(F.year("Fecha") < roles.VERSION_YEARS[0])
+    tables = catalog.load_sales_tables(
+        t.spark, _sheet(t, history, "history"), _sheet(t, export, "new"), _sheet(t, roles.customer_file(t), "people"),
+        _sheet(t, roles.cost_history(t), "costs"), _sheet(t, roles.cost_input(t), "costs_new"), _sheet(t, roles.product_family(t), "family"),
+    )
+    whole = lambda name: F.sum(F.col(f"`{name}`").cast("decimal(28,4)")).cast("double")
+    loaded = {
+        "history": (tables.history, whole("Valor bruto local")), "new": (tables.new, whole("Valor bruto local")),
+        "customers": (tables.customers, F.lit(None)), "costs_history": (tables.costs_history, F.sum("Año")),
+        "costs_new": (tables.costs_new, F.sum("Año")), "family": (tables.family, F.lit(None)),
+        "untyped": (tables.untyped, F.lit(None)),
+    }
+    return _loaded(loaded)
+
+
+def _loaded(tables: dict) -> DataFrame:
+    rows = [
+        df.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("loaded"), total.cast("double").alias("total"))
+        for name, (df, total) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def load_sellout_tables(t):
+    """History and landed reports of the sell-out job, found in their folder, behind the gate: rows per table."""
+    history = roles.sellout_history(t)
+    due = sellout.due_periods(history)
+    cities = roles.city_history(t).withColumns({name: F.lit(None).cast("string") for name in ("EAN", "Descripcion")})
+    folder = scratch_path(t.spark, "landed")
+    chain_key, _, pharmacy_key = (key for key, _ in rules.RETAILERS)
+    reports = {chain_key: (rules.CHAIN, roles.chain_report(t)), pharmacy_key: (rules.PHARMACY, roles.pharmacy_report(t))}
+    for key, (client, report) in reports.items():
+        sinks.write_parquet(report, f"{folder}/{due[client].code}_{key}.parquet")
+    files = {key: f"{due[client].code}_{key}.parquet" for key, (client, _) in reports.items()}
+    found = catalog.load_sellout_tables(t.spark, _sheet(t, history, "past"), _sheet(t, cities, "cities"), folder, files)
+    units = F.sum("Unidades")
+    admitted = {f"report_{report.client}": (report.detail, units) for report in found.reports}
+    return _loaded({"history": (found.history, units), "cities": (found.cities, units), **admitted})
+
+
+@query
+def load_segment_tables(t):
+    """The inputs of the segments job as delimited files: what the job cleans and types of them."""
+    sold = readers.read_table(t.spark, _sheet(t, roles.line_sales(t), "sales"))
+    people = readers.read_table(t.spark, _sheet(t, roles.customer_register(t), "people"))
+    tagged = rfm.tagged_sales(sold)
+    revenue = F.sum(rfm.cents(F.col("valor_bruto_local")))
+    return _loaded({
+        "sales": (tagged.drop(rfm.UNREAD), revenue), "unread": (rfm.unread_sales(tagged), F.lit(None)),
+        "register": (rfm.clean_customers(people), F.lit(None)),
+    })
+
+
+@query
+def required_columns(t):
+    """Per source and needed column: whether the source has it, and how many rows it fills there."""
+    sources = {"orders": roles.order_export(t), "lines": roles.line_sales(t), "costs": roles.cost_history(t)}
+    found = []
+    for name, df in sources.items():
+        for column in ("Fecha", "Referencia", "Valor bruto local"):
+            try:
+                schemas.require_columns(df, [column])
+                filled = F.count(F.col(f"`{column}`"))
+            except schemas.MissingColumns:
+                filled = F.lit(None).cast("bigint")
+            found.append(df.agg(F.lit(name).alias("source"), F.lit(column).alias("column"), filled.alias("filled")))
+    return reduce(DataFrame.unionByName, found)
+
+
 # ------------------------------------------------------------------ scans and cells
 @query
 def scan_typed(t):

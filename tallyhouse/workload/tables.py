@@ -18,6 +18,9 @@ AS_OF = "2002-01-01"
 HISTORY_END = "2000-07-01"
 CUTOFF = "1998-01-01"
 COST_YEAR = 2001
+#: First years of the second and third version of the order export; a range of customers.
+VERSION_YEARS = (1997, 2000)
+CUSTOMER_RANGE = (100, 400)
 COST_HISTORY_END = "2001-07-01"
 ORDINAL_STRIDE = 10_000_000_000
 

@@ -421,3 +421,22 @@ def test_word_rules_are_literal(spark):
     rules_ = (("USD", "US$"), ("A\\EB", "back\\slash"))
     df = spark.createDataFrame([("10 USD A\\EB",)], "t string")
     assert df.select(replace_words(F.col("t"), rules_)).first()[0] == "10 US$ back\\slash"
+
+
+def test_codes_keep_their_digits(spark):
+    from tallyhouse.operators.cells import number_columns
+
+    rows = [("9999999999999999999", "1234567890123456789", "12345678901234567890.123456789012345678", "0.5", "1" * 39),
+            ("-7", "12345678901234567890", "1.5", "1e3", "2")]
+    found = number_columns(spark.createDataFrame(rows, "a string, b string, c string, d string, e string"))
+    assert [kind for _, kind in found.dtypes] == ["decimal(38,0)", "decimal(38,0)", "decimal(38,18)", "double", "double"]
+    assert [str(r.a) for r in found.collect()] == ["9999999999999999999", "-7"]
+    assert {str(r.b) for r in found.collect()} == {"1234567890123456789", "12345678901234567890"}
+    assert "12345678901234567890.123456789012345678" in {str(r.c) for r in found.collect()}
+
+
+def test_whole_numbers_beyond_64_bits_are_rejects(spark):
+    cells = ["9223372036854775807", "9223372036854775808", "-9223372036854775809", "9223372036854775808.0", "4.0", "1" * 40, "x"]
+    df = spark.createDataFrame([(c,) for c in cells], "units string")
+    assert [r.units for r in apply_types(df, {"units": "bigint"}).collect()] == [2**63 - 1, None, None, None, 4, None, None]
+    assert untyped_rows(df, {"units": "bigint"}).count() == 5

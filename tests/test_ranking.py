@@ -119,3 +119,15 @@ def test_ties_can_fail(spark):
         scored(spark, tied, on_ties="error")
     distinct = [(f"c{i}", i, i, i) for i in range(7)]
     assert scored(spark, distinct, on_ties="error") == scored(spark, distinct)
+
+
+@pytest.mark.parametrize(
+    "values", [[-(2**62), 0, 2**62], [-(2**63), -1, 0, 5, 2**63 - 1], [2**63 - 1, 2**63 - 2], [-(2**63)], [-(2**62) - 1, 2**62, 2**62]]
+)
+def test_order_statistics_of_any_width(spark, values):
+    df = spark.createDataFrame([("g", v, 1) for v in values], "g string, v long, w long")
+    rows = {(r.measure, r.k): (r.low, r.high, r.n) for r in order_statistics(df, "g", ["v", "w"]).collect()}
+    ordered, n = sorted(values), len(values)
+    for k in range(6):
+        at, rest = divmod((n - 1) * k, 5)
+        assert rows["v", k] == (ordered[at], ordered[at + (rest > 0)], n) and rows["w", k] == (1, 1, n)
