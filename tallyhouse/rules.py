@@ -111,22 +111,28 @@ CHANNELS = (
     "013 - ECOMMERCE",
 )
 SEGMENTS = {
-    "Campeones": "555 554 544 545 454 455 445",
-    "Leales": "543 444 435 355 354 345 344 335",
-    "Con potencial": "553 551 552 541 542 533 532 531 452 451 442 441 431 453 433 432 423 353 352 351 342 341 333 323",
-    "Nuevos clientes": "512 511 422 421 412 411 311",
-    "Movilizar": "525 524 523 522 521 515 514 513 425 424 413 414 415 315 314 313",
-    "Prestar atención": "535 534 443 434 343 334 325 324",
-    "Ballenas": "155 154 144 214 215 115 114 113",
-    "Cerca de hibernar": "331 321 312 221 213",
-    "En riesgo": "255 254 245 244 253 252 243 242 235 234 225 224 153 152 145 143 142 135 134 133 125 124",
-    "Hibernando": "332 322 231 241 251 233 232 223 222 132 123 122 212 211",
-    "Inactivos": "111 112 121 131 141 151",
+    "Campeones": (555, 554, 544, 545, 454, 455, 445),
+    "Leales": (543, 444, 435, 355, 354, 345, 344, 335),
+    "Con potencial": (
+        553, 551, 552, 541, 542, 533, 532, 531, 452, 451, 442, 441, 431, 453, 433, 432, 423, 353, 352, 351, 342,
+        341, 333, 323,
+    ),
+    "Nuevos clientes": (512, 511, 422, 421, 412, 411, 311),
+    "Movilizar": (525, 524, 523, 522, 521, 515, 514, 513, 425, 424, 413, 414, 415, 315, 314, 313),
+    "Prestar atención": (535, 534, 443, 434, 343, 334, 325, 324),
+    "Ballenas": (155, 154, 144, 214, 215, 115, 114, 113),
+    "Cerca de hibernar": (331, 321, 312, 221, 213),
+    "En riesgo": (
+        255, 254, 245, 244, 253, 252, 243, 242, 235, 234, 225, 224, 153, 152, 145, 143, 142, 135, 134, 133, 125,
+        124,
+    ),
+    "Hibernando": (332, 322, 231, 241, 251, 233, 232, 223, 222, 132, 123, 122, 212, 211),
+    "Inactivos": (111, 112, 121, 131, 141, 151),
 }
 NO_SEGMENT = "No clasificado"
 # ---------------------------------------------------------------- end of the fixed values
 
-SEGMENT_OF_SCORE = {int(score): name for name, scores in SEGMENTS.items() for score in scores.split()}
+SEGMENT_OF_SCORE = {score: name for name, scores in SEGMENTS.items() for score in scores}
 
 
 @dataclass(frozen=True)
