@@ -200,13 +200,13 @@ def nearest_neighbours(
 
     Candidates are all rows but those with the query's own id. Null ids, and vectors that are null, empty, zero or
     hold null or non-finite components, take no part on either side; vectors meet only those of as many dimensions.
-    A query with fewer candidates than k has fewer rows; rows that repeat an id count once, at their best score. An empty
-    table on either side gives no rows; other columns are ignored.
+    A query with fewer candidates than k has fewer rows; rows that repeat an id count once, at their best score. Of queries
+    that repeat an id the smallest vector asks, component by component. An empty table on either side gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     index = build_index(vectors, id_name, vector_name, trees, bits, block_rows)
     found = spark.createDataFrame([], "query_id long, id long, score double")
-    asked = _usable(queries, id_name, vector_name).dropDuplicates(["id"])
+    asked = _usable(queries, id_name, vector_name).groupBy("id").agg(F.min("v").alias("v"))
     for block in _query_blocks(asked, query_rows):
         ids = np.array([i for i, _ in block], dtype=np.int64)
         matrix = scaled(np.array([v for _, v in block], dtype=np.float64))

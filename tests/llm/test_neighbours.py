@@ -118,3 +118,16 @@ def test_prefix_ranges():
                 assert own == {i for i in range(300) if int(strings[tree, i] ^ strings[tree, q]) >> (12 - length) == 0}
         rows = forest.candidates(lo[:, :, q], hi[:, :, q], 50)
         assert len(rows) >= 50 and q in rows
+
+
+def test_queries_that_repeat_an_id(spark):
+    """Of one query id with three vectors the smallest asks, however the rows are partitioned."""
+    draw = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in draw.standard_normal(6)]) for i in range(1, 60)]
+    asks = [(100, [0.5, -1.0, 0.0, 0.0, 1.0, 2.0]), (100, [-2.0, 1.0, 0.0, 3.0, 0.0, 0.5]), (100, [0.5, -1.5, 1.0, 0.0, 0.0, 0.0])]
+    table, queries = (spark.createDataFrame(r, "vec_id long, embedding array<double>") for r in (rows, asks))
+    query = np.array(asks[1][1])
+    expected = sorted(((float(np.dot(query, v) / np.linalg.norm(query) / np.linalg.norm(v)), i) for i, v in rows), reverse=True)[:5]
+    for parts in (1, 2, 3):
+        found = neighbours.nearest_neighbours(table, queries.repartition(parts), k=5, share=1.0).orderBy("rank").collect()
+        assert [r.vec_id for r in found] == [i for _, i in expected]
