@@ -4,8 +4,9 @@ Every tree is a sorted array of long hash strings, the signs of random projectio
 longest matching prefix, a range of the sorted array; then all trees ascend together, one bit at a time, and widen
 their ranges until enough distinct candidates are found. These are compared exactly.
 
-The rows are dealt into blocks of bounded size, each with a forest of its own and written as one row; the queries come
-in blocks of bounded size, which go to all index blocks. A task keeps the best of its blocks, so that few rows leave it.
+Equal vectors are one entry, with the smallest of their ids: copies take up no share of the ascent. The entries are
+dealt into blocks of bounded size, each with a forest of its own and written as one row; the queries, too, are written in
+blocks, and the two kinds meet in a join. A task keeps the best of its index blocks, so that few rows leave it.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import write_through
+from .common import giving_back, write_through
 
 TREES, BITS = 64, 24
 BLOCK_ROWS, QUERY_ROWS = 4096, 4096
-#: Share of an index block that the trees' ascent collects, at least. Nearest neighbours of nearly even vectors share
+#: Share of an index block's distinct vectors that the trees' ascent collects, at least. Nearest neighbours of nearly even vectors share
 #: only short prefixes: with these figures the measured recall of the five nearest was 0.99 on 10,300 of them.
 SHARE = 0.5
 SEED = 3
@@ -55,18 +56,32 @@ def _usable(vectors: DataFrame, id_name: str, vector_name: str) -> DataFrame:
     return rows.filter(F.col("id").isNotNull() & taking_part(F.col("v")))
 
 
+def _distinct(rows: DataFrame, members: int) -> DataFrame:
+    """v, ids: each vector once, with the ``members`` smallest of its ids, in order.
+
+    Ranks are cut to that number before the shuffle, so that a vector with very many rows is no hot group.
+    """
+    by_id = Window.partitionBy("v").orderBy("id")
+    least = rows.distinct().withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= members)
+    return least.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+
+
 def build_index(
     vectors: DataFrame, id_name: str = "vec_id", vector_name: str = "embedding", trees: int = TREES, bits: int = BITS,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS, members: int = 6,
 ) -> DataFrame:
-    """One row for each block of rows: dims, ids, vectors, hashes (sorted, tree after tree), order (rows of the hashes).
+    """One row for each block: dims, block, ids, counts (of ids a vector), vectors, hashes (sorted, tree after tree), order
+    (rows of the hashes).
 
-    Every row that takes part is indexed, with those of its own number of dimensions. Blocks are dealt by a hash of the
-    row's id; equal vectors spread over all blocks.
+    Every row that takes part is indexed, with those of its own number of dimensions; a vector enters once, with its
+    ``members`` smallest ids (one more than the neighbours that are asked for loses none of them). Blocks are dealt by
+    a hash of the vector, so neither copies nor a repeated id fill one.
     """
-    rows = _usable(vectors, id_name, vector_name)
-    blocks = max(1, math.ceil(rows.count() / block_rows))
-    dealt = rows.select(F.size("v").alias("dims"), F.expr(f"pmod(xxhash64(id), {blocks})").alias("block"), "id", "v")
+    if not 1 <= bits <= 32:
+        raise ValueError("a hash string has 1 to 32 bits")
+    entries = write_through(_distinct(_usable(vectors, id_name, vector_name), members), "vectors")
+    blocks = max(1, math.ceil(entries.count() / block_rows))
+    dealt = entries.select(F.size("v").alias("dims"), F.expr(f"pmod(xxhash64(v), {blocks})").alias("block"), "ids", "v")
 
     def build(key, block):
         import pandas as pd
@@ -77,31 +92,53 @@ def build_index(
         return pd.DataFrame(
             {
                 "dims": [int(key[0])],
-                "ids": [block["id"].to_numpy(np.int64).tobytes()],
+                "block": [int(key[1])],
+                "ids": [np.concatenate(block["ids"].tolist()).astype(np.int64).tobytes()],
+                "counts": [np.array([len(x) for x in block["ids"]], dtype=np.int32).tobytes()],
                 "vectors": [matrix.tobytes()],
                 "hashes": [np.take_along_axis(hashes, order, axis=1).astype(np.uint32).tobytes()],
                 "order": [order.astype(np.int32).tobytes()],
             }
         )
 
-    if not 1 <= bits <= 32:
-        raise ValueError("a hash string has 1 to 32 bits")
-    built = dealt.groupBy("dims", "block").applyInPandas(build, "dims int, ids binary, vectors binary, hashes binary, order binary")
+    built = dealt.groupBy("dims", "block").applyInPandas(
+        build, "dims int, block long, ids binary, counts binary, vectors binary, hashes binary, order binary"
+    )
     return write_through(built, "forest")
 
 
+def query_blocks(queries: DataFrame, id_name: str, vector_name: str, rows: int = QUERY_ROWS) -> DataFrame:
+    """dims, q_block, q_ids, q_vectors: some ``rows`` queries in each row, all of one number of dimensions."""
+    asked = _usable(queries, id_name, vector_name).groupBy("id").agg(F.min("v").alias("v"))
+    asked = write_through(asked, "queries")
+    blocks = max(1, math.ceil(asked.count() / rows))
+    dealt = asked.select(F.size("v").alias("dims"), F.expr(f"pmod(xxhash64(id), {blocks})").alias("q_block"), "id", "v")
+
+    def pack(key, block):
+        import pandas as pd
+
+        matrix = np.array(block["v"].tolist(), dtype=np.float64)
+        ids = block["id"].to_numpy(np.int64)
+        return pd.DataFrame({"dims": [int(key[0])], "q_block": [int(key[1])], "q_ids": [ids.tobytes()], "q_vectors": [matrix.tobytes()]})
+
+    packed = dealt.groupBy("dims", "q_block").applyInPandas(pack, "dims int, q_block long, q_ids binary, q_vectors binary")
+    return write_through(packed, "query_blocks")
+
+
 class Forest:
-    """The sorted arrays of one index block."""
+    """The sorted arrays of one index block; ``counts`` says how many ids each vector has (one, where it is not given)."""
 
-    def __init__(self, ids, vectors, hashes, order, trees: int, bits: int):
+    def __init__(self, ids, vectors, hashes, order, trees: int, bits: int, counts=None):
         self.ids, self.vectors, self.hashes, self.order, self.bits = ids, vectors, hashes, order, bits
+        self.counts = np.ones(len(vectors), dtype=np.int64) if counts is None else counts.astype(np.int64)
+        self.firsts = np.cumsum(self.counts) - self.counts
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        self.seen = np.zeros(len(ids), dtype=bool)
+        self.seen = np.zeros(len(vectors), dtype=bool)
 
     def ranges(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """[length, tree, query]: the range of the sorted array that shares so many bits with the query."""
         lo = np.zeros((self.bits + 1, *strings.shape), dtype=np.int32)
-        hi = np.full_like(lo, len(self.ids))
+        hi = np.full_like(lo, len(self.vectors))
         for length in range(1, self.bits + 1):
             shift = np.uint64(self.bits - length)
             first = strings >> shift << shift
@@ -125,73 +162,80 @@ class Forest:
                 return found
             length -= 1
 
+    def members(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in rows, id) of all ids of these rows."""
+        counts = self.counts[rows]
+        place = np.repeat(np.arange(len(rows)), counts)
+        within = np.arange(len(place)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return place, self.ids[self.firsts[rows][place] + within]
+
     def nearest(self, rows: np.ndarray, query_id: int, query: np.ndarray, norm: float, k: int):
-        """(score, id) of the best k of these rows, other than the query's own: exact, in double precision."""
-        rows = rows[self.ids[rows] != query_id]
+        """(score, id) of the best k of these rows, other than the query's own: exact, in double precision.
+
+        An id with several vectors counts once, at its best score.
+        """
         # a sum for each row on its own: equal vectors have equal scores
         scores = (self.vectors[rows] * query).sum(axis=1) / (self.norms[rows] * norm)
-        ids = self.ids[rows]
-        if len(rows) > 4 * k:
-            least = np.partition(scores, -k)[-k]
-            kept = scores >= least
-            scores, ids = scores[kept], ids[kept]
-        order = np.lexsort((ids, -scores))[:k]
-        return scores[order], ids[order]
-
-
-def _search(queries: np.ndarray, matrix: np.ndarray, k: int, share: float, trees: int, bits: int):
-    """Tasks over index rows -> (query_id, id, score), the best k of the task's blocks for each query."""
-    norms = np.sqrt((matrix * matrix).sum(axis=1))
-    dims = matrix.shape[1]
+        taken = k + 1  # vectors: one of them may be the query's own
+        while True:
+            some = taken < len(rows)
+            near = np.flatnonzero(scores >= np.partition(scores, -taken)[-taken]) if some else np.arange(len(rows))
+            place, ids = self.members(rows[near])
+            found = scores[near][place]
+            order = np.lexsort((ids, -found))
+            order = order[ids[order] != query_id]
+            first = np.sort(np.unique(ids[order], return_index=True)[1])[:k]
+            if len(first) == k or not some:
+                return found[order][first], ids[order][first]
+            taken *= 4  # the same ids came again
+
+
+def _search(k: int, share: float, trees: int, bits: int):
+    """Pairs of a query block and an index block -> (query_id, id, score), the best k of successive index blocks."""
+    names = ["query_id", "id", "score"]
+
+    def given(asked, best):
+        rows = [(q, i, x) for q, own in zip(asked, best) for i, x in own.items()]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
 
     def run(batches):
-        strings = hash_strings(matrix, trees, bits)
-        best: list[list[tuple[float, int]]] = [[] for _ in queries]
+        held, best = None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                if batch.column(0)[row].as_py() != dims:
-                    continue
-                ids, vectors, hashes, order = (
+                dims, block = (batch.column(i)[row].as_py() for i in (0, 1))
+                q_ids, q_vectors, ids, counts, vectors, hashes, order = (
                     np.frombuffer(batch.column(i)[row].as_buffer(), kind)
-                    for i, kind in ((1, np.int64), (2, np.float64), (3, np.uint32), (4, np.int32))
+                    for i, kind in enumerate((np.int64, np.float64, np.int64, np.int32, np.float64, np.uint32, np.int32), 2)
                 )
+                if held != (dims, block):
+                    if best:
+                        yield given(asked, best)
+                    held, asked = (dims, block), q_ids.tolist()
+                    best = [{} for _ in asked]
+                    matrix = scaled(q_vectors.reshape(-1, dims))
+                    norms = np.sqrt((matrix * matrix).sum(axis=1))
+                    strings = hash_strings(matrix, trees, bits)
                 forest = Forest(
-                    ids, vectors.reshape(-1, dims), hashes.reshape(trees, -1).astype(np.uint64), order.reshape(trees, -1), trees, bits
+                    ids, vectors.reshape(-1, dims), hashes.reshape(trees, -1).astype(np.uint64), order.reshape(trees, -1), trees, bits, counts
                 )
-                # one more than asked for, since the query's own row is a candidate too
-                enough = min(len(ids), max(k + 1, math.ceil(share * len(ids))))
-                for at in range(0, len(queries), 256):
+                # one more than asked for, since the query's own vector is a candidate too
+                enough = min(len(forest.vectors), max(k + 1, math.ceil(share * len(forest.vectors))))
+                for at in range(0, len(asked), 256):
                     lo, hi = forest.ranges(strings[:, at : at + 256])
                     for q in range(lo.shape[2]):
                         rows = forest.candidates(lo[:, :, q], hi[:, :, q], enough)
-                        scores, found = forest.nearest(rows, queries[at + q], matrix[at + q], norms[at + q], k)
+                        scores, found = forest.nearest(rows, asked[at + q], matrix[at + q], norms[at + q], k)
                         own = best[at + q]
-                        own.extend(zip(scores.tolist(), found.tolist()))
-                        own.sort(key=lambda x: (-x[0], x[1]))
-                        del own[k:]
-        rows = [(int(q), i, s) for q, own in zip(queries, best) for s, i in own]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
-            ["query_id", "id", "score"],
-        )
+                        for i, x in zip(found.tolist(), scores.tolist()):
+                            own[i] = max(x, own.get(i, -2.0))
+                        best[at + q] = dict(sorted(own.items(), key=lambda x: (-x[1], x[0]))[:k])
+        if best:
+            yield given(asked, best)
 
     return run
 
 
-def _query_blocks(queries: DataFrame, rows: int):
-    """Queries in blocks of bounded size, each of one number of dimensions; no more than ``rows`` are held."""
-    held: dict[int, list] = {}
-    size = 0
-    for row in queries.toLocalIterator():
-        held.setdefault(len(row["v"]), []).append((row["id"], row["v"]))
-        size += 1
-        if size >= rows:
-            block = held.pop(max(held, key=lambda dims: len(held[dims])))
-            size -= len(block)
-            yield block
-    yield from held.values()
-
-
 def nearest_neighbours(
     vectors: DataFrame, queries: DataFrame, k: int = 5, id_name: str = "vec_id", vector_name: str = "embedding",
     trees: int = TREES, bits: int = BITS, share: float = SHARE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
@@ -204,14 +248,16 @@ def nearest_neighbours(
     that repeat an id the smallest vector asks, component by component. An empty table on either side gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
-    index = build_index(vectors, id_name, vector_name, trees, bits, block_rows)
-    found = spark.createDataFrame([], "query_id long, id long, score double")
-    asked = _usable(queries, id_name, vector_name).groupBy("id").agg(F.min("v").alias("v"))
-    for block in _query_blocks(asked, query_rows):
-        ids = np.array([i for i, _ in block], dtype=np.int64)
-        matrix = scaled(np.array([v for _, v in block], dtype=np.float64))
-        part = index.mapInArrow(_search(ids, matrix, k, share, trees, bits), "query_id long, id long, score double")
-        found = found.union(write_through(part, "neighbours"))
+    index = build_index(vectors, id_name, vector_name, trees, bits, block_rows, k + 1)
+    asked = query_blocks(queries, id_name, vector_name, query_rows)
+    # every block of queries goes once to each group of index blocks
+    groups = max(1, min(index.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = index.withColumn("part", F.expr(f"int(pmod(block, {groups}))")).repartition(groups, "dims", "part")
+    sent = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).repartition(groups, "dims", "part")
+    pairs = sent.join(dealt, ["dims", "part"]).select(
+        "dims", "q_block", "q_ids", "q_vectors", "ids", "counts", "vectors", "hashes", "order"
+    )
+    found = pairs.mapInArrow(giving_back(_search(k, share, trees, bits)), "query_id long, id long, score double")
     best = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")  # k rows a task for each query
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -61,11 +61,10 @@ def test_very_large_and_very_small_vectors(spark):
 
 
 def test_query_blocks_are_bounded(spark):
-    rows = table(spark, [(i, [1.0] * (1 + i % 7), 1, "x") for i in range(50)])
-    asked = neighbours._usable(rows, "vec_id", "embedding")
-    blocks = list(neighbours._query_blocks(asked, 10))
-    assert sorted(i for b in blocks for i, _ in b) == list(range(50))
-    assert all(len({len(v) for _, v in b}) == 1 and len(b) <= 10 for b in blocks)
+    rows = table(spark, [(i, [1.0] * (1 + i % 7), 1, "x") for i in range(500)])
+    blocks = [(r.dims, np.frombuffer(r.q_ids, np.int64), r.q_vectors) for r in neighbours.query_blocks(rows, "vec_id", "embedding", 50).collect()]
+    assert sorted(i for _, ids, _ in blocks for i in ids) == list(range(500))
+    assert all(len(v) == 8 * dims * len(ids) and set(ids % 7) == {dims - 1} and len(ids) <= 50 for dims, ids, v in blocks)
 
 
 def test_empty(spark):
@@ -131,3 +130,30 @@ def test_queries_that_repeat_an_id(spark):
     for parts in (1, 2, 3):
         found = neighbours.nearest_neighbours(table, queries.repartition(parts), k=5, share=1.0).orderBy("rank").collect()
         assert [r.vec_id for r in found] == [i for _, i in expected]
+
+
+def test_an_id_with_many_vectors_counts_once(spark):
+    """More vectors of one id lie nearest than neighbours are asked for: the others still come."""
+    draw = np.random.default_rng(6)
+    near = [(7, [1.0, 1e-3 * i, 0.0]) for i in range(40)] + [(8, [1.0, 0.0, 1e-3 * i]) for i in range(40)]
+    vectors = [(0, [1.0, 0.0, 0.0]), *near, *[(i, draw.normal(size=3).tolist()) for i in range(20, 60)]]
+    rows = table(spark, [(i, v, 1, "x") for i, v in vectors])
+    found = found_by(neighbours.nearest_neighbours(rows, rows.filter("vec_id = 0"), share=1.0, block_rows=30))
+    expected = brute(vectors, {0})
+    assert [i for i, _ in found[0]] == [i for i, _ in expected[0]] and len(found[0]) == 5
+    assert [s for _, s in found[0]] == pytest.approx([s for _, s in expected[0]], abs=1e-15)
+
+
+def test_recall_beside_a_hot_group(spark):
+    """Half of all rows are one vector: they are one entry, and the recall of the other queries stays."""
+    rows = read_table(spark, "/root/testdata/sf0.01", "embeddings")
+    some = [(r.vec_id, [float(x) for x in r.embedding]) for r in rows.collect()]
+    vectors = some + [(10**6 + i, some[3][1]) for i in range(len(some))]
+    asked = {i for i, _ in some if i % 50 == 0}
+    given = table(spark, [(i, v, 1, "x") for i, v in vectors])
+    found = found_by(neighbours.nearest_neighbours(given, given.filter("vec_id % 50 = 0 and vec_id < 1000000")))
+    plain = brute(vectors, asked)
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in own}) for q, own in plain.items())
+    assert hits >= 0.95 * sum(len(own) for own in plain.values())
+    copies = neighbours.build_index(given)
+    assert sum(len(r.counts) // 4 for r in copies.select("counts").collect()) == len({tuple(v) for _, v in some})
