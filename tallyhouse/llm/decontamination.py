@@ -31,11 +31,15 @@ BLOCK_BYTES = 8 << 20
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.95
 MOST_REPETITIONS = 24
-#: Steps of a walk, and those of them that make a key; items too short for a walk use a shorter one.
+#: Steps of a walk; items too short for it use a shorter one, of which SAMPLED steps make a key.
 STEPS, SAMPLED = 40, 14
+#: Steps of the whole walk that one look-up takes; all but one of the bytes between look-ups make a key.
+STRIDE = 3
 #: After so many samples, windows whose samples no item has are given up.
-EARLY = (3, 4, 6, 9)
+EARLY = (5, 7, 9)
 SEED = 11
+#: What a sampled byte adds to a key, by its turn.
+_MARKS = np.random.default_rng(SEED).integers(0, 1 << 64, (SAMPLED, 256), dtype=np.uint64)
 _TABLE_BITS = 20
 _CHUNK = 1 << 20
 #: Windows that go through all repetitions before the next ones do: so many stay in a core's cache.
@@ -110,7 +114,11 @@ def word_places(data: np.ndarray) -> np.ndarray:
 
 def text_starts(places: np.ndarray, steps: int) -> np.ndarray:
     """Where windows of documents start: at words, and in them at distances that leave a start in any item's windows."""
-    return np.flatnonzero((places >= 0) & (places % max(1, steps // 5) == 0))
+    apart = max(1, steps // 5)
+    starts = places == 0
+    amid = np.flatnonzero(places >= apart)  # few: most words are shorter
+    starts[amid[places[amid] % apart == 0]] = True
+    return np.flatnonzero(starts)
 
 
 def item_starts(data: np.ndarray, steps: int) -> np.ndarray:
@@ -121,49 +129,68 @@ def item_starts(data: np.ndarray, steps: int) -> np.ndarray:
     return np.flatnonzero((places == 0) | ((places >= 0) & amid))
 
 
+def step_codes(data: np.ndarray) -> np.ndarray:
+    """For each byte itself and, in four bits each, the classes of the two behind it: what a walk's next steps depend on."""
+    low = np.r_[data & 15, np.zeros(2, np.uint8)].astype(np.uint16)
+    return data.astype(np.uint16) << 8 | low[1:-1] << 4 | low[2:]
+
+
 class Walk:
-    """One repetition: random bits for each step and symbol, and the sampled steps."""
+    """One repetition: random bits for each step and class of symbols (sixteen, by the low bits), and the sampled steps."""
 
     def __init__(self, steps: int, seed: int):
         draw = np.random.default_rng([SEED, steps, seed])
         self.steps = steps
-        self.moves = draw.integers(0, 2, (steps, 256), dtype=np.int64)
-        # one step of each equal stretch: neighbours often repeat a symbol
-        strata = np.array_split(np.arange(steps), min(SAMPLED, steps))
-        self.sampled = np.array([draw.choice(part) for part in strata])
+        moves = draw.integers(0, 2, (steps, 16), dtype=np.int8)
+        self.stride = STRIDE if steps == STEPS else 1
+        if self.stride > 1:
+            every = np.arange(0, steps, self.stride)
+            self.sampled = np.delete(every, draw.integers(len(every)))
+        else:
+            # one step of each equal stretch: neighbours often repeat a symbol
+            strata = np.array_split(np.arange(steps), min(SAMPLED, steps))
+            self.sampled = np.array([draw.choice(part) for part in strata])
         self.last = int(self.sampled[-1])
         # a window is never left: its walk moves at most ``last`` places
         self.reach = self.last + 1
-
-    def keys(self, data: np.ndarray, starts: np.ndarray, early: dict[int, np.ndarray] | None = None, samples: int | None = None):
+        # by the classes of three bytes, how far the steps until the next look-up move
+        code = np.arange(16**STRIDE)
+        classes = np.stack([code >> 8, code >> 4 & 15, code & 15])
+        self.jumps = []
+        for step in range(0, self.last, self.stride):
+            moved = np.zeros(len(code), np.int8)
+            for own in moves[step : step + self.stride]:
+                moved += own[classes[moved, code]]
+            self.jumps.append(moved)
+
+    def keys(self, codes: np.ndarray, starts: np.ndarray, early: dict[int, np.ndarray] | None = None, samples: int | None = None):
         """(place in starts, key) of the windows; with the tables ``early``, only of those that pass them.
 
-        ``data`` must go on for ``reach`` bytes behind every start. ``samples`` ends the walk there.
+        ``codes`` are the texts', which must go on for ``reach`` bytes behind every start. ``samples`` ends the walk there.
         """
-        at = starts.astype(np.int64)
-        who = np.arange(len(starts))
-        key = np.zeros(len(starts), dtype=np.uint64)
-        step = 0
-        for taken, sampled in enumerate(self.sampled[:samples].tolist(), 1):
-            while step < sampled:
-                at += self.moves[step].take(data.take(at, mode="clip"), mode="clip")
-                step += 1
-            key ^= data.take(at, mode="clip")
-            key *= np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(31)
+        at, who, key = starts.astype(np.int64), None, np.zeros(len(starts), dtype=np.uint64)
+        marks = {step: taken for taken, step in enumerate(self.sampled[:samples].tolist(), 1)}
+        for turn, step in enumerate(range(0, max(marks) + 1, self.stride)):
+            code = codes.take(at, mode="clip")
+            taken = marks.get(step, 0)
+            if taken:
+                key ^= _MARKS[taken - 1].take(code >> 8, mode="clip")
+            if taken == len(marks):
+                break
             if early and taken in early:
                 alive = np.flatnonzero(early[taken].take(_slot(key, len(early[taken]).bit_length() - 1), mode="clip"))
-                at, who, key = at[alive], who[alive], key[alive]
-        return who, key
+                at, key, code, who = at[alive], key[alive], code[alive], alive if who is None else who[alive]
+            at += self.jumps[turn].take(code & 0xFFF, mode="clip")
+        return np.arange(len(starts)) if who is None else who, key
 
-    def early_tables(self, data: np.ndarray, starts: np.ndarray) -> dict[int, np.ndarray]:
+    def early_tables(self, codes: np.ndarray, starts: np.ndarray) -> dict[int, np.ndarray]:
         tables = {}
         for samples in EARLY:
             if samples < len(self.sampled):
                 # some 16 slots and more a window: they prune alike, and a task holds those of all repetitions
                 bits = min(_TABLE_BITS, len(starts).bit_length() + 4)
-                tables[samples] = np.zeros(1 << bits, dtype=np.uint8)
-                tables[samples][_slot(self.keys(data, starts, samples=samples)[1], bits)] = 1
+                tables[samples] = np.zeros(1 << bits, dtype=bool)
+                tables[samples][_slot(self.keys(codes, starts, samples=samples)[1], bits)] = True
         return tables
 
 
@@ -194,7 +221,7 @@ def _length_class(length: int) -> int:
 
 
 def _item_windows(texts: list[bytes], items: list[int], walk: Walk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All items as one buffer, with the starts of their windows: (data, starts, item, offset)."""
+    """All items as one buffer, with the starts of their windows: (codes, starts, item, offset)."""
     starts, owner, offset, parts, size, reach = [], [], [], [], 0, walk.reach
     for i in items:
         data = np.frombuffer(texts[i], np.uint8)
@@ -205,7 +232,7 @@ def _item_windows(texts: list[bytes], items: list[int], walk: Walk) -> tuple[np.
         offset.append(own)
         parts.append(texts[i] + b"\0" * reach)
         size += len(parts[-1])
-    return (np.frombuffer(b"".join(parts), np.uint8), *(np.concatenate(x).astype(np.int64) for x in (starts, owner, offset)))
+    return (step_codes(np.frombuffer(b"".join(parts), np.uint8)), *(np.concatenate(x).astype(np.int64) for x in (starts, owner, offset)))
 
 
 def edited(text: bytes, share: float, draw: random.Random) -> bytes:
@@ -250,11 +277,11 @@ class Searcher:
             steps = steps // 2 if sides else steps
             sides.append(side := Side(steps))
             for walk in self._walks(steps, [i for c in missed for i in classes[c]]):
-                data, starts, owner, offset = _item_windows(self.texts, [i for c in missed for i in classes[c]], walk)
-                key = walk.keys(data, starts)[1]
+                codes, starts, owner, offset = _item_windows(self.texts, [i for c in missed for i in classes[c]], walk)
+                key = walk.keys(codes, starts)[1]
                 order = np.argsort(key, kind="stable")
                 side.walks.append(walk)
-                side.tables.append((key[order], owner[order], offset[order], walk.early_tables(data, starts)))
+                side.tables.append((key[order], owner[order], offset[order], walk.early_tables(codes, starts)))
                 for c in list(missed):
                     missed[c] = self._unfound(missed[c], [(walk, side.tables[-1])])
                     if len(missed[c]) <= (1 - recall) * len(trials[c]):
@@ -289,17 +316,18 @@ class Searcher:
         true = ends - [len(t) + 1 - at for _, at, t in trials]
         most = np.array(self.most)[item]
         places, found = word_places(every), np.zeros(len(trials), bool)
+        codes = step_codes(np.r_[every, np.zeros(STEPS, np.uint8)])
         for walk, table in repetitions:
-            owner, at, begin = self._hits(walk, table, np.r_[every, np.zeros(walk.reach, np.uint8)], text_starts(places, walk.steps))
+            owner, at, begin = self._hits(walk, table, codes, text_starts(places, walk.steps))
             trial = np.searchsorted(ends, at, "right")
             found[trial[(owner == item[trial]) & (abs(begin - true[trial]) <= most[trial])]] = True
         return [t for t, hit in zip(trials, found) if not hit]
 
     @staticmethod
-    def _hits(walk: Walk, table: tuple, padded: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _hits(walk: Walk, table: tuple, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(item, place of the window, place where the item would begin) of windows with a key of the table."""
         keys, owner, offset, early = table
-        who, key = walk.keys(padded, starts, early)
+        who, key = walk.keys(codes, starts, early)
         lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
         n = hi - lo
         entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -310,8 +338,8 @@ class Searcher:
         """The repetitions to try, from a larger draw: those that give different windows the fewest equal keys."""
 
         def equal_keys(walk):
-            data, starts, *_ = _item_windows(self.texts, own, walk)
-            return (np.unique(walk.keys(data, starts)[1], return_counts=True)[1] ** 2).sum()
+            codes, starts, *_ = _item_windows(self.texts, own, walk)
+            return (np.unique(walk.keys(codes, starts)[1], return_counts=True)[1] ** 2).sum()
 
         return sorted((Walk(steps, seed) for seed in range(2 * MOST_REPETITIONS)), key=equal_keys)[:MOST_REPETITIONS]
 
@@ -319,12 +347,12 @@ class Searcher:
         """Distinct (item, text, place where it would begin, in steps of 16 bytes) of texts that end (in a 0) at ``ends``."""
         found = [np.zeros((3, 0), np.int64)]
         places = word_places(data)
+        codes = step_codes(np.r_[data, np.zeros(STEPS, np.uint8)])
         for side in self.sides:
-            padded = np.r_[data, np.zeros(max(w.reach for w in side.walks), np.uint8)]
             starts = text_starts(places, side.steps)
             for first in range(0, len(starts), _WINDOWS):
                 for walk, table in zip(side.walks, side.tables):
-                    owner, at, begin = self._hits(walk, table, padded, starts[first : first + _WINDOWS])
+                    owner, at, begin = self._hits(walk, table, codes, starts[first : first + _WINDOWS])
                     if len(owner):
                         found.append(np.stack([owner, np.searchsorted(ends, at, "right"), begin >> 4]))
         return np.unique(np.concatenate(found, axis=1), axis=1)
