@@ -13,6 +13,7 @@ the documents where they lie: nothing is shuffled, and no document's windows lea
 
 from __future__ import annotations
 
+import functools
 import math
 import random
 import warnings
@@ -52,19 +53,30 @@ def normalise(text: str) -> bytes:
     return " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
 
 
-def edit_distance_in(pattern: bytes, text: bytes) -> tuple[int, int]:
+@functools.lru_cache(1024)
+def _symbol_bits(pattern: bytes) -> dict[int, int]:
+    """For each byte the bits of its places."""
+    masks: dict[int, int] = {}
+    for i, c in enumerate(pattern):
+        masks[c] = masks.get(c, 0) | 1 << i
+    return masks
+
+
+def edit_distance_in(pattern: bytes, text: bytes, most: int | None = None) -> tuple[int, int]:
     """(distance, end): the least edits that turn the pattern into some substring of the text, and its first end.
 
-    Myers' bit-parallel columns, in one whole number of len(pattern) bits.
+    Myers' bit-parallel columns, in one whole number of len(pattern) bits. With ``most``, a distance beyond it may come
+    out too large: what is left of the text, each byte of which takes one edit away at best, is not read then.
     """
     m = len(pattern)
-    masks: dict[int, int] = {}
-    for i, c in enumerate(pattern):
-        masks[c] = masks.get(c, 0) | 1 << i
+    masks = _symbol_bits(pattern)
     full, top = (1 << m) - 1, 1 << (m - 1)
     plus, minus, score = full, 0, m
     best, end = m, 0
+    limit = m + len(text) if most is None else most + len(text)
     for at, c in enumerate(text):
+        if score > limit - at:
+            break
         eq = masks.get(c, 0)
         vertical = eq | minus
         eq = (((eq & plus) + plus) ^ plus) | eq
@@ -88,7 +100,7 @@ def edit_match(item: bytes, text: bytes, most: int) -> tuple[int, int, int] | No
     at = text.find(item)
     if at >= 0:
         return 0, at, at + len(item)
-    distance, end = edit_distance_in(item, text)
+    distance, end = edit_distance_in(item, text, most)
     if distance > most:
         return None
     back = text[max(0, end - len(item) - distance) : end][::-1]

@@ -31,6 +31,18 @@ def test_edit_distance():
         assert found[0] == distance and plain_distance(a, b[found[1] : found[2]]) == distance
 
 
+def test_distances_beyond_the_most():
+    """Up to the most edits they are exact, beyond it only known to be beyond."""
+    draw = random.Random(8)
+    for _ in range(300):
+        a = bytes(draw.choice(b"abc") for _ in range(draw.randint(1, 20)))
+        b = bytes(draw.choice(b"abcde") for _ in range(draw.randint(0, 40)))
+        most = draw.randint(0, 12)
+        distance, end = d.edit_distance_in(a, b, most)
+        plain = plain_distance(a, b)
+        assert distance > most if plain > most else (distance, end) == d.edit_distance_in(a, b) and distance == plain
+
+
 def items():
     draw = random.Random(5)
     word = lambda: "".join(draw.choice("abcdefghiklmnoprstuvé") for _ in range(draw.randint(2, 9)))
