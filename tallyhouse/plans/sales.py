@@ -12,12 +12,15 @@ from tallyhouse.operators.columns import column, insert_column, select_names, un
 from tallyhouse.operators.lookup import left_lookup
 from tallyhouse.operators.resume import ResumeRule, rows_after_marker
 from tallyhouse.schemas import ROW_ORD, require_columns, whole_number
+from tallyhouse.session import write_through
 
 # the columns of an export that are kept; later ones go (``dropped_columns`` names them)
 KEPT_COLUMNS = 12
 PACK, PRODUCT, SOLD = "Cantidades", "Producto", "Cantidad inv.sell_Int"
 TYPED_KEYS = ("Fecha", "Cantidad inv.", "Valor bruto local")
 DESCRIPTION = "Desc.item"
+#: Descriptions that are sent to all tasks; a larger catalogue meets the sales in a shuffle.
+BROADCAST_TEXTS = 100_000
 
 
 def as_moment(df: DataFrame, name: str, formats=calendar.ISO) -> Column:
@@ -52,14 +55,17 @@ def describe(sales: DataFrame, product_rules: rules.ProductRules) -> DataFrame:
     """Add pack and product.
 
     A catalogue has far fewer descriptions than there are sales, and the word rules are some thirty searches per text: in
-    a table they run once per distinct description, and are joined back. The join has no hint, AQE broadcasts a
-    catalogue that is small and splits a hot description of one that is not. A stream, whose files are not all
-    there, runs the rules on each row.
+    a table they run once per distinct description, and are joined back. The described texts are written first: joined
+    as they come, the sales would be shuffled before their number is known. Up to ``BROADCAST_TEXTS`` of them go to all
+    tasks, where the sales lie; AQE splits a hot description of a catalogue that is larger. A stream, whose files are
+    not all there, runs the rules on each row.
     """
     if not sales.isStreaming:
         keyed = sales.withColumn("_text", column(sales, DESCRIPTION))
         texts = keyed.select("_text").filter("_text is not null").distinct()
-        known = products.with_pack_and_product(texts, "_text", PACK, PRODUCT, product_rules)
+        known = write_through(products.with_pack_and_product(texts, "_text", PACK, PRODUCT, product_rules), "descriptions")
+        if known.count() <= BROADCAST_TEXTS:
+            known = F.broadcast(known)
         joined = left_lookup(keyed, known, "_text").drop("_text")
         return joined.withColumn(PACK, F.coalesce(PACK, F.lit(rules.MISSING_PACK)))
     return products.with_pack_and_product(sales, DESCRIPTION, PACK, PRODUCT, product_rules)

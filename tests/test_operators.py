@@ -10,6 +10,8 @@ from tallyhouse.operators.dedup import first_by_key
 from tallyhouse.plans import costs, customers, rfm, sales, sellout, weekly
 from tallyhouse.schemas import MissingColumns, apply_types, require_columns, untyped_rows
 from tallyhouse.session import write_through
+from tallyhouse.workload import tables as workload_tables
+from tallyhouse.workload.queries import QUERIES
 
 PARTITIONS = [1, 17]
 BRAND = rules.BRAND_PREFIXES[0][1]
@@ -440,3 +442,24 @@ def test_whole_numbers_beyond_64_bits_are_rejects(spark):
     df = spark.createDataFrame([(c,) for c in cells], "units string")
     assert [r.units for r in apply_types(df, {"units": "bigint"}).collect()] == [2**63 - 1, None, None, None, 4, None, None]
     assert untyped_rows(df, {"units": "bigint"}).count() == 5
+
+
+# ------------------------------------------------------------------ what moves
+@pytest.fixture
+def no_small_tables(spark):
+    """As if every table were too large to be broadcast by its size."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_sales_stay_where_they_lie_for_their_descriptions(export, no_small_tables, monkeypatch):
+    """A catalogue of known, small size goes to the sales; a larger one meets them in a shuffle, with the same rows."""
+    near = sales.enrich_sales(export)
+    assert "SortMergeJoin" not in near._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(sales, "BROADCAST_TEXTS", 0)
+    far = sales.enrich_sales(export)
+    assert "SortMergeJoin" in far._jdf.queryExecution().executedPlan().toString()
+    assert rows(near, "row_ord") == rows(far, "row_ord") != []
