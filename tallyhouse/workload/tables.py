@@ -153,19 +153,25 @@ def product_brand() -> Column:
 
 
 def line_export(t: Tables) -> DataFrame:
-    """Order lines as the sales export, eleven columns."""
-    joined = (
-        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    """Order lines as the sales export, eleven columns.
+
+    Orders meet their customers before the lines, which move once for the orders and once for the parts.
+    """
+    buyer = F.when(F.col("c_mktsegment") == "HOUSEHOLD", rules.WHOLESALER).otherwise(F.col("c_name"))
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_orderdate", "c_mktsegment", buyer.alias("buyer")
+    )
+    parts = t.part.select("p_partkey", product_brand().alias("brand"), product_text().alias("description"))
+    joined = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        parts, F.col("l_partkey") == F.col("p_partkey")
     )
     return joined.select(
         F.col("o_orderdate").cast("timestamp_ntz").alias("Fecha"),
-        product_brand().alias("Marca"),
+        F.col("brand").alias("Marca"),
         F.col("c_mktsegment").alias("Linea de mercado"),
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", rules.WHOLESALER).otherwise(F.col("c_name")).alias("Razon social"),
+        F.col("buyer").alias("Razon social"),
         text("l_partkey").alias("Referencia"),
-        product_text().alias("Desc. item"),
+        F.col("description").alias("Desc. item"),
         F.concat(F.lit("77"), text("l_partkey")).alias("EAN 13"),
         F.lit("UND").alias("U.M."),
         text("l_linenumber").alias("Nit"),

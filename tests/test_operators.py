@@ -463,3 +463,32 @@ def test_sales_stay_where_they_lie_for_their_descriptions(export, no_small_table
     far = sales.enrich_sales(export)
     assert "SortMergeJoin" in far._jdf.queryExecution().executedPlan().toString()
     assert rows(near, "row_ord") == rows(far, "row_ord") != []
+
+
+def small_tables(spark, folder, suppliers):
+    """A line for each supplier, with an order, a customer and a part of its own."""
+    ids = spark.range(1, suppliers + 1)
+    day = F.expr("timestamp_ntz'1999-03-05 00:00:00'")
+    lines = ids.selectExpr(
+        "id as l_orderkey", "id as l_partkey", "id as l_suppkey", "1 as l_linenumber", "double(id % 9 + 1) as l_quantity",
+        "10.5D as l_extendedprice", "0.0D as l_discount", "0.0D as l_tax", "'N' as l_returnflag",
+    ).withColumn("l_shipdate", day)
+    named = {
+        "lineitem": lines,
+        "part": ids.selectExpr("id as p_partkey", "'soap' as p_name", "'B' as p_brand", "'SMALL' as p_type", "int(id % 50) as p_size"),
+        "supplier": ids.selectExpr("id as s_suppkey", "concat('S', id) as s_name", "int(id % 25) as s_nationkey"),
+        "nation": spark.range(25).selectExpr("int(id) as n_nationkey", "concat('N', id) as n_name"),
+        "orders": ids.selectExpr("id as o_orderkey", "id as o_custkey").withColumn("o_orderdate", day),
+        "customer": ids.selectExpr("id as c_custkey", "concat('C', id) as c_name", "'MACHINERY' as c_mktsegment"),
+    }
+    for name, table in named.items():
+        table.write.parquet(f"{folder}/{name}.parquet")
+    return workload_tables.Tables(spark, str(folder))
+
+
+def test_lines_move_once_for_orders_and_customers(spark, tmp_path, no_small_tables):
+    export = workload_tables.line_export(small_tables(spark, tmp_path, 30))
+    joins = [line for line in export._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    on_lines = [line for line in joins if "l_" in line]
+    assert (len(joins), len(on_lines)) == (3, 2) and joins[-1] not in on_lines
+    assert export.count() == 30
