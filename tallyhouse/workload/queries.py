@@ -531,8 +531,8 @@ def unpivot_month_matrix(t):
 def month_matrix_files(t):
     """The matrix written as files with two header lines, read and unpivoted."""
     path = scratch_path(t.spark, "matrix")
-    lines = roles.matrix_lines(t).repartition("l_suppkey").sortWithinPartitions("l_suppkey", "place")
-    lines.select("l_suppkey", "value").write.partitionBy("l_suppkey").text(path)
+    lines = roles.matrix_lines(t).repartition("file").sortWithinPartitions("file", "place")
+    lines.select("file", "value").write.partitionBy("file").text(path)
     rows, _ = readers.read_month_matrix(t.spark, path)
     return reshape.unpivot_months(rows, rules.MATRIX_IDS).withColumn("Unidades", F.col("Unidades").cast("bigint"))
 

@@ -23,6 +23,9 @@ VERSION_YEARS = (1997, 2000)
 CUSTOMER_RANGE = (100, 400)
 COST_HISTORY_END = "2001-07-01"
 ORDINAL_STRIDE = 10_000_000_000
+#: Suppliers whose lines of the month matrix share a file, but for chance, and the fewest files.
+SUPPLIERS_OF_FILE = 100
+LEAST_FILES = 8
 
 
 class Tables:
@@ -348,11 +351,13 @@ def wholesale_matrix(t: Tables) -> DataFrame:
 
 
 def matrix_lines(t: Tables) -> DataFrame:
-    """The matrix as the lines of delimited files, one file per supplier: (l_suppkey, place, value).
+    """The matrix as the lines of delimited files, some hundred suppliers in each: (file, place, value).
 
     Each has the lines before the header, the two header lines, then its rows; a comma is the decimal sign of half of
-    the cells, which are quoted for it.
+    the cells, which are quoted for it. A file per supplier would take longer to make and to open than to read.
     """
+    files = max(LEAST_FILES, -(-t.supplier.count() // SUPPLIERS_OF_FILE))
+    file = F.pmod(F.hash("l_suppkey"), F.lit(files)).alias("file")
     matrix = wholesale_matrix(t)
     barcode = F.col(f"`{rules.MATRIX_IDS[3]}`")
     cells = [F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in rules.MATRIX_IDS]
@@ -369,8 +374,8 @@ def matrix_lines(t: Tables) -> DataFrame:
         F.concat_ws(",", *cells).alias("value"),
     )
     head = [f"Reporte, linea {i}" for i in range(rules.MATRIX_PREAMBLE_LINES)] + [",".join(upper), ",".join(lower)]
-    named = t.lineitem.select("l_suppkey").distinct().select("l_suppkey", F.posexplode(F.array(*map(F.lit, head))))
-    return named.withColumnsRenamed({"pos": "place", "col": "value"}).unionByName(body)
+    named = t.lineitem.select(file).distinct().select("file", F.posexplode(F.array(*map(F.lit, head))))
+    return named.withColumnsRenamed({"pos": "place", "col": "value"}).unionByName(body.select(file, "place", "value"))
 
 
 def retailer_of_status() -> Column:

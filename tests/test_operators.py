@@ -492,3 +492,14 @@ def test_lines_move_once_for_orders_and_customers(spark, tmp_path, no_small_tabl
     on_lines = [line for line in joins if "l_" in line]
     assert (len(joins), len(on_lines)) == (3, 2) and joins[-1] not in on_lines
     assert export.count() == 30
+
+
+def test_matrix_files_are_few(spark, tmp_path):
+    """Suppliers share files: each file has the lines before the header and the header once, and no row is lost."""
+    t = small_tables(spark, tmp_path, 1000)
+    lines = workload_tables.matrix_lines(t)
+    assert lines.select("file").distinct().count() == 10
+    head = lines.groupBy("file", "place").count().filter(F.col("place") < rules.MATRIX_PREAMBLE_LINES + rules.MATRIX_HEADER_LINES)
+    assert {r["count"] for r in head.collect()} == {1}
+    found, expected = (QUERIES[name](spark, str(tmp_path)) for name in ("month_matrix_files", "unpivot_month_matrix"))
+    assert sorted(map(repr, rows(found))) == sorted(map(repr, rows(expected))) != []
