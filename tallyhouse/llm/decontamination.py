@@ -39,12 +39,15 @@ STRIDE = 3
 #: After so many samples, windows whose samples no item has are given up.
 EARLY = (5, 7, 9)
 SEED = 11
+#: The low bits of a packed walk: its place in its block of texts. Keys have zeros there.
+_PLACE_BITS = 20
+_PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 #: What a sampled byte adds to a key, by its turn.
-_MARKS = np.random.default_rng(SEED).integers(0, 1 << 64, (SAMPLED, 256), dtype=np.uint64)
+_MARKS = np.random.default_rng(SEED).integers(0, 1 << 64, (SAMPLED, 256), dtype=np.uint64) & ~_PLACE
 _TABLE_BITS = 20
 _CHUNK = 1 << 20
 #: Windows that go through all repetitions before the next ones do: so many stay in a core's cache.
-_WINDOWS = 1 << 15
+_WINDOWS = 1 << 16
 _GRAMS = 1 << 12
 
 
@@ -80,7 +83,7 @@ def edit_distance_in(pattern: bytes, text: bytes, most: int | None = None) -> tu
         eq = masks.get(c, 0)
         vertical = eq | minus
         eq = (((eq & plus) + plus) ^ plus) | eq
-        up = minus | (full & ~(eq | plus))
+        up = minus | ((eq | plus) ^ full)
         down = plus & eq
         if up & top:
             score += 1
@@ -88,7 +91,7 @@ def edit_distance_in(pattern: bytes, text: bytes, most: int | None = None) -> tu
             score -= 1
         up = full & (up << 1)  # a match may begin anywhere
         down = full & (down << 1)
-        plus = down | (full & ~(vertical | up))
+        plus = down | ((vertical | up) ^ full)
         minus = up & vertical
         if score < best:
             best, end = score, at + 1
@@ -120,8 +123,9 @@ def gram_counts(data: np.ndarray) -> np.ndarray:
 
 def word_places(data: np.ndarray) -> np.ndarray:
     """How far each byte lies behind the start of its word; -1 for spaces and texts' ends (0)."""
-    at = np.arange(len(data))
-    return at - np.maximum.accumulate(np.where((data == 32) | (data == 0), at, -1)) - 1
+    at = np.arange(len(data), dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+    behind = np.where((data == 32) | (data == 0), at, at.dtype.type(-1))
+    return at - np.maximum.accumulate(behind, out=behind) - 1
 
 
 def text_starts(places: np.ndarray, steps: int) -> np.ndarray:
@@ -141,10 +145,25 @@ def item_starts(data: np.ndarray, steps: int) -> np.ndarray:
     return np.flatnonzero((places == 0) | ((places >= 0) & amid))
 
 
-def step_codes(data: np.ndarray) -> np.ndarray:
-    """For each byte itself and, in four bits each, the classes of the two behind it: what a walk's next steps depend on."""
+def step_codes(data: np.ndarray, rank: np.ndarray | None = None) -> np.ndarray:
+    """For each byte itself (or its rank) and, in four bits each, the classes of the two behind it: what a walk's next steps
+    depend on."""
     low = np.r_[data & 15, np.zeros(2, np.uint8)].astype(np.uint16)
-    return data.astype(np.uint16) << 8 | low[1:-1] << 4 | low[2:]
+    return (data.astype(np.uint16) if rank is None else rank[data]) << 8 | low[1:-1] << 4 | low[2:]
+
+
+class Ranks:
+    """The bytes of items in successive numbers; other bytes share one for each class, since no item has them."""
+
+    def __init__(self, texts: list[bytes]):
+        self.own = np.unique(np.frombuffer(b"".join(texts), np.uint8))
+        self.rank = np.arange(256, dtype=np.uint16) & 15
+        self.rank[self.own] = 16 + np.arange(len(self.own))
+        self.classes = np.r_[np.arange(16), self.own & 15]
+
+    def marks(self, turn: int) -> np.ndarray:
+        """By rank what a sampled byte adds to a key; no item's key has that of the other bytes."""
+        return np.r_[np.full(16, ~_MARKS[turn, self.own].sum() & ~_PLACE), _MARKS[turn, self.own]]
 
 
 class Walk:
@@ -165,6 +184,9 @@ class Walk:
         self.last = int(self.sampled[-1])
         # a window is never left: its walk moves at most ``last`` places
         self.reach = self.last + 1
+        # by look-up, how many samples are taken then, or none
+        turn_of = {step: taken for taken, step in enumerate(self.sampled.tolist(), 1)}
+        self.taken = [turn_of.get(step, 0) for step in range(0, self.reach, self.stride)]
         # by the classes of three bytes, how far the steps until the next look-up move
         code = np.arange(16**STRIDE)
         classes = np.stack([code >> 8, code >> 4 & 15, code & 15])
@@ -175,19 +197,20 @@ class Walk:
                 moved += own[classes[moved, code]]
             self.jumps.append(moved)
 
-    def keys(self, codes: np.ndarray, starts: np.ndarray, early: dict[int, np.ndarray] | None = None, samples: int | None = None):
+    def keys(self, codes: np.ndarray, starts: np.ndarray, early: dict[int, np.ndarray] | None = None, samples: int | None = None, begun: tuple | None = None):
         """(place in starts, key) of the windows; with the tables ``early``, only of those that pass them.
 
-        ``codes`` are the texts', which must go on for ``reach`` bytes behind every start. ``samples`` ends the walk there.
+        ``codes`` are the texts', which must go on for ``reach`` bytes behind every start. ``samples`` ends the walk there;
+        ``begun`` is what ``begin`` found.
         """
-        at, who, key = starts.astype(np.int64), None, np.zeros(len(starts), dtype=np.uint64)
-        marks = {step: taken for taken, step in enumerate(self.sampled[:samples].tolist(), 1)}
-        for turn, step in enumerate(range(0, max(marks) + 1, self.stride)):
+        first, who, at, key = begun or (0, None, starts.astype(np.int64), np.zeros(len(starts), dtype=np.uint64))
+        last = max(self.taken) if samples is None else min(samples, max(self.taken))
+        for turn in range(first, len(self.taken)):
+            taken = self.taken[turn]
             code = codes.take(at, mode="clip")
-            taken = marks.get(step, 0)
             if taken:
-                key ^= _MARKS[taken - 1].take(code >> 8, mode="clip")
-            if taken == len(marks):
+                key += _MARKS[taken - 1].take(code >> 8, mode="clip")
+            if taken == last:
                 break
             if early and taken in early:
                 alive = np.flatnonzero(early[taken].take(_slot(key, len(early[taken]).bit_length() - 1), mode="clip"))
@@ -195,6 +218,36 @@ class Walk:
             at += self.jumps[turn].take(code & 0xFFF, mode="clip")
         return np.arange(len(starts)) if who is None else who, key
 
+    def looks(self, ranks: Ranks, early: dict[int, np.ndarray]) -> list[np.ndarray]:
+        """The look-ups until the first of the tables ``early`` is asked, each as one table by code (with ranks): the mark of
+        the byte, and in its low bits how far the walk moves."""
+        out = []
+        for turn in range(self.taken.index(min(early)) + 1 if early else 0):
+            moved = self.jumps[turn][ranks.classes[:, None] << 8 | np.arange(256)].astype(np.uint64)
+            out.append((moved + (ranks.marks(self.taken[turn] - 1)[:, None] if self.taken[turn] else 0)).astype(np.uint64).ravel())
+        return out
+
+    @staticmethod
+    def begin(codes: np.ndarray, starts: np.ndarray, at_start: np.ndarray, early: dict[int, np.ndarray], looks: list[np.ndarray]) -> tuple | None:
+        """The windows that pass the first of the tables ``early``, for ``keys``; key and place of a walk are one number.
+
+        ``codes`` (with ranks) begin at the first start, and end less than 2 ** _PLACE_BITS behind it; those ``at_start`` are
+        the same for all walks.
+        """
+        if not looks:
+            return None
+        state = (starts - starts[0]).view(np.uint64) + looks[0].take(at_start, mode="clip")
+        place, code, look = np.empty_like(state), np.empty(len(state), codes.dtype), np.empty_like(state)
+        for table in looks[1:]:
+            np.bitwise_and(state, _PLACE, out=place)
+            codes.take(place.view(np.int64), out=code, mode="clip")
+            state += table.take(code, out=look, mode="clip")
+        passed = early[min(early)]
+        alive = np.flatnonzero(passed.take(_slot(state, len(passed).bit_length() - 1), mode="clip"))
+        state = state[alive]
+        place = state & _PLACE
+        return len(looks), alive, place.view(np.int64) + starts[0], state - place
+
     def early_tables(self, codes: np.ndarray, starts: np.ndarray) -> dict[int, np.ndarray]:
         tables = {}
         for samples in EARLY:
@@ -270,6 +323,7 @@ class Searcher:
         self.texts = [t for _, t in items]
         self.most = [int(len(t) * max_edits) for t in self.texts]
         self._grams: dict[int, np.ndarray] = {}
+        self._ranks, self._looks = Ranks(self.texts), None
         by: dict[int, dict[int, list[int]]] = {}
         for i, text in enumerate(self.texts):
             by.setdefault(steps_for(len(text)), {}).setdefault(_length_class(len(text)), []).append(i)
@@ -336,10 +390,10 @@ class Searcher:
         return [t for t, hit in zip(trials, found) if not hit]
 
     @staticmethod
-    def _hits(walk: Walk, table: tuple, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _hits(walk: Walk, table: tuple, codes: np.ndarray, starts: np.ndarray, begun: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(item, place of the window, place where the item would begin) of windows with a key of the table."""
         keys, owner, offset, early = table
-        who, key = walk.keys(codes, starts, early)
+        who, key = walk.keys(codes, starts, early, begun=begun)
         lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
         n = hi - lo
         entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -359,14 +413,22 @@ class Searcher:
         """Distinct (item, text, place where it would begin, in steps of 16 bytes) of texts that end (in a 0) at ``ends``."""
         found = [np.zeros((3, 0), np.int64)]
         places = word_places(data)
-        codes = step_codes(np.r_[data, np.zeros(STEPS, np.uint8)])
-        for side in self.sides:
+        data = np.r_[data, np.zeros(STEPS, np.uint8)]
+        codes, ranked = step_codes(data), step_codes(data, self._ranks.rank)
+        if self._looks is None:  # in the task, not sent to it
+            self._looks = [[walk.looks(self._ranks, table[3]) for walk, table in zip(s.walks, s.tables)] for s in self.sides]
+        for side, looks in zip(self.sides, self._looks):
             starts = text_starts(places, side.steps)
-            for first in range(0, len(starts), _WINDOWS):
-                for walk, table in zip(side.walks, side.tables):
-                    owner, at, begin = self._hits(walk, table, codes, starts[first : first + _WINDOWS])
+            first = 0
+            while first < len(starts):
+                end = min(first + _WINDOWS, int(np.searchsorted(starts, starts[first] + (1 << _PLACE_BITS) - 2 * STEPS)))
+                block = starts[first:end]
+                own, at_start = ranked[block[0] : block[-1] + STEPS], ranked[block].astype(np.int64)
+                for walk, table, look in zip(side.walks, side.tables, looks):
+                    owner, at, begin = self._hits(walk, table, codes, block, walk.begin(own, block, at_start, table[3], look))
                     if len(owner):
                         found.append(np.stack([owner, np.searchsorted(ends, at, "right"), begin >> 4]))
+                first = end
         return np.unique(np.concatenate(found, axis=1), axis=1)
 
     def grams(self, item: int) -> np.ndarray:

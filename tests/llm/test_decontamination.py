@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from brute import awkward, empty
 
@@ -134,3 +135,24 @@ def test_table(spark, block_bytes):
     for r in rows:
         assert r.distance <= d.MAX_EDITS * len(known[r.item_id])
         assert (r.distance == 0) == ((r.doc_id, r.item_id) in verbatim)
+
+
+def test_packed_walks_are_the_plain_ones():
+    """Walks whose place and key are one number find what step by step walks find: with bytes that no item has, and
+    where windows lie further apart than the place has bits for."""
+    draw = random.Random(8)
+    word = lambda letters: "".join(draw.choice(letters) for _ in range(draw.randint(1, 12)))
+    items = [" ".join(word("abcde") for _ in range(n)).encode() for n in (4, 12, 12, 30, 60, 60)]
+    searcher = d.Searcher(list(enumerate(items)))
+    texts = [" ".join(word("abcdexyzé漢") for _ in range(80)).encode() + b" " + draw.choice(items)[:70] for _ in range(40)]
+    texts[20:20] = [b""] * (1 << d._PLACE_BITS)
+    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    codes = d.step_codes(np.r_[data, np.zeros(d.STEPS, np.uint8)])
+    found = set()
+    for side in searcher.sides:
+        starts = d.text_starts(d.word_places(data), side.steps)
+        for walk, table in zip(side.walks, side.tables):
+            owner, at, begin = searcher._hits(walk, table, codes, starts)
+            found |= set(zip(owner.tolist(), np.searchsorted(ends, at, "right").tolist(), (begin >> 4).tolist()))
+    assert found and set(map(tuple, searcher.candidates(data, ends).T.tolist())) == found
